@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, huffman_ids, sentencepiece_backend
 
 
 def queries() -> dict:
     return {
         "op8_exact_dedup": exact_dedup.op8,
+        "op9_sentencepiece": sentencepiece_backend.op9,
+        "op10_huffman_ids": huffman_ids.op10,
     }
 
 
