@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, huffman_ids, sentencepiece_backend
+from . import exact_dedup, huffman_ids, mixing, sentencepiece_backend, warc
 
 
 def queries() -> dict:
     return {
+        "op1_warc": warc.op1,
+        "op3_mixing": mixing.op3,
         "op8_exact_dedup": exact_dedup.op8,
         "op9_sentencepiece": sentencepiece_backend.op9,
         "op10_huffman_ids": huffman_ids.op10,
@@ -15,5 +17,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_warc": warc.OP1_SQL,
+        "op3_mixing": mixing.OP3_SQL,
         "op8_exact_dedup": exact_dedup.OP8_SQL,
     }

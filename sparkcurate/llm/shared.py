@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,7 +15,9 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = "file://" + tempfile.mkdtemp(prefix="sparkcurate-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return re.sub("^file:/+", "file:///", full).rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
