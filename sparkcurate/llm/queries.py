@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, huffman_ids, mixing, sentencepiece_backend, warc
+from . import exact_dedup, gif_media, huffman_ids, mixing, quality_crf, sentencepiece_backend, warc
 
 
 def queries() -> dict:
     return {
         "op1_warc": warc.op1,
         "op3_mixing": mixing.op3,
+        "op4_gif_media": gif_media.op4,
+        "op6_quality_crf": quality_crf.op6,
         "op8_exact_dedup": exact_dedup.op8,
         "op9_sentencepiece": sentencepiece_backend.op9,
         "op10_huffman_ids": huffman_ids.op10,
