@@ -27,6 +27,8 @@ MAX_VOCABULARY = 1 << 20
 #: Target characters of text for each file.
 FILE_CHARS = 48_000_000
 
+#: Files whose counts one task adds up.
+COUNTED = 256
 #: How byte-level BPE writes the byte of a space.
 SPACE = "\u0120"
 
@@ -51,10 +53,13 @@ def cache_of(tokenizer: str) -> PieceCache:
         special = [t.content for t in library.get_added_tokens_decoder().values()]
 
         def odd(key) -> bool:
-            return isinstance(key, tuple) or not key or key[0].isspace() or " " in key or "<" in key and any(t in key for t in special)
+            return key.__class__ is tuple or "<" in key and any(t in key for t in special)
 
         def encode(keys: list) -> tuple[np.ndarray, np.ndarray]:
-            return joined_encode(keys, odd, lambda texts: ids_of([" " + t for t in texts]), lambda own: ids_of([k[0] if isinstance(k, tuple) else " " + k for k in own]), starts)
+            def alone(own: list) -> list:
+                return ids_of([k[0] if isinstance(k, tuple) else " " + k for k in own])
+
+            return joined_encode(keys, odd, lambda texts: ids_of([" " + t for t in texts]), alone, starts)
 
         _caches[tokenizer] = PieceCache(spaced_keys if splits_at_spaces(tokenizer) else whole_key, encode)
     return _caches[tokenizer]
@@ -287,14 +292,21 @@ RAW = pa.schema([("file_no", pa.int64()), ("raw", pa.string()), ("n_docs", pa.in
 
 
 def id_counts(raw: DataFrame) -> DataFrame:
-    """(id, n) over all documents; each file gives one row an id at most."""
+    """(id, n) over all documents; the counts of COUNTED files at a time are added up before any are sent."""
 
     def count(batches):
+        total = np.zeros(0, np.int64)
         for batch in batches:
             for used, n in zip(batch.column("used").to_pylist(), batch.column("n").to_pylist(), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x, "<i8")) for x in (used, n)], ["id", "n"])
-
-    return raw.select("used", "n").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+                ids = np.frombuffer(used, "<i8")
+                if ids[-1] >= len(total):
+                    total = np.concatenate([total, np.zeros(ids[-1] + 1 - len(total), np.int64)])
+                total[ids] += np.frombuffer(n, "<i8")
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
+
+    tasks = raw.select("used", "n").coalesce(raw.count() // COUNTED + 1)
+    return tasks.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:

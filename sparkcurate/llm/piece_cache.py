@@ -14,7 +14,8 @@ import numpy as np
 #: Characters of text handled at a time; longer texts are cut at a place where pieces part anyway.
 CHUNK = 2_000_000
 SAFE = re.compile(r"(?<=\S) (?=\S)")
-ODD = re.compile(r"  | \s")
+ODD = re.compile(r" \s")
+PLAIN = re.compile(r" \S[^ ]*")
 PARTS = re.compile(r"(?<=\S)(?= )|(?= \S)")
 
 
@@ -34,7 +35,7 @@ class _Index(dict):
 class PieceCache:
     """keys(text, first) gives a text's pieces; encode(keys) all keys' ids in a row, and each key's number of ids."""
 
-    def __init__(self, keys: Callable[[str, bool], list], encode: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int = 400_000) -> None:
+    def __init__(self, keys: Callable[[str, bool], list], encode: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int = 600_000) -> None:
         self.keys, self.encode, self.limit = keys, encode, limit
         self.clear()
 
@@ -131,18 +132,20 @@ class PieceCache:
 
 
 def spaced_keys(text: str, first: bool) -> list:
-    """Keys of a text: a string stands for a space and that string, a tuple for its only element as it is.
+    """Keys of a text for byte-level BPE: a string, without spaces, stands for a space and that string;
+    a tuple stands for its only element as it is.
 
     first is false for the rest of a cut text, whose leading space has been taken off.
     """
     if ODD.search(text):
         parts = PARTS.split(text if first else " " + text)
-        return [p[1:] if p[0] == " " else (p,) for p in parts if p]
+        return [p[1:] if PLAIN.fullmatch(p) else (p,) for p in parts if p]
     pieces = text.split(" ")
+    if not pieces[-1]:
+        pieces[-1] = (" ",)
     if first:
-        head = pieces[0]
-        if head:
-            pieces[0] = (head,)
+        if pieces[0] and text:
+            pieces[0] = (pieces[0],) if isinstance(pieces[0], str) else ("",)
         else:
             del pieces[0]
     return pieces
@@ -159,9 +162,11 @@ def joined_encode(keys: list, odd: Callable[[object], bool], together: Callable[
     which it does just where its leading space is.
     """
     strange = [k for k, key in enumerate(keys) if odd(key)]
-    plain = [key for key in keys if not odd(key)] if strange else keys
-    texts = [" ".join(plain[k : k + JOINED]) for k in range(0, len(plain), JOINED)]
-    lists = together(texts)
+    plain = keys
+    if strange:
+        left = set(strange)
+        plain = [key for k, key in enumerate(keys) if k not in left]
+    lists = together([" ".join(plain[k : k + JOINED]) for k in range(0, len(plain), JOINED)])
     flat = np.concatenate([np.asarray(x, np.uint32) for x in lists]) if lists else np.zeros(0, np.uint32)
     at = np.flatnonzero(starts[flat])
     if len(at) != len(plain):
@@ -170,7 +175,13 @@ def joined_encode(keys: list, odd: Callable[[object], bool], together: Callable[
     if not strange:
         return flat, lengths
     own = alone([keys[k] for k in strange])
-    parts: list = np.split(flat, at[1:]) if len(plain) else []
-    for k, ids in zip(strange, own, strict=True):
-        parts.insert(k, np.asarray(ids, np.uint32))
-    return np.concatenate(parts).astype(np.uint32), np.fromiter(map(len, parts), np.int64, len(parts))
+    sizes = np.zeros(len(keys), np.int64)
+    sizes[strange] = [len(x) for x in own]
+    sizes[np.setdiff1d(np.arange(len(keys)), strange)] = lengths
+    out = np.zeros(int(sizes.sum()), np.uint32)
+    theirs = np.zeros(len(keys), bool)
+    theirs[strange] = True
+    mine = np.repeat(theirs, sizes)
+    out[mine] = np.array([x for one in own for x in one], np.uint32)
+    out[~mine] = flat
+    return out, sizes

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, gif_media, huffman_ids, mixing, quality_crf, sentencepiece_backend, warc
+from . import exact_dedup, gif_media, huffman_ids, mixing, quality_crf, sentencepiece_backend, toxicity_gru, warc
 
 
 def queries() -> dict:
     return {
         "op1_warc": warc.op1,
+        "op2_toxicity_gru": toxicity_gru.op2,
         "op3_mixing": mixing.op3,
         "op4_gif_media": gif_media.op4,
         "op6_quality_crf": quality_crf.op6,
