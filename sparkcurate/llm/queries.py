@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, gif_media, huffman_ids, mixing, quality_crf, sentencepiece_backend, toxicity_gru, warc
+from . import exact_dedup, gif_media, huffman_ids, mixing, ngram_join, quality_crf, sentencepiece_backend, toxicity_gru, warc
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_mixing": mixing.op3,
         "op4_gif_media": gif_media.op4,
         "op6_quality_crf": quality_crf.op6,
+        "op7_ngram_join": ngram_join.op7,
         "op8_exact_dedup": exact_dedup.op8,
         "op9_sentencepiece": sentencepiece_backend.op9,
         "op10_huffman_ids": huffman_ids.op10,
