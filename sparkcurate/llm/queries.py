@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, gif_media, huffman_ids, mixing, ngram_join, quality_crf, sentencepiece_backend, toxicity_gru, warc
+from . import exact_dedup, gif_media, huffman_ids, mixing, ngram_join, quality_crf, sentencepiece_backend, suffix_dedup, toxicity_gru, warc
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_toxicity_gru": toxicity_gru.op2,
         "op3_mixing": mixing.op3,
         "op4_gif_media": gif_media.op4,
+        "op5_suffix_dedup": suffix_dedup.op5,
         "op6_quality_crf": quality_crf.op6,
         "op7_ngram_join": ngram_join.op7,
         "op8_exact_dedup": exact_dedup.op8,
