@@ -1 +1 @@
-"""plans of sparkcurate."""
+"""Whole queries over named tables, with SQL that states the same results."""
