@@ -260,7 +260,7 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     schema = T.StructType([docs.schema[c] for c in columns])
     schema = schema.add("n_tokens", "long").add("ids_crc32", "long").add("decoded_bytes", "long").add("decoded_ok", "boolean").add("parity", "boolean")
     if ids:
-        schema = schema.add("token_ids", "array<int>")
+        schema = schema.add("token_ids", T.ArrayType(T.IntegerType()))
 
     def run(batches):
         codec = codec_of(model_path, threads, verify)
