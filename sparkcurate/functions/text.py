@@ -167,7 +167,8 @@ def unquote(text: Column) -> Column:
 
 
 def percent(share: Column) -> Column:
-    return F.format_string("%.0f%%", F.lit(100.0) * share)
+    """Whole percent, halves to even."""
+    return F.format_string("%.0f%%", F.bround(F.lit(100.0) * share))
 
 
 def declares_id(text: Column, name: str) -> Column:
