@@ -1,6 +1,6 @@
 """Exact Jaccard join of word shingles: pivots' Voronoi regions, triangle-inequality windows, regions joined one level down.
 
-Distances are Jaccard's, 1 - intersection / union, and two texts link at EPS or less. Each text also
+Distances are Jaccard's, 1 - intersection / union, and two texts link at EPS = 1 - T or less. Each text also
 has a fold of its set, one parity bit a cell; sets differ in at least as many shingles as folds in
 bits, and Jaccard's distance grows with the difference, so folds bound all distances from below.
 
@@ -18,6 +18,7 @@ bits, and Jaccard's distance grows with the difference, so folds bound all dista
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -26,10 +27,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .exact_dedup import located
 from .shared import load, written
 
-#: Words of a shingle and the least similarity in hundredths.
-SHINGLE, SIMILAR = 4, 85
 #: Minimum hashes: bands and rows of each.
 BANDS, ROWS = 4, 3
 #: Buckets of shingles whose frequencies order them; a table of a byte each goes to all tasks.
@@ -41,6 +41,19 @@ BROADCAST_IDS = 1_000_000
 #: Pairs of points of two regions that are tried first, those with the lowest bounds.
 FIRST_PAIRS = 16
 MAX_FOLD = 1 << 14
+#: Cells with more regions than this are joined one level down, with folds at hand.
+LARGE = 6
+#: Members of a region that one task compares.
+TOGETHER = 4_096
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Words of a shingle, and the least similarity in hundredths."""
+
+    words: int = 5
+    similar: int = 80
+
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _BASE = 0x5851F42D4C957F2D
@@ -77,8 +90,8 @@ _GAP = np.zeros(256, bool)
 _GAP[[32, 9, 10, 11, 12, 13]] = True
 
 
-def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
-    """Each text's distinct shingles as sorted 64-bit hashes; all words together where they are fewer than SHINGLE."""
+def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
+    """Each text's distinct shingles as sorted 64-bit hashes; all its words together where they are fewer than words."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     data = _LOWER[np.frombuffer(b" ".join([*texts, b""]), np.uint8)]
     up, down = powers(len(data) + 1)
@@ -89,16 +102,16 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     word = _mix((total[stop] - total[begin]) * down[begin])
     words_before = np.searchsorted(begin, np.concatenate([[0], np.cumsum(sizes + 1)]))
     rolled = np.zeros(len(word), np.uint64)
-    if len(word) >= SHINGLE:
-        n = len(word) - SHINGLE + 1
+    if len(word) >= words:
+        n = len(word) - words + 1
         acc = word[:n].copy()
-        for k in range(1, SHINGLE):
+        for k in range(1, words):
             acc = _mix(acc + _C) + word[k : k + n]
         rolled[:n] = _mix(acc)
     out = []
     for a, b in zip(words_before[:-1].tolist(), words_before[1:].tolist(), strict=True):
-        if b - a >= SHINGLE:
-            out.append(np.unique(rolled[a : b - SHINGLE + 1]))
+        if b - a >= words:
+            out.append(np.unique(rolled[a : b - words + 1]))
         elif b > a:
             acc = np.array([b - a], np.uint64)
             for k in range(a, b):
@@ -134,9 +147,9 @@ def differences(a: list[bytes], b: list[bytes], n_a: np.ndarray, n_b: np.ndarray
     return out
 
 
-def within(diff: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, radii: np.ndarray | int = 0) -> np.ndarray:
+def within(similar: int, diff: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, radii: np.ndarray | int = 0) -> np.ndarray:
     """Whether a distance of (1 + radii) * EPS or less is possible where sets differ in diff shingles or more."""
-    far = (100 - SIMILAR) * (1 + radii)
+    far = (100 - similar) * (1 + radii)
     return 200 * diff <= far * (n_a + n_b + diff)
 
 
@@ -155,14 +168,14 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] =
     return docs.select(F.col(id_col).alias("__id"), *keep, F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("__text"))
 
 
-def frequency_classes(texts: DataFrame) -> bytes:
+def frequency_classes(texts: DataFrame, rule: Rule) -> bytes:
     """For each bucket of shingles the binary logarithm of how often tasks have met it, 0 for the rare."""
 
     def count(batches):
         total = np.zeros(1 << ORDER_BITS, np.int32)
         for batch in batches:
             for part in _parts(batch, "__text"):
-                sets = shingle_sets(part.column("__text").to_pylist())
+                sets = shingle_sets(part.column("__text").to_pylist(), rule.words)
                 every = np.concatenate([np.zeros(0, np.uint64), *sets])
                 total += np.bincount((every >> np.uint64(64 - ORDER_BITS)).astype(np.int64), minlength=1 << ORDER_BITS).astype(np.int32)
         often = np.flatnonzero(total >= LEAST_COUNT)
@@ -175,7 +188,7 @@ def frequency_classes(texts: DataFrame) -> bytes:
     return table.tobytes()
 
 
-def profiles(texts: DataFrame, classes, keep: tuple[str, ...]) -> DataFrame:
+def profiles(texts: DataFrame, rule: Rule, classes, keep: tuple[str, ...]) -> DataFrame:
     """Per row: id, n, key of its set, fold, bands, cells (first shingles in the order, 8 bytes each)."""
     fields = [texts.schema["__id"], *(texts.schema[c] for c in keep)]
     schema = T.StructType(fields).add("n", "long").add("key", "long").add("fold", "binary").add("bands", T.ArrayType(T.LongType())).add("cells", "binary")
@@ -185,7 +198,7 @@ def profiles(texts: DataFrame, classes, keep: tuple[str, ...]) -> DataFrame:
         for batch in batches:
             for part in _parts(batch, "__text"):
                 n, keys, folds, bands, cells = [], [], [], [], []
-                for s in shingle_sets(part.column("__text").to_pylist()):
+                for s in shingle_sets(part.column("__text").to_pylist(), rule.words):
                     n.append(len(s))
                     if not len(s):
                         keys.append(None)
@@ -197,7 +210,7 @@ def profiles(texts: DataFrame, classes, keep: tuple[str, ...]) -> DataFrame:
                     folds.append(fold(s))
                     least = (s[:, None] * _SEEDS).min(0).reshape(BANDS, ROWS)
                     bands.append(_mix(_mix(_mix(least[:, 0]) + least[:, 1]) + least[:, 2] + np.arange(BANDS, dtype=np.uint64)).astype(np.int64))
-                    first = len(s) - -(-SIMILAR * len(s) // 100) + 1
+                    first = len(s) - -(-rule.similar * len(s) // 100) + 1
                     rank = order[(s >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]
                     s = s[np.lexsort((_mix(s), rank))[:first]] if rank.any() else s[np.argsort(_mix(s), kind="stable")[:first]]
                     cells.append(s.tobytes())
@@ -208,7 +221,7 @@ def profiles(texts: DataFrame, classes, keep: tuple[str, ...]) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-def bounded(pairs: DataFrame, points: DataFrame, radii: bool = False) -> DataFrame:
+def bounded(pairs: DataFrame, rule: Rule, points: DataFrame, radii: bool = False) -> DataFrame:
     """Pairs (a, b) that the folds allow to be within EPS, or with radii within EPS and ra + rb times EPS."""
     folds = points.select("key", "n", "fold")
     both = pairs.join(folds.toDF("a", "na", "fa"), "a").join(folds.toDF("b", "nb", "fb"), "b")
@@ -221,12 +234,12 @@ def bounded(pairs: DataFrame, points: DataFrame, radii: bool = False) -> DataFra
                 na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
                 diff = differences(batch.column("fa").to_pylist(), batch.column("fb").to_pylist(), na, nb)
                 r = batch.column("ra").to_numpy() + batch.column("rb").to_numpy() if radii else 0
-                yield batch.select(names).filter(pa.array(within(diff, na, nb, r)))
+                yield batch.select(names).filter(pa.array(within(rule.similar, diff, na, nb, r)))
 
     return both.select(*names, "na", "nb", "fa", "fb").mapInArrow(run, schema)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, points: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, rule: Rule, texts: DataFrame, points: DataFrame) -> DataFrame:
     """(a, b, union, diff) of the pairs that link by their sets, which are made again from the texts in question."""
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     ids = written(wanted.join(points.select("key", "id"), "key").select(F.col("id").alias("__id")).distinct(), "wanted")
@@ -236,7 +249,7 @@ def verified(pairs: DataFrame, texts: DataFrame, points: DataFrame) -> DataFrame
     def sets(batches):
         for batch in batches:
             for part in _parts(batch, "__text"):
-                made = [s for s in shingle_sets(part.column("__text").to_pylist()) if len(s)]
+                made = [s for s in shingle_sets(part.column("__text").to_pylist(), rule.words) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in made], pa.int64()), pa.array([s.tobytes() for s in made], pa.binary())], ["key", "set"])
 
     table = written(some.mapInArrow(sets, "key long, set binary").dropDuplicates(["key"]), "sets")
@@ -250,7 +263,7 @@ def verified(pairs: DataFrame, texts: DataFrame, points: DataFrame) -> DataFrame
                 x, y = np.frombuffer(sa, np.uint64), np.frombuffer(sb, np.uint64)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 every = len(x) + len(y) - common
-                if 100 * common >= SIMILAR * every:
+                if 100 * common >= rule.similar * every:
                     a.append(ka)
                     b.append(kb)
                     union.append(every)
@@ -267,8 +280,12 @@ def band_pairs(points: DataFrame) -> DataFrame:
     return bands.join(pivots, "band").where("key <> b").select(F.col("key").alias("a"), "b").distinct()
 
 
-def region_pairs(points: DataFrame, regions: DataFrame) -> DataFrame:
-    """(a, b, ra, rb): regions that have points with a common cell, sizes and places in the order that allow a link."""
+def region_pairs(points: DataFrame, rule: Rule, regions: DataFrame) -> DataFrame:
+    """(a, b, ra, rb): regions whose points have a common cell, sizes and places that allow a link, and pivots near enough by their folds.
+
+    Cells with up to LARGE regions give their pairs at once. The rows of larger ones are joined again by
+    cell, with the pivots' folds, and only pairs that pass are given, in the first cell that both have.
+    """
     assigned = points.select("key", "n", "cells").join(regions, "key", "left").select(F.coalesce("region", "key").alias("region"), F.col("region").isNotNull().cast("long").alias("r"), "n", "cells")
 
     def spread(batches):
@@ -284,7 +301,7 @@ def region_pairs(points: DataFrame, regions: DataFrame) -> DataFrame:
                 yield _merged(cell, region, r, n, n, place)
 
     def meet(batches):
-        held = None
+        held, large = None, None
         for batch in batches:
             held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
             if held.num_rows < 1 << 16:
@@ -292,20 +309,26 @@ def region_pairs(points: DataFrame, regions: DataFrame) -> DataFrame:
             cell = held.column("cell").to_numpy()
             cut = int(np.searchsorted(cell, cell[-1]))  # the last cell may go on
             if cut:
-                yield from _met(held.slice(0, cut))
+                yield from _met(rule, held.slice(0, cut), large)
                 held = held.slice(cut)
-            elif held.num_rows > 1 << 20:
-                held = _merged(*(held.column(c).to_numpy() for c in held.schema.names))
+            if held.num_rows > 1 << 18:
+                large = cell[-1]
+                yield from _met(rule, held, large)
+                held = held.slice(0, 0)
         if held is not None and held.num_rows:
-            yield from _met(held)
+            yield from _met(rule, held, large)
 
     rows = assigned.mapInArrow(spread, "cell long, region long, r long, least long, most long, place long")
-    total = max(1, points.count() // 4_000)
-    dealt = rows.repartition(min(total, 20_000), "cell").sortWithinPartitions("cell", "region")
-    return dealt.mapInArrow(meet, "a long, b long, ra long, rb long").distinct()
+    parts = min(max(1, points.count() // 4_000), 20_000)
+    dealt = rows.repartition(parts, "cell").sortWithinPartitions("cell", "region")
+    met = written(dealt.mapInArrow(meet, "cell long, a long, b long, ra long, rb long, least long, most long, place long"), "meetings")
+    small = met.where("cell IS NULL").select("a", "b", "ra", "rb").distinct()
+    large = met.where("cell IS NOT NULL").select("cell", F.col("a").alias("region"), F.col("ra").alias("r"), "least", "most", "place")
+    return bounded(small, rule, points, radii=True).unionByName(large_cells(large, rule, points, parts))
 
 
 _CELL_NAMES = ["cell", "region", "r", "least", "most", "place"]
+_MET_SCHEMA = pa.schema([(c, pa.int64()) for c in ("cell", "a", "b", "ra", "rb", "least", "most", "place")])
 
 
 def _merged(cell, region, r, least, most, place) -> pa.RecordBatch:
@@ -317,75 +340,134 @@ def _merged(cell, region, r, least, most, place) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], _CELL_NAMES)
 
 
-def _met(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def _near(rule: Rule, most_a, least_b, most_b, place_a, place_b) -> np.ndarray:
+    """Whether sizes and places allow a link; b's smallest set isn't smaller than a's."""
+    size = most_a + most_b
+    return (100 * most_a >= rule.similar * least_b) & ((100 + rule.similar) * (place_a + place_b) <= (100 - rule.similar) * size)
+
+
+def _met(rule: Rule, batch: pa.RecordBatch, large) -> Iterator[pa.RecordBatch]:
+    """Pairs of the small cells' regions (cell null), and the rows of large cells as they are (a: region, ra: its radius)."""
     batch = _merged(*(batch.column(c).to_numpy() for c in _CELL_NAMES))
     cell, region, r, least, most, place = (batch.column(c).to_numpy() for c in _CELL_NAMES)
+    first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+    sizes = np.diff(np.append(first, len(cell)))
+    big = np.repeat(sizes > LARGE, sizes) | (cell == large if large is not None else np.zeros(len(cell), bool))
+    if big.any():
+        zero = np.zeros(int(big.sum()), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (cell[big], region[big], zero, r[big], zero, least[big], most[big], place[big])], schema=_MET_SCHEMA)
     order = np.lexsort((least, cell))
+    order = order[~big[order]]
     cell, region, r, least, most, place = (x[order] for x in (cell, region, r, least, most, place))
-    left = np.flatnonzero(np.concatenate([cell[1:] == cell[:-1], [False]]))
-    step, found = 1, []
-    while len(left):
+    found = []
+    for step in range(1, LARGE):
+        left = np.flatnonzero(cell[step:] == cell[:-step]) if step < len(cell) else np.zeros(0, np.int64)
+        if not len(left):
+            break
         right = left + step
-        ok = right < len(cell)
-        left, right = left[ok], right[ok]
-        # in order of the smallest set: once the right one's smallest is too large, so are all after it
-        ok = (cell[left] == cell[right]) & (100 * most[left] >= SIMILAR * least[right])
-        left, right = left[ok], right[ok]
-        size = most[left] + most[right]
-        fine = (100 + SIMILAR) * (place[left] + place[right]) <= (100 - SIMILAR) * size
-        a, b = region[left][fine], region[right][fine]
-        low = a < b
-        found.append(np.stack([np.where(low, a, b), np.where(low, b, a), np.where(low, r[left][fine], r[right][fine]), np.where(low, r[right][fine], r[left][fine])], 1))
-        step += 1
-        if sum(map(len, found)) > 1 << 20:
-            found = [np.unique(np.concatenate(found), axis=0)]
-            if len(found[0]) > 1 << 19:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found[0].T], ["a", "b", "ra", "rb"])
-                found = []
+        fine = _near(rule, most[left], least[right], most[right], place[left], place[right])
+        left, right = left[fine], right[fine]
+        low = region[left] < region[right]
+        left, right = np.where(low, left, right), np.where(low, right, left)
+        found.append(np.stack([region[left], region[right], r[left], r[right]], 1))
     if found:
-        every = np.unique(np.concatenate(found), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in every.T], ["a", "b", "ra", "rb"])
+        a, b, ra, rb = np.unique(np.concatenate(found), axis=0).T
+        none = pa.nulls(len(a), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, *(pa.array(np.ascontiguousarray(x)) for x in (a, b, ra, rb)), none, none, none], schema=_MET_SCHEMA)
 
 
-def window_pairs(pairs: DataFrame, points: DataFrame, regions: DataFrame, skip: int, most: int | None) -> DataFrame:
-    """(ra_, rb_, a, b, more): pairs of points of two regions that the folds allow to link, from rank skip by their bound on, most of them.
+def large_cells(rows: DataFrame, rule: Rule, points: DataFrame, parts: int) -> DataFrame:
+    """(a, b, ra, rb) of large cells' regions; folds are compared within the task, and a pair is given in the lowest cell that both have."""
+    merged = rows.groupBy("cell", "region", "r").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.min("place").alias("place"))
+    lists = merged.groupBy("region").agg(F.collect_list("cell").alias("cells"))
+    whole = merged.join(lists, "region").join(points.select(F.col("key").alias("region"), "n", "fold"), "region")
+    dealt = whole.repartition(parts, "cell").sortWithinPartitions("cell", "least", "region")
 
-    A region's points count if they can be within the other's radius and EPS of its pivot.
-    """
-    folds = points.select("key", "n", "fold")
-    members = regions.select("region", "key").union(regions.select("region", F.col("region").alias("key")).distinct())
-    members = members.union(pairs.where("ra = 0").select("a", "a")).union(pairs.where("rb = 0").select("b", "b")).distinct().join(folds, "key")
-    sides = []
-    for here, there, r, side in (("a", "b", "rb", 0), ("b", "a", "ra", 1)):
-        x = pairs.join(folds.toDF(there, "pn", "pf"), there).withColumn("radius", F.col(r)).withColumn("region", F.col(here))
-        sides.append(x.join(members, "region").select("a", "b", F.lit(side).alias("side"), "key", "n", "fold", "radius", "pn", "pf"))
-    rows = sides[0].unionByName(sides[1])
-    schema = "a long, b long, side int, key long, n long, fold binary"
-
-    def window(batches):
+    def run(batches):
+        held: list[dict] = []
         for batch in batches:
-            if batch.num_rows:
-                n, pn = batch.column("n").to_numpy(), batch.column("pn").to_numpy()
-                diff = differences(batch.column("fold").to_pylist(), batch.column("pf").to_pylist(), n, pn)
-                yield batch.select(["a", "b", "side", "key", "n", "fold"]).filter(pa.array(within(diff, n, pn, batch.column("radius").to_numpy())))
+            for row in batch.to_pylist():
+                if held and row["cell"] != held[0]["cell"]:
+                    yield from _compared(rule, held)
+                    held = []
+                held.append(row)
+        yield from _compared(rule, held)
+
+    return dealt.mapInArrow(run, "a long, b long, ra long, rb long").distinct()
+
+
+def _compared(rule: Rule, rows: list[dict]) -> Iterator[pa.RecordBatch]:
+    if len(rows) < 2:
+        return
+    cell = rows[0]["cell"]
+    region, r, least, most, place, n = (np.array([x[c] for x in rows]) for c in ("region", "r", "least", "most", "place", "n"))
+    folds = [x["fold"] for x in rows]
+    lower = [frozenset(c for c in x["cells"] if c < cell) for x in rows]
+    out = []
+    for k in range(len(rows) - 1):
+        right = np.arange(k + 1, int(np.searchsorted(least, 100 * most[k] // rule.similar, side="right")))
+        right = right[_near(rule, most[k], least[right], most[right], place[k], place[right])]
+        if not len(right):
+            continue
+        diff = differences_to(folds[k], int(n[k]), [folds[j] for j in right], n[right])
+        right = right[within(rule.similar, diff, n[k], n[right], r[k] + r[right])]
+        for j in right.tolist():
+            if lower[k].isdisjoint(lower[j]):
+                a, b = (k, j) if region[k] < region[j] else (j, k)
+                out.append((region[a], region[b], r[a], r[b]))
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["a", "b", "ra", "rb"])
+
+
+def differences_to(one: bytes, n: int, folds: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """differences() of one fold to each of folds."""
+    out = np.abs(sizes - n)
+    length = np.fromiter(map(len, folds), np.int64, len(folds))
+    x = np.frombuffer(one, np.uint64)
+    for kind in np.unique(length):
+        at = np.flatnonzero(length == kind)
+        wide = np.frombuffer(b"".join([folds[k] for k in at.tolist()]), np.uint64).reshape(len(at), -1)
+        least = min(len(x), wide.shape[1])
+        y = np.bitwise_xor.reduce(wide.reshape(len(at), -1, least), axis=1) ^ np.bitwise_xor.reduce(x.reshape(-1, least), axis=0)
+        out[at] = np.maximum(out[at], np.bitwise_count(y).sum(1).astype(np.int64))
+    return out
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = pdf[pdf.side == 0], pdf[pdf.side == 1]
+
+def window_pairs(pairs: DataFrame, rule: Rule, points: DataFrame, regions: DataFrame, skip: int, most: int | None) -> DataFrame:
+    """(ra_, rb_, a, b, more): pairs of points of two regions that the folds allow to link; of each two regions those of ranks from skip on by their bound, most of them.
+
+    The larger region stays where it is, in parts of TOGETHER members; the other's points come to each part.
+    """
+    folds = points.select("key", "n", "fold")
+    members = regions.select("region", "key").union(regions.select("region", F.col("region").alias("key"))).distinct()
+    sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
+    both = pairs.select("a", "b").join(sizes.toDF("a", "sa"), "a", "left").join(sizes.toDF("b", "sb"), "b", "left").fillna(0, ["sa", "sb"])
+    turn = F.col("sa") >= F.col("sb")
+    both = both.select("a", "b", F.when(turn, F.col("a")).otherwise(F.col("b")).alias("big"), F.when(turn, F.col("b")).otherwise(F.col("a")).alias("small"), F.greatest("sa", "sb").alias("size"))
+    salts = F.floor((F.col("size") - 1) / TOGETHER) + 1
+    home = members.join(sizes, "region").join(both.select(F.col("big").alias("region")).distinct(), "region", "left_semi").join(folds, "key")
+    home = home.select("region", F.pmod(F.xxhash64("key"), salts).cast("long").alias("salt"), "key", "n", "fold")
+    guests = both.join(members.toDF("small", "key"), "small", "left").withColumn("key", F.coalesce("key", "small")).join(folds, "key")
+    guests = guests.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts.cast("long") - 1))).select("big", F.col("salt").alias("part"), "a", "b", F.col("key").alias("point"), F.col("n").alias("points_n"), F.col("fold").alias("points_fold"))
+
+    def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         found = []
-        for k in range(0, len(x), 64):
-            part = x.iloc[k : k + 64]
-            i, j = np.divmod(np.arange(len(part) * len(y)), max(1, len(y)))
-            na, nb = part.n.to_numpy()[i], y.n.to_numpy()[j]
-            fa, fb = part.fold.to_numpy(), y.fold.to_numpy()
-            diff = differences([fa[q] for q in i], [fb[q] for q in j], na, nb)
-            ok = within(diff, na, nb) & (part.key.to_numpy()[i] != y.key.to_numpy()[j])
-            found.append(pd.DataFrame({"x": part.key.to_numpy()[i][ok], "y": y.key.to_numpy()[j][ok], "d": diff[ok] / (na + nb)[ok]}))
-        every = pd.concat(found).sort_values(["d", "x", "y"]) if found else pd.DataFrame({"x": [], "y": [], "d": []})
-        out = every.iloc[skip : None if most is None else skip + most]
-        more = most is not None and len(every) > skip + most
-        return pd.DataFrame({"ra_": pdf.a.iloc[0], "rb_": pdf.b.iloc[0], "a": out.x.astype("int64"), "b": out.y.astype("int64"), "more": more})
-
-    return rows.mapInArrow(window, schema).groupBy("a", "b").applyInPandas(compare, "ra_ long, rb_ long, a long, b long, more boolean")
+        folds_x, n_x, key_x = x.fold.tolist(), x.n.to_numpy(), x.key.to_numpy()
+        for a, b, key, n, fold_y in zip(y.a, y.b, y.point, y.points_n, y.points_fold, strict=True):
+            diff = differences_to(fold_y, n, folds_x, n_x)
+            ok = within(rule.similar, diff, n, n_x) & (key_x != key)
+            if ok.any():
+                found.append(pd.DataFrame({"ra_": a, "rb_": b, "a": key, "b": key_x[ok], "d": diff[ok] / (n + n_x[ok])}))
+        if not found:
+            return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("ra_", "rb_", "a", "b")} | {"more": pd.Series(dtype=bool)})
+        every = pd.concat(found).sort_values(["ra_", "rb_", "d", "a", "b"])
+        groups = every.groupby(["ra_", "rb_"])
+        every["rank"], every["size"] = groups.cumcount(), groups["d"].transform("size")
+        last = len(every) + skip if most is None else skip + most
+        every["more"] = every["size"] > last
+        return every[(every["rank"] >= skip) & (every["rank"] < last)][["ra_", "rb_", "a", "b", "more"]]
+
+    return home.groupBy("region", "salt").cogroup(guests.groupBy("big", "part")).applyInPandas(compare, "ra_ long, rb_ long, a long, b long, more boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -403,8 +485,9 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("key", "label")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per row of docs: id, the columns in keep, n_shingles, component_id (the smallest id reachable by links).
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), rule: Rule = Rule()) -> DataFrame:
+    """One row per row of docs: id, the columns in keep, n_shingles, component_id (the smallest id reachable by
+    links), component_key (the component's own key; null without shingles).
 
     Null text counts as empty; texts without words have no shingles and link with nothing, so their
     component is their own id. Rows with equal texts link whatever their ids; a null id is smaller than
@@ -413,39 +496,56 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     texts = _texts(docs, id_col, text_col, keep)
-    classes = spark.sparkContext.broadcast(frequency_classes(texts))
-    profile = written(profiles(texts, classes, keep), "profiles")
+    classes = spark.sparkContext.broadcast(frequency_classes(texts, rule))
+    profile = written(profiles(texts, rule, classes, keep), "profiles")
     points = profile.where("key IS NOT NULL").groupBy("key").agg(*(F.first(c).alias(c) for c in ("n", "fold", "bands", "cells")), F.min("__id").alias("id"))
     points = written(points, "points")
-    near = written(bounded(band_pairs(points), points), "near")
-    star = verified(near, texts, points)
+    near = written(bounded(band_pairs(points), rule, points), "near")
+    star = verified(near, rule, texts, points)
     nearest = F.min_by("b", F.struct(F.col("diff") / F.col("union"), "b"))
     regions = written(star.groupBy(F.col("a").alias("key")).agg(nearest.alias("region")), "regions")
     # a pivot's region has its pivot as a point too, unless that is nearer to another one
     centres = regions.select(F.col("region").alias("key")).distinct().join(regions.select("key"), "key", "left_anti")
     regions = written(regions.unionByName(centres.select("key", F.col("key").alias("region"))), "regions")
-    met = written(bounded(region_pairs(points, regions), points, radii=True), "met")
+    met = written(region_pairs(points, rule, regions), "met")
     alone = met.where("ra = 0 AND rb = 0").select("a", "b")
     deep = met.where("ra > 0 OR rb > 0")
     edges = star.select("a", "b")
-    tries = written(window_pairs(deep, points, regions, 0, FIRST_PAIRS), "tries")
-    direct = verified(written(bounded(alone, points).unionByName(tries.select("a", "b")).distinct(), "pairs"), texts, points)
+    tries = written(window_pairs(deep, rule, points, regions, 0, FIRST_PAIRS), "tries")
+    direct = verified(written(alone.unionByName(tries.select("a", "b")).distinct(), "pairs"), rule, texts, points)
     edges = edges.unionByName(direct.select("a", "b"))
     hits = tries.join(direct.select("a", "b", F.lit(1).alias("hit")), ["a", "b"], "left").groupBy("ra_", "rb_")
     open_pairs = hits.agg(F.max("hit").alias("hit"), F.max("more").alias("more")).where("more AND hit IS NULL")
     left = written(open_pairs.select(F.col("ra_").alias("a"), F.col("rb_").alias("b")).join(deep, ["a", "b"]), "left")
     if left.take(1):
-        rest = written(window_pairs(left, points, regions, FIRST_PAIRS, None).select("a", "b").distinct(), "rest")
-        edges = edges.unionByName(verified(rest, texts, points).select("a", "b"))
+        rest = written(window_pairs(left, rule, points, regions, FIRST_PAIRS, None).select("a", "b").distinct(), "rest")
+        edges = edges.unionByName(verified(rest, rule, texts, points).select("a", "b"))
     groups = components(edges)
     ids = profile.groupBy("key").agg(F.min("__id").alias("least")).where("key IS NOT NULL").join(groups, "key")
     named = ids.groupBy("component").agg(F.min("least").alias("name"))
-    named = groups.join(named, "component").select("key", "name")
+    named = groups.join(named, "component").select("key", "component", "name")
     own = profile.where("key IS NOT NULL").groupBy("key").agg(F.min("__id").alias("own"))
-    named = written(own.join(named, "key", "left").select("key", F.coalesce("name", "own").alias("name")), "named")
+    own = own.join(named, "key", "left").select("key", F.coalesce("component", "key").alias("component_key"), F.coalesce("name", "own").alias("name"))
+    named = written(own, "named")
     out = profile.select("__id", *keep, "n", "key").join(named, "key", "left")
-    return out.select(F.col("__id").alias(id_col), *keep, F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("__id")).otherwise(F.col("name")).alias("component_id"))
+    return out.select(F.col("__id").alias(id_col), *keep, F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("__id")).otherwise(F.col("name")).alias("component_id"), "component_key")
+
+
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule(), limit: int = 200_000) -> DataFrame:
+    """The rows of docs, with all columns, of which each component has its first: smallest id, then place; a null id is last.
+
+    Dropped rows' places are broadcast while they are at most limit, else joined by a shuffle. Texts
+    without words are components of their own.
+    """
+    docs = located(docs, "located")
+    groups = near_groups(docs, id_col, text_col, keep=("__file", "__row"), rule=rule)
+    place = F.struct(F.col(id_col).isNull(), F.col(id_col), "__file", "__row")
+    groups = written(groups.where("n_shingles > 0").select("__file", "__row", "component_key", place.alias("place")), "groups")
+    first = groups.groupBy("component_key").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    gone = written(groups.join(first, "component_key").where("place <> first").select("__file", "__row"), "gone")
+    gone = F.broadcast(gone) if gone.count() <= limit else gone
+    return docs.join(gone, ["__file", "__row"], "left_anti").drop("__file", "__row")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_groups(load(spark, sf_dir, "documents"))
+    return near_groups(load(spark, sf_dir, "documents"), rule=Rule(4, 85)).drop("component_key")
