@@ -377,11 +377,14 @@ def _met(rule: Rule, batch: pa.RecordBatch, large) -> Iterator[pa.RecordBatch]:
 
 
 def large_cells(rows: DataFrame, rule: Rule, points: DataFrame, parts: int) -> DataFrame:
-    """(a, b, ra, rb) of large cells' regions; folds are compared within the task, and a pair is given in the lowest cell that both have."""
-    merged = rows.groupBy("cell", "region", "r").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.min("place").alias("place"))
+    """(a, b, ra, rb) of large cells' regions; folds are compared within the task, and a pair is given in the lowest cell that both have.
+
+    What lets a pair pass is the same in all cells, so that the lowest one speaks for all.
+    """
+    merged = rows.select("cell", "region", "r").distinct()
     lists = merged.groupBy("region").agg(F.collect_list("cell").alias("cells"))
     whole = merged.join(lists, "region").join(points.select(F.col("key").alias("region"), "n", "fold"), "region")
-    dealt = whole.repartition(parts, "cell").sortWithinPartitions("cell", "least", "region")
+    dealt = whole.repartition(parts, "cell").sortWithinPartitions("cell", "n", "region")
 
     def run(batches):
         held: list[dict] = []
@@ -400,13 +403,14 @@ def _compared(rule: Rule, rows: list[dict]) -> Iterator[pa.RecordBatch]:
     if len(rows) < 2:
         return
     cell = rows[0]["cell"]
-    region, r, least, most, place, n = (np.array([x[c] for x in rows]) for c in ("region", "r", "least", "most", "place", "n"))
+    region, r, n = (np.array([x[c] for x in rows]) for c in ("region", "r", "n"))
     folds = [x["fold"] for x in rows]
     lower = [frozenset(c for c in x["cells"] if c < cell) for x in rows]
     out = []
     for k in range(len(rows) - 1):
-        right = np.arange(k + 1, int(np.searchsorted(least, 100 * most[k] // rule.similar, side="right")))
-        right = right[_near(rule, most[k], least[right], most[right], place[k], place[right])]
+        # three times EPS at most lie between pivots; so the sizes can't be further apart
+        least = 100 - 3 * (100 - rule.similar)
+        right = np.arange(k + 1, int(np.searchsorted(n, 100 * n[k] // least, side="right")) if least > 0 else len(rows))
         if not len(right):
             continue
         diff = differences_to(folds[k], int(n[k]), [folds[j] for j in right], n[right])
