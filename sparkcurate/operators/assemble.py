@@ -80,3 +80,9 @@ def first_user_turn(conversations: DataFrame, id_col: str = "conv_id") -> DataFr
     """(id, text): the first message of the user."""
     first = conversations.where("role = 'user'").groupBy(id_col).agg(F.min_by("text", "turn").alias("text"))
     return first
+
+
+def max_length(df: DataFrame, length: Column, order: str, first: int = 500, room: int = 100, most: int = 2048) -> DataFrame:
+    """One row (max_length): the longest of the first rows with some room, at most most."""
+    head = df.orderBy(order).limit(first).select(length.alias("__n"))
+    return head.agg(F.least(F.max("__n") + room, F.lit(most)).cast("long").alias("max_length"))

@@ -94,3 +94,13 @@ def new_slots(draft: DataFrame, bank: DataFrame) -> DataFrame:
 def duplicate_owners(df: DataFrame, key: str, owner: str) -> DataFrame:
     """(key, owners): keys that several owners define."""
     return df.groupBy(key).agg(F.count_distinct(owner).alias("owners")).where("owners > 1")
+
+
+def siblings(df: DataFrame, exclude: str, id_col: str = "id") -> DataFrame:
+    """The whole catalogue but one."""
+    return df.where(F.col(id_col) != exclude)
+
+
+def avoid_list(texts: DataFrame, n: int, order: str) -> DataFrame:
+    """The first n texts, to be told what to avoid."""
+    return texts.orderBy(order).limit(n)

@@ -87,3 +87,25 @@ def sequential_sessions(df: DataFrame, groups: list[str], quota: int, group: str
             own = own.join(reduce(DataFrame.unionByName, [k.select(key) for k in kept]), key, "left_anti")
         kept.append(own.orderBy(order).limit(quota))
     return reduce(DataFrame.unionByName, kept)
+
+
+def drop_keyword_hits(examples: DataFrame, hit: Column, group: str) -> tuple[DataFrame, DataFrame]:
+    """Examples that keywords don't already catch, and (group, total, dropped, percent, emptied); the hit is a column of each row, so verdicts can't be mispaired."""
+    judged_rows = examples.withColumn("__hit", F.coalesce(hit, F.lit(False)))
+    stats = judged_rows.groupBy(group).agg(F.count(F.lit(1)).alias("total"), F.count_if("__hit").alias("dropped"))
+    share = F.when(F.col("total") == 0, F.lit(0.0)).otherwise(F.col("dropped") * 100.0 / F.col("total"))
+    stats = stats.select(group, "total", "dropped", F.round(share.cast("double"), 6).alias("percent"), (F.col("dropped") == F.col("total")).alias("emptied"))
+    return judged_rows.where("NOT __hit").drop("__hit"), stats
+
+
+def check_not_emptied(stats: DataFrame, group: str) -> None:
+    empty = stats.where("emptied").limit(20).collect()
+    if empty:
+        raise ValueError(f"no examples are left of: {sorted(r[group] for r in empty)}")
+
+
+def newline_guard(df: DataFrame, text: str) -> DataFrame:
+    """df, or an error where a text has a line end: line protocols would split it."""
+    if df.where(F.col(text).rlike("[\r\n]")).take(1):
+        raise ValueError("a text has a line end")
+    return df

@@ -570,3 +570,47 @@ def _(spark, sf):
 @query("render_schema")
 def _(spark, sf):
     return table(spark, sf, "events").select("event_id", jsontext.render_schema("props").alias("rendered"), jsontext.canonical_json("props").alias("canonical"))
+
+
+@query(
+    "keyword_drop",
+    """SELECT source, count(*) AS total, count_if(h) AS dropped, round(CAST(count_if(h) * 100.0 / count(*) AS DOUBLE), 6) AS percent, count_if(h) = count(*) AS emptied
+    FROM (SELECT source, contains(lower(text), 'license') AS h FROM documents) GROUP BY source""",
+)
+def _(spark, sf):
+    hit = text.keyword_hit(F.col("text"), anywhere=["license"])
+    return decontam.drop_keyword_hits(table(spark, sf, "documents").select("source", "text"), hit, "source")[1]
+
+
+@query("siblings", "SELECT n_nationkey, n_name FROM nation WHERE n_name <> (SELECT min(n_name) FROM nation)")
+def _(spark, sf):
+    nations = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    return catalog.siblings(nations, nations.agg(F.min("n_name")).first()[0], "n_name")
+
+
+@query("max_length", "SELECT CAST(least(max(length(text)) + 100, 2048) AS BIGINT) AS max_length FROM (SELECT text FROM benchmark ORDER BY item_id LIMIT 500)")
+def _(spark, sf):
+    return assemble.max_length(table(spark, sf, "benchmark"), F.length("text"), "item_id")
+
+
+@query("single_publish", "SELECT p_partkey, upper(sha256(p_name)) AS sha256 FROM part WHERE p_partkey % 4 = 0 OR p_partkey % 6 <> 0")
+def _(spark, sf):
+    parts = table(spark, sf, "part").select("p_partkey", F.upper(F.sha2("p_name", 256)).alias("sha256"))
+    old = parts.where("p_partkey % 6 = 0").withColumn("sha256", F.when(F.col("p_partkey") % 4 == 0, "other").otherwise(F.lower("sha256")))
+    return publish.publish_single(parts, old, "p_partkey")
+
+
+@query("manifest_versions", "SELECT p_brand, '2026.01.02-' || left(sha256(string_agg(name || ':' || sha || ',', '' ORDER BY name)), 7) AS version, count(*) AS files FROM (SELECT p_brand, CAST(p_partkey AS VARCHAR) AS name, sha256(p_name) AS sha FROM part) GROUP BY p_brand")
+def _(spark, sf):
+    files = table(spark, sf, "part").select("p_brand", F.col("p_partkey").cast("string").alias("name"), F.lit("u").alias("url"), F.sha2("p_name", 256).alias("sha256"), F.lit(1).cast("long").alias("size_bytes"))
+    m = publish.manifest(files, "p_brand", F.lit("2026-01-02 03:04:05").cast("timestamp"))
+    return m.select("p_brand", "version", F.size("files").cast("long").alias("files"))
+
+
+@query("wake_counters", "SELECT event_id, user_id + event_id AS ticks FROM events")
+def _(spark, sf):
+    from ..sources.text_files import cpu_ticks
+
+    rest = [F.lit("0")] * 10 + [F.col("user_id").cast("string"), F.col("event_id").cast("string"), F.lit("0")]
+    line = F.concat_ws(" ", F.lit("7 (a b) c) S"), *rest)
+    return cpu_ticks(table(spark, sf, "events").withColumn("stat", line)).select("event_id", "ticks")

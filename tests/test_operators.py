@@ -191,3 +191,15 @@ def test_dataset(spark):
     tools = spark.sql("SELECT array('t') AS tools")
     last = assemble.attach_tools(rows, tools, "dev", "sorry").select(F.col("messages")[2].alias("m")).collect()
     assert sum(r.m.content == "sorry" for r in last) == 60 and sum(r.m.tool_calls is not None for r in last) == 60
+
+
+def test_keyword_drop(spark):
+    rows = [("a", "hit"), ("a", "a1"), ("b", "b1"), ("b", "hit"), ("c", "hit")]
+    df = spark.createDataFrame(rows, "skill string, text string")
+    kept, stats = decontam.drop_keyword_hits(df, F.col("text") == "hit", "skill")
+    assert sorted(r.text for r in kept.collect()) == ["a1", "b1"]
+    assert {r.skill: (r.dropped, r.emptied) for r in stats.collect()} == {"a": (1, False), "b": (1, False), "c": (1, True)}
+    with pytest.raises(ValueError, match="c"):
+        decontam.check_not_emptied(stats, "skill")
+    with pytest.raises(ValueError):
+        decontam.newline_guard(spark.createDataFrame([("a\nb",)], "t string"), "t")
