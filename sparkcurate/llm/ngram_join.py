@@ -5,9 +5,9 @@ has a fold of its set, one parity bit a cell; sets differ in at least as many sh
 bits, and Jaccard's distance grows with the difference, so folds bound all distances from below.
 
 1. Texts with equal sets become one point.
-2. Pivots: points that share a band of minimum hashes gather around the smallest of them. Points
-   within EPS of a pivot form its region (each point goes to its nearest pivot, so that a region's
-   radius is at most EPS); every other point is a region of its own, of radius 0.
+2. Pivots: points that share a band of minimum hashes gather around some of them. Points within EPS of
+   a pivot form its region (each point goes to its nearest pivot, so that a region's radius is at most
+   EPS); every other point is a region of its own, of radius 0.
 3. Windows: points that link have a common shingle among the first n - ceil(T n) + 1 of each in one
    order of all shingles, frequent ones last; these first ones are a point's cells. Two regions meet
    only in cells, and are joined only if their pivots are within both radii and EPS.
@@ -28,10 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .exact_dedup import located
-from .shared import load, written
+from .shared import bounded_batches, kept, load, written
 
 #: Minimum hashes: bands and rows of each.
 BANDS, ROWS = 4, 3
+#: Pivots that each band proposes.
+PIVOTS = 4
 #: Buckets of shingles whose frequencies order them; a table of a byte each goes to all tasks.
 ORDER_BITS = 22
 #: A task tells the buckets it has met so often.
@@ -39,7 +41,7 @@ LEAST_COUNT = 8
 #: Up to so many ids are broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Pairs of points of two regions that are tried first, those with the lowest bounds.
-FIRST_PAIRS = 16
+FIRST_PAIRS = 4
 MAX_FOLD = 1 << 14
 #: Cells with more regions than this are joined one level down, with folds at hand.
 LARGE = 6
@@ -153,7 +155,7 @@ def within(similar: int, diff: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, rad
     return 200 * diff <= far * (n_a + n_b + diff)
 
 
-def _parts(batch: pa.RecordBatch, column: str, limit: int = 3 << 20) -> Iterator[pa.RecordBatch]:
+def _parts(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     at = size = 0
     for k, x in enumerate(batch.column(column)):
         size += len(x.as_buffer() or b"") if x.is_valid else 0
@@ -172,12 +174,13 @@ def frequency_classes(texts: DataFrame, rule: Rule) -> bytes:
     """For each bucket of shingles the binary logarithm of how often tasks have met it, 0 for the rare."""
 
     def count(batches):
+        kept("ngrams", None)
         total = np.zeros(1 << ORDER_BITS, np.int32)
         for batch in batches:
             for part in _parts(batch, "__text"):
                 sets = shingle_sets(part.column("__text").to_pylist(), rule.words)
                 every = np.concatenate([np.zeros(0, np.uint64), *sets])
-                total += np.bincount((every >> np.uint64(64 - ORDER_BITS)).astype(np.int64), minlength=1 << ORDER_BITS).astype(np.int32)
+                np.add.at(total, (every >> np.uint64(64 - ORDER_BITS)).astype(np.int64), 1)
         often = np.flatnonzero(total >= LEAST_COUNT)
         yield pa.RecordBatch.from_arrays([pa.array(often, pa.int64()), pa.array(total[often], pa.int64())], ["bucket", "n"])
 
@@ -274,10 +277,12 @@ def verified(pairs: DataFrame, rule: Rule, texts: DataFrame, points: DataFrame)
 
 
 def band_pairs(points: DataFrame) -> DataFrame:
-    """(a, b): a shares a band with b, the smallest key of that band."""
+    """(a, b): a shares a band with b, one of the band's PIVOTS points of smallest hashes, each by another hash of the key."""
     bands = points.select("key", F.explode("bands").alias("band"))
-    pivots = bands.groupBy("band").agg(F.min("key").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return bands.join(pivots, "band").where("key <> b").select(F.col("key").alias("a"), "b").distinct()
+    firsts = [F.min_by("key", F.xxhash64("key", F.lit(k))).alias(f"p{k}") for k in range(PIVOTS)]
+    pivots = bands.groupBy("band").agg(*firsts, F.count(F.lit(1)).alias("n")).where("n > 1")
+    pivots = pivots.select("band", F.array_distinct(F.array(*(f"p{k}" for k in range(PIVOTS)))).alias("pivots"))
+    return bands.join(pivots, "band").select(F.col("key").alias("a"), F.explode("pivots").alias("b")).where("a <> b").distinct()
 
 
 def region_pairs(points: DataFrame, rule: Rule, regions: DataFrame) -> DataFrame:
@@ -499,6 +504,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gives no rows. Sets and shingles go by 64-bit hashes.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     texts = _texts(docs, id_col, text_col, keep)
     classes = spark.sparkContext.broadcast(frequency_classes(texts, rule))
     profile = written(profiles(texts, rule, classes, keep), "profiles")
