@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import load, written
+from .shared import bounded_batches, kept, load, written
 
 #: Payload bytes come in multiples of a tile of 24 x 24 samples; a frame holds up to FRAME_TILES tiles.
 SIDE = 24
@@ -314,12 +314,14 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     schema = docs.select(id_col).schema.add("n_bytes", "long").add("media", "binary")
 
     def encode(batches):
+        kept("gif", None)
         for batch in batches:
             for part in small(batch, "__bytes"):
                 texts = [x or b"" for x in part.column("__bytes").to_pylist()]
                 media = [encode_gif(payload_of(x)) for x in texts]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(list(map(len, texts)), pa.int64()), pa.array(media, pa.binary())], schema.names)
 
+    bounded_batches(docs.sparkSession)
     return docs.select(id_col, F.col(text_col).cast("binary").alias("__bytes")).mapInArrow(encode, schema)
 
 

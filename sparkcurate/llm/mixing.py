@@ -127,7 +127,7 @@ def weight_parts(counts: dict[str, int], weights: dict[str, float] | None) -> di
     return {s: max(1, int(PARTS * x / total + 0.5)) for s, x in shares.items()}
 
 
-def in_mixed_order(docs: DataFrame, rows_per_part: int = 50_000, **kw) -> DataFrame:
+def in_mixed_order(docs: DataFrame, rows_per_part: int = 6_000, **kw) -> DataFrame:
     """All rows and columns of docs, dealt out and sorted in the mix's order."""
     docs = located(docs, "located")
     order = written(mix_sources(docs, extra=("__file", "__row"), **kw).select("__file", "__row", F.col("slot").alias("__slot"), F.col("source_row").alias("__at")), "mix")

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 
 #: Characters of text handled at a time; longer texts are cut at a place where pieces part anyway.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 ODD = re.compile(r" \s")
 PLAIN = re.compile(r" \S[^ ]*")
@@ -35,7 +35,7 @@ class _Index(dict):
 class PieceCache:
     """keys(text, first) gives a text's pieces; encode(keys) all keys' ids in a row, and each key's number of ids."""
 
-    def __init__(self, keys: Callable[[str, bool], list], encode: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int = 600_000) -> None:
+    def __init__(self, keys: Callable[[str, bool], list], encode: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int = 400_000) -> None:
         self.keys, self.encode, self.limit = keys, encode, limit
         self.clear()
 
@@ -83,7 +83,7 @@ class PieceCache:
         """All pieces' ids in a row, and each piece's number of ids."""
         at = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
         self._learn()
-        self.hits[: len(self.index)] += np.bincount(at, minlength=len(self.index))
+        np.add.at(self.hits, at, 1)
         lengths = self.length[at]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
@@ -155,33 +155,29 @@ def spaced_keys(text: str, first: bool) -> list:
 JOINED = 256
 
 
-def joined_encode(keys: list, odd: Callable[[object], bool], together: Callable[[list[str]], list], alone: Callable[[list], list], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and numbers of ids of keys; those that aren't odd are joined by spaces, JOINED at a time.
+def joined_encode(keys: list, kind: Callable[[object], int], together: list[Callable[[list[str]], list]], alone: Callable[[list], list], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and numbers of ids of keys; those of a kind k >= 0 are joined by spaces, JOINED at a time, and go to together[k].
 
-    together(texts) and alone(keys) give lists of ids; starts tells by id whether a piece starts there,
-    which it does just where its leading space is.
+    together[k](texts) and, for keys of kind -1, alone(keys) give lists of ids; starts tells by id
+    whether a piece starts there, which it does just where its leading space is.
     """
-    strange = [k for k, key in enumerate(keys) if odd(key)]
-    plain = keys
-    if strange:
-        left = set(strange)
-        plain = [key for k, key in enumerate(keys) if k not in left]
-    lists = together([" ".join(plain[k : k + JOINED]) for k in range(0, len(plain), JOINED)])
-    flat = np.concatenate([np.asarray(x, np.uint32) for x in lists]) if lists else np.zeros(0, np.uint32)
-    at = np.flatnonzero(starts[flat])
-    if len(at) != len(plain):
-        raise ValueError("pieces and places where pieces start don't agree")
-    lengths = np.diff(np.append(at, len(flat)))
-    if not strange:
-        return flat, lengths
-    own = alone([keys[k] for k in strange])
-    sizes = np.zeros(len(keys), np.int64)
-    sizes[strange] = [len(x) for x in own]
-    sizes[np.setdiff1d(np.arange(len(keys)), strange)] = lengths
-    out = np.zeros(int(sizes.sum()), np.uint32)
-    theirs = np.zeros(len(keys), bool)
-    theirs[strange] = True
-    mine = np.repeat(theirs, sizes)
-    out[mine] = np.array([x for one in own for x in one], np.uint32)
-    out[~mine] = flat
+    kinds = np.fromiter(map(kind, keys), np.int8, len(keys))
+    sizes, flats = np.zeros(len(keys), np.int64), {}
+    for k in np.unique(kinds).tolist():
+        at = np.flatnonzero(kinds == k)
+        own = keys if len(at) == len(keys) else [keys[j] for j in at.tolist()]
+        lists = alone(own) if k < 0 else together[k]([" ".join(own[j : j + JOINED]) for j in range(0, len(own), JOINED)])
+        flat = flats[k] = np.concatenate([np.asarray(x, np.uint32) for x in lists])
+        if k < 0:
+            sizes[at] = [len(x) for x in lists]
+            continue
+        first = np.flatnonzero(starts[flat])
+        if len(first) != len(own):
+            raise ValueError("pieces and places where pieces start don't agree")
+        sizes[at] = np.diff(np.append(first, len(flat)))
+    if len(flats) == 1:
+        return flats.popitem()[1], sizes
+    out, whose = np.zeros(int(sizes.sum()), np.uint32), np.repeat(kinds, sizes)
+    for k, flat in flats.items():
+        out[whose == k] = flat
     return out, sizes

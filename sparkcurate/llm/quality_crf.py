@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import load
+from .shared import bounded_batches, kept, load
 
 #: Labelled documents that the field is fitted on, at most; those with the smallest hashes.
 FIT_DOCS = 3_000
@@ -192,7 +192,7 @@ def remainder(id_col: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def chunks(values: list, limit: int = 4 << 20) -> Iterator[list]:
+def chunks(values: list, limit: int = 1 << 20) -> Iterator[list]:
     held, size = [], 0
     for x in values:
         held.append(x)
@@ -245,11 +245,13 @@ def score_quality(docs: DataFrame, field: Field, id_col: str = "doc_id", text_co
     schema = T.StructType([docs.schema[c] for c in columns]).add("score", "double").add("predicted", "integer")
 
     def run(batches):
+        kept("quality", None)
         for batch in batches:
             texts = [x or b"" for x in batch.column("__text").to_pylist()]
             scores = np.concatenate([np.zeros(0), *(doc_scores(field, part) for part in chunks(texts))])
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))], schema.names)
 
+    bounded_batches(docs.sparkSession)
     return docs.select(*columns, F.col(text_col).cast("binary").alias("__text")).mapInArrow(run, schema)
 
 

@@ -8,6 +8,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -15,9 +16,11 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 
 from .piece_cache import PieceCache, joined_encode
-from .shared import load
+from .shared import bounded_batches, kept, load
 
 META = "▁"
+#: Pieces of text whose ids a worker remembers.
+CACHED = 150_000
 # Fixed values of the format: types of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -165,7 +168,7 @@ class Codec:
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         with open(path, "rb") as f:
             self.model = m = Model.parse(f.read())
-        self.full, inner = library_tokenizer(m), library_tokenizer(m, normalise=False)
+        inner = library_tokenizer(m, normalise=False)
         self.reference = None
         if verify:
             import sentencepiece
@@ -209,14 +212,19 @@ class Codec:
                             ids[k] = [x for one in alone(texts[k].split(" ")) for x in one]
                 return ids
 
-            return joined_encode(keys, lambda key: key == "" or key[0] == " ", together, alone, starts)
+            return joined_encode(keys, lambda key: -1 if key == "" or key[0] == " " else 0, [together], alone, starts)
 
-        self.cache = PieceCache(run_keys if self.by_piece else (lambda text, first: [text] if text else []), encode)
+        self.cache = PieceCache(run_keys if self.by_piece else (lambda text, first: [text] if text else []), encode, limit=CACHED)
         pieces = [bytes([int(t[3:-1], 16)]) if k == BYTE else b"" if k == CONTROL else t.replace(META, " ").encode() for t, _, k in m.pieces]
         self.piece_bytes = np.frombuffer(b"".join(pieces), np.uint8)
         self.piece_len = np.fromiter(map(len, pieces), np.int64, len(pieces))
         self.piece_at = np.cumsum(self.piece_len) - self.piece_len
 
+    @cached_property
+    def full(self):
+        """The library's tokenizer for whole texts, as they come."""
+        return library_tokenizer(self.model)
+
     def normal(self, text: str) -> str:
         """The text after the character map and, if the model says so, without extra spaces."""
         if self.charsmap is not None:
@@ -236,14 +244,8 @@ class Codec:
         return out[1:] if self.model.dummy_prefix and out[:1] == b" " else out
 
 
-_codecs: dict[tuple, Codec] = {}
-
-
 def codec_of(path: str, threads: int, verify: bool) -> Codec:
-    key = (path, threads, verify)
-    if key not in _codecs:
-        _codecs[key] = Codec(path, threads, verify)
-    return _codecs[key]
+    return kept("codec", (path, threads, verify), lambda: Codec(path, threads, verify))
 
 
 def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), ids: bool = False, threads: int = 2, verify: bool = True) -> DataFrame:
@@ -284,10 +286,11 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
                     out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *every]))))
                 yield pa.RecordBatch.from_arrays(out, schema.names)
 
+    bounded_batches(docs.sparkSession)
     return docs.select(*dict.fromkeys([*columns, text_col])).mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, text_col: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text_col: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch of about limit bytes of text, one row at least."""
     sizes = np.array([0 if x is None else x for x in pa.compute.binary_length(batch.column(text_col)).to_pylist()], np.int64)
     group = np.cumsum(sizes) // limit

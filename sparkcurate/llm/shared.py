@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
@@ -47,3 +50,32 @@ def remove(spark: SparkSession, uri: str) -> None:
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+#: Bytes that go to Python at a time, about; texts are long, and both sides hold a whole batch.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keeps the session's Arrow batches to BATCH_BYTES. Frames run later, so the setting stays."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+
+
+_kept: dict = {}
+
+
+def kept(kind: str, key, make=None):
+    """make()'s result, kept in this worker for later tasks of the same operator; what other kinds keep is let go.
+
+    Workers go from one operator to the next, and their caches together would not fit an executor.
+    """
+    others = [k for k in _kept if k[0] != kind or k != (kind, key) and make]
+    for other in others:
+        del _kept[other]
+    if others:
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries than glibc give memory back themselves
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+    if make and (kind, key) not in _kept:
+        _kept[kind, key] = make()
+    return _kept.get((kind, key))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .quality_crf import chunks, remainder
-from .shared import load
+from .shared import bounded_batches, kept, load
 
 #: The network is fitted on so many labelled documents of each kind, at most: those with the smallest hashes,
 FIT_TOXIC, FIT_CLEAN = 1_000, 1_600
@@ -284,9 +285,6 @@ class Scorer:
         return _sigmoid(best.astype(np.float64))
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Network | None:
     """Fits on a bounded sample of the labelled documents that aren't held out; None if it lacks either kind."""
     usable = labels.where(F.col("toxic").isNotNull() & (remainder(id_col, 4) != 2)).groupBy(id_col).agg(F.max("toxic").cast("int").alias("toxic"))
@@ -310,19 +308,17 @@ def score_toxicity(docs: DataFrame, net: Network | None, id_col: str = "doc_id",
     """id, score (the highest of all windows), predicted, for every row. Null text counts as empty; without a network all score 0."""
     from pyspark.sql import types as T
 
-    shared = docs.sparkSession.sparkContext.broadcast(net)
+    shared, name = docs.sparkSession.sparkContext.broadcast(net), uuid.uuid4().hex
     schema = T.StructType([docs.schema[id_col]]).add("score", "double").add("predicted", "integer")
 
     def run(batches):
-        key = id(shared.value)
-        if key not in _scorers:
-            _scorers.clear()
-            _scorers[key] = Scorer(shared.value)
+        scorer = kept("toxicity", name, lambda: Scorer(shared.value))
         for batch in batches:
             texts = [x or "" for x in batch.column(1).to_pylist()]
-            scores = np.concatenate([np.zeros(0), *(_scorers[key].score(part) if shared.value is not None else np.zeros(len(part)) for part in chunks(texts, 1 << 20))])
+            scores = np.concatenate([np.zeros(0), *(scorer.score(part) if shared.value is not None else np.zeros(len(part)) for part in chunks(texts, 1 << 20))])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))], schema.names)
 
+    bounded_batches(docs.sparkSession)
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
