@@ -10,38 +10,41 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from .piece_cache import PieceCache, joined_encode, spaced_keys
-from .shared import filesystem, load, new_folder, remove, written
+from .shared import bounded_batches, filesystem, kept, load, new_folder, remove, written
 
 MAGIC = b"HUFIDS01"
 #: Longest code in bits; the decoding table has 2**MAX_BITS entries.
 MAX_BITS = 20
 #: Ids in a block and between two checkpoints.
 BLOCK_IDS = 1 << 20
-STEP_IDS = 512
+STEP_IDS = 256
 #: Code lengths are computed in the driver; no vocabulary may be larger.
 MAX_VOCABULARY = 1 << 20
-#: Target characters of text for each file.
-FILE_CHARS = 48_000_000
+#: Documents of a file, about, where they have to be put in order first.
+FILE_DOCS = 14_000
 
+#: Stands for a null id in a file; below all real ids.
+NO_ID = -(1 << 63)
 #: Files whose counts one task adds up.
 COUNTED = 256
+#: Pieces of text whose ids a worker remembers.
+CACHED = 700_000
 #: How byte-level BPE writes the byte of a space.
 SPACE = "\u0120"
 
-_caches: dict[str, PieceCache] = {}
-
-
 def cache_of(tokenizer: str) -> PieceCache:
     """The worker's cache for the tokenizers file at that path; kept for later tasks."""
-    if tokenizer not in _caches:
+
+    def make() -> PieceCache:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         library = Tokenizer.from_file(tokenizer)
 
@@ -52,17 +55,31 @@ def cache_of(tokenizer: str) -> PieceCache:
         starts[[i for t, i in library.get_vocab().items() if t[0] == SPACE]] = True
         special = [t.content for t in library.get_added_tokens_decoder().values()]
 
-        def odd(key) -> bool:
-            return key.__class__ is tuple or "<" in key and any(t in key for t in special)
+        # words of ASCII letters are one piece to the library's own splitting too, and each of their
+        # bytes is written as itself; so its model gets them as they are
+        words = Tokenizer.from_file(tokenizer)
+        words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+
+        def kind(key) -> int:
+            if key.__class__ is tuple:
+                return -1
+            if key.isalpha() and key.isascii():
+                return 1
+            return -1 if "<" in key and any(t in key for t in special) else 0
+
+        def plain(texts: list[str]) -> list:
+            return ids_of([" " + t for t in texts])
+
+        def letters(texts: list[str]) -> list:
+            marked = [SPACE + t.replace(" ", " " + SPACE) for t in texts]
+            return [e.ids for e in words.encode_batch_fast(marked, add_special_tokens=False)]
 
         def encode(keys: list) -> tuple[np.ndarray, np.ndarray]:
-            def alone(own: list) -> list:
-                return ids_of([k[0] if isinstance(k, tuple) else " " + k for k in own])
+            return joined_encode(keys, kind, [plain, letters], lambda own: ids_of([k[0] if isinstance(k, tuple) else " " + k for k in own]), starts)
 
-            return joined_encode(keys, odd, lambda texts: ids_of([" " + t for t in texts]), alone, starts)
+        return PieceCache(spaced_keys if splits_at_spaces(tokenizer) else whole_key, encode, limit=CACHED)
 
-        _caches[tokenizer] = PieceCache(spaced_keys if splits_at_spaces(tokenizer) else whole_key, encode)
-    return _caches[tokenizer]
+    return kept("pieces", tokenizer, make)
 
 
 def splits_at_spaces(tokenizer: str) -> bool:
@@ -137,11 +154,12 @@ def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes
     words = np.zeros(total // 64 + 2, np.uint64)
     word, shift = starts >> 6, 64 - (starts & 63) - sizes
     code = codes[ids]
-    high = np.where(shift >= 0, code << np.maximum(shift, 0).astype(np.uint64), code >> np.maximum(-shift, 0).astype(np.uint64))
+    high = code << np.maximum(shift, 0).view(np.uint64)
+    over = np.flatnonzero(shift < 0)  # at most one code runs over the end of each word
+    high[over] = code[over] >> (-shift[over]).view(np.uint64)
     if len(ids):
         firsts = np.concatenate([[0], np.flatnonzero(np.diff(word)) + 1])
         words[word[firsts]] |= np.add.reduceat(high, firsts)
-        over = np.flatnonzero(shift < 0)  # at most one code runs over the end of each word
         words[word[over] + 1] |= code[over] << (64 + shift[over]).astype(np.uint64)
     return words.astype(">u8").tobytes()[: (total + 7) // 8], starts[::STEP_IDS]
 
@@ -238,19 +256,66 @@ def _texts(batch: pa.RecordBatch, column: str) -> Iterator[str]:
     return (x or "" for x in batch.column(column).to_pylist())
 
 
+def blocks_in_order(docs: DataFrame, id_col: str) -> DataFrame | None:
+    """docs with the place of each row's part of its file, __file and __block, if the ids ascend within all parts and parts don't overlap.
+
+    Then nothing has to be sorted. Only the ids are read to tell. None if they don't, or if docs isn't a
+    plain scan.
+    """
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"))
+    except AnalysisException:
+        return None
+
+    def bounds(batches):
+        now, low, last, ascending, out = None, 0, 0, True, []
+        for batch in batches:
+            ids = batch.column(0).fill_null(NO_ID).to_numpy()
+            for key, a, b in _parts_of(batch):
+                part = ids[a:b]
+                if key != now:
+                    if now is not None:
+                        out.append((*now, low, last, ascending))
+                    now, low, last, ascending = key, int(part[0]), int(part[0]), True
+                ascending &= bool(part[0] >= last and (part[1:] >= part[:-1]).all())
+                last = max(last, int(part.max()))
+                low = min(low, int(part.min()))
+        if now is not None:
+            out.append((*now, low, last, ascending))
+        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)], ["file", "block", "low", "high", "ascending"])
+
+    parts = placed.select(F.col(id_col).cast("long"), "__file", "__block").mapInArrow(bounds, "file string, block long, low long, high long, ascending boolean")
+    before = F.lag("high").over(Window.orderBy("low", "high"))
+    twice = F.count(F.lit(1)).over(Window.partitionBy("file", "block"))
+    wrong = parts.select("ascending", (before > F.col("low")).alias("overlaps"), (twice > 1).alias("twice")).where("NOT ascending OR overlaps OR twice")
+    return None if wrong.take(1) else placed
+
+
+def _parts_of(batch: pa.RecordBatch) -> Iterator[tuple[tuple, int, int]]:
+    """((file, block), start, end) of the runs of a batch's last two columns."""
+    file, block = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1).to_numpy()
+    names = file.dictionary_encode()
+    code = names.indices.to_numpy()
+    cuts = np.flatnonzero(np.concatenate([np.ones(min(1, len(code)), bool), (code[1:] != code[:-1]) | (block[1:] != block[:-1])]))
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(code)], strict=True):
+        yield (names.dictionary[code[a]].as_py(), int(block[a])), a, b
+
+
 def write_raw(docs: DataFrame, tokenizer: str, folder: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """Encodes the documents, dealt out and sorted by id; each task writes its ids as they are, compressed.
+    """Encodes the documents in order of id; each task writes its ids as they are, compressed, a file for each part.
 
-    Returns (file_no, raw, n_docs, n_ids, docs, sizes, used, n): the last four are arrays in bytes,
-    of the documents' ids and sizes and of the ids that occur with their counts.
+    Parts of input files that are in order stay as they are; else the documents are dealt out and
+    sorted by id. Returns (file_no, raw, n_docs, n_ids, docs, sizes, used, n): the last four are arrays
+    in bytes, of the documents' ids and sizes and of the ids that occur with their counts.
     """
 
     def write(batches):
         import zstandard
-        from pyspark import TaskContext
 
-        cache, number, out, name = cache_of(tokenizer), TaskContext.get().partitionId(), None, ""
-        docs, sizes, total, end, held = [], [], np.zeros(1, np.int64), np.array([end_id], np.uint32), []
+        cache, end = cache_of(tokenizer), np.array([end_id], np.uint32)
+        now = out = None
+        name, docs, sizes, total, held = "", [], [], np.zeros(1, np.int64), []
 
         def flush():
             nonlocal total, held
@@ -262,33 +327,50 @@ def write_raw(docs: DataFrame, tokenizer: str, folder: str, end_id: int, id_col:
             data = zstandard.ZstdCompressor(level=1).compress(ids.astype("<u4" if wide else "<u2").tobytes())
             out.write(struct.pack("<qq", len(data), 4 if wide else 2) + data)
 
-        for batch in batches:
-            if out is None:
-                fs, path = filesystem(folder)
-                fs.create_dir(path, recursive=True)
-                name = f"raw-{number:06d}-{uuid.uuid4().hex}"
-                out = fs.open_output_stream(f"{path}/{name}")
-            docs += (NO_ID if d is None else d for d in batch.column(id_col).to_pylist())
-            for ids in cache.texts(_texts(batch, text_col)):
-                held += [ids, end]
-                sizes.append(len(ids) + 1)
-                if len(held) >= 1024:
-                    flush()
-        if out is not None:
+        def close():
             if held:
                 flush()
             out.close()
             used = np.flatnonzero(total)
             arrays = [np.array(docs, "<i8"), np.array(sizes, "<i8"), used.astype("<i8"), total[used].astype("<i8")]
-            row = [[number], [f"{folder}/{name}"], [len(docs)], [sum(sizes)], *([x.tobytes()] for x in arrays)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in row], RAW.names)
+            row = [[docs[0]], [docs[-1]], [f"{folder}/{name}"], [len(docs)], [sum(sizes)], *([x.tobytes()] for x in arrays)]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in row], RAW.names)
 
-    chars = docs.select(F.sum(F.length(text_col))).first()[0] or 0
-    dealt = docs.select(id_col, text_col).repartitionByRange(int(chars // FILE_CHARS) + 1, id_col).sortWithinPartitions(id_col)
-    return written(dealt.mapInArrow(write, "file_no long, raw string, n_docs long, n_ids long, docs binary, sizes binary, used binary, n binary"), "raw-ids")
+        for batch in batches:
+            for key, a, b in _parts_of(batch):
+                if key != now:
+                    if out is not None:
+                        yield close()
+                    fs, path = filesystem(folder)
+                    fs.create_dir(path, recursive=True)
+                    now, name, docs, sizes, total, held = key, f"raw-{uuid.uuid4().hex}", [], [], np.zeros(1, np.int64), []
+                    out = fs.open_output_stream(f"{path}/{name}", compression=None)
+                part = batch.slice(a, b - a)
+                docs += (NO_ID if d is None else d for d in part.column(id_col).to_pylist())
+                for ids in cache.texts(_texts(part, text_col)):
+                    held += [ids, end]
+                    sizes.append(len(ids) + 1)
+                    if len(held) >= 1024:
+                        flush()
+        if out is not None:
+            yield close()
 
+    schema = "low long, high long, raw string, n_docs long, n_ids long, docs binary, sizes binary, used binary, n binary"
+    placed = blocks_in_order(docs, id_col)
+    if placed is not None:
+        dealt = placed.select(id_col, text_col, "__file", "__block")
+    else:
+        parts = docs.count() // FILE_DOCS + 1
+        dealt = docs.select(id_col, text_col).repartitionByRange(parts, id_col).sortWithinPartitions(id_col)
+        dealt = dealt.select(id_col, text_col, F.lit("").alias("__file"), F.spark_partition_id().cast("long").alias("__block"))
+    bounded_batches(docs.sparkSession)
+    raw = written(dealt.mapInArrow(write, schema), "raw-ids")
+    order = Window.orderBy("low", "high", "raw")
+    numbers = raw.select("raw", (F.row_number().over(order) - 1).cast("long").alias("file_no"))
+    return raw.join(numbers, "raw")
 
-RAW = pa.schema([("file_no", pa.int64()), ("raw", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("docs", pa.binary()), ("sizes", pa.binary()), ("used", pa.binary()), ("n", pa.binary())])
+
+RAW = pa.schema([("low", pa.int64()), ("high", pa.int64()), ("raw", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("docs", pa.binary()), ("sizes", pa.binary()), ("used", pa.binary()), ("n", pa.binary())])
 
 
 def id_counts(raw: DataFrame) -> DataFrame:
@@ -352,10 +434,6 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, id_
     return files
 
 
-#: Stands for a null id in a file; below all real ids.
-NO_ID = -(1 << 63)
-
-
 def read_ids(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """From the files alone: id, start (ids of all documents before it), n_tokens, ids_crc32."""
     starts = files.alias("a").join(files.select(F.col("file_no").alias("before"), F.col("n_ids").alias("ids_before")), F.col("before") < F.col("file_no"), "left")

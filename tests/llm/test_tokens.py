@@ -46,10 +46,16 @@ def test_pack_and_unpack(ids):
     assert (huffman_ids.unpack(data, len(ids), marks, table, top) == ids).all()
 
 
-def test_id_files(spark, monkeypatch):
-    monkeypatch.setattr(huffman_ids, "FILE_CHARS", 10_000)
+@pytest.mark.parametrize("ordered", [False, True])
+def test_id_files(spark, monkeypatch, tmp_path, ordered):
+    monkeypatch.setattr(huffman_ids, "FILE_DOCS", 4)
     rows = [(len(ODD) - k, t) for k, t in enumerate(ODD)] + [(None, "null id"), (3, None), (3, "again")]
     docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, start long")
+    if ordered:
+        docs.where("doc_id > 5").orderBy("doc_id").coalesce(1).write.parquet(f"{tmp_path}/d")
+        docs.where("doc_id IS NULL OR doc_id <= 5").orderBy("doc_id").coalesce(1).write.mode("append").parquet(f"{tmp_path}/d")
+        docs = spark.read.parquet(f"{tmp_path}/d")
+    assert (huffman_ids.blocks_in_order(docs, "doc_id") is not None) == ordered
     files = huffman_ids.write_ids(docs, BPE, new_folder(spark, "huf"))
     assert files.count() > 1
     got = huffman_ids.read_ids(files).orderBy("start").collect()
