@@ -19,15 +19,17 @@ from pyspark.sql import functions as F
 
 from .exact_dedup import located
 from .ngram_join import _A, _B, _C, _mix, _parts, powers
-from .shared import load, written
+from .shared import bounded_batches, kept, load, written
 
 WINDOW, GRAM = 100, 32
 #: An anchor with more different runs than this has its windows compared by hash, spread over all tasks.
 MANY = 2_000
 #: Bytes of the texts that suffixes are sorted in; a group of runs isn't split.
 SORTED_BYTES = 1 << 16
-#: Spans of up to so many bytes in all are broadcast to their documents; more are joined by a shuffle.
-BROADCAST_BYTES = 24 << 20
+#: Up to so many ids of documents with spans are broadcast; beyond that all texts are shuffled to their spans.
+BROADCAST_IDS = 1_000_000
+#: Bytes of text that a task handles at a time, many times over in arrays.
+CHUNK = 1 << 19
 NO_ID = -(1 << 63)
 
 
@@ -56,7 +58,7 @@ _LOW = np.uint64((1 << PLACE_BITS) - 1)
 
 
 def runs_of(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(text, first window's start, windows, anchor's hash, hash of the run's bytes and of the anchor's place in it) of all runs."""
+    """(text, first window's start, windows, anchor's hash, hash of the run's bytes, anchor's place in it) of all runs."""
     pieces, owner, shift = [], [], []
     step = (1 << PLACE_BITS) // 2
     for k, text in enumerate(texts):
@@ -75,9 +77,9 @@ def runs_of(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     if held:
         out.append(_runs([pieces[j] for j in held], np.array(held)))
     if not out:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
-    piece, start, count, anchor, context = (np.concatenate(x) for x in zip(*out, strict=True))
-    return np.array(owner)[piece], start + np.array(shift)[piece], count, anchor, context
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
+    piece, start, count, anchor, context, rel = (np.concatenate(x) for x in zip(*out, strict=True))
+    return np.array(owner)[piece], start + np.array(shift)[piece], count, anchor, context, rel
 
 
 def _runs(texts: list[bytes], names: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -99,7 +101,7 @@ def _runs(texts: list[bytes], names: np.ndarray) -> tuple[np.ndarray, ...]:
     count = edge[np.searchsorted(edge, first, side="right")] - first
     body = (total[first + count + WINDOW - 1] - total[first]) * down[first]
     context = _mix(_mix(body) + (place[first] - first).astype(np.uint64) * _C + count.astype(np.uint64) * _B)
-    return names[owner[first]], first - begin[owner[first]], count, gram[place[first]].astype(np.int64), context.astype(np.int64)
+    return names[owner[first]], first - begin[owner[first]], count, gram[place[first]].astype(np.int64), context.astype(np.int64), place[first] - first
 
 
 def suffix_array(text: list[int]) -> list[int]:
@@ -165,8 +167,10 @@ def suffix_array(text: list[int]) -> list[int]:
     return out
 
 
-RUNS = "k long, context long, doc long, u long, s long, n int, again boolean"
-RUNS_SCHEMA = pa.schema([("k", pa.int64()), ("context", pa.int64()), ("doc", pa.int64()), ("u", pa.int64()), ("s", pa.int64()), ("n", pa.int32()), ("again", pa.bool_())])
+#: A run's row. k: 48 bits of its anchor's hash. what: whether it is known to repeat an earlier run (the
+#: sign), 46 bits of the hash of its bytes, its number of windows and the anchor's place in it (7 bits each).
+RUNS = "k long, what long, doc long, u long, s long"
+RUNS_SCHEMA = pa.schema([(c, pa.int64()) for c in ("k", "what", "doc", "u", "s")])
 
 
 def _batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
@@ -174,45 +178,50 @@ def _batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
 
 
 def anchor_runs(texts: DataFrame) -> DataFrame:
-    """All runs; of equal ones that a task sees together all but the first are marked (again) and spread by document."""
+    """All runs; of equal ones that a task sees together all but the first are marked as repeats and spread by document."""
 
     def run(batches):
+        kept("suffixes", None)
         for batch in batches:
-            for part in _parts(batch, "__text", 6 << 20):
-                owner, s, n, k, context = runs_of(part.column("__text").to_pylist())
+            for part in _parts(batch, "__text", CHUNK):
+                owner, s, n, k, context, rel = runs_of(part.column("__text").to_pylist())
                 doc, u = (part.column(c).to_numpy()[owner] for c in ("doc", "u"))
-                order = np.lexsort((s, u, doc, context, k))
-                owner, s, n, k, context, doc, u = (x[order] for x in (owner, s, n, k, context, doc, u))
-                again = np.concatenate([np.zeros(min(1, len(k)), bool), (k[1:] == k[:-1]) & (context[1:] == context[:-1])])
-                yield _batch(RUNS_SCHEMA, np.where(again, doc * 31 + s, k), context, doc, u, s, n.astype(np.int32), again)
+                k = k & ((1 << 48) - 1)
+                what = (context & ((1 << 46) - 1)) << 14 | n << 7 | rel
+                order = np.lexsort((s, u, doc, what, k))
+                s, k, what, doc, u = (x[order] for x in (s, k, what, doc, u))
+                again = np.concatenate([np.zeros(min(1, len(k)), bool), (k[1:] == k[:-1]) & (what[1:] == what[:-1])])
+                yield _batch(RUNS_SCHEMA, np.where(again, doc * 31 + s, k), np.where(again, what + np.int64(-(1 << 63)), what), doc, u, s)
 
     return texts.mapInArrow(run, RUNS)
 
 
-SPANS = pa.schema([("kind", pa.int8()), ("k", pa.int64()), ("doc", pa.int64()), ("u", pa.int64()), ("s", pa.int64()), ("n", pa.int32())])
+SPANS = pa.schema([("kind", pa.int8()), ("k", pa.int64()), ("doc", pa.int64()), ("u", pa.int64()), ("s", pa.int64()), ("n", pa.int32()), ("rel", pa.int32())])
+SPAN_TYPES = "kind byte, k long, doc long, u long, s long, n int, rel int"
 REPEAT, COMPARE, SPREAD = 0, 1, 2
 
 
 def sorted_out(runs: DataFrame, parts: int) -> DataFrame:
-    """(kind, k, doc, u, s, n): runs that repeat an earlier equal one, and the first ones of anchors with several, to be compared.
+    """(kind, k, doc, u, s, n, rel): runs that repeat an earlier equal one, and the first ones of anchors with several, to be compared.
 
     The runs come sorted; a task holds those of one anchor, up to MANY, and goes through the rest as they come.
     """
-    dealt = runs.repartition(parts, "k").sortWithinPartitions("k", "again", "context", "doc", "u", "s")
+    dealt = runs.repartition(parts, "k").sortWithinPartitions("k", "what", "doc", "u", "s")
 
     def run(batches):
         held = None
-        last_k = last_context = many_k = None
+        last_k = last_what = many_k = None
         for batch in batches:
-            k, context, doc, u, s, n, again = (batch.column(c).to_numpy(zero_copy_only=False) for c in RUNS_SCHEMA.names)
+            k, what, doc, u, s = (batch.column(c).to_numpy() for c in RUNS_SCHEMA.names)
             if not len(k):
                 continue
-            same_k = np.concatenate([[k[0] == last_k], k[1:] == k[:-1]])
-            repeat = again | (same_k & np.concatenate([[context[0] == last_context], context[1:] == context[:-1]]) & ~again)
-            last_k, last_context = k[-1], context[-1]
+            same = np.concatenate([[k[0] == last_k and what[0] == last_what], (k[1:] == k[:-1]) & (what[1:] == what[:-1])])
+            repeat = same | (what < 0)
+            last_k, last_what = k[-1], what[-1]
+            n, rel = what >> 7 & 127, what & 127
             if repeat.any():
-                yield _batch(SPANS, np.full(int(repeat.sum()), REPEAT, np.int8), k[repeat], doc[repeat], u[repeat], s[repeat], n[repeat])
-            rows = np.stack([k, doc, u, s, n.astype(np.int64)], 1)[~repeat]
+                yield _batch(SPANS, np.full(int(repeat.sum()), REPEAT, np.int8), k[repeat], doc[repeat], u[repeat], s[repeat], n[repeat].astype(np.int32), rel[repeat].astype(np.int32))
+            rows = np.stack([k, doc, u, s, n, rel], 1)[~repeat]
             held = rows if held is None else np.concatenate([held, rows])
             if not len(held):
                 continue
@@ -226,7 +235,7 @@ def sorted_out(runs: DataFrame, parts: int) -> DataFrame:
         if held is not None and len(held):
             yield from _kinds(held, many_k)
 
-    return dealt.mapInArrow(run, "kind byte, k long, doc long, u long, s long, n int")
+    return dealt.mapInArrow(run, SPAN_TYPES)
 
 
 def _firsts(rows: np.ndarray) -> np.ndarray:
@@ -241,31 +250,77 @@ def _kinds(rows: np.ndarray, many_k) -> Iterator[pa.RecordBatch]:
     keep = many | np.repeat(sizes > 1, sizes)
     rows, kind = rows[keep], np.where(many[keep], SPREAD, COMPARE).astype(np.int8)
     if len(rows):
-        yield _batch(SPANS, kind, rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3], rows[:, 4].astype(np.int32))
+        yield _batch(SPANS, kind, rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3], rows[:, 4].astype(np.int32), rows[:, 5].astype(np.int32))
 
 
-def with_lists(texts: DataFrame, spans: DataFrame, entry: list[str], how: str) -> DataFrame:
-    """texts joined with each document's list of spans; the lists are broadcast while they are small."""
-    lists = spans.groupBy("doc", "u").agg(F.collect_list(F.struct(*entry)).alias("list"))
-    lists = written(lists, "lists")
-    size = lists.agg(F.sum(F.size("list") * (8 * len(entry)) + 32)).first()[0] or 0
-    return texts.join(F.broadcast(lists) if size <= BROADCAST_BYTES else lists, ["doc", "u"], how)
+def with_lists(texts: DataFrame, spans: DataFrame, entry: list[str], rest: bool) -> DataFrame:
+    """texts joined with each document's list of spans; those without any stay, with a null list, if rest is true.
+
+    The ids of documents with spans are broadcast while they are at most BROADCAST_IDS, so that only those
+    documents' texts are shuffled.
+    """
+    lists = written(spans.groupBy("doc", "u").agg(F.collect_list(F.struct(*entry)).alias("list")), "lists")
+    if lists.count() > BROADCAST_IDS:
+        return texts.join(lists, ["doc", "u"], "left" if rest else "inner")
+    ids = F.broadcast(lists.select("doc", "u"))
+    some = texts.join(ids, ["doc", "u"], "left_semi").join(lists, ["doc", "u"])
+    others = texts.join(ids, ["doc", "u"], "left_anti").withColumn("list", F.lit(None).cast(lists.schema["list"].dataType))
+    return some.unionByName(others) if rest else some
 
 
 def bodies(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """(kind, k, doc, u, s, n, body): each run with its bytes."""
-    both = with_lists(texts, spans, ["kind", "k", "s", "n"], "inner")
+    """(kind, k, doc, u, s, n, rel, body): each run with its bytes."""
+    both = with_lists(texts, spans, ["kind", "k", "s", "n", "rel"], rest=False)
     schema = pa.schema([*SPANS, ("body", pa.binary())])
 
     def run(batches):
         for batch in batches:
-            for part in _parts(batch, "__text"):
+            for part in _parts(batch, "__text", CHUNK):
                 rows = []
                 for doc, u, text, spans in zip(*(part.column(c).to_pylist() for c in ("doc", "u", "__text", "list")), strict=True):
-                    rows += ((x["kind"], x["k"], doc, u, x["s"], x["n"], text[x["s"] : x["s"] + x["n"] + WINDOW - 1]) for x in spans)
+                    rows += ((x["kind"], x["k"], doc, u, x["s"], x["n"], x["rel"], text[x["s"] : x["s"] + x["n"] + WINDOW - 1]) for x in spans)
                 yield _batch(schema, *zip(*rows, strict=True))
 
-    return both.select("doc", "u", "__text", "list").mapInArrow(run, "kind byte, k long, doc long, u long, s long, n int, body binary")
+    return both.select("doc", "u", "__text", "list").mapInArrow(run, SPAN_TYPES + ", body binary")
+
+
+#: Windows of a run are taken by this many places of their start relative to the anchor.
+CORE = 12
+
+
+def shared_parts(group: list[tuple]) -> list[tuple]:
+    """Parts (doc, u, s, n, body) of an anchor's runs (doc, u, s, n, rel, body) that may have equals in another one.
+
+    All windows that start at certain CORE places relative to the anchor have the bytes in common that
+    lie in the first and the last of them; where no other run has those bytes there, they have no equals.
+    """
+    seen: dict[tuple, int] = {}
+    pieces = []
+    for doc, u, s, n, rel, body in group:
+        # windows start rel, rel - 1, ... rel - n + 1 places before the anchor
+        own = []
+        for block in range((rel - n + 1) // CORE, rel // CORE + 1):
+            far, near = block * CORE + CORE - 1, block * CORE  # places before the anchor, of the first and the last
+            first, last = max(0, rel - far), min(n - 1, rel - near)
+            key = (block, body[rel - near : rel - far + WINDOW])
+            seen[key] = seen.get(key, 0) + 1
+            own.append((key, first, last))
+        pieces.append((doc, u, s, body, own))
+    out = []
+    for doc, u, s, body, own in pieces:
+        begin = end = None
+        for key, first, last in sorted(own, key=lambda x: x[1]):
+            if seen[key] < 2:
+                continue
+            if end is not None and first == end + 1:
+                end = last
+                continue
+            if end is not None:
+                out.append((doc, u, s + begin, end - begin + 1, body[begin : end + WINDOW]))
+            begin, end = first, last
+        if end is not None:
+            out.append((doc, u, s + begin, end - begin + 1, body[begin : end + WINDOW]))
+    return out
 
 
 def later_windows(rows: list[tuple]) -> list[tuple[int, int, int]]:
@@ -306,20 +361,21 @@ def compared(runs: DataFrame, parts: int) -> DataFrame:
         size = 0
         last = None
         for batch in batches:
-            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("k", "doc", "u", "s", "n", "body")), strict=True):
+            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("k", "doc", "u", "s", "n", "rel", "body")), strict=True):
                 if k != last:
+                    group = shared_parts(group)
                     ready += group
+                    size += sum(len(x[4]) for x in group)
                     if size > SORTED_BYTES:
                         yield _batch(schema, *_joined(later_windows(ready)))
                         ready, size = [], 0
                     group, last = [], k
                 group.append(row)
-                size += len(row[4])
-        ready += group
+        ready += shared_parts(group)
         if ready:
             yield _batch(schema, *_joined(later_windows(ready)))
 
-    return dealt.select("k", "doc", "u", "s", "n", "body").mapInArrow(run, "doc long, u long, s long, n int")
+    return dealt.select("k", "doc", "u", "s", "n", "rel", "body").mapInArrow(run, "doc long, u long, s long, n int")
 
 
 def _joined(keys: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -362,7 +418,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows that repeat an id are documents of their own, in the order of their places. Other columns are
     ignored; an empty table gives no rows. Anchors and equal runs go by 64-bit hashes.
     """
-    texts = docs
+    bounded_batches(docs.sparkSession)
     twice = docs.groupBy(id_col).count().where(F.col(id_col).isNull() | (F.col("count") > 1)).limit(1).count()
     texts = located(docs, "located").withColumn("u", F.xxhash64("__file", "__row")) if twice else docs.withColumn("u", F.lit(0).cast("long"))
     texts = texts.select(F.coalesce(F.col(id_col), F.lit(NO_ID)).alias("doc"), "u", F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("__text"))
@@ -376,14 +432,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = spans.where(F.col("kind") == REPEAT).select("doc", "u", "s", "n").unionByName(written(compared(runs.where(F.col("kind") == COMPARE), parts), "compared"))
     if runs.where(F.col("kind") == SPREAD).take(1):
         found = found.unionByName(spread_windows(runs.where(F.col("kind") == SPREAD)))
-    both = with_lists(texts, found, ["s", "n"], "left")
+    both = with_lists(texts, found, ["s", "n"], rest=True)
     schema = f"{id_col} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
 
     def run(batches):
         import hashlib
 
         for batch in batches:
-            for part in _parts(batch, "__text"):
+            for part in _parts(batch, "__text", CHUNK):
                 out = []
                 for doc, text, spans in zip(*(part.column(c).to_pylist() for c in ("doc", "__text", "list")), strict=True):
                     kept, at, removed, n_spans = [], 0, 0, 0
