@@ -132,7 +132,8 @@ def in_mixed_order(docs: DataFrame, rows_per_part: int = 6_000, **kw) -> DataFra
     docs = located(docs, "located")
     order = written(mix_sources(docs, extra=("__file", "__row"), **kw).select("__file", "__row", F.col("slot").alias("__slot"), F.col("source_row").alias("__at")), "mix")
     n = max(1, order.count() // rows_per_part)
-    return docs.join(order, ["__file", "__row"]).repartitionByRange(n, "__slot", "__at").sortWithinPartitions("__slot", "__at").drop("__file", "__row", "__slot", "__at")
+    # merged at every size: a broadcast of the order would be bounded by nothing
+    return docs.join(order.hint("merge"), ["__file", "__row"]).repartitionByRange(n, "__slot", "__at").sortWithinPartitions("__slot", "__at").drop("__file", "__row", "__slot", "__at")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
