@@ -167,7 +167,8 @@ def _parts(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    return docs.select(F.col(id_col).alias("__id"), *keep, F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("__text"))
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    return docs.select(F.col(id_col).alias("__id"), *keep, F.xxhash64(text).alias("__digest"), text.alias("__text"))
 
 
 def frequency_classes(texts: DataFrame, rule: Rule) -> bytes:
@@ -243,11 +244,15 @@ def bounded(pairs: DataFrame, rule: Rule, points: DataFrame, radii: bool = False
 
 
 def verified(pairs: DataFrame, rule: Rule, texts: DataFrame, points: DataFrame) -> DataFrame:
-    """(a, b, union, diff) of the pairs that link by their sets, which are made again from the texts in question."""
+    """(a, b, union, diff) of the pairs that link by their sets, which are made again from the texts in question.
+
+    A point's text is found by its id, which may be null, and its digest; others that have both do no harm.
+    """
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    ids = written(wanted.join(points.select("key", "id"), "key").select(F.col("id").alias("__id")).distinct(), "wanted")
+    ids = written(wanted.join(points.select("key", "first"), "key").select(F.col("first.id").alias("id"), F.col("first.digest").alias("digest")).distinct(), "wanted")
     n = ids.count()
-    some = texts.select("__id", "__text").join(F.broadcast(ids) if n <= BROADCAST_IDS else ids, "__id", "left_semi")
+    ids = F.broadcast(ids) if n <= BROADCAST_IDS else ids
+    some = texts.join(ids, (F.col("__digest") == F.col("digest")) & F.col("__id").eqNullSafe(F.col("id")), "left_semi").select("__text")
 
     def sets(batches):
         for batch in batches:
@@ -507,8 +512,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bounded_batches(spark)
     texts = _texts(docs, id_col, text_col, keep)
     classes = spark.sparkContext.broadcast(frequency_classes(texts, rule))
-    profile = written(profiles(texts, rule, classes, keep), "profiles")
-    points = profile.where("key IS NOT NULL").groupBy("key").agg(*(F.first(c).alias(c) for c in ("n", "fold", "bands", "cells")), F.min("__id").alias("id"))
+    profile = written(profiles(texts, rule, classes, ("__digest", *keep)), "profiles")
+    first = F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__digest").alias("digest")))
+    points = profile.where("key IS NOT NULL").groupBy("key").agg(*(F.first(c).alias(c) for c in ("n", "fold", "bands", "cells")), first.alias("first"))
     points = written(points, "points")
     near = written(bounded(band_pairs(points), rule, points), "near")
     star = verified(near, rule, texts, points)

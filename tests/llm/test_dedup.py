@@ -103,6 +103,22 @@ def test_near_drop(spark, tmp_path):
     assert sorted(r.doc_id for r in kept) == sorted([9 - 11, 9 - 12, 9 - 13, 9 - 14])
 
 
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_near_without_ids(spark, tmp_path, monkeypatch, broadcast):
+    monkeypatch.setattr(ngram_join, "BROADCAST_IDS", broadcast)
+    rule = ngram_join.Rule(1, 80)
+    words = [f"w{k}" for k in range(40)]
+    # the two with ids link only through the one without
+    chain = [(1, " ".join(["x1 x2 x3 x4", *words[4:]])), (None, " ".join(words)), (2, " ".join([*words[:36], "y1 y2 y3 y4"]))]
+    rows = chain + [(None, t) for t in family(1, 6)] + [(None, t) for t in family(2, 3)] + [(5, family(2, 4)[-1]), (None, "alone"), (None, None)]
+    docs(spark, rows).write.parquet(f"{tmp_path}/d")
+    table = spark.read.parquet(f"{tmp_path}/d")
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in ngram_join.near_groups(table, rule=rule).collect())
+    assert got == brute_groups(rows, rule)
+    kept = ngram_join.drop_near(table, rule=rule).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["1", "5", "None", "None", "None"]
+
+
 @given(st.lists(st.integers(0, 3), max_size=60))
 @settings(max_examples=300, deadline=None)
 def test_suffix_array(t):
