@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import heapq
 import json
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import count, islice
+from math import lcm
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,7 +17,7 @@ from .shared import load, written
 
 #: Rows of a block, the unit that is scheduled.
 BLOCK_ROWS = 16
-#: Weights are whole parts of about so many.
+#: A source without a weight has one of about so many parts; op3's weights are whole parts.
 PARTS = 1000
 #: Target weights go with a source's rows to this power where none are given.
 POWER = 0.7
@@ -30,18 +34,44 @@ def schedule(parts: dict[str, int], length: int) -> list[str]:
     The shares add up to one, so every slot is used and all windows are met: after any number of
     slots each source is less than one block away from its share.
     """
+    return list(islice(picks(parts), length))
+
+
+def picks(parts: dict[str, int]) -> Iterator[str]:
+    """schedule()'s slots without end."""
     total = sum(parts.values())
     waiting = [(0, s, 1) for s in sorted(parts)]
     ready: list[tuple[int, str, int]] = []
-    slots = []
     heapq.heapify(waiting)
-    for t in range(length):
+    for t in count():
         while waiting and waiting[0][0] <= t:
             _, s, j = heapq.heappop(waiting)
             heapq.heappush(ready, (-(-j * total // parts[s]), s, j))
         _, s, j = heapq.heappop(ready)
-        slots.append(s)
+        yield s
         heapq.heappush(waiting, (j * total // parts[s], s, j + 1))
+
+
+def exact_parts(counts: dict[str, int], weights: dict[str, float] | None) -> dict[str, int]:
+    """Whole numbers in the very proportions of the weights; a source without one has a PARTS-th of the others' sum."""
+    shares = {s: Fraction(n**POWER if weights is None else weights.get(s, 0)) for s, n in counts.items()}
+    none = sum(x for x in shares.values() if x > 0) / PARTS or Fraction(1)
+    shares = {s: x if x > 0 else none for s, x in shares.items()}
+    scale = lcm(*(x.denominator for x in shares.values()))
+    return {s: int(x * scale) for s, x in shares.items()}
+
+
+def slots_of(blocks: dict[str, int], parts: dict[str, int]) -> dict[str, list[int]]:
+    """The slots of each source's blocks. A phase lasts until a source has no blocks left, as in phases(), but nothing repeats."""
+    slots: dict[str, list[int]] = {s: [] for s, n in blocks.items() if n}
+    left, at = set(slots), 0
+    while left:
+        for s in picks({s: parts[s] for s in left}):
+            slots[s].append(at)
+            at += 1
+            if len(slots[s]) == blocks[s]:
+                left.remove(s)
+                break
     return slots
 
 
@@ -86,14 +116,15 @@ def _order(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
 
 
-def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id", source_col: str = "source", seed: int = 17, block_rows: int = BLOCK_ROWS, extra: tuple[str, ...] = ()) -> DataFrame:
+def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id", source_col: str = "source", seed: int = 17, block_rows: int = BLOCK_ROWS, extra: tuple[str, ...] = (), rounded: bool = False) -> DataFrame:
     """One row per row of docs: id, source, source_row, block, slot, and the columns in extra; the mix is in order of (slot, source_row).
 
     Rows of a source are ordered by a hash of seed and id, cut into blocks of block_rows, and blocks
-    put into slots by phases(). Each row is used once: when a source ends, its share goes to the
-    others. Where no weights are given, a source's is its number of rows to the power POWER; all are
-    rounded to whole parts of PARTS, at least one. A null source counts as ''. Rows with equal ids are
-    next to each other; an empty table gives no rows. A source without a given weight has one part.
+    put into slots by slots_of(). Each row is used once: when a source ends, its share goes to the
+    others. Where no weights are given, a source's is its number of rows to the power POWER; they are
+    used as they are, or, with rounded, as whole parts of PARTS, at least one, by phases(). A null source
+    counts as ''. Rows with equal ids are next to each other; an empty table gives no rows. A source
+    without a given weight has a PARTS-th of the others' sum. The plan has one number a block.
 
     Rows are ranked in buckets by the hash, of about BUCKET_ROWS rows however many a source has.
     """
@@ -103,8 +134,7 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, id_col
     if len(counted) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     counts = {r["__source"]: r["count"] for r in counted}
-    parts = weight_parts(counts, weights)
-    segments, patterns = phases({s: -(-n // block_rows) for s, n in counts.items()}, parts)
+    n_blocks = {s: -(-n // block_rows) for s, n in counts.items()}
     sizes = rows(spark, [(s, -(-n // BUCKET_ROWS)) for s, n in counts.items()], "__source string, __buckets bigint")
     number = F.conv(F.substring("__h", 1, 8), 16, 10).cast("long")
     base = base.join(F.broadcast(sizes), "__source").withColumn("__bucket", F.shiftright(number * F.col("__buckets"), 32)).drop("__buckets")
@@ -113,12 +143,21 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, id_col
     ranked = base.withColumn("__rank", F.row_number().over(Window.partitionBy("__source", "__bucket").orderBy("__h", "__id")) - 1)
     ranked = ranked.join(before, ["__source", "__bucket"]).withColumn("source_row", (F.col("__rank") + F.col("__before")).cast("long"))
     ranked = ranked.withColumn("block", F.floor(F.col("source_row") / block_rows))
+    if rounded:
+        blocks = _repeating(spark, *phases(n_blocks, weight_parts(counts, weights)))
+    else:
+        slots = rows(spark, list(slots_of(n_blocks, exact_parts(counts, weights)).items()), "__source string, slots array<bigint>")
+        blocks = slots.select("__source", F.posexplode("slots").alias("block", "slot")).withColumn("block", F.col("block").cast("long"))
+    return ranked.join(blocks, ["__source", "block"]).select(F.col("__id").alias(id_col), F.col("__source").alias("source"), "source_row", "block", "slot", *extra)
+
+
+def _repeating(spark: SparkSession, segments: list[tuple], patterns: list[tuple]) -> DataFrame:
+    """(__source, block, slot) of phases()."""
     segs = rows(spark, segments, "__source string, phase bigint, first bigint, n bigint, at bigint, parts bigint, period bigint")
     pattern = rows(spark, patterns, "__source string, phase bigint, k bigint, offset bigint")
     blocks = segs.withColumn("j", F.explode(F.expr("CASE WHEN n > 0 THEN sequence(0L, n - 1) END"))).withColumn("k", F.col("j") % F.col("parts"))
     blocks = blocks.join(F.broadcast(pattern), ["__source", "phase", "k"])
-    blocks = blocks.select("__source", (F.col("first") + F.col("j")).alias("block"), (F.col("at") + F.floor(F.col("j") / F.col("parts")) * F.col("period") + F.col("offset")).alias("slot"))
-    return ranked.join(blocks, ["__source", "block"]).select(F.col("__id").alias(id_col), F.col("__source").alias("source"), "source_row", "block", "slot", *extra)
+    return blocks.select("__source", (F.col("first") + F.col("j")).alias("block"), (F.col("at") + F.floor(F.col("j") / F.col("parts")) * F.col("period") + F.col("offset")).alias("slot"))
 
 
 def weight_parts(counts: dict[str, int], weights: dict[str, float] | None) -> dict[str, int]:
@@ -137,7 +176,8 @@ def in_mixed_order(docs: DataFrame, rows_per_part: int = 6_000, **kw) -> DataFra
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(load(spark, sf_dir, "documents"))
+    # OP3_SQL has the weights in whole parts
+    return mix_sources(load(spark, sf_dir, "documents"), rounded=True)
 
 
 #: The same schedule slot by slot: lists of the sources' blocks done in all and in the phase.

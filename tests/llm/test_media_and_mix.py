@@ -129,6 +129,17 @@ def test_phases_use_each_block_once(sources):
     assert sorted(slots) == list(range(sum(blocks.values()))) and len(seen) == len(slots)
 
 
+def test_mix_keeps_to_the_weights_given(spark):
+    weights = {"a": 0.6667, "b": 0.333, "c": 0.0003}
+    table = spark.range(12_000).selectExpr("id doc_id", "CASE WHEN id < 7000 THEN 'a' WHEN id < 11900 THEN 'b' ELSE 'c' END source")
+    got = [r.source for r in mixing.mix_sources(table, weights=weights, block_rows=1).orderBy("slot").collect()]
+    done, total = dict.fromkeys(weights, 0), sum(weights.values())
+    for t, s in enumerate(got[:10_000], 1):  # no source has ended by then
+        done[s] += 1
+        assert all(abs(done[x] - t * weights[x] / total) < 1 for x in weights)
+    assert len(got) == 12_000
+
+
 def test_mix(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 7)
     rows = [(k, "t", "big") for k in range(100)] + [(200 + k, "t", "small") for k in range(21)] + [(1, "t", None), (None, "t", "small"), (200, "t", "small")]
