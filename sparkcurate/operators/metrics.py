@@ -28,11 +28,15 @@ def rates(df: DataFrame) -> DataFrame:
 
 
 def gate_metrics(verdicts: DataFrame, floor: float, groups: list[str] | None = None) -> DataFrame:
-    """fired, correct, abst_pass, abst_total, pos_total and the three rates of verdicts (conf, expect, pick)."""
+    """fired, correct, abst_pass, abst_total, pos_total and the three rates of verdicts (conf, expect, pick).
+
+    Positives are the cases whose expected label isn't NONE; fired and correct count them alone, so
+    that a NONE case that fires lowers the abstention and not the precision.
+    """
     none, on = F.coalesce(abstains(), F.lit(False)), fires(floor)
     counts = verdicts.groupBy(*(groups or [])).agg(
-        F.count_if(on).alias("fired"),
-        F.count_if(on & F.coalesce(F.col("pick") == F.col("expect"), F.lit(False))).alias("correct"),
+        F.count_if(~none & on).alias("fired"),
+        F.count_if(~none & on & F.coalesce(F.col("pick") == F.col("expect"), F.lit(False))).alias("correct"),
         F.count_if(none & ~on).alias("abst_pass"),
         F.count_if(none).alias("abst_total"),
         F.count_if(~none).alias("pos_total"),
@@ -40,20 +44,24 @@ def gate_metrics(verdicts: DataFrame, floor: float, groups: list[str] | None = N
     return rates(counts)
 
 
+#: Ranges of confidences whose sums are made apart in a sweep.
+RANGES = 256
+
+
 def floor_sweep(verdicts: DataFrame) -> DataFrame:
     """gate_metrics for each confidence that occurs, as floor.
 
     Rows are counted per confidence first; then running sums from the highest down go over one row for
-    each distinct value. Many distinct values are summed in ranges: each range's own sums, and those
-    of all ranges above it.
+    each distinct value, in ranges of about as many values each: a range's own sums, and those of all
+    ranges above it.
     """
     none = F.coalesce(abstains(), F.lit(False))
     able = F.col("pick").isNotNull() & F.col("conf").isNotNull()
     right = F.coalesce(F.col("pick") == F.col("expect"), F.lit(False))
-    per = verdicts.where(able).groupBy(F.col("conf").alias("floor")).agg(F.count(F.lit(1)).alias("n"), F.count_if(right).alias("c"), F.count_if(none).alias("q"))
-    low, high = per.agg(F.min("floor"), F.max("floor")).first()
-    span = (high - low) if low is not None and high > low else 1.0
-    per = per.withColumn("range", F.least(F.floor((F.col("floor") - F.lit(low or 0.0)) / F.lit(span) * 256), F.lit(255)))
+    per = verdicts.where(able).groupBy(F.col("conf").alias("floor")).agg(F.count_if(~none).alias("n"), F.count_if(~none & right).alias("c"), F.count_if(none).alias("q"))
+    cuts = per.agg(F.percentile_approx("floor", [k / RANGES for k in range(1, RANGES)], 4 * RANGES)).first()[0] or []
+    bounds = F.array(*(F.lit(float(x)) for x in sorted(set(cuts)))).cast("array<double>")
+    per = per.withColumn("range", F.size(F.filter(bounds, lambda x: x <= F.col("floor"))))
     above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
     ranges = per.groupBy("range").agg(*(F.sum(x).alias(x) for x in "ncq"))
     ranges = ranges.select("range", *(F.coalesce(F.sum(x).over(above), F.lit(0)).alias(f"{x}_above") for x in "ncq"))
@@ -104,11 +112,17 @@ def parse_call(df: DataFrame, known: DataFrame, raw: str = "raw", pattern: str =
     return both.withColumn("predicted", F.when(F.col("__name").isNull(), NO_CALL).when(F.col("__known"), F.col("__name")).otherwise(unknown)).drop("__name", "__known")
 
 
+def unknown_expected(df: DataFrame, known: DataFrame) -> DataFrame:
+    """(expected): labels that are expected and that the catalogue lacks."""
+    wanted = df.where("expected IS NOT NULL").select("expected").distinct()
+    return wanted.join(known.select(F.col("name").alias("expected")), "expected", "left_anti")
+
+
 def check_expected(df: DataFrame, known: DataFrame) -> None:
     """An error where a label is expected that the catalogue lacks."""
-    odd = df.where("expected IS NOT NULL").select(F.col("expected").alias("name")).distinct().join(known.select("name"), "name", "left_anti").limit(20).collect()
+    odd = unknown_expected(df, known).limit(20).collect()
     if odd:
-        raise ValueError(f"unknown expected labels: {sorted(r['name'] for r in odd)}")
+        raise ValueError(f"unknown expected labels: {sorted(r['expected'] for r in odd)}")
 
 
 def stratified_accuracy(df: DataFrame, stratum: str, correct: str = "correct") -> DataFrame:
@@ -117,16 +131,34 @@ def stratified_accuracy(df: DataFrame, stratum: str, correct: str = "correct") -
     return agg.select(stratum, "is_total", "n", "n_correct", (F.col("n_correct") / F.nullif(F.col("n"), F.lit(0))).alias("accuracy"))
 
 
-def per_group_floors(groups: DataFrame, rows: DataFrame, group: str, hard: int = 3, warn: int = 10) -> DataFrame:
-    """(group, kept, status): fatal under hard, thin under warn, ok; groups without rows count."""
+def per_group_floors(groups: DataFrame, rows: DataFrame, group: str, hard: int = 3, warn: int = 10, none: str = "NONE", none_hard: int = 20) -> DataFrame:
+    """(group, kept, status): fatal under hard, thin under warn, ok; groups without rows count.
+
+    The group of cases that must abstain, named none, is fatal under none_hard and never thin: fewer
+    can't tell a rate of abstention.
+    """
     counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("kept"))
     both = groups.join(counts, group, "left").withColumn("kept", F.coalesce("kept", F.lit(0)))
-    return both.withColumn("status", F.when(F.col("kept") < hard, "fatal").when(F.col("kept") < warn, "thin").otherwise("ok"))
+    quiet = F.coalesce(F.col(group) == none, F.lit(False))
+    status = F.when(quiet & (F.col("kept") < none_hard), "fatal").when(~quiet & (F.col("kept") < hard), "fatal").when(~quiet & (F.col("kept") < warn), "thin").otherwise("ok")
+    return both.withColumn("status", status)
+
+
+def latency(df: DataFrame, elapsed: str, group: str | None = None) -> DataFrame:
+    """(group, n, total_seconds, mean_seconds) of all runs or of each group; sums are of microseconds, so no order of rows changes them."""
+    micros = F.sum(F.bround(F.col(elapsed) * 1e6).cast("long"))
+    agg = df.groupBy(*([group] if group else [])).agg(F.count(elapsed).alias("n"), (micros / F.lit(1e6)).alias("total_seconds"))
+    return agg.withColumn("mean_seconds", F.col("total_seconds") / F.nullif(F.col("n"), F.lit(0)))
+
+
+def max_width(df: DataFrame, name: str) -> DataFrame:
+    """One row (width): characters of the longest name, 0 without any."""
+    return df.agg(F.coalesce(F.max(F.length(name)), F.lit(0)).cast("long").alias("width"))
 
 
 def report(metrics: DataFrame, label: str) -> DataFrame:
-    """A line of text for each row of gate metrics."""
+    """A line of text for each row of gate metrics; what fired is told of all positives."""
     from ..functions.text import percent
 
     line = F.concat(F.lit(f"{label}: precision "), percent(F.col("precision")), F.lit(", abstention "), percent(F.col("abstention")), F.lit(", recall "), percent(F.col("recall")))
-    return metrics.select(F.concat(line, F.format_string(", %d of %d fired", "fired", F.col("pos_total") + F.col("abst_total"))).alias("line"))
+    return metrics.select(F.concat(line, F.format_string(", %d of %d fired", "fired", "pos_total")).alias("line"))
