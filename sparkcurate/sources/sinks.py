@@ -11,6 +11,17 @@ def write_samples(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("metadata").json(path)
 
 
+def sample_lines(df: DataFrame, order: list[str]) -> DataFrame:
+    """(part, value): each sample as a line of JSON, letters unescaped; part 0 for training comes before part 1."""
+    part = (F.col("metadata") != "train").cast("int")
+    return df.select(part.alias("part"), *order, F.to_json(F.struct(*(c for c in df.columns if c not in order))).alias("value"))
+
+
+def write_sample_lines(df: DataFrame, order: list[str], path: str) -> None:
+    """sample_lines() as text files whose names ascend with part and order."""
+    sample_lines(df, order).repartitionByRange("part", *order).sortWithinPartitions("part", *order).select("value").write.mode("overwrite").text(path)
+
+
 def eval_lines(cases: DataFrame, header: list[str]) -> DataFrame:
     """(value), in order: comments, then each skill's cases in order of its id, NONE last; an evaluation file is small."""
     comments = cases.sparkSession.range(1).select(F.posexplode(F.array(*(F.lit(f"// {h}") for h in header))).alias("k", "value"))
@@ -27,6 +38,28 @@ def write_ledger(ledger: DataFrame, path: str) -> None:
     ledger.coalesce(1).write.mode("overwrite").json(path)
 
 
+def draft_files(drafts: DataFrame, locale: str) -> DataFrame:
+    """(file_name, value): each skill's drafted frames (skill_id, target, cap, frame_ord, text, args) as a bank's JSON in a file of its own, whose name scans pass over."""
+    frames = F.array_sort(F.collect_list(F.struct("frame_ord", "text", "args")), lambda a, b: (a["frame_ord"] - b["frame_ord"]).cast("int"))
+    each = drafts.groupBy("skill_id").agg(F.max("target").alias("target"), F.max("cap").alias("cap"), F.transform(frames, lambda x: F.struct(x["text"].alias("text"), x["args"].alias("args"))).alias("frames"))
+    name = F.concat(F.lit("draft-frames."), F.col("skill_id"), F.lit(f".{locale}.json"))
+    return each.select(name.alias("file_name"), F.to_json(F.create_map("skill_id", F.struct("target", "cap", "frames"))).alias("value"))
+
+
+def write_drafts(drafts: DataFrame, locale: str, folder: str) -> None:
+    """draft_files() as files of these names; a few, for people to review, written through Hadoop's file system API."""
+    spark = drafts.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    base = hadoop.Path(folder)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    for row in draft_files(drafts, locale).toLocalIterator():
+        out = fs.create(hadoop.Path(base, row["file_name"]), True)
+        try:
+            out.write(bytearray(row["value"].encode()))
+        finally:
+            out.close()
+
+
 def key_values(row: dict) -> str:
     """Lines of key=value for a build's outputs."""
     return "".join(f"{k}={v}\n" for k, v in row.items())
