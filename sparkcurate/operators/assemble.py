@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import loose_key
 from .decontam import drop_keys, heldout_guard
-from .ordering import keep_first, sample_n, split_ratio
+from .ordering import keep_first_id, sample_n, split_ratio, top_k
 
 #: At fewer positives than this the target of negatives is fixed.
 SMALL, SMALL_TARGET = 50, 250
@@ -41,16 +41,23 @@ def positives(examples: DataFrame, skills: DataFrame) -> DataFrame:
 def dataset(pos: DataFrame, negatives: DataFrame, heldout: DataFrame, ratio: float, seed: int, split: float = 0.9) -> DataFrame:
     """(metadata, text, name, args): all positives and as many negatives as they call for, split in hash order.
 
-    pos and negatives have normalised texts. A positive that is held out is an error; such negatives
-    go, as do repeats of exactly the same text. Positives aren't made distinct.
+    pos has text, name, args and an ordinal ord of its own for each row, negatives text and ord; texts
+    are normalised. A positive that is held out is an error; such negatives go, as do repeats of exactly
+    the same text. Positives aren't made distinct. The split hashes name, ordinal and text, so that it is
+    the same on any number of partitions.
     """
     pos = heldout_guard(pos.withColumn("key", loose_key(F.col("text"))), heldout)
     n = pos.agg(negative_target(F.count(F.lit(1)), ratio)).first()[0]
-    pool = keep_first(drop_keys(negatives.withColumn("key", loose_key(F.col("text"))), heldout), ["text"], ["ord"])
+    pool = distinct_texts(drop_keys(negatives.withColumn("key", loose_key(F.col("text"))), heldout))
     picked = sample_n(pool, n, seed, "text")
     none = F.lit(None)
-    every = pos.select("text", "name", "args", F.monotonically_increasing_id().alias("__id")).unionByName(picked.select("text", none.cast("string").alias("name"), none.cast("map<string,string>").alias("args"), F.lit(-1).cast("long").alias("__id")))
-    return split_ratio(every, split, seed, "text", "name", "__id").drop("__id")
+    every = pos.select("text", "name", "args", F.col("ord").cast("long").alias("__id")).unionByName(picked.select("text", none.cast("string").alias("name"), none.cast("map<string,string>").alias("args"), F.lit(-1).cast("long").alias("__id")))
+    return split_ratio(every, split, seed, "name", "__id", "text").drop("__id")
+
+
+def distinct_texts(df: DataFrame, text: str = "text", order: str = "ord") -> DataFrame:
+    """(text, order): the first row of each exact text."""
+    return keep_first_id(df, [text], order)
 
 
 def attach_tools(samples: DataFrame, tools: DataFrame, developer: str, refusal: str) -> DataFrame:
@@ -83,6 +90,13 @@ def first_user_turn(conversations: DataFrame, id_col: str = "conv_id") -> DataFr
 
 
 def max_length(df: DataFrame, length: Column, order: str, first: int = 500, room: int = 100, most: int = 2048) -> DataFrame:
-    """One row (max_length): the longest of the first rows with some room, at most most."""
+    """One row (max_length): the longest of the first rows with some room, at most most. length is the measure, such as tokens that another operator counted."""
     head = df.orderBy(order).limit(first).select(length.alias("__n"))
     return head.agg(F.least(F.max("__n") + room, F.lit(most)).cast("long").alias("max_length"))
+
+
+def bullet_list(texts: DataFrame, group: str, order: str, n: int, text: str = "text") -> DataFrame:
+    """(group, block): a group's first n texts as lines that begin with a dash, as prompts list what to avoid."""
+    first = top_k(texts.select(group, order, text), [group], [order], n)
+    lines = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t"))))
+    return first.groupBy(group).agg(F.array_join(F.transform(lines, lambda x: F.concat(F.lit("- "), x["t"])), "\n").alias("block"))

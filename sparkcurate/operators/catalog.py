@@ -26,8 +26,8 @@ def assign_alias(df: DataFrame, id_col: str = "id") -> DataFrame:
 
 
 def clean_examples(examples: DataFrame) -> DataFrame:
-    """Examples with text; null arguments become none."""
-    return examples.where(F.trim(F.coalesce("text", F.lit(""))) != "").withColumn("args", F.coalesce("args", F.create_map().cast("map<string,string>")))
+    """Examples with text, white space too; null arguments become none."""
+    return examples.where(F.coalesce("text", F.lit("")) != "").withColumn("args", F.coalesce("args", F.create_map().cast("map<string,string>")))
 
 
 def infer_params(examples: DataFrame, id_col: str = "skill_id") -> DataFrame:
@@ -52,9 +52,18 @@ def tools(skills: DataFrame) -> DataFrame:
     return skills.agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", one.alias("tool")))), lambda x: x["tool"]).alias("tools"))
 
 
-def fingerprint(fields: list[Column], texts: Column) -> Column:
-    """SHA-256 over fields and the sorted texts; parts are joined by unit separators, texts by record separators."""
-    return F.sha2(F.concat_ws("\x1f", *(F.coalesce(f, F.lit("")) for f in fields), F.array_join(F.array_sort(texts), "\x1e")), 256)
+def fingerprint(skill: Column, description: Column, parameters: Column, texts: Column) -> Column:
+    """SHA-256 of a skill's facts as canonical JSON: description, sorted example texts, id and parameters (a JSON text).
+
+    Null strings count as empty, null texts as none, and null parameters as an empty object; malformed
+    parameters give null.
+    """
+    from ..functions.jsontext import canonical_json, json_string
+
+    listed = F.array_join(F.transform(F.array_sort(F.coalesce(texts, F.array().cast("array<string>"))), lambda t: json_string(F.coalesce(t, F.lit("")))), ", ")
+    text = [json_string(F.coalesce(x, F.lit(""))) for x in (description, skill)]
+    whole = F.concat(F.lit('{"description": '), text[0], F.lit(', "examples": ['), listed, F.lit('], "id": '), text[1], F.lit(', "parameters": '), F.coalesce(parameters, F.lit("{}")), F.lit("}"))
+    return F.sha2(canonical_json(whole), 256)
 
 
 def drift(skills: DataFrame, banked: DataFrame, ledger: DataFrame, id_col: str = "skill_id") -> DataFrame:

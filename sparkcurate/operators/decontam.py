@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import hygiene, loose_key
-from .ordering import keep_first
+from .ordering import keep_first, top_k
 
 
 class HeldOutCollision(ValueError):
@@ -32,39 +32,49 @@ def heldout_guard(df: DataFrame, keys: DataFrame, on: str = "key") -> DataFrame:
     return df
 
 
+EVAL, CORPUS = 1, 2
+
+
 def judged(cands: DataFrame, avoid: DataFrame, corpus: DataFrame, hit: Column, normal: Column, group: str, order: str) -> DataFrame:
     """Each candidate that is the first of its key in its group, with what becomes of it: keyword, eval, corpus or kept.
 
     Texts are tidied, empty ones go. Collisions are by the loose key of the text or of its normal
-    form; those with held-out keys come before those with the corpus. Two left joins with distinct
-    keys stand for each disjunction.
+    form; those with held-out keys come before those with the corpus. Keys meet as SHA-256 digests:
+    both lists become one table of digests, which is joined once for each form.
     """
     tidy = cands.withColumn("text", hygiene("text")).withColumn("key", loose_key(F.col("text"))).where("text <> '' AND key <> ''")
-    first = keep_first(tidy, [group, "key"], [order]).withColumn("nkey", loose_key(normal))
-    for name, keys in (("avoid", avoid), ("corpus", corpus)):
-        distinct = keys.select("key").distinct()
-        for own in ("key", "nkey"):
-            first = first.join(distinct.select(F.col("key").alias(own), F.lit(True).alias(f"{name}_{own}")), own, "left")
-    verdict = F.when(hit, "keyword").when(F.coalesce("avoid_key", "avoid_nkey", F.lit(False)), "eval").when(F.coalesce("corpus_key", "corpus_nkey", F.lit(False)), "corpus").otherwise("kept")
-    return first.withColumn("verdict", verdict).drop("avoid_key", "avoid_nkey", "corpus_key", "corpus_nkey")
+    first = keep_first(tidy.withColumn("__key", digest("key")), [group, "__key"], [order]).withColumn("nkey", loose_key(normal)).withColumn("__nkey", digest("nkey"))
+    known = avoid.select(digest("key").alias("__k"), F.lit(EVAL).alias("__in")).union(corpus.select(digest("key"), F.lit(CORPUS)))
+    known = known.groupBy("__k").agg(F.bit_or("__in").alias("__in"))
+    for own in ("__key", "__nkey"):
+        first = first.join(known.toDF(own, f"{own}_in"), own, "left")
+    where = F.coalesce("__key_in", F.lit(0)).bitwiseOR(F.coalesce("__nkey_in", F.lit(0)))
+    verdict = F.when(hit, "keyword").when(where.bitwiseAND(EVAL) > 0, "eval").when(where.bitwiseAND(CORPUS) > 0, "corpus").otherwise("kept")
+    return first.withColumn("verdict", verdict).drop("__key", "__nkey", "__key_in", "__nkey_in")
 
 
-def with_running(judged_rows: DataFrame, group: str, order: str) -> DataFrame:
-    """kept_before: how many of the group are kept before the row."""
-    w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return judged_rows.withColumn("kept_before", F.coalesce(F.sum(F.when(F.col("verdict") == "kept", 1).otherwise(0)).over(w), F.lit(0)))
+def digest(column: str) -> Column:
+    """What stands for a long key in shuffles and joins."""
+    return F.unhex(F.sha2(column, 256))
 
 
 def filter_candidates(judged_rows: DataFrame, keep: int, group: str, order: str) -> DataFrame:
-    """The first keep survivors of each group; the test comes after a row is taken, so there is one at least."""
-    return with_running(judged_rows, group, order).where((F.col("verdict") == "kept") & (F.col("kept_before") < max(1, keep)))
+    """The first keep survivors of each group, by an order that doesn't repeat in it; the test comes after a row is taken, so there is one at least."""
+    return top_k(judged_rows.where("verdict = 'kept'"), [group], [order], max(1, keep))
 
 
 def filter_stats(cands: DataFrame, judged_rows: DataFrame, keep: int, group: str, order: str) -> DataFrame:
-    """raw, deduped, keyword_hits, eval_collisions, corpus_collisions, kept of each group; collisions count while fewer than keep were kept before."""
+    """raw, deduped, keyword_hits, eval_collisions, corpus_collisions, kept of each group; collisions count while fewer than keep were kept before.
+
+    A row counts up to the place where its group's keep-th survivor stands; that place is found by a
+    top-k of places, so that no task needs a group's rows together.
+    """
+    keep = max(1, keep)
     raw = cands.groupBy(group).agg(F.count(F.lit(1)).alias("raw"))
-    seen = F.col("kept_before") < max(1, keep)
-    counted = with_running(judged_rows, group, order).groupBy(group).agg(
+    places = judged_rows.select(group, order, "verdict")
+    last = top_k(places.where("verdict = 'kept'"), [group], [order], keep).groupBy(group).agg(F.max(order).alias("__last"), F.count(F.lit(1)).alias("__n"))
+    seen = F.coalesce((F.col("__n") < keep) | (F.col(order) <= F.col("__last")), F.lit(True))
+    counted = places.join(last, group, "left").groupBy(group).agg(
         F.count(F.lit(1)).alias("deduped"),
         F.count_if(F.col("verdict") == "keyword").alias("keyword_hits"),
         F.count_if((F.col("verdict") == "eval") & seen).alias("eval_collisions"),
@@ -75,18 +85,39 @@ def filter_stats(cands: DataFrame, judged_rows: DataFrame, keep: int, group: str
     return raw.join(counted, group, "left").select(group, "raw", *(F.coalesce(n, F.lit(0)).alias(n) for n in names))
 
 
+def add_stats(rounds: list[DataFrame], group: str) -> DataFrame:
+    """The statistics of several rounds of the same groups, added up; a group that a round lacks counts as zeros in it."""
+    every = reduce(DataFrame.unionByName, rounds)
+    return every.groupBy(group).agg(*(F.sum(c).alias(c) for c in every.columns if c != group))
+
+
 def sequential_sessions(df: DataFrame, groups: list[str], quota: int, group: str, order: str, key: str = "key") -> DataFrame:
     """For each group in turn its first quota keys that no earlier group kept; what a full group passes over stays free for later ones.
 
-    Groups follow one another, so there is a step for each of a few, whose kept keys are quota rows at most.
+    At most quota keys of each earlier group can be in the way of the k-th one, so its first k * quota
+    distinct keys decide; only those keys' digests, quota rows for each pair of groups, go to the driver.
     """
-    kept: list[DataFrame] = []
-    for name in groups:
-        own = keep_first(df.where(F.col(group) == name), [key], [order])
-        if kept:
-            own = own.join(reduce(DataFrame.unionByName, [k.select(key) for k in kept]), key, "left_anti")
-        kept.append(own.orderBy(order).limit(quota))
-    return reduce(DataFrame.unionByName, kept)
+    turn = F.array_position(F.array(*map(F.lit, groups)), F.col(group))
+    heads = df.where(F.col(group).isin(groups)).select(group, order, key, digest(key).alias("__d"), turn.alias("__turn"))
+    heads = top_k(keep_first(heads, [group, "__d"], [order]), [group], [order], F.col("__turn") * quota)
+    taken: set = set()
+    places = []
+    last, left = None, 0
+    for row in heads.select("__turn", order, "__d").orderBy("__turn", order).collect():
+        if row["__turn"] != last:
+            last, left = row["__turn"], quota
+        if left and bytes(row["__d"]) not in taken:
+            taken.add(bytes(row["__d"]))
+            places.append((groups[last - 1], row[order]))
+            left -= 1
+    kept = df.sparkSession.createDataFrame(places, heads.select(group, order).schema)
+    return df.join(F.broadcast(kept), [group, order], "left_semi")
+
+
+def banned_elsewhere(df: DataFrame, banned: DataFrame, text: str, owner: str, allowed: str) -> DataFrame:
+    """Rows with exactly one of the banned texts that don't belong to the one owner that may have them; texts meet as digests."""
+    marked = df.where(~F.col(owner).eqNullSafe(allowed)).withColumn("__d", digest(text))
+    return marked.join(banned.select(digest(text).alias("__d")).distinct(), "__d", "left_semi").drop("__d")
 
 
 def drop_keyword_hits(examples: DataFrame, hit: Column, group: str) -> tuple[DataFrame, DataFrame]:

@@ -74,6 +74,58 @@ def shortfall(groups: DataFrame, accepted: DataFrame, group: str) -> DataFrame:
     return both.select(group, F.col("target").cast("long").alias("target"), "kept", (F.col("kept") < F.col("target")).alias("short"))
 
 
+def with_banks(skills: DataFrame, frames: DataFrame, allow_missing: bool = False, id_col: str = "skill_id") -> DataFrame:
+    """skills with has_bank: whether any frames are theirs. Skills without are an error, unless allowed: then they just get no expansions."""
+    both = skills.join(frames.select(id_col).distinct().withColumn("has_bank", F.lit(True)), id_col, "left").withColumn("has_bank", F.coalesce("has_bank", F.lit(False)))
+    if not allow_missing:
+        missing = both.where("NOT has_bank").select(id_col).limit(20).collect()
+        if missing:
+            raise BankError(f"skills without frames: {sorted(r[id_col] for r in missing)}")
+    return both
+
+
+def heldout_dropped(pool: DataFrame, seen: DataFrame, heldout: DataFrame, group: str, seed: int, target: Column, ids: list[str]) -> DataFrame:
+    """(group, eval_dropped): how many rows accept() passes over as held out before its group has its target.
+
+    Rows count as they come in hash order, repeats of a held-out key each time, until the group's last
+    accepted row; groups that never reach the target count all.
+    """
+    order = hash_order(seed, *ids)
+    marked = pool.withColumn("__o", order).join(heldout.select("key").distinct().withColumn("__held", F.lit(True)), "key", "left")
+    marked = marked.join(seen.select(group, "key").distinct().withColumn("__seen", F.lit(True)), [group, "key"], "left")
+    place = F.struct("__o", *ids)
+    taken = accept(pool, seen, heldout, group, seed, target, ids).withColumn("__o", order)
+    last = taken.withColumn("__target", target).groupBy(group).agg(F.max(place).alias("__last"), F.count(F.lit(1)).alias("__n"), F.first("__target").alias("__target"))
+    both = marked.where("__held AND __seen IS NULL").join(last, group, "left")
+    open_ = F.coalesce((F.col("__n") < F.col("__target")) | (place <= F.col("__last")), F.lit(True))
+    return both.groupBy(group).agg(F.count_if(open_).alias("eval_dropped"))
+
+
+#: Templates are a list that people write; they go into the plan, and longer lists are refused.
+MOST_TEMPLATES = 1_000
+
+
 def template_cross(templates: DataFrame, entities: DataFrame, mark: str = "{}") -> DataFrame:
-    """Each template filled with each entity; both are small lists."""
-    return templates.crossJoin(entities).withColumn("text", F.replace(F.col("template"), F.lit(mark), F.col("entity")))
+    """Each template filled with each entity: the entity's columns, the template's, and text.
+
+    A template has the mark where the column entity goes, and {name} where any other column of that
+    name goes. The few templates are an array of literals that each entity's row is exploded by.
+    """
+    rows = templates.limit(MOST_TEMPLATES + 1).collect()
+    if len(rows) > MOST_TEMPLATES:
+        raise ValueError(f"more than {MOST_TEMPLATES} templates")
+    if not rows:
+        return entities.limit(0).select("*", *(F.lit(None).cast(f.dataType).alias(f.name) for f in templates.schema), F.lit("").alias("text"))
+    listed = F.array(*(F.struct(*(F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in templates.schema)) for r in rows))
+    each = entities.withColumn("__t", F.explode(listed)).select(*entities.columns, "__t.*")
+    text = F.col("template")
+    for c in entities.columns:
+        value = F.coalesce(F.col(c).cast("string"), F.lit(""))
+        text = F.replace(F.replace(text, F.lit(mark), value) if c == "entity" else text, F.lit(f"{{{c}}}"), value)
+    return each.withColumn("text", text)
+
+
+def locale_pool(pool: DataFrame, locale: str, fallback: str = "en", column: str = "locale") -> DataFrame:
+    """The rows of the locale, or the fallback's where the locale has none."""
+    own = pool.where(F.col(column) == locale)
+    return own if own.take(1) else pool.where(F.col(column) == fallback)

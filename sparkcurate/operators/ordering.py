@@ -17,9 +17,17 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> Dat
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
-def keep_first_id(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """keep_first for a unique order column: an aggregate, combined before the shuffle, so hot keys don't gather; then a join."""
-    return df.join(df.groupBy(*keys).agg(F.min(order).alias(order)), [*keys, order], "left_semi")
+def keep_first_id(df: DataFrame, keys: list[str], order: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, order, keep) of each key's row with the least order: one aggregate, combined before the shuffle, so hot keys don't gather.
+
+    Null keys are a key of their own, as any other value; a null order comes first, as in keep_first.
+    One row a key comes out, also where its order repeats; then the least of the columns in keep.
+    """
+    if not keep:
+        none = F.bool_or(F.col(order).isNull())
+        return df.groupBy(*keys).agg(F.when(~none, F.min(order)).alias(order))
+    first = F.min(F.struct(F.col(order).isNotNull().alias("__some"), F.col(order), *map(F.col, keep)))
+    return df.groupBy(*keys).agg(first.alias("__first")).select(*keys, *(F.col("__first")[c].alias(c) for c in (order, *keep)))
 
 
 def top_k(df: DataFrame, groups: list[str], order: list[Column | str], k: int | Column) -> DataFrame:
@@ -28,9 +36,29 @@ def top_k(df: DataFrame, groups: list[str], order: list[Column | str], k: int |
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k).drop("__rn")
 
 
-def sample_n(df: DataFrame, n: int, seed: int, *ids: str) -> DataFrame:
-    """n rows without replacement, or all where there are fewer."""
-    return df.orderBy(hash_order(seed, *ids), *ids).limit(n)
+#: Samples of up to so many rows are merged in one task; for larger ones a threshold on the hash is found first.
+SMALL_SAMPLE = 10_000
+
+
+def sample_n(df: DataFrame, n: int, seed: int, *ids: str, small: int = SMALL_SAMPLE) -> DataFrame:
+    """n rows without replacement, or all where there are fewer: the first in hash order.
+
+    A large sample takes whole the 65,536 buckets of hashes below the one in which the n-th row lies,
+    and only that bucket's rows are sorted.
+    """
+    order = hash_order(seed, *ids)
+    if n <= small:
+        return df.orderBy(order, *ids).limit(n)
+    bucket = F.conv(F.substring(order, 1, 4), 16, 10).cast("int")
+    before, last = 0, None
+    for row in df.groupBy(bucket.alias("b")).count().orderBy("b").toLocalIterator():
+        if before + row["count"] > n:
+            last = row["b"]
+            break
+        before += row["count"]
+    if last is None:
+        return df
+    return df.where(bucket < last).unionByName(df.where(bucket == last).orderBy(order, *ids).limit(n - before))
 
 
 def global_rank(df: DataFrame, order: Column, ids: list[str], rows: int, per_bucket: int = 50_000) -> DataFrame:

@@ -61,7 +61,28 @@ def content_hash(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(row).alias("content_hash"))
 
 
-def sorted_hash(df: DataFrame, text: str, digits: int = 16) -> DataFrame:
-    """(n, content_hash): rows and the first digits of SHA-256 of the sorted rows' hashes; every row counts, also where it repeats."""
-    hashes = df.select(F.sha2(text, 256).alias("h"))
-    return hashes.agg(F.count(F.lit(1)).alias("n"), F.left(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), "\n"), 256), F.lit(digits)).alias("content_hash"))
+def multiset_hash(df: DataFrame, text: str, digits: int = 16) -> DataFrame:
+    """(n, content_hash): rows and the first digits of a SHA-256 that doesn't depend on their order; every row counts, also where it repeats.
+
+    Each row's SHA-256 is cut into four numbers of 60 bits, and these are added up over all rows: sums
+    combine before the shuffle, so that nothing is gathered. A null text counts as empty.
+    """
+    h = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    parts = [F.sum(F.conv(F.substring(h, 1 + 15 * k, 15), 16, 10).cast("decimal(20,0)")) for k in range(4)]
+    agg = df.agg(F.count(F.lit(1)).alias("n"), *(F.coalesce(p, F.lit(0).cast("decimal(30,0)")).cast("string").alias(f"p{k}") for k, p in enumerate(parts)))
+    whole = F.concat_ws(":", F.col("n").cast("string"), *(f"p{k}" for k in range(4)))
+    return agg.select("n", F.left(F.sha2(whole, 256), F.lit(digits)).alias("content_hash"))
+
+
+MANIFEST_FILE = "struct<version:string,released_at:string,min_confidence:double,files:array<struct<name:string,url:string,sha256:string,size_bytes:bigint>>>"
+
+
+def existing_manifest(listing: DataFrame, tag: str = "tag", value: str = "value") -> DataFrame:
+    """(tag, version, released_at, min_confidence, files) of published manifests, given as JSON texts; absent, corrupt or empty ones give no row, so that a clean one is published."""
+    read = listing.select(tag, F.when(F.expr(f"try_parse_json({value})").isNotNull(), F.from_json(value, MANIFEST_FILE)).alias("m"))
+    return read.where("m.files IS NOT NULL OR m.version IS NOT NULL").select(tag, "m.*")
+
+
+def released_files(manifests: DataFrame, tag: str = "tag") -> DataFrame:
+    """(tag, name, sha256) of manifests' files, as manifest_diff takes them."""
+    return manifests.select(tag, F.explode("files").alias("f")).select(tag, "f.name", "f.sha256")
