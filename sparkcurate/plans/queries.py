@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import jsontext, text
@@ -73,17 +73,16 @@ def _(spark, sf):
 )
 def decontaminate_topk(spark, sf):
     """Distinct documents that aren't held out, 50 of each language in hash order."""
-    docs = docs_key(spark, sf)
-    heldout = docs.where("doc_id % 17 = 0").select("key")
-    first = ordering.keep_first_id(docs.where("doc_id % 17 <> 0"), ["key"], "doc_id")
-    clean = decontam.drop_keys(first.select("doc_id", "lang", "key"), heldout)
+    docs = docs_key(spark, sf).select("doc_id", "lang", decontam.digest("key").alias("key"))
+    first = ordering.keep_first_id(docs.where("doc_id % 17 <> 0"), ["key"], "doc_id", keep=("lang",))
+    clean = decontam.drop_keys(first, docs.where("doc_id % 17 = 0"))
     return ordering.top_k(clean.withColumn("o", ordering.hash_order(7, "doc_id")), ["lang"], ["o", "doc_id"], 50).select("doc_id", "lang")
 
 
 @query("heldout_collisions", f"WITH {DOCS} SELECT doc_id, key FROM d WHERE doc_id % 17 <> 0 AND key IN (SELECT key FROM d WHERE doc_id % 17 = 0)")
 def _(spark, sf):
-    docs = docs_key(spark, sf)
-    return decontam.heldout_collisions(docs.where("doc_id % 17 <> 0"), docs.where("doc_id % 17 = 0")).select("doc_id", "key")
+    docs = docs_key(spark, sf).select("doc_id", "key", decontam.digest("key").alias("d"))
+    return decontam.heldout_collisions(docs.where("doc_id % 17 <> 0"), docs.where("doc_id % 17 = 0"), "d").select("doc_id", "key")
 
 
 #: Held-out documents, those of the corpus, and the candidates, by remainders of 7; keywords are two frequent words.
@@ -209,13 +208,13 @@ def _(spark, sf):
     return expand.shortfall(frames(spark).select("frame_id", F.lit(10).alias("target")), pool, "frame_id")
 
 
-@query("placeholder_refs", f"WITH {FRAMES_SQL} SELECT frame_id, array_to_string(list_distinct(list_concat(regexp_extract_all(text, '{_P}', 1), [x for x in regexp_extract_all(arg, '{_P}', 1) if NOT list_contains(regexp_extract_all(text, '{_P}', 1), x)])), ',') AS refs FROM frames WHERE frame_id <> 'f4'")
+@query(
+    "placeholder_refs",
+    f"""WITH {FRAMES_SQL}, r AS (SELECT frame_id, list_concat(regexp_extract_all(text, '{_P}', 1), regexp_extract_all(arg, '{_P}', 1)) AS l FROM frames)
+    SELECT frame_id, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ',') AS refs FROM r""",
+)
 def _(spark, sf):
-    refs = F.array_join(F.array_sort(text.placeholders(F.col("text"), F.col("args"))), ",")
-    return frames(spark).where("frame_id <> 'f4'").select("frame_id", refs.alias("refs"))
-
-
-SQL["placeholder_refs"] = f"WITH {FRAMES_SQL} SELECT frame_id, array_to_string(list_sort(list_distinct(list_concat(regexp_extract_all(text, '{_P}', 1), regexp_extract_all(arg, '{_P}', 1)))), ',') AS refs FROM frames WHERE frame_id <> 'f4'"
+    return frames(spark).select("frame_id", F.array_join(text.placeholders(F.col("text"), F.col("args")), ",").alias("refs"))
 
 
 @query("undefined_slots", f"WITH {EXPAND_SQL} SELECT DISTINCT frame_id, slot FROM refs WHERE slot NOT IN (SELECT slot FROM slots WHERE slot <> 'BRAND')")
@@ -245,9 +244,8 @@ def _(spark, sf):
 
 @query("banned_shape", "SELECT doc_id, source FROM documents WHERE text IN (SELECT text FROM documents WHERE doc_id % 50 = 0) AND source <> 'src0'")
 def _(spark, sf):
-    docs = table(spark, sf, "documents")
-    banned = docs.where("doc_id % 50 = 0").select("text").distinct()
-    return docs.join(banned, "text", "left_semi").where("source <> 'src0'").select("doc_id", "source")
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    return decontam.banned_elsewhere(docs, docs.where("doc_id % 50 = 0"), "text", "source", "src0").select("doc_id", "source")
 
 
 @query("merge_priority", "SELECT s_suppkey AS id, s_name AS name FROM supplier UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)")
@@ -276,32 +274,37 @@ def _(spark, sf):
     "infer_params",
     """WITH e AS (SELECT event_type, event_id, json_keys(props) AS ks FROM events), k AS (SELECT event_type, event_id, unnest(ks) AS name, generate_subscripts(ks, 1) AS pos FROM e),
     f AS (SELECT event_type, name, min(event_id * 1000 + pos) AS ord FROM k GROUP BY event_type, name)
-    SELECT event_type AS skill_id, array_to_string(list(name ORDER BY ord), ',') AS names FROM f GROUP BY event_type""",
+    SELECT event_type AS skill_id, array_to_string(list(name ORDER BY ord), ',') AS names,
+      '{"type": "object", "properties": {' || string_agg('"' || name || '": {"type": "string"}', ', ' ORDER BY ord) || '}, "required": [' || string_agg('"' || name || '"', ', ' ORDER BY ord) || ']}' AS schema
+    FROM f GROUP BY event_type""",
 )
 def _(spark, sf):
     events = table(spark, sf, "events").select(F.col("event_type").alias("skill_id"), F.col("event_id").alias("ex_ord"), F.from_json("props", "map<string,string>").alias("args"))
-    return catalog.infer_params(events).select("skill_id", F.array_join("names", ",").alias("names"))
+    return catalog.infer_params(events).select("skill_id", F.array_join("names", ",").alias("names"), "schema")
 
 
-FINGER = "sha256(p_brand || chr(31) || min_type || chr(31) || array_to_string(list_sort(names), chr(30)))"
+PARAMETERS = '{"type": "object", "properties": {"size": {"type": "string"}}}'
+FINGER = """sha256('{"description": ' || to_json(min_type) || ', "examples": [' || array_to_string(list_transform(list_sort(names), lambda n: to_json(n)), ', ') || '], "id": ' || to_json(p_brand)
+    || ', "parameters": {"properties": {"size": {"type": "string"}}, "type": "object"}}')"""
 
 
 def fingerprints(parts: DataFrame) -> DataFrame:
     grouped = parts.groupBy(F.col("p_brand").alias("skill_id")).agg(F.min("p_type").alias("kind"), F.collect_set("p_name").alias("names"))
-    return grouped.select("skill_id", catalog.fingerprint([F.col("skill_id"), F.col("kind")], F.col("names")).alias("sha256"))
+    return grouped.select("skill_id", catalog.fingerprint(F.col("skill_id"), F.col("kind"), F.lit(PARAMETERS), F.col("names")).alias("sha256"))
 
 
-PRINTS = f"(SELECT p_brand AS skill_id, {FINGER} AS sha256 FROM (SELECT p_brand, min(p_type) AS min_type, list(DISTINCT p_name) AS names FROM {{}} GROUP BY p_brand))"
+def prints(source: str) -> str:
+    return f"(SELECT p_brand AS skill_id, {FINGER} AS sha256 FROM (SELECT p_brand, min(p_type) AS min_type, list(DISTINCT p_name) AS names FROM {source} GROUP BY p_brand))"
 
 
-@query("fingerprint", f"SELECT * FROM {PRINTS.format('part')}")
+@query("fingerprint", f"SELECT * FROM {prints('part')}")
 def _(spark, sf):
     return fingerprints(table(spark, sf, "part"))
 
 
 @query(
     "drift_audit",
-    f"""WITH s AS {PRINTS.format('part')}, o AS {PRINTS.format("(SELECT p_brand, p_type, CASE WHEN p_partkey = 7 THEN p_name || ' new' ELSE p_name END AS p_name FROM part)")},
+    f"""WITH s AS {prints('part')}, o AS {prints("(SELECT p_brand, p_type, CASE WHEN p_partkey = 7 THEN p_name || ' new' ELSE p_name END AS p_name FROM part)")},
     k AS (SELECT * FROM s WHERE right(skill_id, 1) <> '1'), b AS (SELECT DISTINCT p_brand AS skill_id FROM part WHERE right(p_brand, 1) <> '2')
     SELECT coalesce(k.skill_id, b.skill_id) AS skill_id, CASE WHEN k.skill_id IS NULL THEN 'orphaned' WHEN b.skill_id IS NULL THEN 'missing' WHEN k.sha256 IS NOT DISTINCT FROM o.sha256 THEN 'ok' ELSE 'stale' END AS status
     FROM k FULL JOIN b ON k.skill_id = b.skill_id LEFT JOIN o ON o.skill_id = coalesce(k.skill_id, b.skill_id)""",
@@ -415,16 +418,19 @@ RATES = "CASE WHEN fired = 0 THEN 1 ELSE correct / fired END AS precision, CASE
 
 @query(
     "gate_metrics_at_floor",
-    f"""WITH {VERDICTS}, m AS (SELECT source, count_if(pick IS NOT NULL AND conf >= -0.1) AS fired, count_if(pick = expect AND conf >= -0.1) AS correct,
-      count_if(expect = 'NONE' AND NOT (pick IS NOT NULL AND conf >= -0.1)) AS abst_pass, count_if(expect = 'NONE') AS abst_total, count_if(expect <> 'NONE') AS pos_total FROM v GROUP BY source)
+    f"""WITH {VERDICTS}, m AS (SELECT source, count_if(upper(expect) <> 'NONE' AND pick IS NOT NULL AND conf >= -0.1) AS fired, count_if(upper(expect) <> 'NONE' AND pick = expect AND conf >= -0.1) AS correct,
+      count_if(upper(expect) = 'NONE' AND NOT (pick IS NOT NULL AND conf >= -0.1)) AS abst_pass, count_if(upper(expect) = 'NONE') AS abst_total, count_if(upper(expect) <> 'NONE') AS pos_total FROM v GROUP BY source)
     SELECT *, {RATES} FROM m""",
 )
 def _(spark, sf):
     return metrics.gate_metrics(verdicts(spark, sf), -0.1, ["source"])
 
 
-SWEEP = """p AS (SELECT conf AS floor, count(*) AS n, count_if(pick = expect) AS c, count_if(expect = 'NONE') AS q FROM v WHERE pick IS NOT NULL GROUP BY conf),
-    t AS (SELECT count_if(expect = 'NONE') AS abst_total, count_if(expect <> 'NONE') AS pos_total FROM v),
+#: Definitions: a case fires at a floor if it has a pick and its confidence reaches the floor; precision is over the
+#: positives that fire, abstention over all NONE cases, recall over all positives.
+SWEEP = """f AS (SELECT DISTINCT conf AS floor FROM v WHERE pick IS NOT NULL),
+    p AS (SELECT floor, count_if(upper(expect) <> 'NONE') AS n, count_if(upper(expect) <> 'NONE' AND pick = expect) AS c, count_if(upper(expect) = 'NONE') AS q FROM f JOIN v ON v.conf = f.floor AND v.pick IS NOT NULL GROUP BY floor),
+    t AS (SELECT count_if(upper(expect) = 'NONE') AS abst_total, count_if(upper(expect) <> 'NONE') AS pos_total FROM v),
     s AS (SELECT floor, CAST(sum(n) OVER w AS BIGINT) AS fired, CAST(sum(c) OVER w AS BIGINT) AS correct, abst_total - CAST(sum(q) OVER w AS BIGINT) AS abst_pass, abst_total, pos_total FROM p, t WINDOW w AS (ORDER BY floor DESC ROWS UNBOUNDED PRECEDING))"""
 
 
@@ -433,16 +439,22 @@ def _(spark, sf):
     return metrics.floor_sweep(verdicts(spark, sf))
 
 
-@query(
-    "derive_floor",
-    f"""WITH {VERDICTS}, {SWEEP}, r AS (SELECT *, {RATES} FROM s), b AS (SELECT min(floor) AS f FROM r WHERE precision >= 0.5 AND abstention >= 0.9 AND fired >= 10 AND floor >= -0.5),
-    m AS (SELECT count_if(pick IS NOT NULL AND conf >= f) AS fired, count_if(pick = expect AND conf >= f) AS correct, count_if(expect = 'NONE' AND NOT (pick IS NOT NULL AND conf >= f)) AS abst_pass, count_if(expect = 'NONE') AS abst_total
-      FROM v, b WHERE source = 'spine'),
-    g AS (SELECT f IS NOT NULL AND (fired = 0 OR correct / fired >= 0.5) AND (abst_total = 0 OR abst_pass / abst_total >= 0.9) AS good, f FROM m, b)
-    SELECT CASE WHEN good THEN f ELSE -0.06 END AS floor, CASE WHEN good THEN 'derived' ELSE 'fallback' END AS source FROM g""",
-)
+def derived_sql(precision: str, abstention: str) -> str:
+    return f"""WITH {VERDICTS}, {SWEEP}, r AS (SELECT *, {RATES} FROM s), b AS (SELECT min(floor) AS f FROM r WHERE precision >= {precision} AND abstention >= {abstention} AND fired >= 10 AND floor >= -0.5),
+    m AS (SELECT count_if(upper(expect) <> 'NONE' AND pick IS NOT NULL AND conf >= f) AS fired, count_if(upper(expect) <> 'NONE' AND pick = expect AND conf >= f) AS correct,
+      count_if(upper(expect) = 'NONE' AND NOT (pick IS NOT NULL AND conf >= f)) AS abst_pass, count_if(upper(expect) = 'NONE') AS abst_total FROM v, b WHERE source = 'spine'),
+    g AS (SELECT f IS NOT NULL AND (fired = 0 OR correct / fired >= {precision}) AND (abst_total = 0 OR abst_pass / abst_total >= {abstention}) AS good, f FROM m, b)
+    SELECT CASE WHEN good THEN f ELSE -0.06 END AS floor, CASE WHEN good THEN 'derived' ELSE 'fallback' END AS source FROM g"""
+
+
+@query("derive_floor", derived_sql("0.9", "0.9"))
 def _(spark, sf):
-    return metrics.derive_floor(verdicts(spark, sf), -0.06, precision_min=0.5)
+    return metrics.derive_floor(verdicts(spark, sf), -0.06)
+
+
+@query("derive_floor_fallback", derived_sql("0.99", "0.9"))
+def _(spark, sf):
+    return metrics.derive_floor(verdicts(spark, sf), -0.06, precision_min=0.99)
 
 
 @query("bundle_hash", "SELECT p_brand, sha256(string_agg(name || ':' || sha || ',', '' ORDER BY name, sha)) AS bundle_sha FROM (SELECT p_brand, p_partkey || '' AS name, sha256(p_name) AS sha FROM part) GROUP BY p_brand")
@@ -465,9 +477,12 @@ def _(spark, sf):
     return publish.manifest_diff(old, new, "p_brand")
 
 
-@query("content_hash", "SELECT count(*) AS n, left(sha256(string_agg(h, chr(10) ORDER BY h)), 16) AS content_hash FROM (SELECT sha256(text) AS h FROM benchmark)")
+SLICES = " || ':' || ".join(f"sum(CAST('0x' || substr(h, {1 + 15 * k}, 15) AS HUGEINT))" for k in range(4))
+
+
+@query("content_hash", f"SELECT count(*) AS n, left(sha256(count(*) || ':' || {SLICES}), 16) AS content_hash FROM (SELECT sha256(text) AS h FROM documents)")
 def _(spark, sf):
-    return publish.sorted_hash(table(spark, sf, "benchmark"), "text")
+    return publish.multiset_hash(table(spark, sf, "documents"), "text")
 
 
 @query(
@@ -489,7 +504,7 @@ def _(spark, sf):
     "cpu_cost",
     """WITH w AS (SELECT user_id, event_id % 2 AS half, CAST(floor(sum(value)) AS BIGINT) AS ticks, count(*) AS elapsed FROM events GROUP BY user_id, event_id % 2),
     p AS (SELECT user_id, max(CASE WHEN half = 0 THEN round(ticks / 100 / elapsed * 100, 2) END) AS pct_first, max(CASE WHEN half = 1 THEN round(ticks / 100 / elapsed * 100, 2) END) AS pct_second FROM w GROUP BY user_id)
-    SELECT *, round(pct_second - pct_first, 2) AS delta FROM p""",
+    SELECT *, round(pct_first - pct_second, 2) AS delta FROM p""",
 )
 def _(spark, sf):
     e = table(spark, sf, "events").groupBy("user_id", (F.col("event_id") % 2).cast("string").alias("label")).agg(F.floor(F.sum("value")).alias("ticks"), F.count(F.lit(1)).alias("elapsed"))
@@ -499,11 +514,13 @@ def _(spark, sf):
 
 @query(
     "per_skill_floors",
-    """WITH g AS (SELECT DISTINCT source FROM documents), k AS (SELECT source, count(*) AS kept FROM documents JOIN labels USING (doc_id) WHERE quality = 0 GROUP BY source)
-    SELECT source, coalesce(kept, 0) AS kept, CASE WHEN coalesce(kept, 0) < 3 THEN 'fatal' WHEN coalesce(kept, 0) < 10 THEN 'thin' ELSE 'ok' END AS status FROM g LEFT JOIN k USING (source)""",
+    """WITH d AS (SELECT doc_id, CASE WHEN source = 'src1' THEN 'NONE' ELSE source END AS source FROM documents), g AS (SELECT DISTINCT source FROM d),
+    k AS (SELECT source, count(*) AS kept FROM d JOIN labels USING (doc_id) WHERE quality = 0 GROUP BY source)
+    SELECT source, coalesce(kept, 0) AS kept, CASE WHEN source = 'NONE' THEN CASE WHEN coalesce(kept, 0) < 20 THEN 'fatal' ELSE 'ok' END
+      WHEN coalesce(kept, 0) < 3 THEN 'fatal' WHEN coalesce(kept, 0) < 10 THEN 'thin' ELSE 'ok' END AS status FROM g LEFT JOIN k USING (source)""",
 )
 def _(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "source")
+    docs = table(spark, sf, "documents").select("doc_id", F.when(F.col("source") == "src1", "NONE").otherwise(F.col("source")).alias("source"))
     return metrics.per_group_floors(docs.select("source").distinct(), docs.join(table(spark, sf, "labels").where("quality = 0"), "doc_id"), "source")
 
 
@@ -512,15 +529,20 @@ def _(spark, sf):
     return ordering.top_k(table(spark, sf, "documents").select("source", "doc_id"), ["source"], ["doc_id"], 20)
 
 
-@query(
-    "sequential_sessions",
-    f"""WITH {DOCS}, f AS (SELECT min(doc_id) AS doc_id, lang, key FROM d GROUP BY lang, key),
-    a AS (SELECT * FROM f WHERE lang = 'de' ORDER BY doc_id LIMIT 40), b AS (SELECT * FROM f WHERE lang = 'en' AND key NOT IN (SELECT key FROM a) ORDER BY doc_id LIMIT 40),
-    c AS (SELECT * FROM f WHERE lang = 'fr' AND key NOT IN (SELECT key FROM a UNION ALL SELECT key FROM b) ORDER BY doc_id LIMIT 40)
-    SELECT lang, doc_id FROM (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c)""",
-)
+LANGS = ["de", "en", "es", "fr"]
+
+
+def sessions_sql(langs: list[str], quota: int) -> str:
+    steps = ["f AS (SELECT min(doc_id) AS doc_id, lang, key FROM d GROUP BY lang, key)"]
+    for k, lang in enumerate(langs):
+        taken = " UNION ALL ".join(f"SELECT key FROM s{j}" for j in range(k))
+        steps.append(f"s{k} AS (SELECT * FROM f WHERE lang = '{lang}'{f' AND key NOT IN ({taken})' if k else ''} ORDER BY doc_id LIMIT {quota})")
+    return f"WITH {DOCS}, {', '.join(steps)} SELECT lang, doc_id FROM ({' UNION ALL '.join(f'SELECT * FROM s{k}' for k in range(len(langs)))})"
+
+
+@query("sequential_sessions", sessions_sql(LANGS, 40))
 def _(spark, sf):
-    return decontam.sequential_sessions(docs_key(spark, sf).select("doc_id", "lang", "key"), ["de", "en", "fr"], 40, "lang", "doc_id").select("lang", "doc_id")
+    return decontam.sequential_sessions(docs_key(spark, sf).select("doc_id", "lang", "key"), LANGS, 40, "lang", "doc_id").select("lang", "doc_id")
 
 
 @query("csv_split", "SELECT s_suppkey, array_to_string(list_filter(list_transform(string_split(s_name || ', ,' || s_nationkey || ',', ','), lambda x: trim(x)), lambda y: y <> ''), '|') AS parts FROM supplier")
@@ -562,14 +584,70 @@ def _(spark, sf):
     return windows.event_windows(e, "1 hour").withColumn("total", F.col("total").cast("double"))
 
 
-@query("normalize")
+CONTRACTED = ", ".join("('" + a.replace("'", "''") + f"', '{b}')" for a, b in text.CONTRACTIONS.items())
+WORTH = ", ".join(f"('{w}', {v})" for v, w in [*enumerate(text.UNITS), *((20 + 10 * k, w) for k, w in enumerate(text.TENS))])
+
+
+def normal_sql(source: str, ids: str) -> str:
+    """The normal form of texts: contractions written out word by word, then a step a word with the text so far, thousands, the part below, and whether a number is open."""
+    parts = f"string_split_regex(replace(lower(text), '’', chr(39)), '{SPACE}')"
+    return rf"""WITH RECURSIVE source AS ({source}), short AS (SELECT * FROM (VALUES {CONTRACTED}) t(a, b)), worth AS (SELECT * FROM (VALUES {WORTH}) t(w, v)),
+    raw AS (SELECT {ids}, unnest({parts}) AS w, generate_subscripts({parts}, 1) AS k FROM source WHERE text IS NOT NULL),
+    core AS (SELECT *, regexp_extract(w, '^([\p{{L}}'']*)', 1) AS c FROM raw),
+    plain AS (SELECT {ids}, string_agg(coalesce(b, c) || substr(w, length(c) + 1), ' ' ORDER BY k) AS t FROM core LEFT JOIN short ON a = c GROUP BY {ids}),
+    keyed AS (SELECT {ids}, {key_sql("replace(t, chr(39), '')")} AS t FROM plain),
+    words AS (SELECT {ids}, string_split(t, ' ') AS ws, t FROM keyed),
+    num AS (SELECT map_from_entries(list((w, v))) AS m FROM worth),
+    step AS (
+      SELECT {ids}, CAST(0 AS BIGINT) AS k, '' AS o, CAST(0 AS BIGINT) AS high, CAST(0 AS BIGINT) AS low, FALSE AS open FROM words
+      UNION ALL
+      SELECT {ids}, k + 1,
+        CASE WHEN kind IN ('join', 'hundred', 'thousand') THEN o WHEN kind = 'new' THEN flushed ELSE flushed || ' ' || w END,
+        CASE kind WHEN 'join' THEN high WHEN 'hundred' THEN high WHEN 'thousand' THEN low * 1000 ELSE 0 END,
+        CASE kind WHEN 'join' THEN low + v WHEN 'new' THEN v WHEN 'hundred' THEN low * 100 ELSE 0 END,
+        kind <> 'word'
+      FROM (SELECT *, CASE WHEN v IS NOT NULL AND open AND ((low % 100 = 0 AND (low > 0 OR high > 0)) OR (v BETWEEN 1 AND 9 AND low % 100 >= 20 AND low % 10 = 0)) THEN 'join'
+          WHEN v IS NOT NULL THEN 'new' WHEN w = 'hundred' AND open AND low BETWEEN 1 AND 9 THEN 'hundred' WHEN w = 'thousand' AND open AND high = 0 AND low BETWEEN 1 AND 999 THEN 'thousand' ELSE 'word' END AS kind,
+          CASE WHEN open THEN o || ' ' || (high + low) ELSE o END AS flushed
+        FROM (SELECT step.*, words.ws[step.k + 1] AS w, num.m[words.ws[step.k + 1]] AS v FROM step JOIN words USING ({ids}), num WHERE step.k < len(words.ws)))),
+    done AS (SELECT {ids}, CASE WHEN t = '' THEN '' ELSE substr(CASE WHEN open THEN o || ' ' || (high + low) ELSE o END, 2) END AS normal FROM step JOIN words USING ({ids}) WHERE k = len(ws))
+    SELECT {ids}, normal FROM source LEFT JOIN done USING ({ids})"""
+
+
+@query("normalize", normal_sql("SELECT conv_id, turn, text FROM conversations", "conv_id, turn"))
 def _(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", text.normalize(F.col("text")).alias("normal"))
 
 
-@query("render_schema")
+#: Number words and contractions in a text of every event, so that each rule of the normaliser is met.
+_TENS, _UNITS = (", ".join(f"'{w}'" for w in ws) for ws in (text.TENS, text.UNITS))
+SPOKEN_SQL = f"""SELECT event_id, 'What' || chr(39) || 's ' || ([{_TENS}])[event_id % 8 + 1] || ' ' || ([{_UNITS}])[event_id % 20 + 1] || ' ' || (['hundred', 'thousand', 'and', 'zero'])[event_id % 4 + 1]
+    || ' ' || ([{_UNITS}])[CAST(floor(event_id / 7) AS BIGINT) % 20 + 1] || ' I' || chr(39) || 'm ' || event_type || ' !' AS text FROM events"""
+
+
+def spoken() -> Column:
+    tens, units = (F.array(*map(F.lit, ws)) for ws in (text.TENS, text.UNITS))
+    ends = F.array(*map(F.lit, ("hundred", "thousand", "and", "zero")))
+    pick = lambda a, n: F.get(a, (n % F.size(a)).cast("int"))
+    k = F.col("event_id")
+    return F.concat_ws(" ", F.lit("What's"), pick(tens, k), pick(units, k), pick(ends, k), pick(units, F.floor(k / 7)), F.lit("I'm"), "event_type", F.lit("!"))
+
+
+@query("number_words", normal_sql(SPOKEN_SQL, "event_id"))
+def _(spark, sf):
+    return table(spark, sf, "events").select("event_id", text.normalize(spoken()).alias("normal"))
+
+
+@query(
+    "render_schema",
+    r"""SELECT event_id, '{k:' || CAST(props->>'k' AS VARCHAR) || '}' AS rendered, '{"k": ' || CAST(props->>'k' AS VARCHAR) || '}' AS canonical,
+      '{type:<escape>OBJECT<escape>,properties:{' || event_type || ':{type:<escape>STRING<escape>,n:' || user_id || ',x:[1.5,true,<escape>NULL<escape>,<escape>A"B, {:}<escape>]}},required:[<escape>' || upper(event_type) || '<escape>]}' AS nested,
+      '{"properties": {"' || event_type || '": {"n": ' || user_id || ', "type": "string", "x": [1.5, true, null, "a\"b, {:}"]}}, "required": ["' || event_type || '"], "type": "object"}' AS sorted FROM events""",
+)
 def _(spark, sf):
-    return table(spark, sf, "events").select("event_id", jsontext.render_schema("props").alias("rendered"), jsontext.canonical_json("props").alias("canonical"))
+    nested = F.concat(F.lit('{"type": "object", "properties": {"'), "event_type", F.lit('": {"type": "string", "n": '), "user_id", F.lit(r', "x": [1.5, true, null, "a\"b, {:}"]}}, "required": ["'), "event_type", F.lit('"]}'))
+    events = table(spark, sf, "events").withColumn("nested", nested)
+    return events.select("event_id", jsontext.render_schema(F.col("props")).alias("rendered"), jsontext.canonical_json("props").alias("canonical"), jsontext.render_schema(F.col("nested")).alias("nested"), jsontext.canonical_json("nested").alias("sorted"))
 
 
 @query(
@@ -582,10 +660,9 @@ def _(spark, sf):
     return decontam.drop_keyword_hits(table(spark, sf, "documents").select("source", "text"), hit, "source")[1]
 
 
-@query("siblings", "SELECT n_nationkey, n_name FROM nation WHERE n_name <> (SELECT min(n_name) FROM nation)")
+@query("siblings", "SELECT n_nationkey, n_name FROM nation WHERE n_nationkey <> 7")
 def _(spark, sf):
-    nations = table(spark, sf, "nation").select("n_nationkey", "n_name")
-    return catalog.siblings(nations, nations.agg(F.min("n_name")).first()[0], "n_name")
+    return catalog.siblings(table(spark, sf, "nation").select("n_nationkey", "n_name"), 7, "n_nationkey")
 
 
 @query("max_length", "SELECT CAST(least(max(length(text)) + 100, 2048) AS BIGINT) AS max_length FROM (SELECT text FROM benchmark ORDER BY item_id LIMIT 500)")

@@ -23,7 +23,7 @@ def test_flagship_plan(spark):
 
 def test_queries_have_names_and_sql():
     q, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
-    assert set(sql) <= set(q) and len(q) > 50
+    assert set(sql) <= set(q) and len(q) > 100
 
 
 def test_works_without_the_llm_folders(tmp_path):
@@ -31,3 +31,12 @@ def test_works_without_the_llm_folders(tmp_path):
     shutil.copy(f"{ROOT}/__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; assert len(e.queries()) > 40 and not any(n.startswith('op') for n in e.queries())"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, check=True)
+
+
+def test_works_without_what_the_llm_folder_needs(tmp_path):
+    shutil.copytree(f"{ROOT}/sparkcurate", tmp_path / "sparkcurate", ignore=shutil.ignore_patterns("__pycache__"))
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        shutil.copy(f"{ROOT}/{name}", tmp_path)
+    shutil.rmtree(tmp_path / "sparkcurate" / "llm", ignore_errors=True)
+    code = "import __spark_entry__ as e; assert len(e.queries()) > 40 and 'pipeline' not in e.queries() and set(e.oracle_sql()) <= set(e.queries())"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, check=True)

@@ -11,11 +11,16 @@ def verdicts(spark, rows):
     return spark.createDataFrame([(s, "c", c, e, p) for s, c, e, p in rows], V)
 
 
+# Six cases, with what a gate tells of them at a floor of -0.10.
+SIX = [("spine", -0.02, "current_time", "current_time"), ("spine", -0.03, "calculator", "open"), ("spine", -0.30, "calculator", "calculator"), ("spine", None, "greeting", None), ("spine", None, "NONE", None), ("spine", -0.04, "NONE", "open")]
+
+
 def test_gate_metrics(spark):
-    rows = [("spine", -0.05, "a", "a"), ("spine", -0.08, "b", "a"), ("spine", -0.2, "a", "a"), ("spine", None, "a", None), ("spine", -0.3, "none", "a"), ("spine", -0.01, "NONE", "a")]
-    m = metrics.gate_metrics(verdicts(spark, rows), -0.1).first()
-    assert (m.fired, m.correct, m.abst_pass, m.abst_total, m.pos_total) == (3, 1, 1, 2, 4)
-    assert (m.precision, m.recall, m.abstention) == (1 / 3, 0.25, 0.5)
+    m = metrics.gate_metrics(verdicts(spark, SIX), -0.1).first()
+    assert (m.fired, m.correct, m.precision, m.recall) == (2, 1, 0.5, 0.25)
+    assert (m.abst_pass, m.abst_total, m.abstention, m.pos_total) == (1, 2, 0.5, 4)
+    lower = metrics.gate_metrics(verdicts(spark, [(*x[:2], x[2].replace("NONE", "none"), x[3]) for x in SIX]), -0.1).first()
+    assert lower == m
 
 
 def test_vacuous_rates(spark):
@@ -37,13 +42,36 @@ def test_sweep_is_each_floor(spark):
         assert all(row[k] == alone[k] for k in ("fired", "correct", "abst_pass", "abst_total", "pos_total", "precision", "abstention", "recall"))
 
 
+def lowest(spark, rows, **kw):
+    return metrics.viable(metrics.floor_sweep(verdicts(spark, rows)), **kw).orderBy("floor").first()
+
+
+def test_lowest_viable_floor(spark):
+    m = lowest(spark, joint("generated"))
+    assert (m.floor, m.abstention, m.precision, m.fired) == (-0.11, 0.9, 1.0, 11)
+    good = [("generated", round(-0.01 * k, 4), "a", "a") for k in range(1, 16)] + [("generated", -0.6, "a", "a")] + [("generated", None, "NONE", None)] * 5
+    m = lowest(spark, good)
+    assert (m.floor, m.fired) == (-0.15, 15)
+    few = [("generated", -0.01 * k, "a", "a") for k in range(1, 5)] + [("generated", None, "NONE", None)] * 20
+    assert lowest(spark, few) is None
+    assert metrics.floor_sweep(verdicts(spark, [("spine", None, "a", None)])).count() == 0
+
+
+def test_sweep_of_skewed_confidences(spark):
+    rows = [("generated", -1000.0, "a", "a")] + [("generated", -k / 1e6, "a" if k % 3 else "NONE", "a") for k in range(700)]
+    v = verdicts(spark, rows)
+    for row in metrics.floor_sweep(v).where("floor IN (-1000.0, -0.0003, -0.000699)").collect():
+        alone = metrics.gate_metrics(v, row.floor).first()
+        assert all(row[k] == alone[k] for k in ("fired", "correct", "abst_pass", "precision", "abstention", "recall"))
+
+
 def test_derived_floors(spark):
-    spine = [("spine", -0.05, "a", "a")] * 5 + [("spine", None, "NONE", None)] * 3
+    ok = [("spine", -0.05, "a", "a")] * 5 + [("spine", None, "NONE", None)] * 3
     derive = lambda rows: tuple(metrics.derive_floor(verdicts(spark, rows), -0.06).first())
-    assert derive(spine + joint("generated")) == (-0.11, "derived")
-    assert derive(spine + [("spine", -0.04, "a", "b")] * 3 + joint("generated")) == (-0.06, "fallback")
-    assert derive(spine) == (-0.06, "fallback")
-    assert derive(spine + [("generated", -0.01, "a", "b")] * 30) == (-0.06, "fallback")
+    assert derive(ok + joint("generated")) == (-0.11, "derived")
+    assert derive(ok + [("spine", -0.04, "a", "b")] + joint("generated")) == (-0.06, "fallback")
+    assert derive(ok) == (-0.06, "fallback")
+    assert derive(ok + [("generated", -0.01, "a", "b")] * 30) == (-0.06, "fallback")
     with pytest.raises(ValueError):
         derive(joint("generated"))
 
@@ -119,6 +147,23 @@ def test_guard(spark):
     assert decontam.drop_keys(df, keys).count() == 0
 
 
+def test_first_rows_of_null_keys(spark):
+    rows = [(3, "a", "x"), (1, "a", "y"), (1, "a", "b"), (5, None, "z"), (4, None, "w"), (None, "c", "n"), (2, "c", "o")]
+    df = spark.createDataFrame(rows, "id long, k string, v string")
+    assert {(r.k, r.id) for r in ordering.keep_first_id(df, ["k"], "id").collect()} == {("a", 1), (None, 4), ("c", None)}
+    got = ordering.keep_first_id(df, ["k"], "id", keep=("v",)).collect()
+    assert {(r.k, r.id, r.v) for r in got} == {("a", 1, "b"), (None, 4, "w"), ("c", None, "n")} and len(got) == 3
+    whole = ordering.keep_first(df, ["k"], ["id", "v"]).collect()
+    assert {(r.k, r.id) for r in whole} == {(r.k, r.id) for r in got}
+
+
+def test_large_samples(spark):
+    df = spark.range(3000).repartition(5)
+    for n in (0, 1, 700, 2999, 3000, 5000):
+        a, b = ({r.id for r in ordering.sample_n(df, n, 2, "id", small=small).collect()} for small in (-1, 10_000))
+        assert a == b and len(a) == min(n, 3000)
+
+
 def test_splits_and_samples(spark):
     df = spark.range(1000).repartition(7)
     parts = {r.metadata: r["count"] for r in ordering.split_ratio(df, 0.9, 1, "id").groupBy("metadata").count().collect()}
@@ -178,16 +223,18 @@ def test_ab(spark):
     assert {r.clip: r.differs for r in ab.ab_compare(clips, spoken, side, models).collect()} == {"c1": False, "c2": True}
     cpu = spark.createDataFrame([("x", "a", 1, 1, 1234, 600, 100), ("x", "b", 1, 1, 2000, 600, 100), ("y", "a", 1, 2, 5, 600, 100)], "g string, label string, pid_before long, pid_after long, ticks long, elapsed long, clk_tck long")
     got = {r.g: (r.pct_first, r.pct_second, r.delta) for r in ab.cpu_delta(cpu, "g", "a", "b").collect()}
-    assert got == {"x": (2.06, 3.33, 1.27), "y": (None, None, None)}
+    assert got == {"x": (2.06, 3.33, -1.27), "y": (None, None, None)}
 
 
 def test_dataset(spark):
-    pos = spark.sql("SELECT concat('text ', id) AS text, 'tool' AS name, map('a', 'b') AS args FROM range(60)")
+    pos = spark.sql("SELECT concat('text ', id) AS text, 'tool' AS name, map('a', 'b') AS args, id AS ord FROM range(60)")
     neg = spark.sql("SELECT concat('neg ', id % 90) AS text, id AS ord FROM range(200)")
     held = spark.createDataFrame([("neg 3",)], "key string")
     rows = assemble.dataset(pos, neg, held, 1.0, 4)
     assert {r.metadata: r["count"] for r in rows.groupBy("metadata").count().collect()} == {"train": 108, "eval": 12}
     assert rows.where("text = 'neg 3'").count() == 0
+    again = assemble.dataset(pos.repartition(7), neg.repartition(3), held, 1.0, 4)
+    assert rows.select("metadata", "text").exceptAll(again.select("metadata", "text")).count() == 0
     tools = spark.sql("SELECT array('t') AS tools")
     last = assemble.attach_tools(rows, tools, "dev", "sorry").select(F.col("messages")[2].alias("m")).collect()
     assert sum(r.m.content == "sorry" for r in last) == 60 and sum(r.m.tool_calls is not None for r in last) == 60
@@ -203,3 +250,42 @@ def test_keyword_drop(spark):
         decontam.check_not_emptied(stats, "skill")
     with pytest.raises(ValueError):
         decontam.newline_guard(spark.createDataFrame([("a\nb",)], "t string"), "t")
+
+
+def test_banks_of_skills(spark):
+    skills, banks = spark.createDataFrame([("a",), ("b",)], "skill_id string"), spark.createDataFrame([("a", "t")], "skill_id string, text string")
+    with pytest.raises(expand.BankError, match="b"):
+        expand.with_banks(skills, banks)
+    assert {tuple(r) for r in expand.with_banks(skills, banks, allow_missing=True).collect()} == {("a", True), ("b", False)}
+
+
+def test_floors_of_cases(spark):
+    groups = spark.createDataFrame([("a",), ("b",), ("c",), ("NONE",)], "g string")
+    rows = spark.createDataFrame([("a",)] * 2 + [("b",)] * 9 + [("c",)] * 10 + [("NONE",)] * 19, "g string")
+    status = lambda r: {x.g: x.status for x in metrics.per_group_floors(groups, r, "g").collect()}
+    assert status(rows) == {"a": "fatal", "b": "thin", "c": "ok", "NONE": "fatal"}
+    assert status(rows.unionByName(spark.createDataFrame([("NONE",)], "g string")))["NONE"] == "ok"
+
+
+def test_templates(spark):
+    t = spark.createDataFrame([("{a} or {b}",), ("say {}",)], "template string")
+    e = spark.createDataFrame([("x", "y", "z")], "a string, b string, entity string")
+    assert {r.text for r in expand.template_cross(t, e).collect()} == {"x or y", "say z"}
+    assert expand.template_cross(t.limit(0), e).columns == ["a", "b", "entity", "template", "text"]
+
+
+def test_content_hash(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "t string")
+    first = publish.multiset_hash(df, "t").first()
+    assert first == publish.multiset_hash(df.repartition(3), "t").first() != publish.multiset_hash(df.distinct(), "t").first()
+    assert publish.multiset_hash(df.limit(0), "t").first().n == 0
+
+
+def test_fingerprint(spark):
+    import hashlib
+    import json
+
+    facts = {"id": "a.b", "description": 'q"é', "parameters": {"type": "object", "n": 1.5}, "examples": ["x", "y"]}
+    df = spark.createDataFrame([("a.b", 'q"é', '{"type": "object", "n": 1.50}', ["y", "x"]), ("a", "d", "{", None)], "i string, d string, p string, t array<string>")
+    got = [r[0] for r in df.select(catalog.fingerprint(F.col("i"), F.col("d"), F.col("p"), F.col("t"))).collect()]
+    assert got == [hashlib.sha256(json.dumps(facts, sort_keys=True, ensure_ascii=False).encode()).hexdigest(), None]

@@ -37,10 +37,11 @@ def test_cases(spark, tmp_path):
 
 
 def test_verdicts(spark, tmp_path):
-    put(tmp_path, "log", "noise\nVERBOSE\tc\t-0.05\ta\ta\tsay\tit\nVERBOSE\tc\tNaN\tNONE\tNONE\tx\nthreshold:  MIN_ROUTER_CONFIDENCE = -0.01\nthreshold:  MIN_ROUTER_CONFIDENCE = -0.06\n")
+    put(tmp_path, "log", "noise\nVERBOSE\tc\t-0.05\ta\ta\tsay\tit\nVERBOSE\tc\tNaN\tNONE\tNONE\tx\nVERBOSE\tc\t0.5\ta\tnone\ty\nthreshold:  MIN_ROUTER_CONFIDENCE = -0.01\nthreshold:  MIN_ROUTER_CONFIDENCE = -0.06\n")
     cases, threshold = text_files.verdicts(spark, f"{tmp_path}/log")
     rows = cases.orderBy("utterance").collect()
     assert threshold == -0.06 and rows[0].utterance == "say\tit" and (rows[1].conf, rows[1].pick) == (None, None)
+    assert (rows[2].conf, rows[2].pick) == (0.5, "none")
     put(tmp_path, "bad", "VERBOSE\tc\t1\ta\n")
     with pytest.raises(text_files.SourceError):
         text_files.verdicts(spark, f"{tmp_path}/bad")
@@ -56,8 +57,21 @@ def test_front_matter(spark, tmp_path):
     put(tmp_path / "a", "SKILL.it.md", manifest("it"))
     put(tmp_path / "b", "SKILL.md", "no head")
     heads = text_files.front_matter(spark, str(tmp_path), parse=json.loads)
-    text = lambda locale: text_files.skills_of(heads, locale).first().examples[0].text
-    assert text("it") == "utterance-it" and text("de") == "utterance-en"
+    first = lambda locale: text_files.skills_of(heads, locale).first()
+    assert first("it").examples[0].text == "utterance-it" and first("de").examples[0].text == "utterance-en"
+    assert [e.text for e in first("it").examples] == ["utterance-it", " "]
+    put(tmp_path / "a", "SKILL.it.md", "---\n{broken\n---\n")
+    assert first("it") is None and first("en") is not None
+
+
+def test_yaml_front_matter(spark):
+    pytest.importorskip("yaml")
+    text = "---\ndescription: >\n  two\n  lines\nmetadata:\n  skill:\n    id: x.y\n    examples:\n    - text: go\n      args: {to: there}\n---\nbody\n---\n"
+    files = spark.createDataFrame([("d", "SKILL.en.md", text), ("e", "SKILL.md", "none"), ("f", "SKILL.md", "---\n[1\n---\n")], "dir string, file_name string, value string")
+    heads = text_files.heads_of(files)
+    assert {r.dir: r["head"] is None for r in heads.collect()} == {"d": False, "e": True, "f": True}
+    got = text_files.skills_of(heads, "it").collect()
+    assert [(r.id, r.description, r.examples[0].args) for r in got] == [("x.y", "two lines\n", {"to": "there"})]
 
 
 def test_audio_and_sidecars(spark, tmp_path):
@@ -84,6 +98,23 @@ def test_sinks(spark, tmp_path):
     assert text_files.eval_cases(spark, [f"{tmp_path}/out"]).count() == 3
 
 
+def test_drafts_stay_unseen(spark, tmp_path):
+    drafts = spark.sql("SELECT 's1' AS skill_id, 3 AS target, 2 AS cap, 1 AS frame_ord, 'go {A}' AS text, map('x', '{A}') AS args UNION ALL SELECT 's1', 3, 2, 0, 'first', map()")
+    sinks.write_drafts(drafts, "en", str(tmp_path))
+    assert [p.name for p in tmp_path.glob("*.json")] == ["draft-frames.s1.en.json"]
+    with pytest.raises(text_files.SourceError):
+        text_files.frames(spark, str(tmp_path), "en").count()
+    (tmp_path / "draft-frames.s1.en.json").rename(tmp_path / "frames.s1.en.json")
+    assert [r.text for r in text_files.frames(spark, str(tmp_path), "en").orderBy("frame_ord").collect()] == ["first", "go {A}"]
+
+
+def test_sample_lines(spark, tmp_path):
+    df = spark.createDataFrame([("eval", "é", 0), ("train", "b", 1), ("train", "a", 0)], "metadata string, t string, ord long")
+    sinks.write_sample_lines(df, ["ord"], f"{tmp_path}/out")
+    text = "".join(p.read_text() for p in sorted((tmp_path / "out").glob("part-*")))
+    assert text.splitlines() == ['{"metadata":"train","t":"a"}', '{"metadata":"train","t":"b"}', '{"metadata":"eval","t":"é"}']
+
+
 def test_stream_windows(spark, tmp_path):
     rows = [("k", float(i), i == 6) for i in range(7)]
     spark.createDataFrame(rows, "key string, v double, last boolean").coalesce(1).write.parquet(f"{tmp_path}/in")

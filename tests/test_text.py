@@ -90,6 +90,27 @@ def test_small_functions(spark):
     assert spark.range(1).select(text.percent(F.lit(0.825))).first()[0] == "82%"
 
 
-def test_rendered_schema(spark):
-    assert one(spark, jsontext.render_schema, '{"a": "x", "b": [true, null, 2]}') == "{a:<escape>X<escape>,b:[true,<escape>NULL<escape>,2]}"
+RENDERED = [
+    ('{"a": "x", "b": [true, null, 2]}', "{a:<escape>X<escape>,b:[true,<escape>NULL<escape>,2]}"),
+    ('{"k": "a\\"b, {c}: [d]", "e": {}, "f": []}', '{k:<escape>A"B, {C}: [D]<escape>,e:{},f:[]}'),
+    ('{"\\u00e9": "\\u00e9", "n": [1.50, -2, 1e2, false]}', "{é:<escape>É<escape>,n:[1.5,-2,100.0,false]}"),
+    ('"text"', "<escape>TEXT<escape>"),
+    ("null", "<escape>NULL<escape>"),
+    ('{"a": ', None),
+    ("", None),
+    (None, None),
+]
+
+
+@pytest.mark.parametrize("value, expected", RENDERED)
+def test_rendered_schema(spark, value, expected):
+    assert one(spark, jsontext.render_schema, value) == expected
+
+
+def test_json_texts(spark):
     assert one(spark, jsontext.canonical_json, '{"b":1,"a":{"d":"é","c":2}}') == '{"a": {"c": 2, "d": "é"}, "b": 1}'
+    assert one(spark, jsontext.canonical_json, "{") is None
+    assert one(spark, jsontext.json_string, 'a"é\n') == '"a\\"é\\n"'
+    skills = spark.createDataFrame([("b", "B", "{}", 2), ("a", "A", '{"x": null}', 1)], "alias string, description string, parameters string, ord long")
+    told = jsontext.declarations(skills).first()
+    assert told.tools == 2 and told.declarations.startswith("<start_function_declaration>declaration:a{description:<escape>A<escape>,parameters:{x:<escape>NULL<escape>}}<end_function_declaration>")
