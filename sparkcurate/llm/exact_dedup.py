@@ -6,13 +6,14 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from .shared import new_folder, written
+from .shared import forget, new_folder, placed, remove, written
 
-#: Up to so many digests (32 bytes each) are broadcast to find the hits; more are joined by a salted shuffle.
-BROADCAST_DIGESTS = 500_000
-SALTS = 64
+#: Up to so many digests that occur more than once go to all tasks with what the state has of them, some 200 bytes
+#: each; more are joined by a shuffle, in which only those of over HOT_ROWS rows, spread by salts, go apart.
+BROADCAST_DIGESTS = 100_000
+#: Rows of a digest that one task joins or compares; more where a table has over BROADCAST_DIGESTS times so many rows.
+HOT_ROWS = 20_000
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
@@ -41,95 +42,121 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(flat, " {2,}", " ")
 
 
-def located(docs: DataFrame, label: str) -> DataFrame:
-    """docs with its rows' places, __file and __row; a frame that isn't a plain scan is written down first."""
-    try:
-        return docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-    except AnalysisException:
-        return located(written(docs, label), label)
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_bits: int = 256, bytes_per_trigger: int = 16 << 30) -> DataFrame:
+    """One row per row of docs: id, keep_id, group_size, kept, text_sha256.
 
+    Null text equals the empty text. A null id ranks after all others. Of rows that repeat both id and
+    text just one is kept (the first by place). An empty table gives no rows. Other columns, of any
+    name, are ignored. digest_bits below 256 makes collisions, for tests.
+    """
+    return _dedup(placed(docs.select(id_col, text_col), "located"), id_col, text_col, digest_bits, bytes_per_trigger).drop("file", "at")
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_bits: int = 256, bytes_per_trigger: int = 16 << 30) -> DataFrame:
-    """One row per row of docs: id, keep_id, group_size, kept, text_sha256, __file, __row (the row's place).
 
-    A stream reads (digest, id, place) and keeps, per digest, the smallest id with its place and the
-    number of rows, in RocksDB state without a watermark, so nothing expires and memory stays bounded.
-    Every row of a digest seen more than once then has its full text compared (the smallest and the
-    largest text of the digest must be the same bytes); digests that different texts share are split by text.
+def _dedup(rows: DataFrame, id_col: str, text_col: str, digest_bits: int = 256, bytes_per_trigger: int = 16 << 30) -> DataFrame:
+    """exact_dedup() of placed() rows, with each row's place (file, at).
 
-    Null text equals the empty text. A null id ranks after all others. Of rows that repeat both id and
-    text just one is kept (the first by place). An empty table gives no rows. Other columns are ignored.
-    digest_bits below 256 makes collisions, for tests.
+    A stream reads (digest, id, place) and keeps, per digest, the smallest id with its place, the content
+    locator, and the number of rows, in RocksDB state without a watermark, so nothing expires and memory
+    stays bounded. Every row of a digest seen more than once, a hit, then has its full text compared with
+    that at the locator; digests that different texts share are split by text.
     """
-    spark = docs.sparkSession
-    if "__file" not in docs.columns:
-        docs = located(docs, "located")
-    docs = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"), "__file", "__row")
-    digest = F.sha2(normalised(F.col("__text")), 256)
+    spark = rows.sparkSession
+    base = rows.select(F.col("row")[id_col].alias("id"), normalised(F.col("row")[text_col]).alias("norm"), "file", "at")
+    digest = F.sha2("norm", 256)
     key = F.unhex(digest if digest_bits == 256 else F.substring(digest, 1, digest_bits // 4))
-    base = docs.withColumn("__norm", normalised(F.col("__text"))).withColumn("__key", key)
-    keyed_path = new_folder(spark, "keyed")
-    docs.select("__id", "__file", "__row", digest.alias("__sha"), key.alias("__key")).write.parquet(keyed_path)
-    keyed = spark.read.parquet(keyed_path)
-
-    first = F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__file").alias("file"), F.col("__row").alias("row")))
-    state_path = new_folder(spark, "state")
-    with settings(spark, ROCKSDB):
-        stream = spark.readStream.schema(keyed.schema).option("maxBytesPerTrigger", bytes_per_trigger).parquet(keyed_path)
-        seen = stream.groupBy("__key").agg(first.alias("first"), F.count(F.lit(1)).alias("n"))
-        query = seen.writeStream.format("noop").outputMode("update").option("checkpointLocation", state_path).trigger(availableNow=True).start()
-        query.awaitTermination()
-        if query.lastProgress is None or not spark.read.parquet(keyed_path).take(1):
-            state = seen_batch(keyed, first)
-        else:
-            kept = spark.read.format("statestore").load(state_path)
-            buffers = kept.schema["value"].dataType.fieldNames()
-            state = written(kept.select(F.col("key.__key").alias("__key"), F.col("value")[buffers[0]].alias("first"), F.col("value")[buffers[1]].alias("n")), "seen")
-
-    hit_keys = state.where("n > 1").select("__key")
-    n_hits = hit_keys.count()
-    if n_hits <= BROADCAST_DIGESTS:
-        hits = base.join(F.broadcast(hit_keys), "__key", "left_semi")
-    else:
-        salted = hit_keys.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        hits = base.withColumn("__salt", F.pmod(F.col("__row"), F.lit(SALTS)).cast("int")).join(salted, ["__key", "__salt"], "left_semi")
-    mixed = hits.groupBy("__key").agg(F.min("__norm").alias("a"), F.max("__norm").alias("b")).where("a <> b").select("__key")
-    mixed = written(mixed, "mixed")
-    out = keyed.join(state, "__key")
-    if n_hits and mixed.take(1):
-        split = base.join(mixed, "__key", "left_semi").groupBy("__key", "__norm").agg(first.alias("first"), F.count(F.lit(1)).alias("n"))
-        again = base.join(mixed, "__key", "left_semi").select("__id", "__file", "__row", F.sha2("__norm", 256).alias("__sha"), "__key", "__norm")
-        out = out.join(mixed, "__key", "left_anti").unionByName(again.join(split, ["__key", "__norm"]).drop("__norm"))
+    keyed = written(base.select("id", "file", "at", digest.alias("sha"), key.alias("key")), "keyed")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "file", "at"))
+    state = seen(keyed, first, bytes_per_trigger)
+
+    hits = written(state.where("n > 1"), "hits")
+    n_hits = hits.count()
+    # so that there are at most BROADCAST_DIGESTS hot digests
+    hot_rows = max(HOT_ROWS, -(-keyed.count() // max(1, BROADCAST_DIGESTS)))
+    out = _joined(keyed, hits, n_hits, hot_rows)
+    mixed = None
+    if n_hits:
+        texts = _joined(base.withColumn("key", key), hits, n_hits, hot_rows, inner=True)
+        mixed = written(_different(texts, hot_rows), "mixed")
+        if not mixed.take(1):
+            forget(mixed)
+            mixed = None
+    own = F.struct(F.col("id").isNull().alias("none"), "id", "file", "at")
+    out = out.withColumn("first", F.coalesce("first", own)).withColumn("n", F.coalesce("n", F.lit(1)))
+    if mixed is not None:
+        again = base.withColumn("key", key).join(mixed, "key", "left_semi")
+        split = written(again.groupBy("key", "norm").agg(first.alias("first"), F.count(F.lit(1)).alias("n")), "split")
+        whole = again.join(split, ["key", "norm"]).select("key", "id", "file", "at", F.sha2("norm", 256).alias("sha"), "first", "n")
+        out = out.join(mixed, "key", "left_anti").select(whole.columns).unionByName(whole)
     return out.select(
-        F.col("__id").alias(id_col),
+        F.col("id").alias(id_col),
         F.col("first.id").alias("keep_id"),
         F.col("n").cast("long").alias("group_size"),
-        ((F.col("__file") == F.col("first.file")) & (F.col("__row") == F.col("first.row"))).alias("kept"),
-        F.col("__sha").alias("text_sha256"),
-        "__file",
-        "__row",
+        ((F.col("file") == F.col("first.file")) & (F.col("at") == F.col("first.at"))).alias("kept"),
+        F.col("sha").alias("text_sha256"),
+        "file",
+        "at",
     )
 
 
-def seen_batch(keyed: DataFrame, first: Column) -> DataFrame:
-    """The state's columns for a table without rows, for which no state is written."""
-    return keyed.groupBy("__key").agg(first.alias("first"), F.count(F.lit(1)).alias("n"))
+def seen(keyed: DataFrame, first: Column, bytes_per_trigger: int) -> DataFrame:
+    """(key, first, n): the state after the whole of keyed, a table of written(), went through the stream."""
+    spark = keyed.sparkSession
+    state = keyed.groupBy("key").agg(first.alias("first"), F.count(F.lit(1)).alias("n"))
+    if not keyed.take(1):  # a stream of nothing writes no state
+        return state
+    path = new_folder(spark, "state")
+    with settings(spark, ROCKSDB):
+        stream = spark.readStream.schema(keyed.schema).option("maxBytesPerTrigger", bytes_per_trigger).parquet(keyed._written_at)
+        agg = stream.groupBy("key").agg(first.alias("first"), F.count(F.lit(1)).alias("n"))
+        query = agg.writeStream.format("noop").outputMode("update").option("checkpointLocation", path).trigger(availableNow=True).start()
+        query.awaitTermination()
+        kept = spark.read.format("statestore").load(path)
+        buffers = kept.schema["value"].dataType.fieldNames()
+        kept = kept.select(F.col("key.key").alias("key"), F.col("value")[buffers[0]].alias("first"), F.col("value")[buffers[1]].alias("n"))
+        table = written(kept.where("n > 1"), "seen")  # the others' rows tell all that the state has of them
+    remove(spark, path)
+    return table
+
+
+def _salts(hot_rows: int) -> Column:
+    """Over how many tasks the rows of a digest are spread."""
+    return F.ceil(F.col("n") / hot_rows).cast("int")
+
+
+def _joined(rows: DataFrame, hits: DataFrame, n_hits: int, hot_rows: int, inner: bool = False) -> DataFrame:
+    """rows with what the state has of their digest, first and n: null for digests seen once, or without these rows if inner."""
+    how = "inner" if inner else "left"
+    if n_hits <= BROADCAST_DIGESTS:
+        return rows.join(F.broadcast(hits), "key", how)
+    hot = F.broadcast(hits.where(F.col("n") > hot_rows).select("key", _salts(hot_rows).alias("salts")))
+    spread = rows.join(hot, "key", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("file", "at"), F.col("salts")).cast("int"), F.lit(0))).drop("salts")
+    salted = hits.withColumn("salt", F.explode(F.sequence(F.lit(0), _salts(hot_rows) - 1)))
+    return spread.join(salted, ["key", "salt"], how).drop("salt")
+
+
+def _different(hits: DataFrame, hot_rows: int) -> DataFrame:
+    """(key) of digests with a text that isn't the one at the digest's locator. Each task compares at most hot_rows rows of a digest with it."""
+    here = (F.col("file") == F.col("first.file")) & (F.col("at") == F.col("first.at"))
+    hits = hits.select("key", "norm", "n", here.alias("here"), F.pmod(F.xxhash64("file", "at"), _salts(hot_rows)).cast("int").alias("salt"))
+    located = hits.where("here").select("key", F.col("norm").alias("whole"), F.explode(F.sequence(F.lit(0), _salts(hot_rows) - 1)).alias("salt"))
+    both = hits.where("NOT here").select("key", "norm", "salt").join(located.hint("merge"), ["key", "salt"])
+    return both.where("norm <> whole").select("key").distinct()
 
 
-def drop_repeats(docs: DataFrame, limit: int = 200_000, **kw) -> DataFrame:
-    """The rows of docs that exact_dedup keeps, with all their columns.
+def drop_repeats(docs: DataFrame, limit: int = 200_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that exact_dedup keeps, with all their columns, whatever their names.
 
     Dropped rows' places are broadcast while they are at most limit, else joined by a shuffle.
     """
-    docs = located(docs, "located")
-    gone = written(exact_dedup(docs, **kw).where("not kept").select("__file", "__row"), "gone")
+    rows = placed(docs, "located")
+    gone = written(_dedup(rows, id_col, text_col).where("NOT kept").select("file", "at"), "gone")
     gone = F.broadcast(gone) if gone.count() <= limit else gone
-    return docs.join(gone, ["__file", "__row"], "left_anti").drop("__file", "__row")
+    return rows.join(gone, ["file", "at"], "left_anti").select("row.*")
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return exact_dedup(docs).drop("__file", "__row")
+    return exact_dedup(docs)
 
 
 OP8_SQL = r"""

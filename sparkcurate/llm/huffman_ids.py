@@ -12,19 +12,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from .piece_cache import PieceCache, joined_encode, spaced_keys
-from .shared import bounded_batches, filesystem, kept, load, new_folder, remove, written
+from .shared import bounded_batches, filesystem, forget, kept, literal, load, new_folder, remove, scanned, written
 
 MAGIC = b"HUFIDS01"
-#: Longest code in bits; the decoding table has 2**MAX_BITS entries.
+#: Longest code in bits, more only where more ids occur than that has codes for; the decoding table has an entry for each such code.
 MAX_BITS = 20
 #: Ids in a block and between two checkpoints.
 BLOCK_IDS = 1 << 20
 STEP_IDS = 256
-#: Code lengths are computed in the driver; no vocabulary may be larger.
-MAX_VOCABULARY = 1 << 20
 #: Documents of a file, about, where they have to be put in order first.
 FILE_DOCS = 14_000
 
@@ -32,6 +29,8 @@ FILE_DOCS = 14_000
 NO_ID = -(1 << 63)
 #: Files whose counts one task adds up.
 COUNTED = 256
+#: Files that one task numbers.
+NUMBERED = 4_096
 #: Pieces of text whose ids a worker remembers.
 CACHED = 700_000
 #: How byte-level BPE writes the byte of a space.
@@ -101,8 +100,7 @@ def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
     if len(used) < 2:
         lengths[used] = 1
         return lengths
-    if len(used) > 1 << max_bits:
-        raise ValueError(f"{len(used)} ids need codes of more than {max_bits} bits")
+    max_bits = max(max_bits, (len(used) - 1).bit_length())
     order = used[np.argsort(counts[used], kind="stable")]
     weights = counts[order].astype(np.float64)
     levels = []
@@ -184,8 +182,9 @@ def unpack(data: bytes, n: int, checkpoints: np.ndarray, table: np.ndarray, top:
 class Writer:
     """Writes blocks; the file's end holds the directory: code lengths, blocks, documents."""
 
-    def __init__(self, out, lengths: np.ndarray) -> None:
-        self.out, self.lengths, self.codes = out, lengths, canonical_codes(lengths)
+    def __init__(self, out, lengths: np.ndarray, start: int = 0) -> None:
+        """start: the ids of all documents before the file's first."""
+        self.out, self.lengths, self.codes, self.start = out, lengths, canonical_codes(lengths), start
         self.at, self.blocks, self.marks, self.parts, self.held = len(MAGIC), [], [], [], 0
         self.ids: list[int] = []
         self.sizes: list[int] = []
@@ -210,7 +209,7 @@ class Writer:
         if self.held:
             self._block(np.concatenate(self.parts))
         body = [self.lengths.astype("<u1"), np.array(self.blocks, "<i8").reshape(-1), np.concatenate([*self.marks, np.zeros(0, "<u4")]), np.array(self.ids, "<i8"), np.array(self.sizes, "<i8")]
-        packed = zlib.compress(struct.pack("<5q", *map(len, body)) + b"".join(x.tobytes() for x in body), 1)
+        packed = zlib.compress(struct.pack("<6q", self.start, *map(len, body)) + b"".join(x.tobytes() for x in body), 1)
         self.out.write(packed + struct.pack("<q", len(packed)) + MAGIC)
 
 
@@ -224,7 +223,8 @@ class Reader:
             raise ValueError("not a file of Huffman-coded ids, or not whole")
         n = struct.unpack("<q", tail[:8])[0]
         body = zlib.decompress(file.read_at(n, size - 8 - len(MAGIC) - n))
-        counts, at, parts = struct.unpack("<5q", body[:40]), 40, []
+        self.start, *counts = struct.unpack("<6q", body[:48])
+        at, parts = 48, []
         for count, kind in zip(counts, ("<u1", "<i8", "<u4", "<i8", "<i8"), strict=True):
             parts.append(np.frombuffer(body, kind, count, at))
             at += parts[-1].nbytes
@@ -256,16 +256,16 @@ def _texts(batch: pa.RecordBatch, column: str) -> Iterator[str]:
     return (x or "" for x in batch.column(column).to_pylist())
 
 
-def blocks_in_order(docs: DataFrame, id_col: str) -> DataFrame | None:
-    """docs with the place of each row's part of its file, __file and __block, if the ids ascend within all parts and parts don't overlap.
+def blocks_in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame | None:
+    """(id, text, file, block) with the place of each row's part of its file, if the ids ascend within all parts and parts don't overlap.
 
     Then nothing has to be sorted. Only the ids are read to tell. None if they don't, or if docs isn't a
     plain scan.
     """
-    try:
-        placed = docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"))
-    except AnalysisException:
+    placed = scanned(docs, ["file_path", "file_block_start"])
+    if placed is None:
         return None
+    placed = placed.select(F.col("row")[id_col].cast("long").alias("id"), F.col("row")[text_col].alias("text"), F.col("file_path").alias("file"), F.col("file_block_start").alias("block"))
 
     def bounds(batches):
         now, low, last, ascending, out = None, 0, 0, True, []
@@ -285,11 +285,36 @@ def blocks_in_order(docs: DataFrame, id_col: str) -> DataFrame | None:
         types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)], ["file", "block", "low", "high", "ascending"])
 
-    parts = placed.select(F.col(id_col).cast("long"), "__file", "__block").mapInArrow(bounds, "file string, block long, low long, high long, ascending boolean")
-    before = F.lag("high").over(Window.orderBy("low", "high"))
-    twice = F.count(F.lit(1)).over(Window.partitionBy("file", "block"))
-    wrong = parts.select("ascending", (before > F.col("low")).alias("overlaps"), (twice > 1).alias("twice")).where("NOT ascending OR overlaps OR twice")
-    return None if wrong.take(1) else placed
+    parts = written(placed.select("id", "file", "block").mapInArrow(bounds, "file string, block long, low long, high long, ascending boolean"), "bounds")
+    dealt = ranged(parts, ["low", "high"])
+    ends = sorted(tuple(r) for r in dealt.groupBy("bucket").agg(F.min("low"), F.max("high")).collect())
+    good = all(x[2] <= y[1] for x, y in zip(ends, ends[1:], strict=False))
+    before = F.lag("high").over(Window.partitionBy("bucket").orderBy("low", "high"))
+    good = good and not dealt.select("ascending", (before > F.col("low")).alias("overlaps")).where("NOT ascending OR overlaps").take(1)
+    good = good and not parts.groupBy("file", "block").count().where("count > 1").take(1)
+    forget(parts, dealt)
+    return placed if good else None
+
+
+def ranged(table: DataFrame, order: list[str]) -> DataFrame:
+    """table with bucket: ranges of the order, of about NUMBERED rows; written down, for a repeated task might draw other ranges."""
+    n = table.count() // NUMBERED + 1
+    return written(table.repartitionByRange(n, *order).withColumn("bucket", F.spark_partition_id()), "ranged")
+
+
+def in_order(table: DataFrame, order: list[str], total: str) -> DataFrame:
+    """table with file_no, its row's number in the order, and start, the sum of total over all rows before. Rows are counted by buckets, of which the driver has one sum each."""
+    dealt = ranged(table, order)
+    sums = sorted((r["bucket"], r["n"], r["t"]) for r in dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(total).alias("t")).collect())
+    before, rows_, ids = [], 0, 0
+    for bucket, n, t in sums:
+        before.append((bucket, rows_, ids))
+        rows_, ids = rows_ + n, ids + t
+    first = literal(table.sparkSession, before, "bucket int, rows_before bigint, ids_before bigint")
+    within = Window.partitionBy("bucket").orderBy(*order)
+    number = F.row_number().over(within) - 1 + F.col("rows_before")
+    start = F.coalesce(F.sum(total).over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("ids_before")
+    return dealt.join(F.broadcast(first), "bucket").withColumn("file_no", number.cast("long")).withColumn("start", start.cast("long")).drop("bucket", "rows_before", "ids_before")
 
 
 def _parts_of(batch: pa.RecordBatch) -> Iterator[tuple[tuple, int, int]]:
@@ -306,8 +331,8 @@ def write_raw(docs: DataFrame, tokenizer: str, folder: str, end_id: int, id_col:
     """Encodes the documents in order of id; each task writes its ids as they are, compressed, a file for each part.
 
     Parts of input files that are in order stay as they are; else the documents are dealt out and
-    sorted by id. Returns (file_no, raw, n_docs, n_ids, docs, sizes, used, n): the last four are arrays
-    in bytes, of the documents' ids and sizes and of the ids that occur with their counts.
+    sorted by id. Returns (file_no, start, raw, n_docs, n_ids, docs, sizes, used, n): the last four are
+    arrays in bytes, of the documents' ids and sizes and of the ids that occur with their counts.
     """
 
     def write(batches):
@@ -346,8 +371,8 @@ def write_raw(docs: DataFrame, tokenizer: str, folder: str, end_id: int, id_col:
                     now, name, docs, sizes, total, held = key, f"raw-{uuid.uuid4().hex}", [], [], np.zeros(1, np.int64), []
                     out = fs.open_output_stream(f"{path}/{name}", compression=None)
                 part = batch.slice(a, b - a)
-                docs += (NO_ID if d is None else d for d in part.column(id_col).to_pylist())
-                for ids in cache.texts(_texts(part, text_col)):
+                docs += (NO_ID if d is None else d for d in part.column("id").to_pylist())
+                for ids in cache.texts(_texts(part, "text")):
                     held += [ids, end]
                     sizes.append(len(ids) + 1)
                     if len(held) >= 1024:
@@ -356,18 +381,14 @@ def write_raw(docs: DataFrame, tokenizer: str, folder: str, end_id: int, id_col:
             yield close()
 
     schema = "low long, high long, raw string, n_docs long, n_ids long, docs binary, sizes binary, used binary, n binary"
-    placed = blocks_in_order(docs, id_col)
-    if placed is not None:
-        dealt = placed.select(id_col, text_col, "__file", "__block")
-    else:
-        parts = docs.count() // FILE_DOCS + 1
-        dealt = docs.select(id_col, text_col).repartitionByRange(parts, id_col).sortWithinPartitions(id_col)
-        dealt = dealt.select(id_col, text_col, F.lit("").alias("__file"), F.spark_partition_id().cast("long").alias("__block"))
+    dealt = blocks_in_order(docs, id_col, text_col)
+    if dealt is None:
+        plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+        parts = plain.count() // FILE_DOCS + 1
+        dealt = plain.repartitionByRange(parts, "id").sortWithinPartitions("id").select("id", "text", F.lit("").alias("file"), F.spark_partition_id().cast("long").alias("block"))
     bounded_batches(docs.sparkSession)
     raw = written(dealt.mapInArrow(write, schema), "raw-ids")
-    order = Window.orderBy("low", "high", "raw")
-    numbers = raw.select("raw", (F.row_number().over(order) - 1).cast("long").alias("file_no"))
-    return raw.join(numbers, "raw")
+    return raw.join(in_order(raw.select("raw", "low", "high", "n_ids"), ["low", "high", "raw"], "n_ids").select("raw", "file_no", "start"), "raw")
 
 
 RAW = pa.schema([("low", pa.int64()), ("high", pa.int64()), ("raw", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("docs", pa.binary()), ("sizes", pa.binary()), ("used", pa.binary()), ("n", pa.binary())])
@@ -395,16 +416,15 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, id_
     """Encodes every document, writes the ids' files into folder in ascending order of id, returns (file_no, file, n_docs, n_ids).
 
     First the ids are put down raw with their counts; the counts' table has one row an id of the
-    vocabulary and gives the code lengths; then each raw file becomes a coded one. A repeated task
-    writes a file of another name, and only the files returned count. Null ids come first, null text
-    counts as empty, rows with equal ids stay next to each other; no documents give no files.
+    vocabulary, whose file each worker holds, and gives the code lengths; then each raw file becomes a
+    coded one, which says how many ids come before it. A repeated task writes a file of another name, and
+    only the files returned count. Null ids come first, null text counts as empty, rows with equal ids
+    stay next to each other; no documents give no files. Other columns, of any name, are ignored.
     """
     spark = docs.sparkSession
     raw = write_raw(docs, tokenizer, f"{folder}/raw", end_id, id_col, text_col)
     counts = id_counts(raw).collect()
     table = np.zeros(max((r["id"] for r in counts), default=0) + 1, np.int64)
-    if len(table) > MAX_VOCABULARY:
-        raise ValueError(f"vocabularies of more than {MAX_VOCABULARY} ids aren't supported")
     for r in counts:
         table[r["id"]] = r["n"]
     lengths = code_lengths(table, max_bits).tobytes()
@@ -420,7 +440,7 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, id_
                 out_fs.create_dir(out_path, recursive=True)
                 name = f"ids-{row['file_no']:06d}-{uuid.uuid4().hex}.huf"
                 with fs.open_input_stream(path) as f, out_fs.open_output_stream(f"{out_path}/{name}") as out:
-                    writer = Writer(out, sizes)
+                    writer = Writer(out, sizes, row["start"])
                     writer.ids, writer.sizes = np.frombuffer(row["docs"], "<i8"), np.frombuffer(row["sizes"], "<i8")
                     while head := f.read(16):
                         n, width = struct.unpack("<qq", head)
@@ -428,7 +448,7 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, id_
                     writer.close()
                 yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (row["file_no"], f"{folder}/{name}", row["n_docs"], row["n_ids"])], ["file_no", "file", "n_docs", "n_ids"])
 
-    dealt = raw.select("file_no", "raw", "n_docs", "n_ids", "docs", "sizes").repartition(max(1, raw.count()), "file_no")
+    dealt = raw.select("file_no", "start", "raw", "n_docs", "n_ids", "docs", "sizes").repartition(max(1, raw.count()), "file_no")
     files = written(dealt.mapInArrow(write, "file_no long, file string, n_docs long, n_ids long"), "id-files")
     remove(spark, f"{folder}/raw")
     return files
@@ -436,21 +456,19 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, id_
 
 def read_ids(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """From the files alone: id, start (ids of all documents before it), n_tokens, ids_crc32."""
-    starts = files.alias("a").join(files.select(F.col("file_no").alias("before"), F.col("n_ids").alias("ids_before")), F.col("before") < F.col("file_no"), "left")
-    starts = starts.groupBy("file_no", "file").agg(F.coalesce(F.sum("ids_before"), F.lit(0)).alias("start"))
-
     def read(batches):
         for batch in batches:
-            for file, start in zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True):
+            for file in batch.column("file").to_pylist():
                 fs, path = filesystem(file)
                 with fs.open_input_file(path) as f:
-                    rows = list(Reader(f).documents())
+                    reader = Reader(f)
+                    rows = list(reader.documents())
                 sizes = np.array([r[1] for r in rows], np.int64)
                 ids = pa.array([None if r[0] == NO_ID else r[0] for r in rows], pa.int64())
-                begin = start + np.cumsum(sizes) - sizes
+                begin = reader.start + np.cumsum(sizes) - sizes
                 yield pa.RecordBatch.from_arrays([ids, pa.array(begin), pa.array(sizes), pa.array([r[2] for r in rows], pa.int64())], [id_col, "start", "n_tokens", "ids_crc32"])
 
-    return starts.repartition(max(1, files.count()), "file_no").mapInArrow(read, f"{id_col} long, start long, n_tokens long, ids_crc32 long")
+    return files.select("file_no", "file").repartition(max(1, files.count()), "file_no").mapInArrow(read, f"{id_col} long, start long, n_tokens long, ids_crc32 long")
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,54 +2,28 @@
 
 from __future__ import annotations
 
-import heapq
-import json
 from collections.abc import Iterator
 from fractions import Fraction
-from itertools import count, islice
+from itertools import islice
 from math import lcm
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .exact_dedup import located
-from .shared import load, written
+from .shared import literal, load, placed, written
 
-#: Rows of a block, the unit that is scheduled.
+#: Rows of a block. Halves of blocks are scheduled: less than two halves off the target is less than a block.
 BLOCK_ROWS = 16
+#: Slots of an epoch, which one task schedules by itself.
+EPOCH = 4_096
 #: A source without a weight has one of about so many parts; op3's weights are whole parts.
 PARTS = 1000
 #: Target weights go with a source's rows to this power where none are given.
 POWER = 0.7
 #: Rows of a source that one task orders at a time.
-BUCKET_ROWS = 20_000
-#: The schedule is made in the driver from the sources' counts; more sources than this are refused.
-MAX_SOURCES = 2_000
-
-
-def schedule(parts: dict[str, int], length: int) -> list[str]:
-    """The first slots of a Pfair schedule: block j of a source with share w may run from floor((j-1)/w) and must by ceil(j/w).
-
-    Of the blocks that may run, the one with the earliest deadline does; equal deadlines go by name.
-    The shares add up to one, so every slot is used and all windows are met: after any number of
-    slots each source is less than one block away from its share.
-    """
-    return list(islice(picks(parts), length))
-
-
-def picks(parts: dict[str, int]) -> Iterator[str]:
-    """schedule()'s slots without end."""
-    total = sum(parts.values())
-    waiting = [(0, s, 1) for s in sorted(parts)]
-    ready: list[tuple[int, str, int]] = []
-    heapq.heapify(waiting)
-    for t in count():
-        while waiting and waiting[0][0] <= t:
-            _, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-j * total // parts[s]), s, j))
-        _, s, j = heapq.heappop(ready)
-        yield s
-        heapq.heappush(waiting, (j * total // parts[s], s, j + 1))
+BUCKET_ROWS = 2_000
+#: Epochs that go into one plan at a time.
+PLANNED = 4_096
 
 
 def exact_parts(counts: dict[str, int], weights: dict[str, float] | None) -> dict[str, int]:
@@ -61,118 +35,150 @@ def exact_parts(counts: dict[str, int], weights: dict[str, float] | None) -> dic
     return {s: int(x * scale) for s, x in shares.items()}
 
 
-def slots_of(blocks: dict[str, int], parts: dict[str, int]) -> dict[str, list[int]]:
-    """The slots of each source's blocks. A phase lasts until a source has no blocks left, as in phases(), but nothing repeats."""
-    slots: dict[str, list[int]] = {s: [] for s, n in blocks.items() if n}
-    left, at = set(slots), 0
-    while left:
-        for s in picks({s: parts[s] for s in left}):
-            slots[s].append(at)
-            at += 1
-            if len(slots[s]) == blocks[s]:
-                left.remove(s)
-                break
-    return slots
+def whole_parts(counts: dict[str, int], weights: dict[str, float] | None) -> dict[str, int]:
+    """The weights in whole thousandths, one at least."""
+    shares = {s: (n**POWER if weights is None else weights.get(s, 0.0)) for s, n in counts.items()}
+    total = sum(shares.values()) or 1.0
+    return {s: max(1, int(PARTS * x / total + 0.5)) for s, x in shares.items()}
 
 
-def phases(blocks: dict[str, int], parts: dict[str, int]) -> tuple[list[tuple], list[tuple]]:
-    """Segments (source, phase, first block, blocks, first slot, parts, period) and patterns (source, phase, k, offset).
+def epochs(units: dict[str, int], parts: dict[str, int], length: int = EPOCH) -> Iterator[tuple[int, int, list[tuple[str, int, int]]]]:
+    """(first slot, slots, [(source, first unit, units)...]) of each epoch.
 
-    A phase lasts until a source has no blocks left; the others then share by their own weights. The
-    schedule repeats after as many slots as there are parts, so a pattern is never longer than that.
+    A phase has a fixed set of sources, with shares by their parts, and lasts until one of them has no
+    units left; then the others go on in a phase of their own. After t slots of a phase a source has had
+    floor(share t) or ceil(share t) units at each epoch's end: what is due by then, and of the units that
+    may run before but needn't, those with the earliest deadlines.
     """
-    left, done, at, segments, patterns, phase = dict(blocks), dict.fromkeys(blocks, 0), 0, [], [], 0
-    left = {s: n for s, n in left.items() if n}
+    left = {s: n for s, n in sorted(units.items()) if n}
+    start = 0
     while left:
-        shares = {s: parts[s] for s in left}
-        period = sum(shares.values())
-        slots = schedule(shares, min(period, sum(left.values())))
-        places: dict[str, list[int]] = {s: [] for s in left}
-        for k, s in enumerate(slots):
-            places[s].append(k)
-        ends = [(n - 1) // shares[s] * period + places[s][(n - 1) % shares[s]] for s, n in left.items() if (n - 1) % shares[s] < len(places[s])]
-        length = min(ends) + 1
-        for s in list(left):
-            n = length // period * shares[s] + sum(k < length % period for k in places[s])
-            segments.append((s, phase, done[s], n, at, shares[s], period))
-            patterns += [(s, phase, k, place) for k, place in enumerate(places[s][: min(n, shares[s])])]
-            done[s] += n
-            left[s] -= n
-            if not left[s]:
-                del left[s]
-        at += length
-        phase += 1
-    return segments, patterns
-
-
-def rows(spark: SparkSession, values: list[tuple], schema: str) -> DataFrame:
-    """A small table from the driver, as a literal in the plan."""
-    names = [x.split()[0] for x in schema.split(",")]
-    text = json.dumps([dict(zip(names, v, strict=True)) for v in values])
-    return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{','.join(':'.join(x.split()) for x in schema.split(','))}>>")))
+        total = sum(parts[s] for s in left)
+        ender = min(left, key=lambda s: (Fraction(left[s], parts[s]), s))
+        slots = left[ender] * total // parts[ender]
+        had = dict.fromkeys(left, 0)
+        at = 0
+        while at < slots:
+            to = min(at + length, slots)
+            now = {s: max(had[s], parts[s] * to // total) for s in left}
+            if to == slots:
+                now[ender] = left[ender]
+            free = to - sum(now.values())
+            assert free >= 0, "more units are due than there are slots"
+            early = [s for s in left if now[s] * total < parts[s] * to]
+            early.sort(key=lambda s: (-(-(now[s] + 1) * total // parts[s]), s != ender, s))
+            for s in early[:free]:
+                now[s] += 1
+            yield start + at, to - at, [(s, units[s] - left[s] + had[s], now[s] - had[s]) for s in left if now[s] > had[s]]
+            had, at = now, to
+        left = {s: n - had[s] for s, n in left.items() if n > had[s]}
+        start += slots
+
+
+SHARES = "array<struct<source:string,first:bigint,units:bigint>>"
+_BITS = 20
+
+
+def planned(spark: SparkSession, units: dict[str, int], parts: dict[str, int], length: int = EPOCH) -> DataFrame:
+    """(at, slots, shares) of all epochs; a plan has at most PLANNED of them, and each few have a task of their own."""
+    found, tables, n = epochs(units, parts, length), [], 0
+    while chunk := list(islice(found, PLANNED)):
+        n += len(chunk)
+        values = [(at, slots, [{"source": s, "first": first, "units": k} for s, first, k in shares]) for at, slots, shares in chunk]
+        tables.append(literal(spark, values, f"at bigint, slots bigint, shares {SHARES}"))
+        if len(tables) == 2:
+            tables = [written(tables[0].union(tables[1]), "epochs")]
+    table = tables[0] if tables else literal(spark, [], f"at bigint, slots bigint, shares {SHARES}")
+    return table.repartition(max(1, min(n, 4_000)), "at")
+
+
+def scheduled(epoch: DataFrame) -> DataFrame:
+    """(source, unit, slot): a Pfair schedule of each epoch.
+
+    In an epoch of n slots a source with k units has a share of k / n. Its unit j, from 0, may run from
+    slot floor(j n / k) of the epoch and must run before ceil((j + 1) n / k); of the units that may run,
+    the one with the earliest deadline does, the first source in order of names among equals. The shares
+    add up to one, so each slot is used, all windows are met, and after any number of slots a source is
+    less than one unit from its share of them.
+    """
+    n, code = F.col("slots"), F.lit(1 << _BITS)
 
+    def step(state: Column, t: Column) -> Column:
+        last = F.shiftright(F.get(state["out"], F.size(state["out"]) - 1), _BITS)
 
-def _order(id_col: str, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+        def may_run(share: Column, i: Column) -> Column:
+            done = F.get(state["done"], i) + F.when(i == last, 1).otherwise(0)
+            release, due = F.floor(done * n / share["units"]), F.ceil((done + 1) * n / share["units"])
+            return F.when((done < share["units"]) & (release <= t), F.struct(due.alias("due"), (i * code + done).alias("code")))
 
+        had = F.transform(state["done"], lambda d, i: d + F.when(i == last, 1).otherwise(0))
+        pick = F.array_min(F.transform("shares", may_run))["code"]
+        return F.struct(had.alias("done"), F.concat(state["out"], F.array(pick)).alias("out"))
 
-def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id", source_col: str = "source", seed: int = 17, block_rows: int = BLOCK_ROWS, extra: tuple[str, ...] = (), rounded: bool = False) -> DataFrame:
-    """One row per row of docs: id, source, source_row, block, slot, and the columns in extra; the mix is in order of (slot, source_row).
+    start = F.struct(F.transform("shares", lambda x: F.lit(0).cast("bigint")).alias("done"), F.array().cast("array<bigint>").alias("out"))
+    ran = epoch.select("at", "shares", F.posexplode(F.aggregate(F.sequence(F.lit(0).cast("bigint"), n - 1), start, step, lambda s: s["out"])).alias("t", "code"))
+    share = F.get("shares", F.shiftright("code", _BITS).cast("int"))
+    return ran.select(share["source"].alias("source"), (share["first"] + F.col("code").bitwiseAND((1 << _BITS) - 1)).alias("unit"), (F.col("at") + F.col("t")).alias("slot"))
 
-    Rows of a source are ordered by a hash of seed and id, cut into blocks of block_rows, and blocks
-    put into slots by slots_of(). Each row is used once: when a source ends, its share goes to the
-    others. Where no weights are given, a source's is its number of rows to the power POWER; they are
-    used as they are, or, with rounded, as whole parts of PARTS, at least one, by phases(). A null source
-    counts as ''. Rows with equal ids are next to each other; an empty table gives no rows. A source
-    without a given weight has a PARTS-th of the others' sum. The plan has one number a block.
 
-    Rows are ranked in buckets by the hash, of about BUCKET_ROWS rows however many a source has.
-    """
+def _order(id_col: str, seed: int) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+
+
+def _mixed(docs: DataFrame, weights: dict[str, float] | None, id_col: str, source_col: str, seed: int, block_rows: int, rounded: bool, length: int = EPOCH) -> DataFrame:
+    """(id, source, source_row, block, slot, file, at) of placed() rows."""
     spark = docs.sparkSession
-    base = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(source_col), F.lit("")).alias("__source"), *extra).withColumn("__h", _order("__id", seed))
-    counted = base.groupBy("__source").count().limit(MAX_SOURCES + 1).collect()
-    if len(counted) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    counts = {r["__source"]: r["count"] for r in counted}
-    n_blocks = {s: -(-n // block_rows) for s, n in counts.items()}
-    sizes = rows(spark, [(s, -(-n // BUCKET_ROWS)) for s, n in counts.items()], "__source string, __buckets bigint")
-    number = F.conv(F.substring("__h", 1, 8), 16, 10).cast("long")
-    base = base.join(F.broadcast(sizes), "__source").withColumn("__bucket", F.shiftright(number * F.col("__buckets"), 32)).drop("__buckets")
-    before = base.groupBy("__source", "__bucket").count()
-    before = before.withColumn("__before", F.sum("count").over(Window.partitionBy("__source").orderBy("__bucket")) - F.col("count")).drop("count")
-    ranked = base.withColumn("__rank", F.row_number().over(Window.partitionBy("__source", "__bucket").orderBy("__h", "__id")) - 1)
-    ranked = ranked.join(before, ["__source", "__bucket"]).withColumn("source_row", (F.col("__rank") + F.col("__before")).cast("long"))
-    ranked = ranked.withColumn("block", F.floor(F.col("source_row") / block_rows))
-    if rounded:
-        blocks = _repeating(spark, *phases(n_blocks, weight_parts(counts, weights)))
-    else:
-        slots = rows(spark, list(slots_of(n_blocks, exact_parts(counts, weights)).items()), "__source string, slots array<bigint>")
-        blocks = slots.select("__source", F.posexplode("slots").alias("block", "slot")).withColumn("block", F.col("block").cast("long"))
-    return ranked.join(blocks, ["__source", "block"]).select(F.col("__id").alias(id_col), F.col("__source").alias("source"), "source_row", "block", "slot", *extra)
-
-
-def _repeating(spark: SparkSession, segments: list[tuple], patterns: list[tuple]) -> DataFrame:
-    """(__source, block, slot) of phases()."""
-    segs = rows(spark, segments, "__source string, phase bigint, first bigint, n bigint, at bigint, parts bigint, period bigint")
-    pattern = rows(spark, patterns, "__source string, phase bigint, k bigint, offset bigint")
-    blocks = segs.withColumn("j", F.explode(F.expr("CASE WHEN n > 0 THEN sequence(0L, n - 1) END"))).withColumn("k", F.col("j") % F.col("parts"))
-    blocks = blocks.join(F.broadcast(pattern), ["__source", "phase", "k"])
-    return blocks.select("__source", (F.col("first") + F.col("j")).alias("block"), (F.col("at") + F.floor(F.col("j") / F.col("parts")) * F.col("period") + F.col("offset")).alias("slot"))
-
-
-def weight_parts(counts: dict[str, int], weights: dict[str, float] | None) -> dict[str, int]:
-    shares = {s: (n**POWER if weights is None else weights.get(s, 0.0)) for s, n in counts.items()}
-    total = sum(shares.values()) or 1.0
-    return {s: max(1, int(PARTS * x / total + 0.5)) for s, x in shares.items()}
+    half = max(1, block_rows // 2)
+    base = docs.select(F.col("row")[id_col].alias("id"), F.coalesce(F.col("row")[source_col], F.lit("")).alias("source"), "file", "at").withColumn("h", _order("id", seed))
+    counts = {r["source"]: r["count"] for r in base.groupBy("source").count().collect()}
+    parts = (whole_parts if rounded else exact_parts)(counts, weights)
+    sizes = literal(spark, [(s, -(-n // BUCKET_ROWS)) for s, n in counts.items()], "source string, buckets bigint")
+    number = F.conv(F.substring("h", 1, 8), 16, 10).cast("long")
+    base = base.join(F.broadcast(sizes), "source").withColumn("bucket", F.shiftright(number * F.col("buckets"), 32)).drop("buckets")
+    # a bucket is large only where an id repeats; then it is cut by the rows' places
+    large = base.groupBy("source", "bucket").count().where(F.col("count") > 8 * BUCKET_ROWS)
+    large = large.select("source", "bucket", F.ceil(F.col("count") / BUCKET_ROWS).alias("cuts"))
+    base = base.join(large, ["source", "bucket"], "left").withColumn("cut", F.coalesce(F.pmod(F.xxhash64("file", "at"), F.col("cuts")), F.lit(0).cast("long"))).drop("cuts")
+    place = ["source", "bucket", "cut"]
+    before = base.groupBy(*place).count()
+    before = before.withColumn("before", F.sum("count").over(Window.partitionBy("source").orderBy("bucket", "cut")) - F.col("count")).drop("count")
+    ranked = base.withColumn("rank", F.row_number().over(Window.partitionBy(*place).orderBy("h", "id", "file", "at")) - 1)
+    ranked = ranked.join(before, place).withColumn("source_row", (F.col("rank") + F.col("before")).cast("long"))
+    ranked = ranked.withColumn("unit", F.floor(F.col("source_row") / half)).withColumn("block", F.floor(F.col("source_row") / block_rows))
+    slots = scheduled(planned(spark, {s: -(-n // half) for s, n in counts.items()}, parts, length))
+    return ranked.join(slots, ["source", "unit"]).select("id", "source", "source_row", "block", "slot", "file", "at")
+
+
+def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id", source_col: str = "source", seed: int = 17, block_rows: int = BLOCK_ROWS, rounded: bool = False, length: int = EPOCH) -> DataFrame:
+    """One row per row of docs: id, source, source_row, block, slot; the mix is in order of (slot, source_row).
+
+    Rows of a source are ordered by a hash of seed and id and cut into blocks of block_rows. Halves of
+    blocks are put into slots: epochs() settles how many of each source run in an epoch, scheduled() in
+    which order. At every slot a source is less than a block from its share by the weights, of its phase's
+    slots: less than one half at an epoch's ends, and less than one more in between.
+
+    Each row is used once: when a source ends, its share goes to the others. Where no weights are given, a
+    source's is its number of rows to the power POWER; they are used as they are, or, with rounded, as
+    whole parts of PARTS, at least one. A source without a given weight has a PARTS-th of the others' sum.
+    A null source counts as ''; null and repeated ids are rows as any other, next to each other but where
+    there are very many; an empty table gives no rows; other columns, of any name, are ignored.
+
+    Rows are ranked in buckets of hashes, of about BUCKET_ROWS rows however many a source has. The driver
+    has one number for each source, and for each source and epoch as long as it plans.
+    """
+    found = _mixed(placed(docs.select(id_col, source_col), "located"), weights, id_col, source_col, seed, block_rows, rounded, length)
+    return found.select(F.col("id").alias(id_col), "source", "source_row", "block", "slot")
 
 
-def in_mixed_order(docs: DataFrame, rows_per_part: int = 6_000, **kw) -> DataFrame:
-    """All rows and columns of docs, dealt out and sorted in the mix's order."""
-    docs = located(docs, "located")
-    order = written(mix_sources(docs, extra=("__file", "__row"), **kw).select("__file", "__row", F.col("slot").alias("__slot"), F.col("source_row").alias("__at")), "mix")
+def in_mixed_order(docs: DataFrame, rows_per_part: int = 6_000, weights: dict[str, float] | None = None, id_col: str = "doc_id", source_col: str = "source", seed: int = 17, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """All rows and columns of docs, whatever their names, dealt out and sorted in the mix's order."""
+    whole = placed(docs, "located")
+    order = _mixed(whole, weights, id_col, source_col, seed, block_rows, False)
+    order = written(order.select("file", "at", "slot", "source_row"), "mix")
     n = max(1, order.count() // rows_per_part)
     # merged at every size: a broadcast of the order would be bounded by nothing
-    return docs.join(order.hint("merge"), ["__file", "__row"]).repartitionByRange(n, "__slot", "__at").sortWithinPartitions("__slot", "__at").drop("__file", "__row", "__slot", "__at")
+    dealt = whole.join(order.hint("merge"), ["file", "at"]).repartitionByRange(n, "slot", "source_row").sortWithinPartitions("slot", "source_row")
+    return dealt.select("row.*")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,33 +186,46 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(load(spark, sf_dir, "documents"), rounded=True)
 
 
-#: The same schedule slot by slot: lists of the sources' blocks done in all and in the phase.
+_HALF = BLOCK_ROWS // 2
+_EACH = "range(1, len(t) + 1)"
+#: The same schedule from its definition: first the epochs one after another, then all epochs slot by slot. Lists have an
+#: entry for each source; a source that has ended has no weight.
 OP3_SQL = f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, coalesce(source, '') AS source,
     row_number() OVER (PARTITION BY coalesce(source, '') ORDER BY md5('17|' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) - 1 AS source_row
   FROM documents),
 c AS (SELECT source, count(*) AS n, power(count(*), {POWER}) AS share FROM d GROUP BY source),
-p AS (SELECT list(source ORDER BY source) AS s, list((n + {BLOCK_ROWS - 1}) // {BLOCK_ROWS} ORDER BY source) AS t,
+p AS (SELECT list(source ORDER BY source) AS s, list((n + {_HALF - 1}) // {_HALF} ORDER BY source) AS t,
     list(greatest(1, CAST(floor({PARTS} * share / (SELECT sum(share) FROM c) + 0.5) AS BIGINT)) ORDER BY source) AS q FROM c),
 r AS (
-  SELECT -1::BIGINT AS slot, 0::BIGINT AS pick, 0::BIGINT AS tp, list_transform(t, lambda x: 0::BIGINT) AS done, list_transform(t, lambda x: 0::BIGINT) AS ph, q AS w
+  SELECT CAST(-1 AS BIGINT) AS k, CAST(0 AS BIGINT) AS start, CAST(0 AS BIGINT) AS tp, CAST(0 AS BIGINT) AS nslots, list_transform(t, lambda x: CAST(0 AS BIGINT)) AS had, list_transform(t, lambda x: CAST(0 AS BIGINT)) AS base, q AS w,
+    list_transform(t, lambda x: CAST(0 AS BIGINT)) AS firsts, list_transform(t, lambda x: CAST(0 AS BIGINT)) AS shares, CAST(0 AS BIGINT) AS at_slot
   FROM p
   UNION ALL
-  SELECT slot + 1, pk, CASE WHEN ends THEN 0 ELSE tp + 1 END, nd, CASE WHEN ends THEN list_transform(ph, lambda x: 0::BIGINT) ELSE np END,
-    CASE WHEN ends THEN list_transform(range(1, len(w) + 1), lambda i: CASE WHEN nd[i] = t[i] THEN 0 ELSE w[i] END) ELSE w END
+  SELECT k + 1, CASE WHEN ends THEN start + ln ELSE start END, CASE WHEN ends THEN 0 ELSE goal END, goal - tp,
+    CASE WHEN ends THEN list_transform(t, lambda x: CAST(0 AS BIGINT)) ELSE cur END,
+    CASE WHEN ends THEN list_transform({_EACH}, lambda i: base[i] + cur[i]) ELSE base END,
+    CASE WHEN ends THEN list_transform({_EACH}, lambda i: CASE WHEN base[i] + cur[i] < t[i] THEN w[i] ELSE 0 END) ELSE w END,
+    list_transform({_EACH}, lambda i: base[i] + had[i]), list_transform({_EACH}, lambda i: cur[i] - had[i]), start + tp
   FROM (
-    SELECT *, nd[pk] = t[pk] AS ends FROM (
-      SELECT *, list_transform(range(1, len(w) + 1), lambda i: done[i] + CASE WHEN i = pk THEN 1 ELSE 0 END) AS nd,
-        list_transform(range(1, len(w) + 1), lambda i: ph[i] + CASE WHEN i = pk THEN 1 ELSE 0 END) AS np
-      FROM (
-        SELECT r.*, p.t, list_min(list_transform(list_filter(range(1, len(w) + 1), lambda i: w[i] > 0 AND ph[i] * list_sum(w) // nullif(w[i], 0) <= tp),
-          lambda i: [(((ph[i] + 1) * list_sum(w) + w[i] - 1) // nullif(w[i], 0))::BIGINT, i::BIGINT]))[2] AS pk
-        FROM r, p WHERE list_sum(done) < list_sum(p.t))))),
-b AS (SELECT slot, pick, block FROM (
-  SELECT slot, list_position(list_transform(range(1, len(done) + 1), lambda i: done[i] - before[i]), 1) AS pick, before, done,
-    before[list_position(list_transform(range(1, len(done) + 1), lambda i: done[i] - before[i]), 1)] AS block
-  FROM (SELECT slot, done, lag(done) OVER (ORDER BY slot) AS before FROM r)) WHERE slot >= 0)
+    SELECT *, list_transform({_EACH}, lambda i: low[i] + CASE WHEN list_contains(chosen, i) THEN 1 ELSE 0 END) AS cur FROM (
+      SELECT *, list_transform(list_sort(list_transform(list_filter({_EACH}, lambda i: w[i] > 0 AND low[i] * total < w[i] * goal),
+          lambda i: [CAST(((low[i] + 1) * total + w[i] - 1) // w[i] AS BIGINT), CASE WHEN i = e THEN 0 ELSE 1 END, CAST(i AS BIGINT)]))[1:CAST(goal - list_sum(low) AS BIGINT)], lambda x: x[3]) AS chosen FROM (
+        SELECT *, list_transform({_EACH}, lambda i: CASE WHEN w[i] = 0 THEN CAST(0 AS BIGINT) WHEN ends AND i = e THEN t[i] - base[i] ELSE greatest(had[i], CAST(w[i] * goal // total AS BIGINT)) END) AS low FROM (
+          SELECT *, least(tp + {EPOCH}, ln) AS goal, least(tp + {EPOCH}, ln) = ln AS ends FROM (
+            SELECT *, CAST((t[e] - base[e]) * total // w[e] AS BIGINT) AS ln FROM (
+              SELECT r.k, r.start, r.tp, r.had, r.base, r.w, p.t, CAST(list_sum(r.w) AS BIGINT) AS total,
+                CAST(list_min(list_transform(list_filter({_EACH}, lambda i: r.w[i] > 0), lambda i: [(p.t[i] - r.base[i]) / r.w[i], CAST(i AS DOUBLE)]))[2] AS BIGINT) AS e
+              FROM r, p WHERE list_sum(r.w) > 0))))))),
+z AS (
+  SELECT at_slot, nslots, firsts, shares, CAST(0 AS BIGINT) AS slot, list_transform(shares, lambda x: CAST(0 AS BIGINT)) AS done, CAST(0 AS BIGINT) AS pick FROM r WHERE k >= 0
+  UNION ALL
+  SELECT at_slot, nslots, firsts, shares, slot + 1, list_transform(range(1, len(done) + 1), lambda i: done[i] + CASE WHEN i = cur THEN 1 ELSE 0 END), cur FROM (
+    SELECT *, list_min(list_transform(list_filter(range(1, len(done) + 1), lambda i: done[i] < shares[i] AND done[i] * nslots // nullif(shares[i], 0) <= slot),
+      lambda i: [CAST(((done[i] + 1) * nslots + shares[i] - 1) // nullif(shares[i], 0) AS BIGINT), CAST(i AS BIGINT)]))[2] AS cur
+    FROM z WHERE slot < nslots)),
+b AS (SELECT pick, firsts[pick] + done[pick] - 1 AS unit, at_slot + slot - 1 AS slot FROM z WHERE slot > 0)
 SELECT d.doc_id, d.source, d.source_row, d.source_row // {BLOCK_ROWS} AS block, b.slot
-FROM d, p, b WHERE p.s[b.pick] = d.source AND b.block = d.source_row // {BLOCK_ROWS}
+FROM d, p, b WHERE p.s[b.pick] = d.source AND b.unit = d.source_row // {_HALF}
 """

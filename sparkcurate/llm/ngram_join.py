@@ -23,12 +23,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .exact_dedup import located
-from .shared import bounded_batches, kept, load, written
+from .shared import bounded_batches, forget, kept, load, placed, written
 
 #: Minimum hashes: bands and rows of each.
 BANDS, ROWS = 4, 3
@@ -166,9 +165,9 @@ def _parts(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator
         yield batch.slice(at)
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    return docs.select(F.col(id_col).alias("__id"), *keep, F.xxhash64(text).alias("__digest"), text.alias("__text"))
+def _texts(docs: DataFrame, id_: Column, text: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    text = F.coalesce(text, F.lit("")).cast("binary")
+    return docs.select(id_.alias("__id"), *keep, F.xxhash64(text).alias("__digest"), text.alias("__text"))
 
 
 def frequency_classes(texts: DataFrame, rule: Rule) -> bytes:
@@ -499,18 +498,22 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("key", "label")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), rule: Rule = Rule()) -> DataFrame:
-    """One row per row of docs: id, the columns in keep, n_shingles, component_id (the smallest id reachable by
-    links), component_key (the component's own key; null without shingles).
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
+    """One row per row of docs: id, n_shingles, component_id (the smallest id reachable by links).
 
     Null text counts as empty; texts without words have no shingles and link with nothing, so their
     component is their own id. Rows with equal texts link whatever their ids; a null id is smaller than
-    none, and null only where all ids of a component are. Other columns are ignored; an empty table
-    gives no rows. Sets and shingles go by 64-bit hashes.
+    none, and null only where all ids of a component are. Other columns, of any name, are ignored; an
+    empty table gives no rows. Sets and shingles go by 64-bit hashes.
     """
-    spark = docs.sparkSession
+    found = _groups(_texts(docs, F.col(id_col), F.col(text_col)), rule)
+    return found.select(F.col("__id").alias(id_col), "n_shingles", "component_id")
+
+
+def _groups(texts: DataFrame, rule: Rule, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(__id, the columns in keep, n_shingles, component_id, component_key) of _texts(); the component's own key is null without shingles."""
+    spark = texts.sparkSession
     bounded_batches(spark)
-    texts = _texts(docs, id_col, text_col, keep)
     classes = spark.sparkContext.broadcast(frequency_classes(texts, rule))
     profile = written(profiles(texts, rule, classes, ("__digest", *keep)), "profiles")
     first = F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__digest").alias("digest")))
@@ -544,24 +547,24 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own = own.join(named, "key", "left").select("key", F.coalesce("component", "key").alias("component_key"), F.coalesce("name", "own").alias("name"))
     named = written(own, "named")
     out = profile.select("__id", *keep, "n", "key").join(named, "key", "left")
-    return out.select(F.col("__id").alias(id_col), *keep, F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("__id")).otherwise(F.col("name")).alias("component_id"), "component_key")
+    return out.select("__id", *keep, F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("__id")).otherwise(F.col("name")).alias("component_id"), "component_key")
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = Rule(), limit: int = 200_000) -> DataFrame:
-    """The rows of docs, with all columns, of which each component has its first: smallest id, then place; a null id is last.
+    """The rows of docs, with all columns, whatever their names, of which each component has its first: smallest id, then place; a null id is last.
 
     Dropped rows' places are broadcast while they are at most limit, else joined by a shuffle. Texts
     without words are components of their own.
     """
-    docs = located(docs, "located")
-    groups = near_groups(docs, id_col, text_col, keep=("__file", "__row"), rule=rule)
-    place = F.struct(F.col(id_col).isNull(), F.col(id_col), "__file", "__row")
-    groups = written(groups.where("n_shingles > 0").select("__file", "__row", "component_key", place.alias("place")), "groups")
+    rows = placed(docs, "located")
+    groups = _groups(_texts(rows, F.col("row")[id_col], F.col("row")[text_col], ("file", "at")), rule, ("file", "at"))
+    place = F.struct(F.col("__id").isNull().alias("none"), "__id", "file", "at")
+    groups = written(groups.where("n_shingles > 0").select("file", "at", "component_key", place.alias("place")), "groups")
     first = groups.groupBy("component_key").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    gone = written(groups.join(first, "component_key").where("place <> first").select("__file", "__row"), "gone")
+    gone = written(groups.join(first, "component_key").where("place <> first").select("file", "at"), "gone")
     gone = F.broadcast(gone) if gone.count() <= limit else gone
-    return docs.join(gone, ["__file", "__row"], "left_anti").drop("__file", "__row")
+    return rows.join(gone, ["file", "at"], "left_anti").select("row.*")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_groups(load(spark, sf_dir, "documents"), rule=Rule(4, 85)).drop("component_key")
+    return near_groups(load(spark, sf_dir, "documents"), rule=Rule(4, 85))

@@ -5,17 +5,22 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import json
 import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder named by spark.checkpoint.dir. Where that is unset it is an error, but in one process on one machine, where a temporary folder does."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors see")
         root = "file://" + tempfile.mkdtemp(prefix="sparkcurate-")
         spark.conf.set("spark.checkpoint.dir", root)
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
@@ -32,7 +37,61 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """df as a Parquet table in the shared folder, read back: lineage ends there and survives lost executors."""
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written_at = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Removes tables of written() that nothing reads any more."""
+    for t in tables:
+        remove(t.sparkSession, t._written_at)
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """name, or the first of name_1, name_2, ... that isn't taken, in any case of letters."""
+    have = {c.lower() for c in taken}
+    out, k = name, 0
+    while out.lower() in have:
+        k += 1
+        out = f"{name}_{k}"
+    return out
+
+
+def _plain_scan(df: DataFrame) -> bool:
+    """Whether each row of df is one row of a file, and always the same one: a scan with projections and filters."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias") and node.deterministic():
+        node = node.children().head()
+    return node.getClass().getSimpleName() == "LogicalRelation"
+
+
+def scanned(docs: DataFrame, parts: list[str], *columns: Column) -> DataFrame | None:
+    """(row, columns, parts): each row of docs as one struct, so that no name in it can clash, and what its file's metadata say of it; None if docs isn't a plain scan."""
+    try:
+        if not _plain_scan(docs):
+            return None
+        place = docs.metadataColumn("_metadata")
+        return docs.select(F.struct("*").alias("row"), *columns, *(place[p].alias(p) for p in parts))
+    except AnalysisException:  # the files' format doesn't tell
+        return None
+
+
+def placed(docs: DataFrame, label: str, *columns: Column) -> DataFrame:
+    """(row, columns, file, at): each row of docs as one struct, and its place. A frame that isn't a plain scan is written down first, once."""
+    found = scanned(docs, ["file_path", "row_index"], *columns)
+    if found is None:
+        table = written(docs.select(F.struct("*").alias("row"), *columns), label)
+        place = table.metadataColumn("_metadata")
+        found = table.select("*", *(place[p].alias(p) for p in ("file_path", "row_index")))
+    return found.withColumnsRenamed({"file_path": "file", "row_index": "at"})
+
+
+def literal(spark: SparkSession, values: list[tuple], schema: str) -> DataFrame:
+    """A small table from the driver, as a literal in the plan."""
+    fields = [x.split() for x in schema.split(", ")]
+    text = json.dumps([dict(zip((f[0] for f in fields), v, strict=True)) for v in values])
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{','.join(':'.join(f) for f in fields)}>>")))
 
 
 def filesystem(uri: str):

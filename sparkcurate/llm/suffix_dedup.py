@@ -17,9 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .exact_dedup import located
 from .ngram_join import _A, _B, _C, _mix, _parts, powers
-from .shared import bounded_batches, kept, load, written
+from .shared import bounded_batches, kept, load, placed, written
 
 WINDOW, GRAM = 100, 32
 #: An anchor with more different runs than this has its windows compared by hash, spread over all tasks.
@@ -420,11 +419,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     bounded_batches(docs.sparkSession)
     twice = docs.groupBy(id_col).count().where(F.col(id_col).isNull() | (F.col("count") > 1)).limit(1).count()
-    texts = located(docs, "located").withColumn("u", F.xxhash64("__file", "__row")) if twice else docs.withColumn("u", F.lit(0).cast("long"))
-    texts = texts.select(F.coalesce(F.col(id_col), F.lit(NO_ID)).alias("doc"), "u", F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("__text"))
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    if twice:
+        docs = placed(docs, "located").select("row.*", F.xxhash64("file", "at").alias("u"))
+    else:
+        docs = docs.withColumn("u", F.lit(0).cast("long"))
+    texts = docs.select(F.coalesce(F.col("id"), F.lit(NO_ID)).alias("doc"), "u", F.coalesce("text", F.lit("")).cast("binary").alias("__text"))
     if twice:
         texts = written(texts, "texts")
-    size = docs.agg(F.sum(F.octet_length(F.coalesce(F.col(text_col), F.lit(""))))).first()[0] or 0
+    size = docs.agg(F.sum(F.octet_length(F.coalesce(F.col("text"), F.lit(""))))).first()[0] or 0
     parts = int(size // (24 << 20)) + 1
     spans = written(sorted_out(anchor_runs(texts), parts), "spans")
     open_runs = spans.where(F.col("kind") != REPEAT)

@@ -105,38 +105,64 @@ def test_ranges_are_joined(monkeypatch):
     assert list(warc.ranges(iter(rows))) == [("a", [(0, 20), (20, 20), (49, 5)]), ("a", [(80, 30)]), ("b", [(0, 1)]), ("b", [(12, 1)])]
 
 
-@given(st.dictionaries(st.sampled_from("abcdefgh"), st.integers(1, 60), min_size=1))
-@settings(max_examples=200, deadline=None)
-def test_schedule_is_pfair(parts):
-    total = sum(parts.values())
-    done = dict.fromkeys(parts, 0)
-    for t, s in enumerate(mixing.schedule(parts, 2 * total), 1):
-        done[s] += 1
-        assert all(abs(done[x] * total - t * parts[x]) < total for x in parts)
+SOURCES = st.dictionaries(st.sampled_from("abcdefgh"), st.tuples(st.integers(0, 70), st.integers(1, 1000)), min_size=1)
 
 
-@given(st.dictionaries(st.sampled_from("abcde"), st.tuples(st.integers(0, 70), st.integers(1, 9)), min_size=1))
-@settings(max_examples=150, deadline=None)
-def test_phases_use_each_block_once(sources):
-    blocks, parts = {s: n for s, (n, _) in sources.items()}, {s: w for s, (_, w) in sources.items()}
-    segments, patterns = mixing.phases(blocks, parts)
-    offset = {(s, p, k): o for s, p, k, o in patterns}
-    slots, seen = [], set()
-    for s, p, first, n, at, w, period in segments:
-        for j in range(n):
-            slots.append(at + j // w * period + offset[s, p, j % w])
-            seen.add((s, first + j))
-    assert sorted(slots) == list(range(sum(blocks.values()))) and len(seen) == len(slots)
+@given(SOURCES, st.integers(1, 40))
+@settings(max_examples=200, deadline=None)
+def test_epochs_keep_to_the_shares(sources, length):
+    units, parts = {s: n for s, (n, _) in sources.items()}, {s: w for s, (_, w) in sources.items()}
+    done, base, slot, phase = dict.fromkeys(units, 0), dict.fromkeys(units, 0), 0, 0
+    left = {s: n for s, n in units.items() if n}
+    for at, n, shares in mixing.epochs(units, parts, length):
+        assert at == slot and sum(k for _, _, k in shares) == n <= length
+        for s, first, k in shares:
+            assert first == done[s]
+            done[s] += k
+        slot += n
+        total = sum(parts[s] for s in left)
+        assert all(abs((done[s] - base[s]) * total - parts[s] * (slot - phase)) < total for s in left)
+        if slot - phase == min(left[s] * total // parts[s] for s in left):  # a source ends
+            left = {s: units[s] - done[s] for s in left if done[s] < units[s]}
+            base, phase = dict(done), slot
+    assert done == units
+
+
+def test_schedules_are_pfair(spark):
+    shares = [[("a", 5, 3), ("b", 0, 7), ("c", 2, 1)], [("a", 8, 1)], [("a", 0, 50), ("b", 0, 50), ("c", 9, 1), ("d", 0, 27)]]
+    rows_, at = [], 0
+    for x in shares:
+        rows_.append((at, sum(k for _, _, k in x), [{"source": s, "first": f, "units": k} for s, f, k in x]))
+        at += rows_[-1][1]
+    table = mixing.literal(spark, rows_, f"at bigint, slots bigint, shares {mixing.SHARES}")
+    got = mixing.scheduled(table).orderBy("slot").collect()
+    assert [r.slot for r in got] == list(range(at))
+    for (begin, n, _), x in zip(rows_, shares, strict=True):
+        done = {s: 0 for s, _, _ in x}
+        for t, r in enumerate(got[begin : begin + n], 1):
+            first, units = next((f, k) for s, f, k in x if s == r.source)
+            assert r.unit == first + done[r.source]
+            done[r.source] += 1
+            assert all(abs(done[s] * n - t * k) < n for s, _, k in x)
+        assert done == {s: k for s, _, k in x}
+
+
+def test_many_epochs_go_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PLANNED", 3)
+    units, parts = {"a": 40, "b": 11}, {"a": 3, "b": 2}
+    table = mixing.planned(spark, units, parts, 4)
+    assert sorted(r.at for r in table.collect()) == [at for at, _, _ in mixing.epochs(units, parts, 4)]
 
 
 def test_mix_keeps_to_the_weights_given(spark):
     weights = {"a": 0.6667, "b": 0.333, "c": 0.0003}
     table = spark.range(12_000).selectExpr("id doc_id", "CASE WHEN id < 7000 THEN 'a' WHEN id < 11900 THEN 'b' ELSE 'c' END source")
-    got = [r.source for r in mixing.mix_sources(table, weights=weights, block_rows=1).orderBy("slot").collect()]
+    got = [r.source for r in mixing.mix_sources(table, weights=weights, block_rows=8, length=64).orderBy("slot", "source_row").collect()]
     done, total = dict.fromkeys(weights, 0), sum(weights.values())
     for t, s in enumerate(got[:10_000], 1):  # no source has ended by then
         done[s] += 1
-        assert all(abs(done[x] - t * weights[x] / total) < 1 for x in weights)
+        if t % 4 == 0:
+            assert all(abs(done[x] - t * weights[x] / total) < 8 for x in weights)
     assert len(got) == 12_000
 
 
@@ -154,5 +180,9 @@ def test_mix(spark, monkeypatch, tmp_path):
     assert sum(r.source == "small" for r in got[:16]) >= 8
     assert mixing.mix_sources(docs.limit(0)).collect() == []
     docs.write.parquet(f"{tmp_path}/d")
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 2)
+    twice = spark.createDataFrame([(None, "s")] * 60 + [(k, "s") for k in range(9)], "doc_id long, source string")
+    ranks = [r.source_row for r in mixing.mix_sources(twice).collect()]
+    assert sorted(ranks) == list(range(69))
     ordered = mixing.in_mixed_order(spark.read.parquet(f"{tmp_path}/d"))
     assert ordered.columns == docs.columns and ordered.count() == len(rows)

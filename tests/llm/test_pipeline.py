@@ -55,15 +55,24 @@ def test_near_is_brute_force(stages):
     assert sorted(r.doc_id for r in stages["near"]) == [r.doc_id for k, r in enumerate(rows) if name[k] == k]
 
 
-def test_mix_is_a_schedule(stages):
+def test_mix_keeps_to_its_weights(stages):
     rows = stages["mix"]
     assert sorted(rows) == sorted(stages["near"])
     counts = {}
     for r in rows:
         counts[r.source] = counts.get(r.source, 0) + 1
-    blocks = {s: -(-n // mixing.BLOCK_ROWS) for s, n in counts.items()}
-    segments, _ = mixing.phases(blocks, mixing.weight_parts(counts, None))
-    assert sum(s[3] for s in segments) == sum(blocks.values())
+    half = mixing.BLOCK_ROWS // 2
+    units = {s: -(-n // half) for s, n in counts.items()}
+    parts = mixing.exact_parts(counts, None)
+    first = next(mixing.epochs(units, parts))  # the phase in which all sources have rows
+    slots = first[1]
+    total, done, seen = sum(parts.values()), dict.fromkeys(counts, 0), 0
+    for r in rows:
+        if max(done[s] // half for s in done) and seen >= half * slots:
+            break
+        seen += 1
+        done[r.source] += 1
+        assert all(abs(done[s] - seen * parts[s] / total) < mixing.BLOCK_ROWS + half for s in counts)
 
 
 def test_encode_is_lossless(stages):

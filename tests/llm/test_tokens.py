@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sparkcurate.llm import huffman_ids, piece_cache, sentencepiece_backend
@@ -49,13 +50,14 @@ def test_pack_and_unpack(ids):
 @pytest.mark.parametrize("ordered", [False, True])
 def test_id_files(spark, monkeypatch, tmp_path, ordered):
     monkeypatch.setattr(huffman_ids, "FILE_DOCS", 4)
+    monkeypatch.setattr(huffman_ids, "NUMBERED", 2)
     rows = [(len(ODD) - k, t) for k, t in enumerate(ODD)] + [(None, "null id"), (3, None), (3, "again")]
     docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, start long")
     if ordered:
         docs.where("doc_id > 5").orderBy("doc_id").coalesce(1).write.parquet(f"{tmp_path}/d")
         docs.where("doc_id IS NULL OR doc_id <= 5").orderBy("doc_id").coalesce(1).write.mode("append").parquet(f"{tmp_path}/d")
         docs = spark.read.parquet(f"{tmp_path}/d")
-    assert (huffman_ids.blocks_in_order(docs, "doc_id") is not None) == ordered
+    assert (huffman_ids.blocks_in_order(docs, "doc_id", "text") is not None) == ordered
     files = huffman_ids.write_ids(docs, BPE, new_folder(spark, "huf"))
     assert files.count() > 1
     got = huffman_ids.read_ids(files).orderBy("start").collect()
@@ -73,6 +75,32 @@ def test_id_files(spark, monkeypatch, tmp_path, ordered):
     assert huffman_ids.read_ids(huffman_ids.write_ids(docs.limit(0), BPE, new_folder(spark, "huf"))).collect() == []
 
 
+def test_overlapping_files_are_sorted(spark, tmp_path):
+    table = spark.range(100).selectExpr("id doc_id", "concat('t ', id) text")
+    table.where("doc_id < 60").coalesce(1).write.parquet(f"{tmp_path}/d")
+    table.where("doc_id >= 59").coalesce(1).write.mode("append").parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    assert huffman_ids.blocks_in_order(docs, "doc_id", "text") is not None  # an id may end one part and begin the next
+    table.where("doc_id = 3").coalesce(1).write.mode("append").parquet(f"{tmp_path}/d")
+    assert huffman_ids.blocks_in_order(spark.read.parquet(f"{tmp_path}/d"), "doc_id", "text") is None
+    assert huffman_ids.blocks_in_order(docs.withColumn("k", F.explode(F.array(F.lit(1), F.lit(2)))), "doc_id", "text") is None
+
+
+def test_numbers_and_sums(spark, monkeypatch):
+    monkeypatch.setattr(huffman_ids, "NUMBERED", 3)
+    table = spark.range(20).selectExpr("(id * 7) % 20 AS low", "id AS n_ids")
+    rows = sorted(tuple(r) for r in huffman_ids.in_order(table, ["low"], "n_ids").select("file_no", "low", "n_ids", "start").collect())
+    start = 0
+    for k, (no, low, n, before) in enumerate(rows):
+        assert (no, low, before) == (k, k, start)
+        start += n
+
+
+def test_more_ids_than_short_codes():
+    lengths = huffman_ids.code_lengths(np.ones(20, np.int64), 3)
+    assert lengths.max() == 5 and (2.0 ** -lengths.astype(float)).sum() <= 1
+
+
 @given(st.lists(TEXTS, max_size=6))
 @settings(max_examples=200, deadline=None)
 def test_cached_ids_are_the_librarys(texts):
