@@ -4,16 +4,11 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import forget, new_folder, placed, remove, written
+from .shared import forget, hot_rows, join_groups, new_folder, placed, remove, salts, written
 
-#: Up to so many digests that occur more than once go to all tasks with what the state has of them, some 200 bytes
-#: each; more are joined by a shuffle, in which only those of over HOT_ROWS rows, spread by salts, go apart.
-BROADCAST_DIGESTS = 100_000
-#: Rows of a digest that one task joins or compares; more where a table has over BROADCAST_DIGESTS times so many rows.
-HOT_ROWS = 20_000
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
@@ -63,20 +58,20 @@ def _dedup(rows: DataFrame, id_col: str, text_col: str, digest_bits: int = 256,
     spark = rows.sparkSession
     base = rows.select(F.col("row")[id_col].alias("id"), normalised(F.col("row")[text_col]).alias("norm"), "file", "at")
     digest = F.sha2("norm", 256)
-    key = F.unhex(digest if digest_bits == 256 else F.substring(digest, 1, digest_bits // 4))
+    # never null, so that no join tests for that and makes the digest twice
+    key = F.coalesce(F.unhex(digest if digest_bits == 256 else F.substring(digest, 1, digest_bits // 4)), F.lit(b""))
     keyed = written(base.select("id", "file", "at", digest.alias("sha"), key.alias("key")), "keyed")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "file", "at"))
     state = seen(keyed, first, bytes_per_trigger)
 
     hits = written(state.where("n > 1"), "hits")
     n_hits = hits.count()
-    # so that there are at most BROADCAST_DIGESTS hot digests
-    hot_rows = max(HOT_ROWS, -(-keyed.count() // max(1, BROADCAST_DIGESTS)))
-    out = _joined(keyed, hits, n_hits, hot_rows)
+    hot = hot_rows(keyed.count())
+    out = join_groups(keyed, hits, n_hits, hot)
     mixed = None
     if n_hits:
-        texts = _joined(base.withColumn("key", key), hits, n_hits, hot_rows, inner=True)
-        mixed = written(_different(texts, hot_rows), "mixed")
+        texts = join_groups(base.withColumn("key", key), hits, n_hits, hot, "inner")
+        mixed = written(_different(texts, hot), "mixed")
         if not mixed.take(1):
             forget(mixed)
             mixed = None
@@ -118,29 +113,16 @@ def seen(keyed: DataFrame, first: Column, bytes_per_trigger: int) -> DataFrame:
     return table
 
 
-def _salts(hot_rows: int) -> Column:
-    """Over how many tasks the rows of a digest are spread."""
-    return F.ceil(F.col("n") / hot_rows).cast("int")
+def _different(hits: DataFrame, hot: int) -> DataFrame:
+    """(key) of digests with a text that isn't the one at the digest's locator. Each task compares at most hot rows of a digest with it.
 
-
-def _joined(rows: DataFrame, hits: DataFrame, n_hits: int, hot_rows: int, inner: bool = False) -> DataFrame:
-    """rows with what the state has of their digest, first and n: null for digests seen once, or without these rows if inner."""
-    how = "inner" if inner else "left"
-    if n_hits <= BROADCAST_DIGESTS:
-        return rows.join(F.broadcast(hits), "key", how)
-    hot = F.broadcast(hits.where(F.col("n") > hot_rows).select("key", _salts(hot_rows).alias("salts")))
-    spread = rows.join(hot, "key", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("file", "at"), F.col("salts")).cast("int"), F.lit(0))).drop("salts")
-    salted = hits.withColumn("salt", F.explode(F.sequence(F.lit(0), _salts(hot_rows) - 1)))
-    return spread.join(salted, ["key", "salt"], how).drop("salt")
-
-
-def _different(hits: DataFrame, hot_rows: int) -> DataFrame:
-    """(key) of digests with a text that isn't the one at the digest's locator. Each task compares at most hot_rows rows of a digest with it."""
+    The text at the locator goes to each part of its digest's rows, where it comes first.
+    """
     here = (F.col("file") == F.col("first.file")) & (F.col("at") == F.col("first.at"))
-    hits = hits.select("key", "norm", "n", here.alias("here"), F.pmod(F.xxhash64("file", "at"), _salts(hot_rows)).cast("int").alias("salt"))
-    located = hits.where("here").select("key", F.col("norm").alias("whole"), F.explode(F.sequence(F.lit(0), _salts(hot_rows) - 1)).alias("salt"))
-    both = hits.where("NOT here").select("key", "norm", "salt").join(located.hint("merge"), ["key", "salt"])
-    return both.where("norm <> whole").select("key").distinct()
+    part = F.pmod(F.xxhash64("file", "at"), salts(hot)).cast("int")
+    hits = hits.select("key", "norm", here.alias("here"), F.explode(F.when(here, F.sequence(F.lit(0), salts(hot) - 1)).otherwise(F.array(part))).alias("part"))
+    located = F.first("norm").over(Window.partitionBy("key", "part").orderBy(F.desc("here")))
+    return hits.withColumn("located", located).where("norm <> located").select("key").distinct()
 
 
 def drop_repeats(docs: DataFrame, limit: int = 200_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -140,20 +140,36 @@ def _samples(codes: np.ndarray) -> bytes:
     return values[source].tobytes()
 
 
-def grey_palette() -> bytes:
-    return bytes(x for v in range(256) for x in (v, v, v))
+#: Bytes 255 occur in no UTF-8 text, so that they are the padding alone; they are shown transparent.
+PAD = 255
+
+
+def palettes() -> tuple[bytes, bytes]:
+    """The shared palette, of greys, and that of every second frame, whose channels rise at rates of their own."""
+    return bytes(x for v in range(256) for x in (v, v, v)), bytes(x for v in range(256) for x in (v, 3 * v & 255, 7 * v & 255))
+
+
+GREY, TINTED = palettes()
 
 
 def encode_gif(payload: bytes, delay: int = DELAY) -> bytes:
-    """A GIF whose frames' samples are the payload, a positive multiple of TILE bytes; frames replace each other."""
+    """A GIF whose frames' samples are the payload, a positive multiple of TILE bytes.
+
+    Frames take turns: every second one has a palette of its own, and what becomes of a frame when the
+    next one comes is, in turn, that it stays, that its place is cleared, and that what was there before
+    comes back. In frames with padding, the padding is transparent and lets through what is below.
+    """
     tiles = len(payload) // TILE
     high = SIDE * min(tiles, FRAME_TILES)
-    parts = [b"GIF89a", struct.pack("<HHBBB", SIDE, high, 0xF7, 0, 0), grey_palette()]
-    for k in range(0, len(payload), TILE * FRAME_TILES):
+    parts = [b"GIF89a", struct.pack("<HHBBB", SIDE, high, 0xF7, 0, 0), GREY]
+    for turn, k in enumerate(range(0, len(payload), TILE * FRAME_TILES)):
         data = payload[k : k + TILE * FRAME_TILES]
         stream = lzw_encode(data)
-        parts.append(struct.pack("<BBBBHBB", 0x21, 0xF9, 4, 1 << 2, delay, 0, 0))
-        parts.append(struct.pack("<BHHHHBB", 0x2C, 0, 0, SIDE, len(data) // SIDE, 0, BITS))
+        clear = data[-1] == PAD
+        parts.append(struct.pack("<BBBBHBB", 0x21, 0xF9, 4, (1 + turn % 3) << 2 | clear, delay, PAD if clear else 0, 0))
+        own = turn % 2 == 1
+        parts.append(struct.pack("<BHHHHB", 0x2C, 0, 0, SIDE, len(data) // SIDE, 0x87 if own else 0))
+        parts += [TINTED] * own + [bytes([BITS])]
         parts += [bytes([len(x)]) + x for x in (stream[i : i + 255] for i in range(0, len(stream), 255))]
         parts.append(b"\0")
     return b"".join([*parts, b";"])
@@ -309,7 +325,9 @@ def payload_of(text: bytes) -> bytes:
 def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_bytes and media, the GIF that stores its text; null text counts as empty.
 
-    Rows are handled alone, so ids may be null or repeat; other columns are ignored.
+    Rows are handled alone, so ids may be null or repeat, and equal texts have equal media; other columns,
+    of any name, are ignored, and an empty table gives no rows. A text is held whole, with its media, by
+    the task that handles it, the codes of one frame at a time.
     """
     schema = docs.select(id_col).schema.add("n_bytes", "long").add("media", "binary")
 
@@ -342,10 +360,11 @@ FRAME_TYPE = "array<struct<start:long,delay:int,histogram:array<int>>>"
 
 def frames_of(media: DataFrame, id_col: str = "doc_id", frames: bool = False) -> DataFrame:
     """Decodes stored media: id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256,
-    n_frames, feature (hash of the histograms of all frames as shown, with their times), and the timed frames if asked for.
+    feature (hash of the histograms of all frames as shown, with their times), n_frames, and the timed frames if asked
+    for: each one's start and delay in hundredths of a second, and its pixels by colour.
     """
     schema = media.select(id_col, "n_bytes").schema
-    for name, kind in (("payload_bytes", "long"), ("payload_sha256", "string"), ("tail_crc32", "long"), ("media_bytes", "long"), ("media_sha256", "string"), ("n_frames", "long"), ("feature", "string")):
+    for name, kind in (("payload_bytes", "long"), ("payload_sha256", "string"), ("tail_crc32", "long"), ("media_bytes", "long"), ("media_sha256", "string"), ("feature", "string"), ("n_frames", "long")):
         schema = schema.add(name, kind)
     if frames:
         from pyspark.sql.types import _parse_datatype_string
@@ -356,7 +375,7 @@ def frames_of(media: DataFrame, id_col: str = "doc_id", frames: bool = False) ->
         for batch in batches:
             for part in small(batch, "media"):
                 out = [described(x.as_py(), frames) for x in part.column("media")]
-                kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string()]
+                kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
                 if frames:
                     kinds.append(pa.list_(pa.struct([("start", pa.int64()), ("delay", pa.int32()), ("histogram", pa.list_(pa.int32()))])))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))], schema.names)
@@ -370,7 +389,7 @@ def described(data: bytes, timed: bool) -> list:
     counts = [(histogram(p), delay) for p, delay in composed(width, height, stored)]
     whole = sum(h for h, _ in counts)
     feature = f"{len(stored)}x{width}x{height}:" + hashlib.md5(b"".join(struct.pack("<i", d) + h.astype("<i8").tobytes() for h, d in counts)).hexdigest() + ":" + ",".join(map(str, whole[[0, 21, 42, 63]].tolist()))
-    row = [len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), hashlib.sha256(data).hexdigest(), len(stored), feature]
+    row = [len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), hashlib.sha256(data).hexdigest(), feature, len(stored)]
     if timed:
         start, list_ = 0, []
         for h, d in counts:
@@ -382,4 +401,4 @@ def described(data: bytes, timed: bool) -> list:
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     media = written(media_columns(load(spark, sf_dir, "documents")), "gif")
-    return frames_of(media)
+    return written(frames_of(media, frames=True), "frames").drop("frames")

@@ -146,7 +146,8 @@ def _mixed(docs: DataFrame, weights: dict[str, float] | None, id_col: str, sourc
     ranked = ranked.join(before, place).withColumn("source_row", (F.col("rank") + F.col("before")).cast("long"))
     ranked = ranked.withColumn("unit", F.floor(F.col("source_row") / half)).withColumn("block", F.floor(F.col("source_row") / block_rows))
     slots = scheduled(planned(spark, {s: -(-n // half) for s, n in counts.items()}, parts, length))
-    return ranked.join(slots, ["source", "unit"]).select("id", "source", "source_row", "block", "slot", "file", "at")
+    # merged at every size: what a literal expands to has no size that a plan could tell
+    return ranked.join(slots.hint("merge"), ["source", "unit"]).select("id", "source", "source_row", "block", "slot", "file", "at")
 
 
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id", source_col: str = "source", seed: int = 17, block_rows: int = BLOCK_ROWS, rounded: bool = False, length: int = EPOCH) -> DataFrame:

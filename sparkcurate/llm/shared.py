@@ -94,6 +94,36 @@ def literal(spark: SparkSession, values: list[tuple], schema: str) -> DataFrame:
     return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{','.join(':'.join(f) for f in fields)}>>")))
 
 
+#: Up to so many groups of equal rows go to all tasks with what is known of them, some 200 bytes each.
+BROADCAST_GROUPS = 100_000
+#: Rows of a group that one task joins or compares; more where a table has over BROADCAST_GROUPS times so many rows.
+HOT_ROWS = 20_000
+
+
+def hot_rows(rows: int) -> int:
+    """Groups of more rows than this are hot, in a table of so many rows; there are at most BROADCAST_GROUPS of them."""
+    return max(HOT_ROWS, -(-rows // max(1, BROADCAST_GROUPS)))
+
+
+def salts(hot: int) -> Column:
+    """Over how many tasks a group's n rows are spread."""
+    return F.ceil(F.col("n") / hot).cast("int")
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, n_groups: int, hot: int, how: str = "left", by: tuple[str, ...] = ("file", "at"), most: int | None = None) -> DataFrame:
+    """rows (key, ...) with what groups (key, n, ...) has of their key; n is the number of the key's rows.
+
+    More than most groups, BROADCAST_GROUPS unless given, are joined by a shuffle, in which the rows of hot
+    ones are spread by salts, which follow from the columns in by.
+    """
+    if n_groups <= (BROADCAST_GROUPS if most is None else most):
+        return rows.join(F.broadcast(groups), "key", how)
+    large = F.broadcast(groups.where(F.col("n") > hot).select("key", salts(hot).alias("__salts")))
+    spread = rows.join(large, "key", "left").withColumn("__salt", F.coalesce(F.pmod(F.xxhash64(*by), F.col("__salts")).cast("int"), F.lit(0))).drop("__salts")
+    salted = groups.withColumn("__salt", F.explode(F.sequence(F.lit(0), salts(hot) - 1)))
+    return spread.join(salted, ["key", "__salt"], how).drop("__salt")
+
+
 def filesystem(uri: str):
     """pyarrow's file system and the path in it, for Python code on executors that needs ranges of a file."""
     from pyarrow import fs

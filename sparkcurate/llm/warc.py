@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import filesystem, load, new_folder, written
+from .shared import filesystem, hot_rows, join_groups, load, new_folder, placed, written
 
 #: Payloads of fewer bytes are always stored whole.
 LEAST_REVISIT = 100
@@ -20,9 +20,6 @@ LEAST_REVISIT = 100
 GAP, RANGE = 64 << 10, 8 << 20
 #: A reading task's share of the archives.
 TASK_BYTES = 24 << 20
-#: Up to so many digests of repeated payloads are broadcast; more are joined by a salted shuffle.
-BROADCAST_DIGESTS = 500_000
-SALTS = 64
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "file string, offset long, length long, url string, digest string, page_id long, record_type string, refers_to long"
@@ -32,16 +29,16 @@ def _uri(page_id: int) -> str:
     return f"<urn:sparkcurate:page:{page_id}>"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """One record: a response with its payload, or a revisit with the HTTP header alone."""
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, revisit: bool, refers_to: int | None) -> bytes:
+    """One record: a response with its payload, or a revisit with the HTTP header alone; what it refers to may have no id."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
-    block = http + payload if refers_to is None else http
-    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Date: {DATE}", f"WARC-Payload-Digest: sha256:{digest}"]
+    block = http if revisit else http + payload
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Date: {DATE}", f"WARC-Payload-Digest: sha256:{digest}"]
     head += [f"WARC-Record-ID: {_uri(page_id)}"] if page_id is not None else [f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>"]
     if url is not None:
         head.append("WARC-Target-URI: " + re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url))
-    if refers_to is not None:
-        head += [f"WARC-Refers-To: {_uri(refers_to)}", f"WARC-Profile: {PROFILE}"]
+    if revisit:
+        head += [f"WARC-Profile: {PROFILE}"] + ([f"WARC-Refers-To: {_uri(refers_to)}"] if refers_to is not None else [])
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -67,20 +64,22 @@ def _page(uri: str | None) -> int | None:
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", level: int = 6) -> DataFrame:
     """Writes one record per row, each a gzip member, one archive a task; returns the index of all records.
 
-    Of rows with equal payloads of at least LEAST_REVISIT bytes those with the smallest id are
-    responses and the others revisit it; a null id never is that smallest one unless all are null.
-    Null html is an empty payload, a null url is left out. Archives have a new name for each attempt,
-    so that a repeated task's index names its own file; a file no index names is never read.
+    Of rows with equal payloads of at least LEAST_REVISIT bytes just one is a response, that with the
+    smallest id, and the others revisit it; a null id comes after all others, and of rows with equal ids
+    the first by place is it. Null html is an empty payload, a null url is left out; no rows give no
+    archives; other columns, of any name, are ignored. Archives have a new name for each attempt, so that
+    a repeated task's index names its own file; a file no index names is never read.
     """
-    digest = F.sha2(F.coalesce(F.col(html_col), F.lit("")).cast("binary"), 256)
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).cast("binary").alias("payload"), digest.alias("digest"))
-    many = rows.where(F.octet_length("payload") >= LEAST_REVISIT).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    rows = placed(pages.select(id_col, url_col, html_col), "located")
+    payload = F.coalesce(F.col("row")[html_col], F.lit("")).cast("binary")
+    rows = rows.select(F.col("row")[id_col].cast("long").alias("page_id"), F.col("row")[url_col].alias("url"), payload.alias("payload"), F.sha2(payload, 256).alias("digest"), "file", "at")
+    rows = rows.withColumn("key", F.when(F.octet_length("payload") >= LEAST_REVISIT, F.unhex("digest")))
+    first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "file", "at")).alias("first")
+    many = rows.where("key IS NOT NULL").groupBy("key").agg(first, F.count(F.lit(1)).alias("n")).where("n > 1")
     many = written(many, "repeated")
-    if many.count() <= BROADCAST_DIGESTS:
-        rows = rows.join(F.broadcast(many), "digest", "left")
-    else:
-        salted = many.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")).join(salted, ["digest", "salt"], "left")
+    rows = join_groups(rows, many, many.count(), hot_rows(rows.count()))
+    own = (F.col("file") == F.col("first.file")) & (F.col("at") == F.col("first.at"))
+    rows = rows.select("page_id", "url", "payload", "digest", F.coalesce(~own, F.lit(False)).alias("revisit"), F.col("first.page_id").alias("first"))
 
     def write(batches):
         out, name, at = None, "", 0
@@ -92,17 +91,16 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
                 out = fs.open_output_stream(f"{path}/{name}", compression=None)
             index = []
             for row in batch.to_pylist():
-                refers = row["first"] if row["first"] is not None and row["page_id"] != row["first"] else None
+                again, refers = row["revisit"], row["first"] if row["revisit"] else None
                 packer = zlib.compressobj(level, wbits=31)
-                data = packer.compress(record(row["page_id"], row["url"], row["payload"], row["digest"], refers)) + packer.flush()
+                data = packer.compress(record(row["page_id"], row["url"], row["payload"], row["digest"], again, refers)) + packer.flush()
                 out.write(data)
-                index.append((f"{folder}/{name}", at, len(data), row["url"], row["digest"], row["page_id"], "response" if refers is None else "revisit", refers))
+                index.append((f"{folder}/{name}", at, len(data), row["url"], row["digest"], row["page_id"], "revisit" if again else "response", refers))
                 at += len(data)
             yield pa.RecordBatch.from_pylist([dict(zip(INDEX_SCHEMA.names, x, strict=True)) for x in index], INDEX_SCHEMA)
         if out is not None:
             out.close()
 
-    rows = rows.select("page_id", "url", "payload", "digest", "first")
     return written(rows.mapInArrow(write, INDEX), "warc-index")
 
 
@@ -123,13 +121,14 @@ def ranges(rows: Iterator[tuple[str, int, int]]) -> Iterator[tuple[str, list[tup
 
 
 def read_records(selected: DataFrame, payloads: bool = False) -> DataFrame:
-    """The records that rows of an index name: page_id, url, payload_bytes, payload_digest, record_type, refers_to, and payload if asked for.
+    """The records that rows of an index name: page_id, payload_bytes, payload_digest, record_type, refers_to, url, and payload if asked for.
 
     The index is sorted by file and offset, dealt out by ranges of it, and neighbouring records are
     read at once. A response's digest is that of the payload read; one that differs from its header
-    fails. A revisit tells the digest and length that its header states. No rows give no rows.
+    fails. A revisit tells the digest and length that its header states, and has no payload of its own
+    (with_payloads() finds it). No rows give no rows.
     """
-    schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * payloads
+    schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string" + ", payload binary" * payloads
 
     def read(batches):
         wanted = ((f, a, n) for b in batches for f, a, n in zip(*(b.column(c).to_pylist() for c in ("file", "offset", "length")), strict=True))
@@ -148,10 +147,10 @@ def read_records(selected: DataFrame, payloads: bool = False) -> DataFrame:
                 stated = r["warc-payload-digest"].removeprefix("sha256:")
                 if r["warc-type"] == "response" and hashlib.sha256(r["payload"]).hexdigest() != stated:
                     raise ValueError(f"the payload at {at} in {file} doesn't have its digest")
-                row = [_page(r["warc-record-id"]), r.get("warc-target-uri"), r["payload_bytes"], stated, r["warc-type"], _page(r.get("warc-refers-to"))]
+                row = [_page(r["warc-record-id"]), r["payload_bytes"], stated, r["warc-type"], _page(r.get("warc-refers-to")), r.get("warc-target-uri")]
                 out.append(row + [r["payload"] if r["warc-type"] == "response" else None] * payloads)
-            names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
+            names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"]
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=False)], names[: len(out[0])])
         if handle is not None:
             handle.close()
@@ -161,6 +160,25 @@ def read_records(selected: DataFrame, payloads: bool = False) -> DataFrame:
     return dealt.mapInArrow(read, schema)
 
 
+def with_payloads(selected: DataFrame, index: DataFrame) -> DataFrame:
+    """read_records() of selected rows of an index, with the payloads of all: a revisit's is that of the response with its digest.
+
+    Only the responses in question are read for it; a digest's many revisits are spread over tasks.
+    """
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"]
+    again = selected.where("record_type = 'revisit'").select(*index.columns, F.col("digest").alias("key"), F.col("offset").alias("at"))
+    wanted = written(again.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "wanted")
+    n = wanted.count()
+    responses = index.where("record_type = 'response'").join(wanted.select(F.col("key").alias("digest")).hint("broadcast" if n <= 100_000 else "merge"), "digest", "left_semi")
+    whole = written(read_records(responses, payloads=True).select(F.col("payload_digest").alias("key"), "payload").join(wanted, "key"), "payloads")
+    own = read_records(selected, payloads=True)
+    revisits = own.where("record_type = 'revisit'").select(*names, F.col("payload_digest").alias("key"), F.lit("").alias("file"), F.monotonically_increasing_id().alias("at"))
+    hot = hot_rows(selected.count())
+    # payloads have no bound, so that they are never broadcast
+    found = join_groups(revisits, whole, n, hot, most=-1).select(*names, "payload")
+    return own.where("record_type = 'response'").select(*names, "payload").unionByName(found)
+
+
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = write_archives(load(spark, sf_dir, "pages"), new_folder(spark, "warc"))
     return read_records(index)
@@ -169,8 +187,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP1_SQL = """
 WITH p AS (SELECT page_id, url, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
 f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
-SELECT page_id, url, n AS payload_bytes, p.d AS payload_digest,
+SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
   CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN page_id <> first THEN first END AS refers_to
+  CASE WHEN page_id <> first THEN first END AS refers_to, url
 FROM p LEFT JOIN f ON p.d = f.d AND p.n >= 100
 """

@@ -1,5 +1,6 @@
 import hashlib
 import os
+import struct
 import zlib
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from sparkcurate.llm import gif_media, mixing, warc
+from sparkcurate.llm import gif_media, mixing, shared, warc
 from sparkcurate.llm.shared import filesystem, new_folder
 
 
@@ -60,30 +61,99 @@ def test_media(spark):
         payload = raw + b"\xff" * (max(576, -(-len(raw) // 576) * 576) - len(raw))
         assert (r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (i, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
         assert r.n_frames == len(r.frames) == -(-len(payload) // (576 * gif_media.FRAME_TILES)) and r.frames[-1].start == 4 * (r.n_frames - 1)
-        assert sum(sum(f.histogram) for f in r.frames) >= len(payload)
+        assert sum(r.frames[0].histogram) == min(len(raw), 576 * gif_media.FRAME_TILES)
     assert got[0][1:] == got[1][1:]
     assert gif_media.frames_of(gif_media.media_columns(docs.limit(0))).collect() == []
 
 
-PAGES = [(4, "http://a b/\n", "p" * 200), (2, None, "p" * 200), (9, "u", "p" * 200), (1, "u", "p" * 99), (3, "u", "p" * 99), (5, "u", None), (6, "u", ""), (None, "u", "p" * 200), (7, "u", "é<html>" * 50_000), (7, "u", "é<html>" * 50_000)]
+def plain_feature(data):
+    """A frame's pictures and their colours, sample by sample."""
+    width, height = struct.unpack("<HH", data[6:10])
+    shared, at = data[13 : 13 + 768], 13 + 768
+    canvas = [None] * (width * height)
+    told, whole, n, control = b"", [0] * 64, 0, None
+    while data[at] != 0x3B:
+        if data[at] == 0x21:
+            control = data[at + 3 : at + 7]
+            at += 8
+            continue
+        left, top, w, h, flags = struct.unpack("<HHHHB", data[at + 1 : at + 10])
+        at += 10
+        palette = shared
+        if flags & 128:
+            palette, at = data[at : at + 768], at + 768
+        bits, at, stream = data[at], at + 1, b""
+        while data[at]:
+            stream += data[at + 1 : at + 1 + data[at]]
+            at += data[at] + 1
+        at += 1
+        samples = gif_media.lzw_plain(stream, w * h, bits)
+        before = list(canvas)
+        for k, v in enumerate(samples):
+            if not (control[0] & 1 and v == control[3]):
+                canvas[(top + k // w) * width + left + k % w] = tuple(palette[3 * v : 3 * v + 3])
+        counts = [0] * 64
+        for c in canvas:
+            if c is not None:
+                counts[(c[0] >> 6) * 16 + (c[1] >> 6) * 4 + (c[2] >> 6)] += 1
+        told += struct.pack("<i", struct.unpack("<H", control[1:3])[0]) + struct.pack("<64q", *counts)
+        whole = [x + y for x, y in zip(whole, counts, strict=True)]
+        disposal = control[0] >> 2 & 7
+        if disposal == 2:
+            for k in range(w * h):
+                canvas[(top + k // w) * width + left + k % w] = None
+        elif disposal == 3:
+            canvas = before
+        n += 1
+    return f"{n}x{width}x{height}:{hashlib.md5(told).hexdigest()}:" + ",".join(str(whole[k]) for k in (0, 21, 42, 63))
+
+
+def test_features_are_those_of_the_stored_bytes(spark):
+    texts = ["", "é" * 500, "some words, " * 9_000, "x" * 18_432, "y" * 18_433]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    media = gif_media.media_columns(docs)
+    stored = {r.doc_id: bytes(r.media) for r in media.collect()}
+    kinds = set()
+    for r in gif_media.frames_of(media).collect():
+        data = stored[r.doc_id]
+        assert (r.media_bytes, r.media_sha256, r.feature) == (len(data), hashlib.sha256(data).hexdigest(), plain_feature(data))
+        frames = gif_media.read_gif(data)[2]
+        kinds |= {(f.disposal, f.transparent, f.palette[9].tolist() == [9, 9, 9]) for f in frames}
+    assert {d for d, _, _ in kinds} == {1, 2, 3} and {t for _, t, _ in kinds} == {None, 255} and {g for _, _, g in kinds} == {True, False}
+
+
+def test_media_columns_follow_the_contract(spark):
+    got = gif_media.op4(spark, "/root/testdata/sf0.001")
+    assert got.columns[:8] == ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+
+
+PAGES = [(4, "http://a b/\n", "p" * 200), (2, None, "p" * 200), (9, "u", "p" * 200), (1, "u", "p" * 99), (3, "u", "p" * 99), (5, "u", None), (6, "u", ""), (None, "u", "p" * 200), (7, "u", "é<html>" * 50_000), (7, "v", "é<html>" * 50_000), (None, "u", "n" * 150), (None, "v", "n" * 150)]
 
 
 @pytest.mark.parametrize("limit", [500_000, 0])
 def test_warc(spark, monkeypatch, limit):
-    monkeypatch.setattr(warc, "BROADCAST_DIGESTS", limit)
-    pages = spark.createDataFrame([(i, u, h, "x") for i, u, h in PAGES], "page_id long, url string, html string, digest string").repartition(3)
+    monkeypatch.setattr(shared, "BROADCAST_GROUPS", limit)
+    pages = spark.createDataFrame([(i, u, h, "x", 1, "m") for i, u, h in PAGES], "page_id long, url string, html string, digest string, file int, `_metadata` string").repartition(3)
     index = warc.write_archives(pages, new_folder(spark, "warc"))
-    got = warc.read_records(index, payloads=True).collect()
-    first = {"p" * 200: 2, "é<html>" * 50_000: 7}
+    read = warc.read_records(index)
+    assert read.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"]
+    got = read.collect()
+    first = {"p" * 200: 2, "é<html>" * 50_000: 7, "n" * 150: None}
+    left = dict.fromkeys(first, 1)
     expected = []
     for i, _, h in PAGES:
         raw = (h or "").encode()
-        refers = first.get(h) if h in first and i != first[h] else None
-        expected.append((str(i), len(raw), hashlib.sha256(raw).hexdigest(), str(refers), "revisit" if refers is not None else "response"))
+        again = h in first and not (i == first[h] and left[h])
+        if h in first and not again:
+            left[h] -= 1
+        expected.append((str(i), len(raw), hashlib.sha256(raw).hexdigest(), str(first[h] if again else None), "revisit" if again else "response"))
     assert sorted((str(r.page_id), r.payload_bytes, r.payload_digest, str(r.refers_to), r.record_type) for r in got) == sorted(expected)
-    assert all(r.payload is None or hashlib.sha256(r.payload).hexdigest() == r.payload_digest for r in got)
-    one = warc.read_records(index.where("page_id = 9")).collect()
-    assert [(r.page_id, r.refers_to) for r in one] == [(9, 2)]
+    own = warc.read_records(index, payloads=True).collect()
+    assert all((r.payload is None) == (r.record_type == "revisit") for r in own)
+    whole = warc.with_payloads(index, index).collect()
+    assert sorted(bytes(r.payload) for r in whole) == sorted((h or "").encode() for _, _, h in PAGES)
+    one = warc.with_payloads(index.where("page_id = 9"), index).collect()
+    assert [(r.page_id, r.refers_to, bytes(r.payload)) for r in one] == [(9, 2, b"p" * 200)]
     assert warc.read_records(index.limit(0)).collect() == []
     assert warc.read_records(warc.write_archives(pages.limit(0), new_folder(spark, "warc"))).collect() == []
 
