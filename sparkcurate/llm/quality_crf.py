@@ -11,13 +11,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, kept, load
+from .shared import bounded_batches, kept, load, placed
 
 #: Labelled documents that the field is fitted on, at most; those with the smallest hashes.
 FIT_DOCS = 3_000
 #: Lines of them, at most, in all; documents are taken while they fit.
 FIT_LINES = 120_000
 THRESHOLD = 0.3
+#: Texts of more bytes go through the field in runs of lines of about so many; shorter ones go side by side.
+RUN_BYTES = 1 << 18
 STEPS, ROUNDS, RATE, DECAY = 120, 3, 0.15, 1e-4
 
 _UPPER, _LOWER, _DIGIT, _SPACE, _SHOUT, _BAR, _STOP, _HIGH, _OTHER = range(9)
@@ -130,6 +132,85 @@ class Field:
         return good, np.exp(both).sum(0), float(z.sum())
 
 
+def chain(field: Field, text: bytes) -> tuple[float, float]:
+    """(good, all): a long text's bytes in good lines by their marginals, and its bytes; a line has one at least.
+
+    The text is cut into runs of whole lines. A forward pass keeps the message at each run's start, a
+    backward pass makes the run's messages again and weighs its marginals, so that one run is held at
+    a time. Neighbouring lines of other runs are there for the features.
+    """
+    cuts = [0]
+    while (at := text.find(b"\n", cuts[-1] + RUN_BYTES)) >= 0:
+        cuts.append(at + 1)
+    cuts.append(len(text) + 1)
+    runs = list(zip(cuts[:-1], cuts[1:], strict=True))
+
+    def emissions(begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        first = text.rfind(b"\n", 0, begin - 1) + 1 if begin else 0
+        last = text.find(b"\n", end) if end <= len(text) else len(text)
+        x, length, _ = line_features([text[first : last if last >= 0 else len(text)]])
+        inner = slice(int(begin > 0), len(x) - int(end <= len(text)))
+        score = np.zeros((len(x), 2))
+        score[:, 1] = x @ field.weights
+        return score[inner], length[inner]
+
+    starts, forward = [], None
+    for run in runs:
+        starts.append(forward)
+        forward = _messages(emissions(*run)[0], field.trans, forward)[-1]
+    good = whole = 0.0
+    later = np.zeros(2)
+    for run, before in zip(reversed(runs), reversed(starts), strict=True):
+        score, length = emissions(*run)
+        ahead = _messages(score, field.trans, before)
+        # backwards, a line's message takes in the lines after it; the last one's comes from the next run
+        back = np.zeros_like(score)
+        back[-1] = later
+        if len(score) > 1:
+            back[:-1] = _messages(score[:0:-1], field.trans.T, None, first=later)[::-1]
+        both = ahead + back
+        good += float((np.exp(both[:, 1] - np.logaddexp(both[:, 0], both[:, 1])) * np.maximum(length, 1)).sum())
+        whole += float(np.maximum(length, 1).sum())
+        top = score[0] + back[0]
+        later = np.logaddexp(field.trans[:, 0] + top[0], field.trans[:, 1] + top[1])
+        later -= later.max()
+    return good, whole
+
+
+def _messages(score: np.ndarray, trans: np.ndarray, before: np.ndarray | None, first: np.ndarray | None = None) -> np.ndarray:
+    """Messages along a chain, up to a constant each: forward ones, where before is that of the line ahead of it, if
+    any; or, with first, backward ones: of the line that ends the chain first is the message, and score[k] is of
+    the line whose message came k-th.
+
+    Steps are 2 x 2 matrices; the chain is folded into rows, whose products are made side by side and then
+    joined row by row.
+    """
+    n = len(score)
+    wide = int(np.ceil(np.sqrt(n)))
+    rows = -(-n // wide)
+    step = np.full((rows * wide, 2, 2), -np.inf)
+    step[:, 0, 0] = step[:, 1, 1] = 0.0
+    # step[k][a, b]: from label a of the message before to label b of this one
+    step[:n] = trans[None] + score[:, None, :] if first is None else score[:, :, None] + trans[None]
+    start = first if first is not None else before
+    if start is None:
+        step[0] = np.broadcast_to(score[0], (2, 2))
+        start = np.array([0.0, -np.inf])
+    step = step.reshape(rows, wide, 2, 2)
+    total = np.empty_like(step)
+    total[:, 0] = step[:, 0]
+    for k in range(1, wide):
+        a, b = total[:, k - 1], step[:, k]
+        x = np.logaddexp(a[:, :, 0, None] + b[:, None, 0, :], a[:, :, 1, None] + b[:, None, 1, :])
+        total[:, k] = x - x.max((1, 2), keepdims=True)
+    out = np.empty((rows, wide, 2))
+    for r in range(rows):
+        out[r] = np.logaddexp(start[0] + total[r, :, 0], start[1] + total[r, :, 1])
+        out[r] -= out[r].max(1, keepdims=True)
+        start = out[r, -1]
+    return out.reshape(-1, 2)[:n]
+
+
 def _log_times(log_left: np.ndarray, move: np.ndarray) -> np.ndarray:
     top = log_left.max(1, keepdims=True)
     return np.log(np.exp(log_left - top) @ move) + top
@@ -185,10 +266,20 @@ def calibrated(share: np.ndarray, good: np.ndarray) -> tuple[float, float]:
 
 
 def doc_scores(field: Field, texts: list[bytes]) -> np.ndarray:
-    return field.score(*line_features(texts)) if texts else np.zeros(0)
+    """Scores of texts, long ones by chain()."""
+    out = np.zeros(len(texts))
+    short = [k for k, t in enumerate(texts) if len(t) <= RUN_BYTES]
+    if short:
+        out[short] = field.share(*line_features([texts[k] for k in short]))
+    for k, t in enumerate(texts):
+        if len(t) > RUN_BYTES:
+            good, whole = chain(field, t)
+            out[k] = good / whole
+    return 1 / (1 + np.exp(-field.slope * out - field.offset))
 
 
 def remainder(id_col: str, modulus: int) -> Column:
+    """What decides who is held out: the crc32 of the id as text, modulo modulus; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
@@ -204,30 +295,55 @@ def chunks(values: list, limit: int = 1 << 20) -> Iterator[list]:
         yield held
 
 
+def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label: str, usable: Column, most: dict[int | None, int], size: Column, budget: int) -> DataFrame:
+    """(id, label, text): a bounded sample of the labelled documents.
+
+    Of the labels that are usable and not null, an id's largest counts. For each label in most, or all where it is None, the
+    first so many rows by the id's hash, then by place, are candidates; they are taken in that order while their sizes
+    fit the budget, so that one that doesn't is left out. The driver has the candidates' places and sizes; texts are
+    read for those taken alone.
+    """
+    spark = docs.sparkSession
+    order = F.md5(F.col("id").cast("string"))
+    known = labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("label")).where("label IS NOT NULL AND id IS NOT NULL").where(usable)
+    known = known.groupBy("id").agg(F.max("label").alias("label")).withColumn("order", order)
+    picked = None
+    for kind, n in most.items():
+        part = (known if kind is None else known.where(F.col("label") == kind)).orderBy("order", "id").limit(n)
+        picked = part if picked is None else picked.unionByName(part)
+    rows = placed(docs.select(id_col, text_col), "located").select(F.col("row")[id_col].alias("id"), F.col("row")[text_col].alias("text"), "file", "at")
+    sized = rows.join(F.broadcast(picked), "id").select("id", "label", "order", size.alias("size"), "file", "at")
+    # more rows than ids only where ids repeat
+    chosen, left = [], budget
+    for r in sized.orderBy("order", "id", "file", "at").limit(sum(most.values())).collect():
+        if r["size"] <= left:
+            left -= r["size"]
+            chosen.append((r["file"], r["at"], r["label"]))
+    taken = spark.createDataFrame(chosen, "file string, at long, label int")
+    return rows.join(F.broadcast(taken), ["file", "at"]).select("id", "label", "text")
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Field:
-    """Fits on a bounded sample of the labelled documents that aren't held out; features are made by the executors.
+    """Fits on a sample of at most FIT_DOCS labelled documents that aren't held out, and FIT_LINES lines of them; features are made by the executors.
 
-    Null labels or ids are passed over. Without labelled documents every line is as likely good as bad.
+    Null labels or ids are passed over, and labels of ids that the table lacks. Without labelled documents
+    of both kinds every line is as likely good as bad. Null text counts as empty.
     """
-    chosen = labels.where(F.col("quality").isNotNull() & (remainder(id_col, 5) != 0)).groupBy(id_col).agg(F.max("quality").cast("int").alias("quality"))
-    chosen = chosen.orderBy(F.md5(F.col(id_col).cast("string")), id_col).limit(FIT_DOCS)
-    sample = docs.select(id_col, F.col(text_col).cast("binary").alias("__text")).join(F.broadcast(chosen), id_col)
+    lines = F.octet_length(F.coalesce("text", F.lit(""))) - F.octet_length(F.translate(F.coalesce("text", F.lit("")), "\n", "")) + 1
+    sample = labelled(docs, labels, id_col, text_col, "quality", remainder("id", 5) != 0, {None: FIT_DOCS}, lines, FIT_LINES)
 
     def features(batches):
         for batch in batches:
-            ids, good = batch.column(id_col).to_pylist(), batch.column("quality").to_pylist()
-            for i, g, text in zip(ids, good, batch.column("__text").to_pylist(), strict=True):
+            ids, good = batch.column("id").to_pylist(), batch.column("label").to_pylist()
+            for i, g, text in zip(ids, good, batch.column("text").to_pylist(), strict=True):
                 x, length, _ = line_features([text or b""])
                 packed = zlib.compress(x.astype("<f4").tobytes(), 1)
                 yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([g], pa.int32()), pa.array([packed]), pa.array([length.astype("<i8").tobytes()])], ["id", "good", "x", "length"])
 
-    limited = sample.select(F.col(id_col).cast("long").alias(id_col), "quality", "__text").mapInArrow(features, "id long, good int, x binary, length binary")
-    xs, lengths, counts, good, total = [], [], [], [], 0
-    for r in sorted(limited.toLocalIterator(), key=lambda r: (zlib.crc32(str(r["id"]).encode()), r["id"], r["length"])):
+    made = sample.select(F.col("id").cast("long").alias("id"), "label", F.col("text").cast("binary").alias("text")).mapInArrow(features, "id long, good int, x binary, length binary")
+    xs, lengths, counts, good = [], [], [], []
+    for r in sorted(made.toLocalIterator(), key=lambda r: (zlib.crc32(str(r["id"]).encode()), r["id"], r["length"])):
         length = np.frombuffer(r["length"], "<i8")
-        if total and total + len(length) > FIT_LINES:
-            continue
-        total += len(length)
         xs.append(np.frombuffer(zlib.decompress(r["x"]), "<f4").reshape(len(length), -1))
         lengths.append(length)
         counts.append(len(length))
@@ -237,22 +353,39 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     return fit(np.concatenate(xs).astype(np.float64), np.array(counts), np.concatenate(lengths), np.array(good))
 
 
-def score_quality(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """The columns in keep, id first, with score and predicted for every row. Null text counts as empty."""
+def _scored(rows: DataFrame, field: Field, schema) -> DataFrame:
+    """rows with score and predicted after their columns; the last column has the text as bytes, or is a struct with it as text, and is given back only if it is a struct."""
     from pyspark.sql import types as T
 
-    columns = list(dict.fromkeys([id_col, *keep]))
-    schema = T.StructType([docs.schema[c] for c in columns]).add("score", "double").add("predicted", "integer")
+    whole = isinstance(rows.schema.fields[-1].dataType, T.StructType)
 
     def run(batches):
         kept("quality", None)
         for batch in batches:
-            texts = [x or b"" for x in batch.column("__text").to_pylist()]
+            column = batch.column(batch.num_columns - 1)
+            text = column.field(text_at) if whole else column
+            texts = [x or b"" for x in text.cast(pa.binary()).to_pylist()]
             scores = np.concatenate([np.zeros(0), *(doc_scores(field, part) for part in chunks(texts))])
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))], schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: batch.num_columns - (not whole)], pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))], names)
+
+    text_at = rows.schema.fields[-1].dataType.names.index(schema) if whole else None
+    fields = rows.schema.fields if whole else rows.schema.fields[:-1]
+    out = T.StructType(list(fields)).add("score", "double").add("predicted", "integer")
+    names = out.names
+    bounded_batches(rows.sparkSession)
+    return rows.mapInArrow(run, out)
+
+
+def score_quality(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, score, predicted for every row. Null text counts as empty; null and repeated ids don't matter, for each row is
+    scored alone; an empty table gives no rows; other columns, of any name, are ignored. Of a long text a run of lines
+    is held at a time, besides the text."""
+    return _scored(docs.select(id_col, F.col(text_col).cast("binary").alias("__text")), field, None)
+
 
-    bounded_batches(docs.sparkSession)
-    return docs.select(*columns, F.col(text_col).cast("binary").alias("__text")).mapInArrow(run, schema)
+def keep_good(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
+    """The rows of docs that the field doesn't reject, with all columns, whatever their names."""
+    return _scored(docs.select(F.struct("*").alias("row")), field, text_col).where("predicted = 1").select("row.*")
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,13 +5,14 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .quality_crf import chunks, remainder
+from .quality_crf import chunks, labelled, remainder
 from .shared import bounded_batches, kept, load
 
 #: The network is fitted on so many labelled documents of each kind, at most: those with the smallest hashes,
@@ -20,13 +21,17 @@ FIT_TOXIC, FIT_CLEAN = 1_000, 1_600
 FIT_CHARS = 14_000_000
 THRESHOLD = 0.3
 #: Words of a window and from one window's start to the next's.
-WINDOW, STRIDE = 48, 36
+WINDOW, STRIDE = 48, 24
 HIDDEN, ATTENTION, WORD_DIM, CHAR_DIM, CHAR_BUCKETS = 12, 12, 6, 6, 1 << 13
 #: Words of the sample in fewer documents than this have no input of their own, only their characters'.
 LEAST_DOCS = 3
 EPOCHS, BATCH, RATE = 5, 128, 0.01
+#: Steps of the fit, at least; small samples have more epochs.
+LEAST_STEPS = 200
 #: Words whose inputs a worker remembers.
 KNOWN_WORDS = 250_000
+#: Windows of a text that are handled at a time.
+TOGETHER = 4_096
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -34,6 +39,19 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def pieces(text: str, windows: int = TOGETHER) -> Iterator[list[str]]:
+    """The text's words in runs of so many windows, which overlap so that their windows are the text's."""
+    held: list[str] = []
+    first = True
+    for m in WORD.finditer(text.lower()):
+        held.append(m[0])
+        if len(held) == windows * STRIDE + WINDOW - STRIDE:
+            yield held
+            held, first = held[windows * STRIDE :], False
+    if first or len(held) > WINDOW - STRIDE:
+        yield held
+
+
 def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all words' byte trigrams, with marked ends, and each word's number of them."""
     data = np.frombuffer("".join(f"\x02{w}\x03" for w in words).encode(errors="replace"), np.uint8).astype(np.uint32)
@@ -200,7 +218,8 @@ def train(texts: list[list[str]], toxic: np.ndarray, seed: int = 3) -> Network:
     by_word[kept] = np.maximum(0, word_odds[kept])
     sums = np.concatenate([[0], np.cumsum(by_word[flat])])
     guess = sums[np.minimum(first[doc] + start + WINDOW, first[doc] + n_words[doc])] - sums[first[doc] + start] + 1e-6 * rng.random(len(doc))
-    for epoch in range(EPOCHS):
+    a_pass = -(-(len(texts) + min(len(texts), int((~toxic[doc]).sum()))) // BATCH)
+    for epoch in range(max(EPOCHS, -(-LEAST_STEPS // max(1, a_pass)))):
         if epoch:
             gates = net.gates(net.inputs(words)[0])
             guess = np.concatenate([net.run(gates, *laid_out(flat, first, n_words, doc[k : k + 2048], start[k : k + 2048])) for k in range(0, len(doc), 2048)])
@@ -248,8 +267,22 @@ class Scorer:
         self.table = {way: np.zeros((1 << 12, 3 * HIDDEN), np.float32) for way in "fb"}
 
     def score(self, texts: list[str]) -> np.ndarray:
-        """The highest score of each text's windows."""
-        lists = [words_of(t) for t in texts]
+        """The highest score of each text's windows; of a long text TOGETHER windows are held at a time, besides the text."""
+        lists, owner = [], []
+        out = np.full(len(texts), -np.inf, np.float32)
+        for k, text in enumerate(texts):
+            if len(text) <= TOGETHER * STRIDE:
+                lists.append(words_of(text))
+                owner.append(k)
+                continue
+            for part in pieces(text):
+                out[k] = max(out[k], self.logits([part])[0])
+        if lists:
+            out[owner] = self.logits(lists)
+        return _sigmoid(out.astype(np.float64))
+
+    def logits(self, lists: list[list[str]]) -> np.ndarray:
+        """The highest logit of the windows of each list of words."""
         n_words = np.fromiter(map(len, lists), np.int64, len(lists))
         if len(self.index) > KNOWN_WORDS:
             self.clear()
@@ -280,32 +313,32 @@ class Scorer:
         for k in range(0, len(doc), 2048):
             part = slice(k, k + 2048)
             logit[part] = self.net.run(self.table, *laid_out(flat, first, n_words, doc[part], start[part]))
-        best = np.full(len(texts), -np.inf, np.float32)
+        best = np.full(len(lists), -np.inf, np.float32)
         np.maximum.at(best, doc, logit)
-        return _sigmoid(best.astype(np.float64))
+        return best
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Network | None:
-    """Fits on a bounded sample of the labelled documents that aren't held out; None if it lacks either kind."""
-    usable = labels.where(F.col("toxic").isNotNull() & (remainder(id_col, 4) != 2)).groupBy(id_col).agg(F.max("toxic").cast("int").alias("toxic"))
-    order = F.md5(F.col(id_col).cast("string"))
-    chosen = usable.where("toxic = 1").orderBy(order, id_col).limit(FIT_TOXIC).unionByName(usable.where("toxic = 0").orderBy(order, id_col).limit(FIT_CLEAN))
-    sample = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).withColumn("__n", F.length(text_col))
-    texts, toxic, size = [], [], 0
-    rows = sample.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), "toxic").toLocalIterator()
-    held = sorted(((zlib.crc32(str(r["id"]).encode()), r["id"], r["toxic"], words_of(r["text"] or ""), len(r["text"] or "")) for r in rows), key=lambda r: (r[0], r[1], r[4], r[3][:1]))
-    for _, _, label, words, n in held:
-        if size + n <= FIT_CHARS:
-            size += n
-            texts.append(words)
-            toxic.append(label == 1)
+    """Fits on a sample of at most FIT_TOXIC and FIT_CLEAN labelled documents that aren't held out, and FIT_CHARS characters of them; None if it lacks either kind.
+
+    Null labels or ids are passed over, and labels of ids that the table lacks. Null text counts as empty.
+    """
+    size = F.length(F.coalesce("text", F.lit("")))
+    sample = labelled(docs, labels, id_col, text_col, "toxic", remainder("id", 4) != 2, {1: FIT_TOXIC, 0: FIT_CLEAN}, size, FIT_CHARS)
+    rows = ((r["id"], r["label"], words_of(r["text"] or "")) for r in sample.select(F.col("id").cast("string").alias("id"), "label", "text").toLocalIterator())
+    held = sorted(rows, key=lambda r: (zlib.crc32(r[0].encode()), r[0], len(r[2]), r[2][:1]))
+    texts, toxic = [r[2] for r in held], [r[1] == 1 for r in held]
     if not any(toxic) or all(toxic):
         return None
     return train(texts, np.array(toxic))
 
 
 def score_toxicity(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, score (the highest of all windows), predicted, for every row. Null text counts as empty; without a network all score 0."""
+    """id, score (the highest of all windows), predicted, for every row. Null text counts as empty; without a network all score 0.
+
+    Null and repeated ids don't matter, for each row is scored alone; an empty table gives no rows; other
+    columns, of any name, are ignored.
+    """
     from pyspark.sql import types as T
 
     shared, name = docs.sparkSession.sparkContext.broadcast(net), uuid.uuid4().hex

@@ -1,7 +1,9 @@
+import math
 import random
 import zlib
 
 import numpy as np
+import pytest
 
 from sparkcurate.llm import quality_crf, toxicity_gru
 
@@ -62,6 +64,37 @@ def test_marginals_are_those_of_all_labellings():
     assert np.allclose(pairs, all_pairs) and np.isclose(z, all_z)
 
 
+@pytest.mark.parametrize("run", [1, 7, 40, 1_000])
+def test_long_texts_go_in_runs(monkeypatch, run):
+    random_ = np.random.default_rng(run)
+    field = quality_crf.Field(random_.normal(size=3 * quality_crf.OWN + 1), random_.normal(size=(2, 2)), 3.0, -1.0)
+    texts = [("\n".join(prose(1) if random_.random() < 0.5 else junk(1) for _ in range(60))).encode(), b"\n" * 80, b"one line of words " * 30, b"a\n" * 50, b"\n\nx\n" + b"y" * 300]
+    whole = field.score(*quality_crf.line_features(texts))
+    monkeypatch.setattr(quality_crf, "RUN_BYTES", run)
+    assert np.allclose(quality_crf.doc_scores(field, texts), whole)
+
+
+def test_samples_are_bounded(spark):
+    docs = spark.createDataFrame([(k % 20, "w" * (10 if k % 3 else 5_000), "x") for k in range(400)], "doc_id long, text string, label string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(30)] + [(3, None), (None, 1)], "doc_id long, quality int")
+    from pyspark.sql import functions as F
+
+    sample = quality_crf.labelled(docs, labels, "doc_id", "text", "quality", F.col("id") != 4, {1: 30, 0: 30}, F.length("text"), 200)
+    rows = sample.collect()
+    assert sum(len(r.text) for r in rows) <= 200 and len(rows) == 20 and all(r.id != 4 and r.label == r.id % 2 for r in rows)
+
+
+@pytest.mark.parametrize("op, column, modulus, value", [(quality_crf.op6, "quality", 5, 0), (toxicity_gru.op2, "toxic", 4, 2)])
+def test_held_out_rows(spark, op, column, modulus, value):
+    got = op(spark, "/root/testdata/sf0.001")
+    assert got.columns[:4] == ["doc_id", "held_out", "score", "predicted"]
+    labels = {r.doc_id: r[column] for r in spark.read.parquet("/root/testdata/sf0.001/labels.parquet").collect()}
+    rows = got.collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % modulus == value) and r.predicted == (r.score >= 0.3) for r in rows)
+    right = [r.predicted == labels[r.doc_id] for r in rows if r.held_out and r.doc_id in labels]
+    assert np.mean(right) > 0.85
+
+
 def test_lines_see_their_neighbours():
     x, length, n = quality_crf.line_features([b"one line\nTWO!!", b"", b"a a a"])
     assert n.tolist() == [2, 1, 1] and length.tolist() == [8, 5, 0, 5]
@@ -130,6 +163,86 @@ def test_gradients():
         assert abs((up - down) / 2e-2 - slope[at]) < 2e-3
 
 
+def slow_score(net, text):
+    """The network's definition, a word at a time, for each window by itself."""
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    words = toxicity_gru.words_of(text)
+    starts = [0]
+    while starts[-1] + toxicity_gru.WINDOW < len(words):
+        starts.append(starts[-1] + toxicity_gru.STRIDE)
+    best = -math.inf
+    size = toxicity_gru.HIDDEN
+    for start in starts:
+        own = words[start : start + toxicity_gru.WINDOW]
+        inputs = []
+        for w in own:
+            data = f"\x02{w}\x03".encode()
+            grams = [toxicity_gru.trigrams([w])[0][k] for k in range(len(data) - 2)]
+            row = net.vocabulary.get(w)
+            x = list(net.p["word"][row]) if row is not None else [0.0] * toxicity_gru.WORD_DIM
+            x.append(net.word_odds[row] if row is not None else 0.0)
+            x += [sum(net.p["char"][g][d] for g in grams) / len(grams) for d in range(toxicity_gru.CHAR_DIM)]
+            odds = [net.char_odds[g] for g in grams]
+            inputs.append([*x, sum(odds) / len(odds), max(odds)])
+        states = [[0.0] * (2 * size) for _ in own]
+        for way, shift in (("f", 0), ("b", size)):
+            h = [0.0] * size
+            for t in range(len(own)) if way == "f" else range(len(own) - 1, -1, -1):
+                g = [sum(a * net.p[f"x{way}"][d][j] for d, a in enumerate(inputs[t])) + net.p[f"b{way}"][j] for j in range(3 * size)]
+                k = [sum(h[d] * net.p[f"u{way}"][d][j] for d in range(size)) for j in range(3 * size)]
+                z, r = ([sigmoid(g[p + j] + k[p + j]) for j in range(size)] for p in (0, size))
+                new = [math.tanh(g[2 * size + j] + r[j] * k[2 * size + j]) for j in range(size)]
+                h = [(1 - z[j]) * h[j] + z[j] * new[j] for j in range(size)]
+                states[t][shift : shift + size] = h
+        if own:
+            pull = []
+            for st_ in states:
+                hid = [math.tanh(sum(st_[d] * net.p["attend"][d][j] for d in range(2 * size)) + net.p["attend0"][j]) for j in range(toxicity_gru.ATTENTION)]
+                pull.append(math.exp(sum(a * b for a, b in zip(hid, net.p["pick"], strict=True))))
+            pooled = [sum(p * st_[d] for p, st_ in zip(pull, states, strict=True)) / sum(pull) for d in range(2 * size)]
+        else:
+            pooled = [0.0] * (2 * size)
+        best = max(best, sum(a * b for a, b in zip(pooled, net.p["out"], strict=True)) + net.p["out0"][0])
+    return sigmoid(best)
+
+
+def test_scores_are_those_of_all_windows(monkeypatch):
+    random_ = np.random.default_rng(6)
+    odds = random_.normal(size=2)
+    net = toxicity_gru.Network({"alder": 0, "oaf": 1}, odds, random_.normal(size=toxicity_gru.CHAR_BUCKETS))
+    for name in net.p:
+        net.p[name] = random_.normal(size=net.p[name].shape).astype(np.float32) * 0.4
+    texts = ["", "oaf", "Alder é wörd " * 9, " ".join(f"w{k}" for k in range(48)), " ".join(f"x{k % 19}" for k in range(49)), " ".join(f"y{k % 23} oaf" for k in range(80))]
+    slow = [slow_score(net, t) for t in texts]
+    assert np.allclose(toxicity_gru.Scorer(net).score(texts), slow, atol=1e-5)
+    monkeypatch.setattr(toxicity_gru, "TOGETHER", 2)
+    monkeypatch.setattr(toxicity_gru, "pieces", lambda text, f=toxicity_gru.pieces: f(text, 2))
+    assert np.allclose(toxicity_gru.Scorer(net).score(texts), slow, atol=1e-5)
+
+
+def test_pieces_have_the_texts_windows():
+    for n in (0, 1, 47, 48, 49, 72, 73, 96, 97, 500):
+        words = [f"w{k}" for k in range(n)]
+        _, start = toxicity_gru.windows(np.array([n]))
+        expected = [words[s : s + toxicity_gru.WINDOW] for s in start.tolist()]
+        got = []
+        for part in toxicity_gru.pieces(" ".join(words), 2):
+            _, own = toxicity_gru.windows(np.array([len(part)]))
+            got += [part[s : s + toxicity_gru.WINDOW] for s in own.tolist()]
+        assert got == expected
+
+
+def test_a_passage_is_found_wherever_it_stands(spark):
+    rows = toxic_docs()
+    docs = spark.createDataFrame([(i, t, "en", 0.5) for i, t, _ in rows], S)
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows], "doc_id long, quality int, toxic int")
+    scorer = toxicity_gru.Scorer(toxicity_gru.fit_toxicity(docs, labels))
+    clean = [f"w{k * 7 % 200}" for k in range(300)]
+    passage = "nitwit w3 dolt w5 oaf w9 w11 nitwit w20 w21 w22 oaf".split()
+    scores = scorer.score([" ".join(clean[:k] + passage + clean[k:]) for k in range(0, 120)])
+    assert (scores >= toxicity_gru.THRESHOLD).all() and scorer.score([" ".join(clean)])[0] < toxicity_gru.THRESHOLD
+
+
 def test_windows_cover_all_words():
     doc, start = toxicity_gru.windows(np.array([0, 1, 48, 49, 500]))
     for d, n in enumerate([0, 1, 48, 49, 500]):
