@@ -33,10 +33,13 @@ class _Index(dict):
 
 
 class PieceCache:
-    """keys(text, first) gives a text's pieces; encode(keys) all keys' ids in a row, and each key's number of ids."""
+    """keys(text, first) gives a text's pieces; encode(keys) all keys' ids in a row, and each key's number of ids.
 
-    def __init__(self, keys: Callable[[str, bool], list], encode: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int = 400_000) -> None:
-        self.keys, self.encode, self.limit = keys, encode, limit
+    cut: whether pieces part between a non-space, a space and a non-space; else texts stay whole.
+    """
+
+    def __init__(self, keys: Callable[[str, bool], list], encode: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int = 400_000, cut: bool = True) -> None:
+        self.keys, self.encode, self.limit, self.cut = keys, encode, limit, cut
         self.clear()
 
     def clear(self) -> None:
@@ -98,7 +101,7 @@ class PieceCache:
         size = 0
         for text in texts:
             at = 0
-            while len(text) - at > CHUNK and (m := SAFE.search(text, at + CHUNK)):
+            while self.cut and len(text) - at > CHUNK and (m := SAFE.search(text, at + CHUNK)):
                 pieces += self.keys(text[at + (at > 0) : m.start()], at == 0)
                 cuts.append(len(pieces))
                 yield (*self._out(pieces, cuts), True)

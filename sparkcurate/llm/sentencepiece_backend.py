@@ -14,9 +14,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .piece_cache import PieceCache, joined_encode
-from .shared import bounded_batches, kept, load
+from .shared import bounded_batches, fresh, kept, load
 
 META = "▁"
 #: Pieces of text whose ids a worker remembers.
@@ -158,9 +159,10 @@ def run_keys(text: str, first: bool) -> list[str]:
 class Codec:
     """Encodes and decodes texts by one model file.
 
-    A text's ids are those that the sentencepiece library gives: each distinct piece that the cache
-    learns is encoded by both libraries; where they differ, the reference's ids are taken and the
-    texts with that piece are told (bad_keys). Empty text has no ids.
+    All ids are the tokenizers library's. Each distinct piece that the cache learns is encoded by the
+    sentencepiece library too; where they differ, the piece is noted (bad), and texts with it are told.
+    Pieces of models with a character map, or that remove extra spaces, come after both, so that the other
+    library would not see the same text: there whole texts are compared as they come. Empty text has no ids.
     """
 
     def __init__(self, path: str, threads: int = 2, verify: bool = True) -> None:
@@ -174,7 +176,7 @@ class Codec:
             import sentencepiece
 
             self.reference = sentencepiece.SentencePieceProcessor(model_file=path)
-        # extra spaces and mapped characters are gone from keys, so that the reference would see another text
+        self.threads = threads
         self.comparable = self.reference is not None and not m.squeeze and not m.charsmap
         self.bad: set[str] = set()
         self.by_piece = splits_at_spaces(m)
@@ -193,10 +195,7 @@ class Codec:
             marker = [inner.token_to_id(META)] if self.by_piece else []  # of a space that ends a text
             ids = [one if key else marker for key, one in zip(keys, ids_of(keys), strict=True)]
             if self.comparable:
-                for k, b in enumerate(self.reference.encode(keys, num_threads=threads)):
-                    if keys[k] and ids[k] != b:
-                        self.bad.add(keys[k])
-                        ids[k] = b
+                self.bad.update(key for key, own, other in zip(keys, ids, self.reference.encode(keys, num_threads=threads), strict=True) if key and own != other)
             return ids
 
         def encode(keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -207,14 +206,15 @@ class Codec:
             def together(texts: list[str]) -> list[list[int]]:
                 ids = ids_of(texts)
                 if self.comparable:
-                    for k, b in enumerate(self.reference.encode(texts, num_threads=threads)):
-                        if ids[k] != b:  # piece by piece, to tell which
-                            ids[k] = [x for one in alone(texts[k].split(" ")) for x in one]
+                    for text, own, other in zip(texts, ids, self.reference.encode(texts, num_threads=threads), strict=True):
+                        if own != other:
+                            alone(text.split(" "))  # piece by piece, to note which
                 return ids
 
             return joined_encode(keys, lambda key: -1 if key == "" or key[0] == " " else 0, [together], alone, starts)
 
-        self.cache = PieceCache(run_keys if self.by_piece else (lambda text, first: [text] if text else []), encode, limit=CACHED)
+        self.keys = run_keys if self.by_piece else (lambda text, first: [text] if text else [])
+        self.cache = PieceCache(self.keys, encode, limit=CACHED, cut=self.by_piece)
         pieces = [bytes([int(t[3:-1], 16)]) if k == BYTE else b"" if k == CONTROL else t.replace(META, " ").encode() for t, _, k in m.pieces]
         self.piece_bytes = np.frombuffer(b"".join(pieces), np.uint8)
         self.piece_len = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -233,6 +233,14 @@ class Codec:
             text = re.sub(" {2,}", " ", text).strip(" ")
         return text
 
+    def parity(self, text: str, plain: str, ids: np.ndarray) -> bool | None:
+        """Whether the other library gives a text the same ids, by its pieces or as a whole; null where it wasn't asked."""
+        if self.reference is None:
+            return None
+        if self.comparable:
+            return not self.bad or self.bad.isdisjoint(self.keys(plain, True))
+        return self.reference.encode(text) == ids.tolist()
+
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         return self.cache.texts(map(self.normal, texts))
 
@@ -252,23 +260,28 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     """One row per document: id, the columns in keep, n_tokens, ids_crc32, decoded_bytes, decoded_ok, parity, and token_ids if ids.
 
     ids_crc32 is that of the ids as little-endian 32-bit integers. decoded_ok: decoding the ids gives
-    the normalised text again, byte for byte. parity: both libraries gave the same ids for all of the
-    text's pieces. Null text counts as empty: no ids, and both are true. Null or repeated ids and
-    other columns don't matter, for each row is handled alone; an empty table gives no rows.
+    the normalised text again, byte for byte. parity: both libraries gave the same ids for the text, null
+    where they weren't compared (verify). Null text counts as empty: no ids, and both are true. Null or
+    repeated ids and other columns don't matter, for each row is handled alone; an empty table gives no
+    rows. A column to keep that has the name of a new one has _1, _2, ... put to its name, whichever is free.
     """
     from pyspark.sql import types as T
 
     columns = list(dict.fromkeys([id_col, *keep]))
-    schema = T.StructType([docs.schema[c] for c in columns])
-    schema = schema.add("n_tokens", "long").add("ids_crc32", "long").add("decoded_bytes", "long").add("decoded_ok", "boolean").add("parity", "boolean")
+    new = T.StructType().add("n_tokens", "long").add("ids_crc32", "long").add("decoded_bytes", "long").add("decoded_ok", "boolean").add("parity", "boolean")
     if ids:
-        schema = schema.add("token_ids", T.ArrayType(T.IntegerType()))
+        new = new.add("token_ids", T.ArrayType(T.IntegerType()))
+    names: list[str] = []
+    for c in columns:
+        names.append(fresh(c, [*new.names, *(x for x in columns if x != c), *names]))
+    schema = T.StructType([T.StructField(name, docs.schema[c].dataType) for name, c in zip(names, columns, strict=True)] + new.fields)
+    docs = docs.select(F.struct("*").alias("row")).select(*(F.col("row")[c].alias(f"c{k}") for k, c in enumerate(columns)), F.col("row")[text_col].alias("text"))
 
     def run(batches):
         codec = codec_of(model_path, threads, verify)
         for batch in batches:
-            for part in slices(batch, text_col):
-                texts = [x or "" for x in part.column(text_col).to_pylist()]
+            for part in slices(batch, "text"):
+                texts = [x or "" for x in part.column("text").to_pylist()]
                 n, crc, size, good, same, every = [], [], [], [], [], []
                 for text, one in zip(texts, codec.encode(texts), strict=True):
                     n.append(len(one))
@@ -277,17 +290,17 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
                     size.append(len(back))
                     plain = codec.normal(text)
                     good.append(back == plain.replace(META, " ").encode(errors="replace"))
-                    same.append(not codec.bad or codec.bad.isdisjoint(run_keys(plain, True)))
+                    same.append(codec.parity(text, plain, one))
                     if ids:
                         every.append(one.astype(np.int32))
-                out = [part.column(c) for c in columns] + [pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(size, pa.int64()), pa.array(good), pa.array(same)]
+                out = part.columns[: len(columns)] + [pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(size, pa.int64()), pa.array(good, pa.bool_()), pa.array(same, pa.bool_())]
                 if ids:
                     ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
                     out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *every]))))
                 yield pa.RecordBatch.from_arrays(out, schema.names)
 
     bounded_batches(docs.sparkSession)
-    return docs.select(*dict.fromkeys([*columns, text_col])).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def slices(batch: pa.RecordBatch, text_col: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:

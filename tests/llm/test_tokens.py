@@ -157,19 +157,22 @@ def field_(number, value):
     return varint(number << 3) + varint(value)
 
 
-def unigram_model():
+def model_file(pieces, normaliser, kind=1):
     """A small model written out by hand."""
-    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), *((f"<0x{b:02X}>", 0.0, 6) for b in range(256)), ("▁", -3.0, 1), ("a", -3.5, 1), ("b", -3.6, 1), ("ab", -4.0, 1), ("▁a", -4.2, 1), ("▁ab", -5.5, 1), ("c", -4.9, 1)]
-    body = b"".join(field_(1, field_(1, t.encode()) + field_(2, s) + field_(3, k)) for t, s, k in pieces)
-    trainer = field_(3, 1) + field_(35, 1) + field_(40, 0)
-    return body + field_(2, trainer) + field_(3, field_(1, b"identity") + field_(3, 1) + field_(4, 0))
+    every = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), *((f"<0x{b:02X}>", 0.0, 6) for b in range(256)), *pieces]
+    body = b"".join(field_(1, field_(1, t.encode()) + field_(2, s) + field_(3, k)) for t, s, k in every)
+    return body + field_(2, field_(3, kind) + field_(35, 1) + field_(40, 0)) + field_(3, normaliser)
+
+
+LETTERS = [("▁", -3.0, 1), ("a", -3.5, 1), ("b", -3.6, 1), ("ab", -4.0, 1), ("▁a", -4.2, 1), ("▁ab", -5.5, 1), ("c", -4.9, 1)]
+IDENTITY = field_(1, b"identity") + field_(3, 1) + field_(4, 0)
 
 
 def test_unigram(tmp_path):
     import sentencepiece
 
     path = tmp_path / "u.model"
-    path.write_bytes(unigram_model())
+    path.write_bytes(model_file(LETTERS, IDENTITY))
     reference = sentencepiece.SentencePieceProcessor(model_file=str(path))
     codec = sentencepiece_backend.Codec(str(path), threads=1)
     texts = ["ab", "ab a b", "abc cab", "", "aab  b", "xé"]
@@ -177,6 +180,53 @@ def test_unigram(tmp_path):
     assert [codec.decode(x).decode() for x in codec.encode(texts)] == texts
 
 
+def charsmap():
+    import sentencepiece
+
+    spec = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc").serialized_model_proto()
+    for number, value in sentencepiece_backend.fields(spec):
+        if number == 3:
+            return dict(sentencepiece_backend.fields(value))[2]
+
+
+@pytest.mark.parametrize("kind", ["squeeze", "mapped", "joined"])
+def test_normalising_models_are_compared_whole(spark, tmp_path, kind):
+    import sentencepiece
+
+    pieces, normaliser = LETTERS, field_(1, b"own") + field_(3, 1) + field_(4, 1)
+    if kind == "mapped":
+        normaliser += field_(2, charsmap())
+    if kind == "joined":  # a piece with a space inside, so that texts don't part at spaces
+        pieces, normaliser = [*LETTERS, ("a▁b", -2.0, 1)], IDENTITY
+    path = tmp_path / "m.model"
+    path.write_bytes(model_file(pieces, normaliser))
+    reference = sentencepiece.SentencePieceProcessor(model_file=str(path))
+    texts = ["ab", "  ab   a b ", "", "   ", "ａｂ ① ab", "a b a b c", "xé  a", "a\u00a0b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in sentencepiece_backend.encode_decode(docs, str(path), ids=True).collect()}
+    for k, t in enumerate(texts):
+        assert got[k].parity == (got[k].token_ids == reference.encode(t))
+    assert all(r.parity for r in got.values()) and all(r.decoded_ok for r in got.values())
+    unasked = sentencepiece_backend.encode_decode(docs, str(path), verify=False).collect()
+    assert {r.parity for r in unasked} == {None}
+
+
+def test_differences_are_told_and_ids_kept(spark, monkeypatch):
+    codec = sentencepiece_backend.Codec(PIECES, threads=1)
+    real = codec.reference
+
+    class Other:
+        def encode(self, texts, **kw):
+            one = lambda t: [x + ("odd" in t) for x in real.encode(t)]
+            return one(texts) if isinstance(texts, str) else [one(t) for t in texts]
+
+    codec.reference = Other()
+    texts = ["plain words", "an odd word", "oddly", "more plain words"]
+    ids = list(codec.encode(texts))
+    assert [x.tolist() for x in ids] == [real.encode(t) for t in texts]
+    assert [codec.parity(t, codec.normal(t), x) for t, x in zip(texts, ids, strict=True)] == [True, False, False, True]
+
+
 @pytest.mark.parametrize("value", [b"", b"\x08\x96\x01"])
 def test_fields(value):
     assert list(sentencepiece_backend.fields(value)) == ([(1, 150)] if value else [])
