@@ -76,7 +76,8 @@ def cache_of(tokenizer: str) -> PieceCache:
         def encode(keys: list) -> tuple[np.ndarray, np.ndarray]:
             return joined_encode(keys, kind, [plain, letters], lambda own: ids_of([k[0] if isinstance(k, tuple) else " " + k for k in own]), starts)
 
-        return PieceCache(spaced_keys if splits_at_spaces(tokenizer) else whole_key, encode, limit=CACHED)
+        apart = splits_at_spaces(tokenizer)
+        return PieceCache(spaced_keys if apart else whole_key, encode, limit=CACHED, cut=apart)
 
     return kept("pieces", tokenizer, make)
 

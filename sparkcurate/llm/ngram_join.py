@@ -1,4 +1,4 @@
-"""Exact Jaccard join of word shingles: pivots' Voronoi regions, triangle-inequality windows, regions joined one level down.
+"""Exact Jaccard join of word shingles: pivots' Voronoi regions, triangle-inequality windows, recursive joins of regions.
 
 Distances are Jaccard's, 1 - intersection / union, and two texts link at EPS = 1 - T or less. Each text also
 has a fold of its set, one parity bit a cell; sets differ in at least as many shingles as folds in
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import bounded_batches, forget, kept, load, placed, written
+from .shared import bounded_batches, forget, hot_rows, join_groups, kept, load, placed, written
 
 #: Minimum hashes: bands and rows of each.
 BANDS, ROWS = 4, 3
@@ -42,10 +42,16 @@ BROADCAST_IDS = 1_000_000
 #: Pairs of points of two regions that are tried first, those with the lowest bounds.
 FIRST_PAIRS = 4
 MAX_FOLD = 1 << 14
-#: Cells with more regions than this are joined one level down, with folds at hand.
+#: Cells with more regions than this are joined with folds at hand.
 LARGE = 6
+#: Regions of a cell that one task compares with each other; larger groups are split.
+LEAF = 512
+#: Pivots that a large group is split by.
+SPLIT = 8
+#: Up to so many large groups' pivots, some 16 KB each, are broadcast; more are joined by a shuffle.
+BROADCAST_PIVOTS = 2_000
 #: Members of a region that one task compares.
-TOGETHER = 4_096
+TOGETHER = 256
 
 
 @dataclass(frozen=True)
@@ -285,8 +291,10 @@ def band_pairs(points: DataFrame) -> DataFrame:
     bands = points.select("key", F.explode("bands").alias("band"))
     firsts = [F.min_by("key", F.xxhash64("key", F.lit(k))).alias(f"p{k}") for k in range(PIVOTS)]
     pivots = bands.groupBy("band").agg(*firsts, F.count(F.lit(1)).alias("n")).where("n > 1")
-    pivots = pivots.select("band", F.array_distinct(F.array(*(f"p{k}" for k in range(PIVOTS)))).alias("pivots"))
-    return bands.join(pivots, "band").select(F.col("key").alias("a"), F.explode("pivots").alias("b")).where("a <> b").distinct()
+    pivots = written(pivots.select(F.col("band").alias("key"), "n", F.array_distinct(F.array(*(f"p{k}" for k in range(PIVOTS)))).alias("pivots")), "pivots")
+    bands = bands.select(F.col("band").alias("key"), F.col("key").alias("a"))
+    both = join_groups(bands, pivots, pivots.count(), hot_rows(points.count()), "inner", by=("a",))
+    return both.select("a", F.explode("pivots").alias("b")).where("a <> b").distinct()
 
 
 def region_pairs(points: DataFrame, rule: Rule, regions: DataFrame) -> DataFrame:
@@ -385,21 +393,140 @@ def _met(rule: Rule, batch: pa.RecordBatch, large) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([none, *(pa.array(np.ascontiguousarray(x)) for x in (a, b, ra, rb)), none, none, none], schema=_MET_SCHEMA)
 
 
-def large_cells(rows: DataFrame, rule: Rule, points: DataFrame, parts: int) -> DataFrame:
-    """(a, b, ra, rb) of large cells' regions; folds are compared within the task, and a pair is given in the lowest cell that both have.
+#: What a region is in a group: at home, or there because a home region may be near. Pairs are compared if one is at home, or if they are of the two halves.
+HOME, GUEST, LEFT, RIGHT = 0, 1, 2, 3
+LEVEL = "grp long, region long, r long, n long, fold binary, side int, final boolean"
+
 
-    What lets a pair pass is the same in all cells, so that the lowest one speaks for all.
+def large_cells(rows: DataFrame, rule: Rule, points: DataFrame, parts: int) -> DataFrame:
+    """(a, b, ra, rb) of large cells' regions that the folds allow to be near enough.
+
+    A cell's regions are a group. Groups of up to LEAF regions are compared in a task; a larger one is
+    split by pivots of its own, and its parts again, until all are small. Folds of one width are points
+    of a metric space, in which near regions are at most a bound apart: a region is at home with its
+    nearest pivot and a guest where another one isn't farther by over twice the bound, so that each near
+    pair meets where one of them is at home. Where that doesn't make a group smaller, as with texts
+    that have nothing else in common, it is cut into blocks, and each pair of blocks is a group.
     """
-    merged = rows.select("cell", "region", "r").distinct()
-    lists = merged.groupBy("region").agg(F.collect_list("cell").alias("cells"))
-    whole = merged.join(lists, "region").join(points.select(F.col("key").alias("region"), "n", "fold"), "region")
-    dealt = whole.repartition(parts, "cell").sortWithinPartitions("cell", "n", "region")
+    merged = rows.select(F.col("cell").alias("grp"), "region", "r").distinct()
+    level = merged.join(points.select(F.col("key").alias("region"), "n", "fold"), "region")
+    level = written(level.select("grp", "region", "r", "n", "fold", F.lit(HOME).alias("side"), F.lit(False).alias("final")), "level")
+    found = []
+    while True:
+        sizes = level.where("NOT final").groupBy(F.col("grp").alias("key")).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min(F.octet_length("fold")).alias("width"),
+            F.max("r").alias("far"),
+            F.max(level["n"]).alias("top"),
+            *(F.min_by("fold", F.xxhash64("region", F.lit(k))).alias(f"p{k}") for k in range(SPLIT)),
+        )
+        sizes = written(sizes.where(F.col("n") > LEAF), "sizes")
+        n_big = sizes.count()
+        if not n_big:
+            found.append(written(_leaves(level, rule, parts), "leaf-pairs"))
+            forget(level, sizes)
+            break
+        hot = hot_rows(level.count())
+        keyed = level.withColumnsRenamed({"grp": "key", "n": "size"})
+        both = join_groups(keyed, sizes.select("key", "n"), n_big, hot, by=("region", "side")).withColumn("large", F.col("n").isNotNull() & ~F.col("final"))
+        small = both.where("NOT large").select(F.col("key").alias("grp"), "region", "r", F.col("size").alias("n"), "fold", "side", "final")
+        found.append(written(_leaves(small, rule, parts), "leaf-pairs"))
+        large = join_groups(keyed.where("NOT final"), sizes, n_big, hot, "inner", by=("region", "side"), most=BROADCAST_PIVOTS)
+        homes = written(_homes(large, rule), "homes")
+        spread = homes.select("key", "n", F.posexplode(F.concat(F.array("home"), "also")).alias("k", "to")).groupBy("key", "to")
+        spread = spread.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("k") == 0).alias("own"), F.max("n").alias("n"))
+        good = spread.groupBy("key").agg(F.max("n").alias("n"), F.sum(F.col("own") * F.col("rows")).alias("work"), F.sum("rows").alias("sum"))
+        # worth it where at least half of the comparing goes, and rows at most triple
+        good = written(good.select("key", "n", ((2 * F.col("work") <= F.col("n") * F.col("n")) & (F.col("sum") <= 3 * F.col("n"))).alias("apart")), "good")
+        after = written(_parts_again(join_groups(homes.drop("n"), good, n_big, hot, "inner", by=("region", "side"))), "level")
+        forget(level, sizes, homes, good)
+        level = after
+    out = found[0]
+    for f in found[1:]:
+        out = out.union(f)
+    return out.distinct()
+
+
+def _homes(rows: DataFrame, rule: Rule) -> DataFrame:
+    """rows with home, the number of the nearest pivot of their group, and also, those of others that may have a near region at home."""
+    schema = T.StructType([f for f in rows.schema if not f.name.startswith("p") and f.name not in ("width", "far", "top")]).add("home", "integer").add("also", T.ArrayType(T.IntegerType()))
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            folds, width = batch.column("fold").to_pylist(), batch.column("width").to_numpy()
+            pivots = [batch.column(f"p{k}").to_pylist() for k in range(SPLIT)]
+            size, r, far = (batch.column(c).to_numpy().astype(np.int64) for c in ("size", "r", "far"))
+            apart = np.zeros((len(folds), SPLIT), np.int64)
+            for w in np.unique(width).tolist():
+                at = np.flatnonzero(width == w)
+                own = _narrowed([folds[k] for k in at.tolist()], w)
+                for k in range(SPLIT):
+                    apart[at, k] = np.bitwise_count(own ^ _narrowed([pivots[k][j] for j in at.tolist()], w)).sum(1)
+            bound = _most_apart(rule, size, r + far)
+            # pivots near an earlier one part nothing; all rows of a group leave out the same ones
+            alike = _most_apart(rule, batch.column("top").to_numpy().astype(np.int64), 2 * far)
+            for k in range(1, SPLIT):
+                for w in np.unique(width).tolist():
+                    at = np.flatnonzero(width == w)
+                    own = _narrowed([pivots[k][j] for j in at.tolist()], w)
+                    for other in range(k):
+                        close = np.bitwise_count(own ^ _narrowed([pivots[other][j] for j in at.tolist()], w)).sum(1) <= alike[at]
+                        apart[at[close & (apart[at, other] < NOWHERE)], k] = NOWHERE
+            home = apart.argmin(1)
+            near = (apart <= apart.min(1)[:, None] + 2 * bound[:, None]) & (apart < NOWHERE)
+            near[np.arange(len(home)), home] = False
+            also = [np.flatnonzero(x).tolist() for x in near]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in schema.names[:-2]), pa.array(home, pa.int32()), pa.array(also, pa.list_(pa.int32()))], schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+#: A distance that stands for a pivot that is left out.
+NOWHERE = 1 << 40
+
+
+def _most_apart(rule: Rule, size: np.ndarray, radii: np.ndarray) -> np.ndarray:
+    """At most so many shingles are in one alone of a set of that size and one that within() lets be near; the larger of them has 100 / (100 - eps) as many."""
+    eps = (100 - rule.similar) * (1 + radii)
+    other = -(-100 * size // np.maximum(1, 100 - eps))
+    return np.where(eps >= 100, NOWHERE // 4, -(-eps * (size + other) // np.maximum(1, 200 - eps)))
+
+
+def _narrowed(folds: list[bytes], width: int) -> np.ndarray:
+    """Folds of a width in bytes, to which wider ones are folded."""
+    out = np.empty((len(folds), width // 8), np.uint64)
+    length = np.fromiter(map(len, folds), np.int64, len(folds))
+    for kind in np.unique(length).tolist():
+        at = np.flatnonzero(length == kind)
+        wide = np.frombuffer(b"".join([folds[k] for k in at.tolist()]), np.uint64)
+        out[at] = np.bitwise_xor.reduce(wide.reshape(len(at), -1, width // 8), axis=1)
+    return out
+
+
+def _parts_again(rows: DataFrame) -> DataFrame:
+    """The next level: groups that pivots took apart (apart) by pivots, others in pairs of blocks, which are final."""
+    blocks = F.ceil(2 * F.col("n") / LEAF).cast("int")
+    own = F.pmod(F.xxhash64("region"), blocks).cast("int")
+    group = lambda *x: F.xxhash64("key", *x)
+    # a guest stays one: two guests of a group need not meet
+    by_pivot = F.transform(F.concat(F.array("home"), "also"), lambda k, i: F.struct(group(F.lit(0), k).alias("grp"), F.when((i == 0) & (F.col("side") == HOME), HOME).otherwise(GUEST).alias("side"), F.lit(False).alias("final")))
+    met = F.sequence(F.lit(0), blocks - 1)
+    by_block = F.transform(met, lambda j: F.struct(group(F.lit(1), F.least(own, j), F.greatest(own, j)).alias("grp"), F.when(own == j, HOME).when(own < j, LEFT).otherwise(RIGHT).alias("side"), F.lit(True).alias("final")))
+    each = rows.withColumn("x", F.explode(F.when(F.col("apart"), by_pivot).otherwise(by_block)))
+    return each.select("x.grp", "region", "r", F.col("size").alias("n"), "fold", "x.side", "x.final")
+
+
+def _leaves(rows: DataFrame, rule: Rule, parts: int) -> DataFrame:
+    """(a, b, ra, rb): pairs of a group's regions that pass."""
+    dealt = rows.repartition(parts, "grp").sortWithinPartitions("grp", "n", "region")
 
     def run(batches):
         held: list[dict] = []
         for batch in batches:
             for row in batch.to_pylist():
-                if held and row["cell"] != held[0]["cell"]:
+                if held and row["grp"] != held[0]["grp"]:
                     yield from _compared(rule, held)
                     held = []
                 held.append(row)
@@ -411,23 +538,21 @@ def large_cells(rows: DataFrame, rule: Rule, points: DataFrame, parts: int) -> D
 def _compared(rule: Rule, rows: list[dict]) -> Iterator[pa.RecordBatch]:
     if len(rows) < 2:
         return
-    cell = rows[0]["cell"]
-    region, r, n = (np.array([x[c] for x in rows]) for c in ("region", "r", "n"))
+    region, r, n, side = (np.array([x[c] for x in rows]) for c in ("region", "r", "n", "side"))
     folds = [x["fold"] for x in rows]
-    lower = [frozenset(c for c in x["cells"] if c < cell) for x in rows]
     out = []
     for k in range(len(rows) - 1):
         # three times EPS at most lie between pivots; so the sizes can't be further apart
         least = 100 - 3 * (100 - rule.similar)
         right = np.arange(k + 1, int(np.searchsorted(n, 100 * n[k] // least, side="right")) if least > 0 else len(rows))
+        right = right[(side[right] != side[k]) | (side[k] == HOME)]
         if not len(right):
             continue
         diff = differences_to(folds[k], int(n[k]), [folds[j] for j in right], n[right])
         right = right[within(rule.similar, diff, n[k], n[right], r[k] + r[right])]
-        for j in right.tolist():
-            if lower[k].isdisjoint(lower[j]):
-                a, b = (k, j) if region[k] < region[j] else (j, k)
-                out.append((region[a], region[b], r[a], r[b]))
+        for j in right[region[right] != region[k]].tolist():
+            a, b = (k, j) if region[k] < region[j] else (j, k)
+            out.append((region[a], region[b], r[a], r[b]))
     if out:
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["a", "b", "ra", "rb"])
 
@@ -453,15 +578,27 @@ def window_pairs(pairs: DataFrame, rule: Rule, points: DataFrame, regions: DataF
     """
     folds = points.select("key", "n", "fold")
     members = regions.select("region", "key").union(regions.select("region", F.col("region").alias("key"))).distinct()
-    sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
-    both = pairs.select("a", "b").join(sizes.toDF("a", "sa"), "a", "left").join(sizes.toDF("b", "sb"), "b", "left").fillna(0, ["sa", "sb"])
+    members = written(members.join(folds, "key").select(F.col("region").alias("key"), F.col("key").alias("point"), F.col("n").alias("size"), "fold"), "members")
+    sizes = written(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    n_regions, hot = sizes.count(), hot_rows(members.count())
+    own = sizes.select(F.col("key").alias("region"), "n")
+    both = pairs.select("a", "b").join(own.toDF("a", "sa"), "a", "left").join(own.toDF("b", "sb"), "b", "left").fillna(0, ["sa", "sb"])
     turn = F.col("sa") >= F.col("sb")
-    both = both.select("a", "b", F.when(turn, F.col("a")).otherwise(F.col("b")).alias("big"), F.when(turn, F.col("b")).otherwise(F.col("a")).alias("small"), F.greatest("sa", "sb").alias("size"))
-    salts = F.floor((F.col("size") - 1) / TOGETHER) + 1
-    home = members.join(sizes, "region").join(both.select(F.col("big").alias("region")).distinct(), "region", "left_semi").join(folds, "key")
-    home = home.select("region", F.pmod(F.xxhash64("key"), salts).cast("long").alias("salt"), "key", "n", "fold")
-    guests = both.join(members.toDF("small", "key"), "small", "left").withColumn("key", F.coalesce("key", "small")).join(folds, "key")
-    guests = guests.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts.cast("long") - 1))).select("big", F.col("salt").alias("part"), "a", "b", F.col("key").alias("point"), F.col("n").alias("points_n"), F.col("fold").alias("points_fold"))
+    both = both.select("a", "b", F.when(turn, F.col("a")).otherwise(F.col("b")).alias("big"), F.when(turn, F.col("b")).otherwise(F.col("a")).alias("small"), F.greatest("sa", "sb").alias("most"))
+    both = written(both.withColumn("salts", (F.floor((F.col("most") - 1) / TOGETHER) + 1).cast("int")), "region-pairs")
+    # the larger region's members, each in one part of it
+    stay = written(both.groupBy(F.col("big").alias("key")).agg(F.max("salts").alias("salts")).join(sizes, "key"), "stay")
+    home = join_groups(members, stay, n_regions, hot, "inner", by=("point",))
+    home = home.select(F.col("key").alias("region"), F.pmod(F.xxhash64("point"), F.col("salts")).cast("long").alias("salt"), F.col("point").alias("key"), F.col("size").alias("n"), "fold")
+    # the smaller one's go to each part, in parts of their own; a region without members is its own point
+    alone = both.join(own.select(F.col("region").alias("small")), "small", "left_anti").join(folds.toDF("small", "size", "fold"), "small").withColumn("point", F.col("small"))
+    meet = both.join(own.toDF("small", "own_n"), "small").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("own_n") - 1) / TOGETHER))))
+    pieces = F.floor((F.col("n") - 1) / TOGETHER) + 1
+    dealt = join_groups(members, sizes, n_regions, hot, "inner", by=("point",)).select(F.col("key").alias("small"), F.pmod(F.xxhash64("point"), pieces).alias("piece"), "point", "size", "fold")
+    several = meet.join(dealt, ["small", "piece"])
+    columns = ["a", "b", "big", "salts", "point", "size", "fold"]
+    guests = alone.select(columns).unionByName(several.select(columns))
+    guests = guests.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts").cast("long") - 1))).select("big", "part", "a", "b", "point", F.col("size").alias("points_n"), F.col("fold").alias("points_fold"))
 
     def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         found = []

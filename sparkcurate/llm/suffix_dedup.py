@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ngram_join import _A, _B, _C, _mix, _parts, powers
-from .shared import bounded_batches, kept, load, placed, written
+from .shared import bounded_batches, hot_rows, join_groups, kept, load, placed, written
 
 WINDOW, GRAM = 100, 32
-#: An anchor with more different runs than this has its windows compared by hash, spread over all tasks.
+#: An anchor with more different runs than this has its windows compared one by one, spread over all tasks.
 MANY = 2_000
 #: Bytes of the texts that suffixes are sorted in; a group of runs isn't split.
 SORTED_BYTES = 1 << 16
@@ -104,7 +104,7 @@ def _runs(texts: list[bytes], names: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def suffix_array(text: list[int]) -> list[int]:
-    """Places of the text's suffixes in ascending order; an end ranks below all symbols.
+    """Places of the text's suffixes in ascending order, for symbols below 2**16; an end ranks below all symbols. Linear time.
 
     Suffixes stand in groups, first by their first symbol, at last by their longest Lyndon prefix.
     Groups are taken from the greatest down. Each member has a pointer to the nearest place before it
@@ -112,10 +112,13 @@ def suffix_array(text: list[int]) -> list[int]:
     ones above it, the higher the more members point at them. Then the order within groups follows
     from the ends up: when a suffix is placed, those whose Lyndon prefix ends where it starts take the
     next free places of their groups, and the pointers lead from one to the next.
+
+    First groups come from a radix sort. A pointer is found along pointers of higher groups and of the
+    own one; what one search passes over no later one does, for that starts from its member or leaps it.
     """
     n = len(text)
-    order = sorted(range(n), key=text.__getitem__)
-    place, group, size, before = [0] * n, [0] * n, [0] * n, [-1] * n
+    order = np.argsort(np.asarray(text, np.uint16), kind="stable").tolist()
+    place, group, size, before = [0] * n, [0] * n, [0] * n, [-2] * n
     start, last = 0, None
     for k, i in enumerate(order):
         if text[i] != last:
@@ -126,21 +129,28 @@ def suffix_array(text: list[int]) -> list[int]:
     while top:
         low = group[order[top - 1]]
         members = order[low:top]
-        if len(members) > 1:
-            members.sort()
         votes: dict[int, int] = {}
         for i in members:
-            j = i - 1
-            while j >= 0 and group[j] >= low:
-                j = before[j]  # set, for j is in a group above, or before i in this one
-            before[i] = j
+            j = before[i]
+            if j == -2:
+                path = [i]
+                j = i - 1
+                while j >= 0 and group[j] >= low:
+                    if before[j] == -2:  # a member whose own search goes on from here
+                        path.append(j)
+                        j -= 1
+                    else:
+                        j = before[j]
+                for k in path:
+                    before[k] = j
             if j >= 0:
                 votes[j] = votes.get(j, 0) + 1
         if votes:
-            by_votes: dict[int, list[int]] = {}
+            most = max(votes.values())
+            by_votes: list[list[int]] = [[] for _ in range(most + 1)]  # no longer than the members
             for j, v in votes.items():
-                by_votes.setdefault(v, []).append(j)
-            for v in sorted(by_votes, reverse=True):
+                by_votes[v].append(j)
+            for v in range(most, 0, -1):
                 moved = by_votes[v]
                 for j in moved:
                     g = group[j]
@@ -385,28 +395,28 @@ def _joined(keys: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def spread_windows(runs: DataFrame) -> DataFrame:
-    """As compared(), for anchors with more than MANY runs: windows go by two hashes, first ones are found by an aggregate."""
-    schema = pa.schema([("h", pa.int64()), ("g", pa.int64()), ("doc", pa.int64()), ("u", pa.int64()), ("s", pa.int64())])
+    """As compared(), for anchors with more than MANY runs: equal windows meet by their bytes, first ones are found by an aggregate.
+
+    The aggregate combines before the shuffle, and a window's later places are spread over tasks.
+    """
+    schema = pa.schema([("key", pa.binary()), ("doc", pa.int64()), ("u", pa.int64()), ("s", pa.int64())])
 
     def windows(batches):
         for batch in batches:
             doc, u, s, n = (batch.column(c).to_numpy().astype(np.int64) for c in ("doc", "u", "s", "n"))
             if not len(n):
                 continue
-            data = np.frombuffer(b"".join(batch.column("body").to_pylist()), np.uint8)
+            data = b"".join(batch.column("body").to_pylist())
             begin = np.cumsum(n + WINDOW - 1) - (n + WINDOW - 1)
             step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
             at = np.repeat(begin, n) + step
-            hashes = []
-            for salt in (0, 1):
-                total, down = rolling(data if not salt else data ^ np.uint8(0x5A))
-                hashes.append(_mix((total[at + WINDOW] - total[at]) * down[at] + np.uint64(salt)).astype(np.int64))
-            yield _batch(schema, *hashes, np.repeat(doc, n), np.repeat(u, n), np.repeat(s, n) + step)
+            yield _batch(schema, [data[k : k + WINDOW] for k in at.tolist()], np.repeat(doc, n), np.repeat(u, n), np.repeat(s, n) + step)
 
-    every = written(runs.select("doc", "u", "s", "n", "body").mapInArrow(windows, "h long, g long, doc long, u long, s long"), "windows")
+    every = written(runs.select("doc", "u", "s", "n", "body").mapInArrow(windows, "key binary, doc long, u long, s long"), "windows")
     place = F.struct("doc", "u", "s")
-    first = every.groupBy("h", "g").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    return every.join(first, ["h", "g"]).where(place != F.col("first")).select("doc", "u", "s", F.lit(1).alias("n"))
+    first = written(every.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "first")
+    both = join_groups(every, first, first.count(), hot_rows(every.count()), "inner", by=("doc", "u", "s"))
+    return both.where(place != F.col("first")).select("doc", "u", "s", F.lit(1).alias("n"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:

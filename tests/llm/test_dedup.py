@@ -2,11 +2,13 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from sparkcurate.llm import exact_dedup, ngram_join, suffix_dedup
+from sparkcurate.llm import exact_dedup, ngram_join, shared, suffix_dedup
 
 S = "doc_id long, text string, lang string, source string, n_chars long, __key string"
 
@@ -44,9 +46,37 @@ def test_exact_drops_rows(spark, tmp_path):
     assert sorted(normal(r.text) for r in kept.collect()) == sorted({normal(t) for _, t in ODD})
 
 
-def test_exact_salted(spark, monkeypatch):
-    monkeypatch.setattr(exact_dedup, "BROADCAST_DIGESTS", 0)
-    assert exact_dedup.exact_dedup(docs(spark, ODD)).where("kept").count() == len({normal(t) for _, t in ODD})
+@pytest.mark.parametrize("bits", [256, 8])
+def test_exact_salted(spark, monkeypatch, bits):
+    monkeypatch.setattr(shared, "BROADCAST_GROUPS", 0)
+    monkeypatch.setattr(shared, "hot_rows", lambda rows: 3)
+    monkeypatch.setattr(exact_dedup, "hot_rows", lambda rows: 3)
+    rows = [(k, f"copy  {k % 3}") for k in range(40)] + [(100 + k, f"t{k}") for k in range(30)] + ODD
+    got = exact_dedup.exact_dedup(docs(spark, rows), digest_bits=bits).collect()
+    sizes = {}
+    for _, t in rows:
+        sizes[normal(t)] = sizes.get(normal(t), 0) + 1
+    by = {hashlib.sha256(t.encode()).hexdigest(): n for t, n in sizes.items()}
+    assert len(got) == len(rows) and all(r.group_size == by[r.text_sha256] for r in got) and sum(r.kept for r in got) == len(sizes)
+
+
+@pytest.mark.parametrize("trigger", [1, 16 << 30])
+def test_exact_in_several_batches(spark, tmp_path, trigger, monkeypatch):
+    rows = [(k, f"text {k * k % 17}") for k in range(80)] + ODD
+    docs(spark, rows).repartition(9).write.parquet(f"{tmp_path}/d")
+    queries = []
+    start = DataStreamWriter.start
+    monkeypatch.setattr(DataStreamWriter, "start", lambda self, *a, **b: queries.append(start(self, *a, **b)) or queries[-1])
+    got = exact_dedup.exact_dedup(spark.read.parquet(f"{tmp_path}/d"), bytes_per_trigger=trigger).collect()
+    assert (queries[0].lastProgress["batchId"] > 0) == (trigger == 1)
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(normal(t), []).append(i)
+    by = {hashlib.sha256(t.encode()).hexdigest(): ids for t, ids in groups.items()}
+    for r in got:
+        ids = by[r.text_sha256]
+        assert (r.group_size, r.keep_id) == (len(ids), min((i for i in ids if i is not None), default=None))
+    assert len(got) == len(rows) and sum(r.kept for r in got) == len(groups)
 
 
 @pytest.mark.parametrize("f", [exact_dedup.exact_dedup, ngram_join.near_groups, suffix_dedup.remove_repeats])
@@ -84,6 +114,56 @@ def family(seed, n, words=60, edits=4):
     return out
 
 
+def test_large_cells_are_split(spark, monkeypatch):
+    rng = random.Random(9)
+    rule = ngram_join.Rule(1, 60)
+    common = [f"c{k}" for k in range(40)]
+    # a shared part that is always among the first shingles of a text, and families that pivots part
+    texts = [" ".join(common[:30] + [f"f{g}x{rng.randrange(40)}" for _ in range(20)]) for g in range(4) for _ in range(25)]
+    texts += [" ".join(rng.sample(common, 25) + [f"u{rng.randrange(5_000)}" for _ in range(10)]) for _ in range(40)]
+    rows = list(enumerate(texts))
+    monkeypatch.setattr(ngram_join, "LARGE", 2)
+    monkeypatch.setattr(ngram_join, "TOGETHER", 5)
+    levels = []
+    again = ngram_join._parts_again
+    for leaf, groups in ((4, 100_000), (16, 0), (512, 100_000)):
+        monkeypatch.setattr(ngram_join, "LEAF", leaf)
+        monkeypatch.setattr(shared, "BROADCAST_GROUPS", groups)
+        monkeypatch.setattr(ngram_join, "BROADCAST_PIVOTS", groups)
+        monkeypatch.setattr(ngram_join, "_parts_again", lambda df, leaf=leaf: levels.append(leaf) or again(df))
+        got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in ngram_join.near_groups(docs(spark, rows), rule=rule).collect())
+        assert got == brute_groups(rows, rule)
+    assert 4 in levels and 512 not in levels
+
+
+def test_homes_and_guests_meet(spark, monkeypatch):
+    """Every pair of regions that the folds allow is found, however a group is split."""
+    monkeypatch.setattr(ngram_join, "LEAF", 6)
+    rng = np.random.default_rng(3)
+    rule = ngram_join.Rule(5, 85)
+    sets = []
+    for g in range(6):
+        base = rng.integers(1, 1 << 62, 90, dtype=np.uint64)
+        for _ in range(12):
+            s = base.copy()
+            s[rng.choice(90, rng.integers(0, 12), replace=False)] = rng.integers(1, 1 << 62, dtype=np.uint64)
+            sets.append(np.unique(s))
+    points = spark.createDataFrame([(k, len(s), bytearray(ngram_join.fold(s))) for k, s in enumerate(sets)], "key long, n long, fold binary")
+    rows = spark.createDataFrame([(c, k, 0) for c in (1, 2) for k in range(len(sets))], "cell long, region long, r long")
+    calls = []
+    again = ngram_join._parts_again
+    monkeypatch.setattr(ngram_join, "_parts_again", lambda df: calls.append([r.apart for r in df.select("apart").distinct().collect()]) or again(df))
+    got = {(r.a, r.b) for r in ngram_join.large_cells(rows, rule, points, 3).collect()}
+    expected = set()
+    for a in range(len(sets)):
+        for b in range(a + 1, len(sets)):
+            na, nb = np.array([len(sets[a])]), np.array([len(sets[b])])
+            diff = ngram_join.differences([ngram_join.fold(sets[a])], [ngram_join.fold(sets[b])], na, nb)
+            if ngram_join.within(85, diff, na, nb)[0] and 55 * max(na[0], nb[0]) <= 100 * min(na[0], nb[0]):
+                expected.add((a, b))
+    assert got == expected and len(calls) > 1 and [True] in calls
+
+
 @pytest.mark.parametrize("rule, large", [(ngram_join.Rule(4, 85), 6), (ngram_join.Rule(), 2), (ngram_join.Rule(2, 60), 6)])
 def test_near_groups(spark, monkeypatch, rule, large):
     monkeypatch.setattr(ngram_join, "LARGE", large)
@@ -125,6 +205,36 @@ def test_suffix_array(t):
     assert suffix_dedup.suffix_array(t) == sorted(range(len(t)), key=lambda i: t[i:])
 
 
+@pytest.mark.parametrize("t", [[0, 1] * 40, [1] * 90, [2, 1, 0] * 30, [0, 0, 1] * 30 + [2], list(range(200)), list(range(200))[::-1]])
+def test_suffix_array_of_patterns(t):
+    assert suffix_dedup.suffix_array(t) == sorted(range(len(t)), key=lambda i: t[i:])
+
+
+@pytest.mark.parametrize("kind", ["random", "periodic", "fibonacci", "falling"])
+def test_suffix_array_takes_linear_time(kind):
+    import time
+
+    def text(n):
+        if kind == "random":
+            return random.Random(1).choices(range(256), k=n)
+        if kind == "fibonacci":
+            a, b = [0], [0, 1]
+            while len(b) < n:
+                a, b = b, b + a
+            return b[:n]
+        return [k % 7 for k in range(n)] if kind == "periodic" else [(n - k) // (n // 200) for k in range(n)]
+
+    def seconds(n):
+        t, best = text(n), 1e9
+        for _ in range(3):
+            began = time.process_time()
+            suffix_dedup.suffix_array(t)
+            best = min(best, time.process_time() - began)
+        return best
+
+    assert seconds(160_000) < 16 * seconds(20_000)  # 8 for as many times the bytes, and room for caches
+
+
 def brute_repeats(rows):
     order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is not None, rows[k][0] or 0))
     seen, out = set(), []
@@ -156,6 +266,28 @@ def test_repeats(spark, monkeypatch, many):
     assert got == brute_repeats(rows)
 
 
+def test_repeats_of_a_very_common_passage(spark):
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrst"
+    passage = "".join(rng.choices(letters, k=140))
+    # over 2,000 different runs of one anchor: the passage, always between other bytes
+    rows = [(k, "".join(rng.choices(letters, k=30)) + passage + "".join(rng.choices(letters, k=30))) for k in range(2_300)]
+    assert len(rows) > suffix_dedup.MANY
+    got = sorted((str(r[0]), *r[1:]) for r in suffix_dedup.remove_repeats(docs(spark, rows)).collect())
+    assert got == brute_repeats(rows)
+
+
+@pytest.mark.parametrize("groups", [100_000, 0])
+def test_repeated_windows_spread(spark, monkeypatch, groups):
+    monkeypatch.setattr(shared, "BROADCAST_GROUPS", groups)
+    monkeypatch.setattr(suffix_dedup, "hot_rows", lambda rows: 2)
+    monkeypatch.setattr(suffix_dedup, "MANY", 2)
+    rng = random.Random(5)
+    passage = "".join(rng.choices("abcd", k=160))
+    rows = [(k, "".join(rng.choices("abcd", k=20)) + passage + str(k)) for k in range(9)]
+    assert sorted((str(r[0]), *r[1:]) for r in suffix_dedup.remove_repeats(docs(spark, rows)).collect()) == brute_repeats(rows)
+
+
 def test_repeats_of_ids(spark):
     t = "".join(random.Random(7).choices("abcdefgh", k=150))
     rows = docs(spark, [(1, t), (1, t), (None, t), (2, None)])

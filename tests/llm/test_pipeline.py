@@ -4,6 +4,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from sparkcurate.llm import mixing, queries
 from sparkcurate.llm.shared import load
@@ -92,3 +94,65 @@ def test_names():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
     assert set(queries.oracle_sql()) <= set(queries.queries()) and "pipeline" in __spark_entry__.queries()
+
+
+CLASHING = ["score", "predicted", "n_tokens", "parity", "token_ids", "__file", "__row", "__text", "__id", "_metadata", "file", "at", "row", "key", "label", "u", "slot", "block", "n"]
+
+
+def clashing(spark, folder, empty=False):
+    docs = load(spark, SF, "documents").limit(0 if empty else 60)
+    for k, c in enumerate(CLASHING):
+        docs = docs.withColumn(c, F.lit(f"own {k}"))
+    docs.write.parquet(f"{folder}/documents.parquet")
+    load(spark, SF, "labels").withColumn("order", F.lit(1)).withColumn("text", F.lit("x")).write.parquet(f"{folder}/labels.parquet")
+    load(spark, SF, "pages").withColumn("digest", F.lit(1)).withColumn("_metadata", F.lit("m")).withColumn("key", F.lit("k")).write.parquet(f"{folder}/pages.parquet")
+    return spark.read.parquet(f"{folder}/documents.parquet")
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    docs = clashing(spark, tmp_path)
+    columns, n = docs.columns, docs.count()
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        if name != "encode":
+            assert docs.columns == columns
+            assert docs.select(*(F.col(f"`{c}`") for c in CLASHING)).distinct().count() == 1
+    assert 0 < docs.count() < n
+    assert {"n_tokens", "n_tokens_1", "parity_1", "token_ids_1", "score", "_metadata"} <= set(docs.columns) and dict(docs.dtypes)["n_tokens"] == "bigint"
+    assert docs.first()["n_tokens_1"] == f"own {CLASHING.index('n_tokens')}"
+
+
+@pytest.mark.parametrize("name", sorted(queries.queries()))
+def test_operators_ignore_columns_of_any_name(spark, tmp_path, name):
+    clashing(spark, tmp_path)
+    assert queries.queries()[name](spark, str(tmp_path)).count() == load(spark, str(tmp_path), "pages" if name == "op1_warc" else "documents").count()
+
+
+def test_an_empty_table_goes_through(spark, tmp_path):
+    clashing(spark, tmp_path, empty=True)
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+    for name, query in queries.queries().items():
+        if name != "op1_warc":
+            assert query(spark, str(tmp_path)).collect() == []
+
+
+def test_shared_folder_must_be_named(monkeypatch):
+    from sparkcurate.llm import shared
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared.shared_root(Session())
