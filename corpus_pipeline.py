@@ -8,7 +8,8 @@
 
 The columns are those of documents until the last stage. Nulls: null texts count as empty and null
 sources as ''; rows with null ids are kept or dropped by their texts as any other. An empty table
-goes through all stages and stays empty. Further columns of the input are kept until the last stage.
+goes through all stages and stays empty. Further columns of the input, of any name, are kept; in the last
+stage one that has the name of a new column gets _1 put to its own.
 """
 
 from __future__ import annotations
@@ -21,8 +22,7 @@ from sparkcurate.llm.shared import load, new_folder
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     field = quality_crf.fit_quality(docs, load(spark, sf_dir, "labels"))
-    scored = quality_crf.score_quality(docs, field, text_col="text", keep=tuple(docs.columns))
-    return scored.where("predicted = 1").select(*docs.columns)
+    return quality_crf.keep_good(docs, field)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
