@@ -65,6 +65,8 @@ def _dedup(rows: DataFrame, id_col: str, text_col: str, digest_bits: int = 256,
     state = seen(keyed, first, bytes_per_trigger)
 
     hits = written(state.where("n > 1"), "hits")
+    if hasattr(state, "_written_at"):
+        forget(state)
     n_hits = hits.count()
     hot = hot_rows(keyed.count())
     out = join_groups(keyed, hits, n_hits, hot)

@@ -17,6 +17,7 @@ bits, and Jaccard's distance grows with the difference, so folds bound all dista
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import bounded_batches, forget, hot_rows, join_groups, kept, load, placed, written
+from .shared import bounded_batches, forget, hot_rows, join_groups, kept, load, placed, scratch, written
 
 #: Minimum hashes: bands and rows of each.
 BANDS, ROWS = 4, 3
@@ -97,8 +98,33 @@ _GAP = np.zeros(256, bool)
 _GAP[[32, 9, 10, 11, 12, 13]] = True
 
 
+#: Bytes of a text that are hashed at a time.
+LONG = 1 << 22
+_GAPS = re.compile(rb"[\x20\x09-\x0D]")
+
+
 def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     """Each text's distinct shingles as sorted 64-bit hashes; all its words together where they are fewer than words."""
+    if all(len(t) <= LONG for t in texts):
+        return _sets(texts, words)
+    return [_sets([t], words)[0] if len(t) <= LONG else _long_set(t, words) for t in texts]
+
+
+def _long_set(text: bytes, words: int) -> np.ndarray:
+    """A long text's set, from pieces that end at gaps and begin with the last words of the one before."""
+    parts, tail, at = [], b"", 0
+    while at < len(text):
+        gap = _GAPS.search(text, at + LONG)
+        end = gap.start() if gap else len(text)
+        piece = tail + b" " + text[at:end]
+        parts.append(_sets([piece], words, whole=False)[0])
+        tail = b" ".join(piece.rsplit(None, words - 1)[1 - words :]) if words > 1 else b""
+        at = end
+    every = np.unique(np.concatenate(parts))
+    return every if len(every) else _sets([text], words)[0]
+
+
+def _sets(texts: list[bytes], words: int, whole: bool = True) -> list[np.ndarray]:
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     data = _LOWER[np.frombuffer(b" ".join([*texts, b""]), np.uint8)]
     up, down = powers(len(data) + 1)
@@ -119,7 +145,7 @@ def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     for a, b in zip(words_before[:-1].tolist(), words_before[1:].tolist(), strict=True):
         if b - a >= words:
             out.append(np.unique(rolled[a : b - words + 1]))
-        elif b > a:
+        elif b > a and whole:
             acc = np.array([b - a], np.uint64)
             for k in range(a, b):
                 acc = _mix(acc + _C) + word[k]
@@ -217,7 +243,7 @@ def profiles(texts: DataFrame, rule: Rule, classes, keep: tuple[str, ...]) -> Da
                         continue
                     keys.append(set_key(s))
                     folds.append(fold(s))
-                    least = (s[:, None] * _SEEDS).min(0).reshape(BANDS, ROWS)
+                    least = np.array([(s * seed).min() for seed in _SEEDS], np.uint64).reshape(BANDS, ROWS)
                     bands.append(_mix(_mix(_mix(least[:, 0]) + least[:, 1]) + least[:, 2] + np.arange(BANDS, dtype=np.uint64)).astype(np.int64))
                     first = len(s) - -(-rule.similar * len(s) // 100) + 1
                     rank = order[(s >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]
@@ -395,7 +421,8 @@ def _met(rule: Rule, batch: pa.RecordBatch, large) -> Iterator[pa.RecordBatch]:
 
 #: What a region is in a group: at home, or there because a home region may be near. Pairs are compared if one is at home, or if they are of the two halves.
 HOME, GUEST, LEFT, RIGHT = 0, 1, 2, 3
-LEVEL = "grp long, region long, r long, n long, fold binary, side int, final boolean"
+#: Each row has so many of its region's large cells, the lowest, so that a pair that meets in one of them isn't given again in a higher cell.
+LISTED = 64
 
 
 def large_cells(rows: DataFrame, rule: Rule, points: DataFrame, parts: int) -> DataFrame:
@@ -408,9 +435,11 @@ def large_cells(rows: DataFrame, rule: Rule, points: DataFrame, parts: int) -> D
     pair meets where one of them is at home. Where that doesn't make a group smaller, as with texts
     that have nothing else in common, it is cut into blocks, and each pair of blocks is a group.
     """
-    merged = rows.select(F.col("cell").alias("grp"), "region", "r").distinct()
-    level = merged.join(points.select(F.col("key").alias("region"), "n", "fold"), "region")
-    level = written(level.select("grp", "region", "r", "n", "fold", F.lit(HOME).alias("side"), F.lit(False).alias("final")), "level")
+    merged = written(rows.select("cell", "region", "r").distinct(), "merged")
+    lists = merged.groupBy("region").agg(F.slice(F.array_sort(F.collect_list("cell")), 1, LISTED).alias("cells"))
+    level = merged.join(points.select(F.col("key").alias("region"), "n", "fold"), "region").join(lists, "region")
+    level = level.select(F.col("cell").alias("grp"), "region", "r", "n", "fold", F.lit(HOME).alias("side"), F.lit(False).alias("final"), F.filter("cells", lambda c: c < F.col("cell")).alias("lower"))
+    level = written(level, "level")
     found = []
     while True:
         sizes = level.where("NOT final").groupBy(F.col("grp").alias("key")).agg(
@@ -424,12 +453,11 @@ def large_cells(rows: DataFrame, rule: Rule, points: DataFrame, parts: int) -> D
         n_big = sizes.count()
         if not n_big:
             found.append(written(_leaves(level, rule, parts), "leaf-pairs"))
-            forget(level, sizes)
             break
         hot = hot_rows(level.count())
         keyed = level.withColumnsRenamed({"grp": "key", "n": "size"})
         both = join_groups(keyed, sizes.select("key", "n"), n_big, hot, by=("region", "side")).withColumn("large", F.col("n").isNotNull() & ~F.col("final"))
-        small = both.where("NOT large").select(F.col("key").alias("grp"), "region", "r", F.col("size").alias("n"), "fold", "side", "final")
+        small = both.where("NOT large").select(F.col("key").alias("grp"), "region", "r", F.col("size").alias("n"), "fold", "side", "final", "lower")
         found.append(written(_leaves(small, rule, parts), "leaf-pairs"))
         large = join_groups(keyed.where("NOT final"), sizes, n_big, hot, "inner", by=("region", "side"), most=BROADCAST_PIVOTS)
         homes = written(_homes(large, rule), "homes")
@@ -439,7 +467,6 @@ def large_cells(rows: DataFrame, rule: Rule, points: DataFrame, parts: int) -> D
         # worth it where at least half of the comparing goes, and rows at most triple
         good = written(good.select("key", "n", ((2 * F.col("work") <= F.col("n") * F.col("n")) & (F.col("sum") <= 3 * F.col("n"))).alias("apart")), "good")
         after = written(_parts_again(join_groups(homes.drop("n"), good, n_big, hot, "inner", by=("region", "side"))), "level")
-        forget(level, sizes, homes, good)
         level = after
     out = found[0]
     for f in found[1:]:
@@ -515,7 +542,7 @@ def _parts_again(rows: DataFrame) -> DataFrame:
     met = F.sequence(F.lit(0), blocks - 1)
     by_block = F.transform(met, lambda j: F.struct(group(F.lit(1), F.least(own, j), F.greatest(own, j)).alias("grp"), F.when(own == j, HOME).when(own < j, LEFT).otherwise(RIGHT).alias("side"), F.lit(True).alias("final")))
     each = rows.withColumn("x", F.explode(F.when(F.col("apart"), by_pivot).otherwise(by_block)))
-    return each.select("x.grp", "region", "r", F.col("size").alias("n"), "fold", "x.side", "x.final")
+    return each.select("x.grp", "region", "r", F.col("size").alias("n"), "fold", "x.side", "x.final", "lower")
 
 
 def _leaves(rows: DataFrame, rule: Rule, parts: int) -> DataFrame:
@@ -540,6 +567,7 @@ def _compared(rule: Rule, rows: list[dict]) -> Iterator[pa.RecordBatch]:
         return
     region, r, n, side = (np.array([x[c] for x in rows]) for c in ("region", "r", "n", "side"))
     folds = [x["fold"] for x in rows]
+    lower = [frozenset(x["lower"]) for x in rows]
     out = []
     for k in range(len(rows) - 1):
         # three times EPS at most lie between pivots; so the sizes can't be further apart
@@ -551,6 +579,9 @@ def _compared(rule: Rule, rows: list[dict]) -> Iterator[pa.RecordBatch]:
         diff = differences_to(folds[k], int(n[k]), [folds[j] for j in right], n[right])
         right = right[within(rule.similar, diff, n[k], n[right], r[k] + r[right])]
         for j in right[region[right] != region[k]].tolist():
+            # what lets a pair pass is the same in all cells, so that the lowest one speaks for all
+            if not lower[k].isdisjoint(lower[j]):
+                continue
             a, b = (k, j) if region[k] < region[j] else (j, k)
             out.append((region[a], region[b], r[a], r[b]))
     if out:
@@ -572,9 +603,10 @@ def differences_to(one: bytes, n: int, folds: list[bytes], sizes: np.ndarray) ->
 
 
 def window_pairs(pairs: DataFrame, rule: Rule, points: DataFrame, regions: DataFrame, skip: int, most: int | None) -> DataFrame:
-    """(ra_, rb_, a, b, more): pairs of points of two regions that the folds allow to link; of each two regions those of ranks from skip on by their bound, most of them.
+    """(ra_, rb_, a, b, more): pairs of points of two regions that the folds allow to link; of each two regions, by parts, those of ranks from skip on by their bound, most of them.
 
-    The larger region stays where it is, in parts of TOGETHER members; the other's points come to each part.
+    The larger region stays where it is, in parts of TOGETHER members. The other's points, in pieces of
+    as many, come to each part; where many regions come to one, they go to several copies of its parts.
     """
     folds = points.select("key", "n", "fold")
     members = regions.select("region", "key").union(regions.select("region", F.col("region").alias("key"))).distinct()
@@ -584,40 +616,52 @@ def window_pairs(pairs: DataFrame, rule: Rule, points: DataFrame, regions: DataF
     own = sizes.select(F.col("key").alias("region"), "n")
     both = pairs.select("a", "b").join(own.toDF("a", "sa"), "a", "left").join(own.toDF("b", "sb"), "b", "left").fillna(0, ["sa", "sb"])
     turn = F.col("sa") >= F.col("sb")
-    both = both.select("a", "b", F.when(turn, F.col("a")).otherwise(F.col("b")).alias("big"), F.when(turn, F.col("b")).otherwise(F.col("a")).alias("small"), F.greatest("sa", "sb").alias("most"))
-    both = written(both.withColumn("salts", (F.floor((F.col("most") - 1) / TOGETHER) + 1).cast("int")), "region-pairs")
+    both = both.select("a", "b", F.when(turn, F.col("a")).otherwise(F.col("b")).alias("key"), F.when(turn, F.col("b")).otherwise(F.col("a")).alias("small"), F.greatest("sa", "sb").alias("most"), F.least("sa", "sb").alias("least"))
+    both = written(both, "region-pairs")
+
+    def shares(n: Column) -> Column:
+        return (F.floor((n - 1) / TOGETHER) + 1).cast("int")
+
+    meets = both.groupBy("key").agg(F.count(F.lit(1)).alias("n"), shares(F.max("most")).alias("salts"), shares(F.sum(F.greatest("least", F.lit(1)))).alias("copies"))
+    meets = written(meets, "meets")
+    both = join_groups(both, meets, n_regions, hot_rows(both.count()), "inner", by=("a", "b")).drop("n", "most")
     # the larger region's members, each in one part of it
-    stay = written(both.groupBy(F.col("big").alias("key")).agg(F.max("salts").alias("salts")).join(sizes, "key"), "stay")
+    stay = meets.select("key", "salts", "copies").join(sizes, "key")
     home = join_groups(members, stay, n_regions, hot, "inner", by=("point",))
-    home = home.select(F.col("key").alias("region"), F.pmod(F.xxhash64("point"), F.col("salts")).cast("long").alias("salt"), F.col("point").alias("key"), F.col("size").alias("n"), "fold")
-    # the smaller one's go to each part, in parts of their own; a region without members is its own point
-    alone = both.join(own.select(F.col("region").alias("small")), "small", "left_anti").join(folds.toDF("small", "size", "fold"), "small").withColumn("point", F.col("small"))
-    meet = both.join(own.toDF("small", "own_n"), "small").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("own_n") - 1) / TOGETHER))))
-    pieces = F.floor((F.col("n") - 1) / TOGETHER) + 1
-    dealt = join_groups(members, sizes, n_regions, hot, "inner", by=("point",)).select(F.col("key").alias("small"), F.pmod(F.xxhash64("point"), pieces).alias("piece"), "point", "size", "fold")
-    several = meet.join(dealt, ["small", "piece"])
-    columns = ["a", "b", "big", "salts", "point", "size", "fold"]
-    guests = alone.select(columns).unionByName(several.select(columns))
-    guests = guests.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts").cast("long") - 1))).select("big", "part", "a", "b", "point", F.col("size").alias("points_n"), F.col("fold").alias("points_fold"))
+    home = home.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    home = home.select(F.col("key").alias("region"), F.pmod(F.xxhash64("point"), F.col("salts")).cast("int").alias("salt"), "copy", F.col("point").alias("key"), F.col("size").alias("n"), "fold")
+    # the smaller one's go to each part, in pieces of their own; a region without members is its own point
+    alone = both.where("least = 0").join(folds.toDF("small", "size", "fold"), "small").withColumn("point", F.col("small")).withColumn("piece", F.lit(0))
+    meet = both.where("least > 0").withColumn("piece", F.explode(F.sequence(F.lit(0), shares(F.col("least")) - 1)))
+    dealt = join_groups(members, sizes, n_regions, hot, "inner", by=("point",))
+    dealt = dealt.select(F.col("key").alias("small"), F.pmod(F.xxhash64("point"), shares(F.col("n"))).cast("int").alias("piece"), "point", "size", "fold")
+    columns = ["a", "b", "key", "salts", "copies", "piece", "point", "size", "fold"]
+    guests = alone.select(columns).unionByName(meet.join(dealt, ["small", "piece"]).select(columns))
+    guests = guests.withColumn("copy", F.pmod(F.xxhash64("a", "b", "piece"), F.col("copies")).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    guests = guests.select(F.col("key").alias("big"), "part", F.col("copy").alias("turn"), "a", "b", "piece", "point", F.col("size").alias("points_n"), F.col("fold").alias("points_fold"))
 
     def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        found, counts, bounds = [], [], []
         folds_x, n_x, key_x = x.fold.tolist(), x.n.to_numpy(), x.key.to_numpy()
-        for a, b, key, n, fold_y in zip(y.a, y.b, y.point, y.points_n, y.points_fold, strict=True):
+        for key, n, fold_y in zip(y.point, y.points_n, y.points_fold, strict=True):
             diff = differences_to(fold_y, n, folds_x, n_x)
-            ok = within(rule.similar, diff, n, n_x) & (key_x != key)
-            if ok.any():
-                found.append(pd.DataFrame({"ra_": a, "rb_": b, "a": key, "b": key_x[ok], "d": diff[ok] / (n + n_x[ok])}))
-        if not found:
-            return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("ra_", "rb_", "a", "b")} | {"more": pd.Series(dtype=bool)})
-        every = pd.concat(found).sort_values(["ra_", "rb_", "d", "a", "b"])
-        groups = every.groupby(["ra_", "rb_"])
-        every["rank"], every["size"] = groups.cumcount(), groups["d"].transform("size")
-        last = len(every) + skip if most is None else skip + most
-        every["more"] = every["size"] > last
-        return every[(every["rank"] >= skip) & (every["rank"] < last)][["ra_", "rb_", "a", "b", "more"]]
-
-    return home.groupBy("region", "salt").cogroup(guests.groupBy("big", "part")).applyInPandas(compare, "ra_ long, rb_ long, a long, b long, more boolean")
+            ok = np.flatnonzero(within(rule.similar, diff, n, n_x) & (key_x != key))
+            found.append(key_x[ok])
+            counts.append(len(ok))
+            bounds.append(diff[ok] / (n + n_x[ok]))
+        b, d = np.concatenate([np.zeros(0, np.int64), *found]), np.concatenate([np.zeros(0), *bounds])
+        ra, rb, piece, a = (np.repeat(y[c].to_numpy(), np.array(counts, np.int64)) for c in ("a", "b", "piece", "point"))
+        order = np.lexsort((b, a, d, piece, rb, ra))
+        ra, rb, piece, a, b = (v[order] for v in (ra, rb, piece, a, b))
+        new = np.concatenate([np.ones(min(1, len(b)), bool), (ra[1:] != ra[:-1]) | (rb[1:] != rb[:-1]) | (piece[1:] != piece[:-1])])
+        first = np.flatnonzero(new)
+        size = np.repeat(np.diff(np.append(first, len(b))), np.diff(np.append(first, len(b))))
+        rank = np.arange(len(b)) - first[np.cumsum(new) - 1] if len(b) else np.zeros(0, np.int64)
+        last = len(b) + skip if most is None else skip + most
+        take = (rank >= skip) & (rank < last)
+        return pd.DataFrame({"ra_": ra[take], "rb_": rb[take], "a": a[take], "b": b[take], "more": (size > last)[take]})
+
+    return home.groupBy("region", "salt", "copy").cogroup(guests.groupBy("big", "part", "turn")).applyInPandas(compare, "ra_ long, rb_ long, a long, b long, more boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -641,7 +685,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Null text counts as empty; texts without words have no shingles and link with nothing, so their
     component is their own id. Rows with equal texts link whatever their ids; a null id is smaller than
     none, and null only where all ids of a component are. Other columns, of any name, are ignored; an
-    empty table gives no rows. Sets and shingles go by 64-bit hashes.
+    empty table gives no rows. Long texts are hashed in pieces. Sets and shingles go by 64-bit hashes.
     """
     found = _groups(_texts(docs, F.col(id_col), F.col(text_col)), rule)
     return found.select(F.col("__id").alias(id_col), "n_shingles", "component_id")
@@ -653,36 +697,38 @@ def _groups(texts: DataFrame, rule: Rule, keep: tuple[str, ...] = ()) -> DataFra
     bounded_batches(spark)
     classes = spark.sparkContext.broadcast(frequency_classes(texts, rule))
     profile = written(profiles(texts, rule, classes, ("__digest", *keep)), "profiles")
-    first = F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__digest").alias("digest")))
-    points = profile.where("key IS NOT NULL").groupBy("key").agg(*(F.first(c).alias(c) for c in ("n", "fold", "bands", "cells")), first.alias("first"))
-    points = written(points, "points")
-    near = written(bounded(band_pairs(points), rule, points), "near")
-    star = verified(near, rule, texts, points)
-    nearest = F.min_by("b", F.struct(F.col("diff") / F.col("union"), "b"))
-    regions = written(star.groupBy(F.col("a").alias("key")).agg(nearest.alias("region")), "regions")
-    # a pivot's region has its pivot as a point too, unless that is nearer to another one
-    centres = regions.select(F.col("region").alias("key")).distinct().join(regions.select("key"), "key", "left_anti")
-    regions = written(regions.unionByName(centres.select("key", F.col("key").alias("region"))), "regions")
-    met = written(region_pairs(points, rule, regions), "met")
-    alone = met.where("ra = 0 AND rb = 0").select("a", "b")
-    deep = met.where("ra > 0 OR rb > 0")
-    edges = star.select("a", "b")
-    tries = written(window_pairs(deep, rule, points, regions, 0, FIRST_PAIRS), "tries")
-    direct = verified(written(alone.unionByName(tries.select("a", "b")).distinct(), "pairs"), rule, texts, points)
-    edges = edges.unionByName(direct.select("a", "b"))
-    hits = tries.join(direct.select("a", "b", F.lit(1).alias("hit")), ["a", "b"], "left").groupBy("ra_", "rb_")
-    open_pairs = hits.agg(F.max("hit").alias("hit"), F.max("more").alias("more")).where("more AND hit IS NULL")
-    left = written(open_pairs.select(F.col("ra_").alias("a"), F.col("rb_").alias("b")).join(deep, ["a", "b"]), "left")
-    if left.take(1):
-        rest = written(window_pairs(left, rule, points, regions, FIRST_PAIRS, None).select("a", "b").distinct(), "rest")
-        edges = edges.unionByName(verified(rest, rule, texts, points).select("a", "b"))
-    groups = components(edges)
-    ids = profile.groupBy("key").agg(F.min("__id").alias("least")).where("key IS NOT NULL").join(groups, "key")
-    named = ids.groupBy("component").agg(F.min("least").alias("name"))
-    named = groups.join(named, "component").select("key", "component", "name")
-    own = profile.where("key IS NOT NULL").groupBy("key").agg(F.min("__id").alias("own"))
-    own = own.join(named, "key", "left").select("key", F.coalesce("component", "key").alias("component_key"), F.coalesce("name", "own").alias("name"))
-    named = written(own, "named")
+    with scratch() as made:
+        first = F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__digest").alias("digest")))
+        points = profile.where("key IS NOT NULL").groupBy("key").agg(*(F.first(c).alias(c) for c in ("n", "fold", "bands", "cells")), first.alias("first"))
+        points = written(points, "points")
+        near = written(bounded(band_pairs(points), rule, points), "near")
+        star = verified(near, rule, texts, points)
+        nearest = F.min_by("b", F.struct(F.col("diff") / F.col("union"), "b"))
+        regions = written(star.groupBy(F.col("a").alias("key")).agg(nearest.alias("region")), "regions")
+        # a pivot's region has its pivot as a point too, unless that is nearer to another one
+        centres = regions.select(F.col("region").alias("key")).distinct().join(regions.select("key"), "key", "left_anti")
+        regions = written(regions.unionByName(centres.select("key", F.col("key").alias("region"))), "regions")
+        met = written(region_pairs(points, rule, regions), "met")
+        alone = met.where("ra = 0 AND rb = 0").select("a", "b")
+        deep = met.where("ra > 0 OR rb > 0")
+        edges = star.select("a", "b")
+        tries = written(window_pairs(deep, rule, points, regions, 0, FIRST_PAIRS), "tries")
+        direct = verified(written(alone.unionByName(tries.select("a", "b")).distinct(), "pairs"), rule, texts, points)
+        edges = edges.unionByName(direct.select("a", "b"))
+        hits = tries.join(direct.select("a", "b", F.lit(1).alias("hit")), ["a", "b"], "left").groupBy("ra_", "rb_")
+        open_pairs = hits.agg(F.max("hit").alias("hit"), F.max("more").alias("more")).where("more AND hit IS NULL")
+        left = written(open_pairs.select(F.col("ra_").alias("a"), F.col("rb_").alias("b")).join(deep, ["a", "b"]), "left")
+        if left.take(1):
+            rest = written(window_pairs(left, rule, points, regions, FIRST_PAIRS, None).select("a", "b").distinct(), "rest")
+            edges = edges.unionByName(verified(rest, rule, texts, points).select("a", "b"))
+        groups = components(edges)
+        ids = profile.groupBy("key").agg(F.min("__id").alias("least")).where("key IS NOT NULL").join(groups, "key")
+        named = ids.groupBy("component").agg(F.min("least").alias("name"))
+        named = groups.join(named, "component").select("key", "component", "name")
+        own = profile.where("key IS NOT NULL").groupBy("key").agg(F.min("__id").alias("own"))
+        own = own.join(named, "key", "left").select("key", F.coalesce("component", "key").alias("component_key"), F.coalesce("name", "own").alias("name"))
+        named = written(own, "named")
+    forget(*(t for t in made if t is not named))
     out = profile.select("__id", *keep, "n", "key").join(named, "key", "left")
     return out.select("__id", *keep, F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("__id")).otherwise(F.col("name")).alias("component_id"), "component_key")
 

@@ -39,9 +39,28 @@ def written(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table._written_at = path
+    if _scopes:
+        _scopes[-1].append(table)
     return table
 
 
+_scopes: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def scratch():
+    """A list that gets all tables of written() made within, for what isn't needed any more to be forgotten.
+
+    Just a result that has been written down itself may outlive them; frames are read later.
+    """
+    made: list[DataFrame] = []
+    _scopes.append(made)
+    try:
+        yield made
+    finally:
+        _scopes.pop()
+
+
 def forget(*tables: DataFrame) -> None:
     """Removes tables of written() that nothing reads any more."""
     for t in tables:

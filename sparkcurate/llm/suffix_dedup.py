@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ngram_join import _A, _B, _C, _mix, _parts, powers
-from .shared import bounded_batches, hot_rows, join_groups, kept, load, placed, written
+from .shared import bounded_batches, forget, hot_rows, join_groups, kept, load, placed, scratch, written
 
 WINDOW, GRAM = 100, 32
 #: An anchor with more different runs than this has its windows compared one by one, spread over all tasks.
@@ -262,24 +262,24 @@ def _kinds(rows: np.ndarray, many_k) -> Iterator[pa.RecordBatch]:
         yield _batch(SPANS, kind, rows[:, 0], rows[:, 1], rows[:, 2], rows[:, 3], rows[:, 4].astype(np.int32), rows[:, 5].astype(np.int32))
 
 
-def with_lists(texts: DataFrame, spans: DataFrame, entry: list[str], rest: bool) -> DataFrame:
-    """texts joined with each document's list of spans; those without any stay, with a null list, if rest is true.
+def with_lists(texts: DataFrame, spans: DataFrame, entry: list[str], rest: bool) -> tuple[DataFrame, DataFrame]:
+    """texts with each document's list of spans, and the table of the lists; documents without any stay, with a null list, if rest is true.
 
     The ids of documents with spans are broadcast while they are at most BROADCAST_IDS, so that only those
     documents' texts are shuffled.
     """
     lists = written(spans.groupBy("doc", "u").agg(F.collect_list(F.struct(*entry)).alias("list")), "lists")
     if lists.count() > BROADCAST_IDS:
-        return texts.join(lists, ["doc", "u"], "left" if rest else "inner")
+        return texts.join(lists, ["doc", "u"], "left" if rest else "inner"), lists
     ids = F.broadcast(lists.select("doc", "u"))
     some = texts.join(ids, ["doc", "u"], "left_semi").join(lists, ["doc", "u"])
     others = texts.join(ids, ["doc", "u"], "left_anti").withColumn("list", F.lit(None).cast(lists.schema["list"].dataType))
-    return some.unionByName(others) if rest else some
+    return some.unionByName(others) if rest else some, lists
 
 
 def bodies(texts: DataFrame, spans: DataFrame) -> DataFrame:
     """(kind, k, doc, u, s, n, rel, body): each run with its bytes."""
-    both = with_lists(texts, spans, ["kind", "k", "s", "n", "rel"], rest=False)
+    both, _ = with_lists(texts, spans, ["kind", "k", "s", "n", "rel"], rest=False)
     schema = pa.schema([*SPANS, ("body", pa.binary())])
 
     def run(batches):
@@ -424,7 +424,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     A byte goes if a string of WINDOW bytes that covers it also starts earlier: in a document of
     smaller id, or earlier in its own. Null text counts as empty. A null id is smaller than all others;
-    rows that repeat an id are documents of their own, in the order of their places. Other columns are
+    rows that repeat an id are documents of their own, in an order that follows from their places. Other columns are
     ignored; an empty table gives no rows. Anchors and equal runs go by 64-bit hashes.
     """
     bounded_batches(docs.sparkSession)
@@ -439,13 +439,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         texts = written(texts, "texts")
     size = docs.agg(F.sum(F.octet_length(F.coalesce(F.col("text"), F.lit(""))))).first()[0] or 0
     parts = int(size // (24 << 20)) + 1
-    spans = written(sorted_out(anchor_runs(texts), parts), "spans")
-    open_runs = spans.where(F.col("kind") != REPEAT)
-    runs = written(bodies(texts, open_runs), "runs")
-    found = spans.where(F.col("kind") == REPEAT).select("doc", "u", "s", "n").unionByName(written(compared(runs.where(F.col("kind") == COMPARE), parts), "compared"))
-    if runs.where(F.col("kind") == SPREAD).take(1):
-        found = found.unionByName(spread_windows(runs.where(F.col("kind") == SPREAD)))
-    both = with_lists(texts, found, ["s", "n"], rest=True)
+    with scratch() as made:
+        spans = written(sorted_out(anchor_runs(texts), parts), "spans")
+        open_runs = spans.where(F.col("kind") != REPEAT)
+        runs = written(bodies(texts, open_runs), "runs")
+        found = spans.where(F.col("kind") == REPEAT).select("doc", "u", "s", "n").unionByName(written(compared(runs.where(F.col("kind") == COMPARE), parts), "compared"))
+        if runs.where(F.col("kind") == SPREAD).take(1):
+            found = found.unionByName(spread_windows(runs.where(F.col("kind") == SPREAD)))
+        both, lists = with_lists(texts, found, ["s", "n"], rest=True)
+    forget(*(t for t in made if t is not lists))
     schema = f"{id_col} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
 
     def run(batches):

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import filesystem, hot_rows, join_groups, load, new_folder, placed, written
+from .shared import filesystem, forget, hot_rows, join_groups, load, new_folder, placed, written
 
 #: Payloads of fewer bytes are always stored whole.
 LEAST_REVISIT = 100
@@ -101,7 +101,9 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         if out is not None:
             out.close()
 
-    return written(rows.mapInArrow(write, INDEX), "warc-index")
+    index = written(rows.mapInArrow(write, INDEX), "warc-index")
+    forget(many)
+    return index
 
 
 INDEX_SCHEMA = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("url", pa.string()), ("digest", pa.string()), ("page_id", pa.int64()), ("record_type", pa.string()), ("refers_to", pa.int64())])

@@ -124,6 +124,7 @@ def test_large_cells_are_split(spark, monkeypatch):
     rows = list(enumerate(texts))
     monkeypatch.setattr(ngram_join, "LARGE", 2)
     monkeypatch.setattr(ngram_join, "TOGETHER", 5)
+    monkeypatch.setattr(ngram_join, "LISTED", 3)
     levels = []
     again = ngram_join._parts_again
     for leaf, groups in ((4, 100_000), (16, 0), (512, 100_000)):
@@ -176,6 +177,17 @@ def test_near_groups(spark, monkeypatch, rule, large):
     assert got == brute_groups(rows, rule)
 
 
+@pytest.mark.parametrize("words", [1, 2, 5])
+@pytest.mark.parametrize("long", [1, 9, 64])
+def test_long_texts_have_the_same_sets(monkeypatch, words, long):
+    rng = random.Random(long)
+    texts = [" ".join(rng.choice("a b cc ddd eeee".split()) + rng.choice(["", " ", "\n\t"]) for _ in range(n)).encode() for n in (0, 1, 3, 4, 5, 60)]
+    texts += [b"", b"  ", b"one", b"x" * 200, b"x" * 100 + b" " + b"y" * 100, b" a b ", b"A a\x0bB b\x0c"]
+    whole = ngram_join.shingle_sets(texts, words)
+    monkeypatch.setattr(ngram_join, "LONG", long)
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(whole, ngram_join.shingle_sets(texts, words), strict=True))
+
+
 def test_near_drop(spark, tmp_path):
     texts = family(1, 12) + ["alone at last in this world", "", None]
     docs(spark, [(9 - k, t) for k, t in enumerate(texts)] + [(9, texts[0])]).write.parquet(f"{tmp_path}/d")

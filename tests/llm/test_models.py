@@ -64,6 +64,23 @@ def test_marginals_are_those_of_all_labellings():
     assert np.allclose(pairs, all_pairs) and np.isclose(z, all_z)
 
 
+def test_document_scores_weigh_all_labellings():
+    random_ = np.random.default_rng(11)
+    field = quality_crf.Field(random_.normal(size=3 * quality_crf.OWN + 1), random_.normal(size=(2, 2)), 4.0, -2.0)
+    texts = [b"", b"One line.", b"Two lines\nBUY!! NOW!!", b"a b c\n\nd | e | f\nBUY BUY BUY\nlast one, here."]
+    for text, score in zip(texts, quality_crf.doc_scores(field, texts), strict=True):
+        x, length, _ = quality_crf.line_features([text])
+        n, total, good = len(x), 0.0, np.zeros(len(x))
+        for code in range(1 << n):
+            y = [code >> k & 1 for k in range(n)]
+            w = math.exp(sum(float(x[k] @ field.weights) for k in range(n) if y[k]) + sum(field.trans[a, b] for a, b in zip(y, y[1:], strict=False)))
+            total += w
+            good += w * np.array(y)
+        weight = np.maximum(length, 1)
+        share = float((good / total * weight).sum() / weight.sum())
+        assert math.isclose(score, 1 / (1 + math.exp(-field.slope * share - field.offset)), rel_tol=1e-9)
+
+
 @pytest.mark.parametrize("run", [1, 7, 40, 1_000])
 def test_long_texts_go_in_runs(monkeypatch, run):
     random_ = np.random.default_rng(run)
