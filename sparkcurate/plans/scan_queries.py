@@ -478,6 +478,29 @@ def _(spark, sf):
     return table(spark, sf, "nation").select("n_nationkey", text.strip_fences(fence).alias("fenced"), text.unquote(F.concat(F.lit('"'), "n_name", F.lit('"'))).alias("etag"), text.backoff(k % 6).cast("double").alias("wait"), text.percent(k / 8).alias("share"), text.first_call(raw).alias("called"))
 
 
+@query(
+    "ci_outputs",
+    """WITH b AS (SELECT p_brand, count(*) AS n, min(p_name) AS first FROM part GROUP BY p_brand)
+    SELECT p_brand, unnest([0, 1]) AS k, unnest(['files=' || n, 'first=' || first]) AS value FROM b""",
+)
+def _(spark, sf):
+    brands = table(spark, sf, "part").groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"), F.min("p_name").alias("first"))
+    lines = sinks.key_value_lines(brands.select(F.concat_ws("|", "n", "p_brand").alias("files"), F.concat_ws("|", "first", "p_brand").alias("first")))
+    return lines.select(F.element_at(F.split("value", "[|]"), -1).alias("p_brand"), "k", F.substring_index("value", "|", 1).alias("value"))
+
+
+@query("wav_samples", "SELECT event_id, CAST((event_id * 37 % 65536 - 32768) / 32768.0 AS DOUBLE) AS sample FROM events")
+def _(spark, sf):
+    from ..sources.audio import wav_samples
+
+    # a mono clip of 16 bits at 16 kHz with one sample, low byte first
+    head = (b"RIFF" + (38).to_bytes(4, "little") + b"WAVEfmt " + (16).to_bytes(4, "little") + b"\1\0\1\0" + (16_000).to_bytes(4, "little") + (32_000).to_bytes(4, "little") + b"\2\0\x10\0data" + (2).to_bytes(4, "little")).hex()
+    unsigned = (F.col("event_id") * 37 + 32_768) % 65_536
+    byte = lambda x: F.lpad(F.hex(x), 2, "0")
+    content = F.unhex(F.concat(F.lit(head), byte(unsigned % 256), byte(F.floor(unsigned / 256))))
+    return table(spark, sf, "events").select("event_id", wav_samples(content)[0].cast("double").alias("sample"))
+
+
 @query(
     "dataset",
     f"""WITH pos AS (SELECT event_id AS ord, 'p' || event_id AS text, event_type AS name FROM events WHERE event_type = 'error'), n AS (SELECT CAST(round_even(count(*) * CAST(0.5 AS DOUBLE), 0) AS BIGINT) AS n, count(*) AS p FROM pos),

@@ -60,6 +60,12 @@ def write_drafts(drafts: DataFrame, locale: str, folder: str) -> None:
             out.close()
 
 
+def key_value_lines(df: DataFrame) -> DataFrame:
+    """(k, value): a line of key=value for each column of each row, in order of the columns; nulls are empty."""
+    pairs = F.array(*(F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in df.columns))
+    return df.select(F.posexplode(pairs).alias("k", "value"))
+
+
 def key_values(row: dict) -> str:
     """Lines of key=value for a build's outputs."""
     return "".join(f"{k}={v}\n" for k, v in row.items())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,27 +19,30 @@ def count_windows(df: DataFrame, key: str, pos: str, value: Column, size: int =
 
 
 def stream_count_windows(stream: DataFrame, key: str, value: str, size: int, end: str) -> DataFrame:
-    """(key, window, n, total) of each size rows as they arrive; a row whose end flag is set flushes what is left.
+    """(key, window, n, total) of each size rows as they arrive; a batch with a row whose end flag is set flushes what is left after it.
 
-    State per key: number of the window, rows and sum in it.
+    State per key: number of the window, rows and sum in it. Batches of rows are summed whole.
     """
     out, state_schema = "key string, window long, n long, total double", "window long, n long, total double"
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         window, n, total = state.get if state.exists else (0, 0, 0.0)
-        rows, ended = [], False
         for pdf in batches:
-            for v, last in zip(pdf[value], pdf[end], strict=True):
-                n, total = n + 1, total + float(v)
-                if n == size:
-                    rows.append((k[0], window, n, total))
-                    window, n, total = window + 1, 0, 0.0
-                ended |= bool(last)
-        if ended and n:
-            rows.append((k[0], window, n, total))
-            window, n, total = window + 1, 0, 0.0
-        state.update((window, n, total))
-        yield pd.DataFrame(rows, columns=["key", "window", "n", "total"])
+            values = pdf[value].to_numpy(dtype=float)
+            # windows end after the rows that fill them; the first takes in what the state holds
+            ends = np.arange(size - n, len(values) + 1, size)
+            before = np.concatenate([[0], ends])
+            sums = np.add.reduceat(values[: ends[-1]], before[:-1]) if len(ends) else np.zeros(0)
+            rest = values[before[-1] :]
+            if len(ends):
+                sums[0] += total
+                yield pd.DataFrame({"key": k[0], "window": window + np.arange(len(ends)), "n": size, "total": sums})
+                window, n, total = window + len(ends), 0, 0.0
+            n, total = n + len(rest), total + float(rest.sum())
+            if n and bool(pdf[end].any()):
+                yield pd.DataFrame({"key": [k[0]], "window": [window], "n": [n], "total": [total]})
+                window, n, total = window + 1, 0, 0.0
+        state.update((int(window), int(n), float(total)))
 
     keyed = stream.select(F.col(key).cast("string").alias("key"), value, end)
     return keyed.groupBy("key").applyInPandasWithState(step, out, state_schema, "append", "NoTimeout")
