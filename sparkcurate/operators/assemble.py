@@ -67,7 +67,7 @@ def attach_tools(samples: DataFrame, tools: DataFrame, developer: str, refusal:
 
 
 def turns(conversations: DataFrame, id_col: str = "conv_id") -> DataFrame:
-    """(id, turns): the messages of each conversation in order of turn."""
+    """(id, turns): the messages of each conversation in order of turn. A conversation is one row, so its length is what a task must hold."""
     return conversations.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
 
 

@@ -677,11 +677,17 @@ def _(spark, sf):
     return publish.publish_single(parts, old, "p_partkey")
 
 
-@query("manifest_versions", "SELECT p_brand, '2026.01.02-' || left(sha256(string_agg(name || ':' || sha || ',', '' ORDER BY name)), 7) AS version, count(*) AS files FROM (SELECT p_brand, CAST(p_partkey AS VARCHAR) AS name, sha256(p_name) AS sha FROM part) GROUP BY p_brand")
+@query(
+    "manifest_versions",
+    """SELECT p_brand, '2026.01.02-' || left(sha256(string_agg(name || ':' || sha || ',', '' ORDER BY name)), 7) AS version, '2026-01-02T03:04:05Z' AS released_at,
+      string_agg(name || ' ' || 'u/' || name || ' ' || sha || ' ' || size, chr(10) ORDER BY name) AS files FROM (SELECT p_brand, CAST(p_partkey AS VARCHAR) AS name, sha256(p_name) AS sha, strlen(p_name) AS size FROM part) GROUP BY p_brand""",
+)
 def _(spark, sf):
-    files = table(spark, sf, "part").select("p_brand", F.col("p_partkey").cast("string").alias("name"), F.lit("u").alias("url"), F.sha2("p_name", 256).alias("sha256"), F.lit(1).cast("long").alias("size_bytes"))
+    name = F.col("p_partkey").cast("string")
+    files = table(spark, sf, "part").select("p_brand", name.alias("name"), F.concat(F.lit("u/"), name).alias("url"), F.sha2("p_name", 256).alias("sha256"), F.octet_length("p_name").cast("long").alias("size_bytes"))
     m = publish.manifest(files, "p_brand", F.lit("2026-01-02 03:04:05").cast("timestamp"))
-    return m.select("p_brand", "version", F.size("files").cast("long").alias("files"))
+    lines = F.transform("files", lambda f: F.concat_ws(" ", f["name"], f["url"], f["sha256"], f["size_bytes"].cast("string")))
+    return m.select("p_brand", "version", "released_at", F.array_join(lines, "\n").alias("files"))
 
 
 @query("wake_counters", "SELECT event_id, user_id + event_id AS ticks FROM events")
