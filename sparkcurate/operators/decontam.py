@@ -54,8 +54,9 @@ def judged(cands: DataFrame, avoid: DataFrame, corpus: DataFrame, hit: Column, n
 
 
 def digest(column: str) -> Column:
-    """What stands for a long key in shuffles and joins."""
-    return F.unhex(F.sha2(column, 256))
+    """What stands for a long key in shuffles and joins. Null keys have an empty one, and so are equal; it is never
+    null, so that no join tests for that and makes it twice."""
+    return F.coalesce(F.unhex(F.sha2(column, 256)), F.lit(b""))
 
 
 def filter_candidates(judged_rows: DataFrame, keep: int, group: str, order: str) -> DataFrame:
