@@ -53,6 +53,8 @@ SPLIT = 8
 BROADCAST_PIVOTS = 2_000
 #: Members of a region that one task compares.
 TOGETHER = 256
+#: Points of another region that come to them as one.
+PIECE = 64
 
 
 @dataclass(frozen=True)
@@ -606,7 +608,7 @@ def window_pairs(pairs: DataFrame, rule: Rule, points: DataFrame, regions: DataF
     """(ra_, rb_, a, b, more): pairs of points of two regions that the folds allow to link; of each two regions, by parts, those of ranks from skip on by their bound, most of them.
 
     The larger region stays where it is, in parts of TOGETHER members. The other's points, in pieces of
-    as many, come to each part; where many regions come to one, they go to several copies of its parts.
+    PIECE, come to each part; where many come to one, they go to several copies of it.
     """
     folds = points.select("key", "n", "fold")
     members = regions.select("region", "key").union(regions.select("region", F.col("region").alias("key"))).distinct()
@@ -619,10 +621,11 @@ def window_pairs(pairs: DataFrame, rule: Rule, points: DataFrame, regions: DataF
     both = both.select("a", "b", F.when(turn, F.col("a")).otherwise(F.col("b")).alias("key"), F.when(turn, F.col("b")).otherwise(F.col("a")).alias("small"), F.greatest("sa", "sb").alias("most"), F.least("sa", "sb").alias("least"))
     both = written(both, "region-pairs")
 
-    def shares(n: Column) -> Column:
-        return (F.floor((n - 1) / TOGETHER) + 1).cast("int")
+    def shares(n: Column, size: int) -> Column:
+        return (F.floor((n - 1) / size) + 1).cast("int")
 
-    meets = both.groupBy("key").agg(F.count(F.lit(1)).alias("n"), shares(F.max("most")).alias("salts"), shares(F.sum(F.greatest("least", F.lit(1)))).alias("copies"))
+    coming = F.sum(F.greatest("least", F.lit(1)))
+    meets = both.groupBy("key").agg(F.count(F.lit(1)).alias("n"), shares(F.max("most"), TOGETHER).alias("salts"), shares(coming, 2 * PIECE).alias("copies"))
     meets = written(meets, "meets")
     both = join_groups(both, meets, n_regions, hot_rows(both.count()), "inner", by=("a", "b")).drop("n", "most")
     # the larger region's members, each in one part of it
@@ -632,9 +635,9 @@ def window_pairs(pairs: DataFrame, rule: Rule, points: DataFrame, regions: DataF
     home = home.select(F.col("key").alias("region"), F.pmod(F.xxhash64("point"), F.col("salts")).cast("int").alias("salt"), "copy", F.col("point").alias("key"), F.col("size").alias("n"), "fold")
     # the smaller one's go to each part, in pieces of their own; a region without members is its own point
     alone = both.where("least = 0").join(folds.toDF("small", "size", "fold"), "small").withColumn("point", F.col("small")).withColumn("piece", F.lit(0))
-    meet = both.where("least > 0").withColumn("piece", F.explode(F.sequence(F.lit(0), shares(F.col("least")) - 1)))
+    meet = both.where("least > 0").withColumn("piece", F.explode(F.sequence(F.lit(0), shares(F.col("least"), PIECE) - 1)))
     dealt = join_groups(members, sizes, n_regions, hot, "inner", by=("point",))
-    dealt = dealt.select(F.col("key").alias("small"), F.pmod(F.xxhash64("point"), shares(F.col("n"))).cast("int").alias("piece"), "point", "size", "fold")
+    dealt = dealt.select(F.col("key").alias("small"), F.pmod(F.xxhash64("point"), shares(F.col("n"), PIECE)).cast("int").alias("piece"), "point", "size", "fold")
     columns = ["a", "b", "key", "salts", "copies", "piece", "point", "size", "fold"]
     guests = alone.select(columns).unionByName(meet.join(dealt, ["small", "piece"]).select(columns))
     guests = guests.withColumn("copy", F.pmod(F.xxhash64("a", "b", "piece"), F.col("copies")).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))

@@ -116,7 +116,7 @@ def literal(spark: SparkSession, values: list[tuple], schema: str) -> DataFrame:
 #: Up to so many groups of equal rows go to all tasks with what is known of them, some 200 bytes each.
 BROADCAST_GROUPS = 100_000
 #: Rows of a group that one task joins or compares; more where a table has over BROADCAST_GROUPS times so many rows.
-HOT_ROWS = 20_000
+HOT_ROWS = 250
 
 
 def hot_rows(rows: int) -> int:

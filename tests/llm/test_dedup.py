@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import sys
 
 import numpy as np
 import pytest
@@ -124,6 +125,7 @@ def test_large_cells_are_split(spark, monkeypatch):
     rows = list(enumerate(texts))
     monkeypatch.setattr(ngram_join, "LARGE", 2)
     monkeypatch.setattr(ngram_join, "TOGETHER", 5)
+    monkeypatch.setattr(ngram_join, "PIECE", 2)
     monkeypatch.setattr(ngram_join, "LISTED", 3)
     levels = []
     again = ngram_join._parts_again
@@ -224,8 +226,6 @@ def test_suffix_array_of_patterns(t):
 
 @pytest.mark.parametrize("kind", ["random", "periodic", "fibonacci", "falling"])
 def test_suffix_array_takes_linear_time(kind):
-    import time
-
     def text(n):
         if kind == "random":
             return random.Random(1).choices(range(256), k=n)
@@ -236,15 +236,25 @@ def test_suffix_array_takes_linear_time(kind):
             return b[:n]
         return [k % 7 for k in range(n)] if kind == "periodic" else [(n - k) // (n // 200) for k in range(n)]
 
-    def seconds(n):
-        t, best = text(n), 1e9
-        for _ in range(3):
-            began = time.process_time()
+    def lines_run(n):
+        count = 0
+
+        def trace(frame, event, arg):
+            nonlocal count
+            count += event == "line"
+            return trace if frame.f_code is suffix_dedup.suffix_array.__code__ else None
+
+        t = text(n)
+        before = sys.gettrace()
+        sys.settrace(trace)
+        try:
             suffix_dedup.suffix_array(t)
-            best = min(best, time.process_time() - began)
-        return best
+        finally:
+            sys.settrace(before)
+        return count
 
-    assert seconds(160_000) < 16 * seconds(20_000)  # 8 for as many times the bytes, and room for caches
+    few, many = lines_run(4_000), lines_run(32_000)
+    assert many < 8.5 * few and many < 80 * 32_000
 
 
 def brute_repeats(rows):
