@@ -52,7 +52,7 @@ SPLIT = 8
 #: Up to so many large groups' pivots, some 16 KB each, are broadcast; more are joined by a shuffle.
 BROADCAST_PIVOTS = 2_000
 #: Members of a region that one task compares.
-TOGETHER = 256
+TOGETHER = 128
 #: Points of another region that come to them as one.
 PIECE = 64
 
