@@ -22,7 +22,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -632,7 +631,9 @@ def window_pairs(pairs: DataFrame, rule: Rule, points: DataFrame, regions: DataF
     stay = meets.select("key", "salts", "copies").join(sizes, "key")
     home = join_groups(members, stay, n_regions, hot, "inner", by=("point",))
     home = home.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    home = home.select(F.col("key").alias("region"), F.pmod(F.xxhash64("point"), F.col("salts")).cast("int").alias("salt"), "copy", F.col("point").alias("key"), F.col("size").alias("n"), "fold")
+    part = [F.col("key").alias("big"), F.pmod(F.xxhash64("point"), F.col("salts")).cast("int").alias("part"), "copy"]
+    none = F.lit(None).cast("long")
+    home = home.select(*part, F.lit(0).alias("kind"), none.alias("a"), none.alias("b"), F.lit(0).alias("piece"), "point", "size", "fold")
     # the smaller one's go to each part, in pieces of their own; a region without members is its own point
     alone = both.where("least = 0").join(folds.toDF("small", "size", "fold"), "small").withColumn("point", F.col("small")).withColumn("piece", F.lit(0))
     meet = both.where("least > 0").withColumn("piece", F.explode(F.sequence(F.lit(0), shares(F.col("least"), PIECE) - 1)))
@@ -641,30 +642,64 @@ def window_pairs(pairs: DataFrame, rule: Rule, points: DataFrame, regions: DataF
     columns = ["a", "b", "key", "salts", "copies", "piece", "point", "size", "fold"]
     guests = alone.select(columns).unionByName(meet.join(dealt, ["small", "piece"]).select(columns))
     guests = guests.withColumn("copy", F.pmod(F.xxhash64("a", "b", "piece"), F.col("copies")).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    guests = guests.select(F.col("key").alias("big"), "part", F.col("copy").alias("turn"), "a", "b", "piece", "point", F.col("size").alias("points_n"), F.col("fold").alias("points_fold"))
-
-    def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        found, counts, bounds = [], [], []
-        folds_x, n_x, key_x = x.fold.tolist(), x.n.to_numpy(), x.key.to_numpy()
-        for key, n, fold_y in zip(y.point, y.points_n, y.points_fold, strict=True):
-            diff = differences_to(fold_y, n, folds_x, n_x)
-            ok = np.flatnonzero(within(rule.similar, diff, n, n_x) & (key_x != key))
-            found.append(key_x[ok])
-            counts.append(len(ok))
-            bounds.append(diff[ok] / (n + n_x[ok]))
-        b, d = np.concatenate([np.zeros(0, np.int64), *found]), np.concatenate([np.zeros(0), *bounds])
-        ra, rb, piece, a = (np.repeat(y[c].to_numpy(), np.array(counts, np.int64)) for c in ("a", "b", "piece", "point"))
-        order = np.lexsort((b, a, d, piece, rb, ra))
-        ra, rb, piece, a, b = (v[order] for v in (ra, rb, piece, a, b))
-        new = np.concatenate([np.ones(min(1, len(b)), bool), (ra[1:] != ra[:-1]) | (rb[1:] != rb[:-1]) | (piece[1:] != piece[:-1])])
-        first = np.flatnonzero(new)
-        size = np.repeat(np.diff(np.append(first, len(b))), np.diff(np.append(first, len(b))))
-        rank = np.arange(len(b)) - first[np.cumsum(new) - 1] if len(b) else np.zeros(0, np.int64)
-        last = len(b) + skip if most is None else skip + most
-        take = (rank >= skip) & (rank < last)
-        return pd.DataFrame({"ra_": ra[take], "rb_": rb[take], "a": a[take], "b": b[take], "more": (size > last)[take]})
-
-    return home.groupBy("region", "salt", "copy").cogroup(guests.groupBy("big", "part", "turn")).applyInPandas(compare, "ra_ long, rb_ long, a long, b long, more boolean")
+    guests = guests.select(F.col("key").alias("big"), "part", "copy", F.lit(1).alias("kind"), "a", "b", "piece", "point", "size", "fold")
+    place = ["big", "part", "copy"]
+    dealt = home.unionByName(guests).repartition(*place).sortWithinPartitions(*place, "kind", "a", "b", "piece")
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        now = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            big, part, copy = (batch.column(c).to_numpy() for c in place)
+            cuts = np.flatnonzero(np.concatenate([[True], (big[1:] != big[:-1]) | (part[1:] != part[:-1]) | (copy[1:] != copy[:-1])])).tolist()
+            for at, end in zip(cuts, [*cuts[1:], batch.num_rows], strict=True):
+                group = (big[at], part[at], copy[at])
+                if group != now:
+                    yield from _windows(rule, held, skip, most)
+                    held, now = [], group
+                held.append(batch.slice(at, end - at))
+        yield from _windows(rule, held, skip, most)
+
+    return dealt.mapInArrow(run, "ra_ long, rb_ long, a long, b long, more boolean")
+
+
+def _windows(rule: Rule, batches: list[pa.RecordBatch], skip: int, most: int | None) -> Iterator[pa.RecordBatch]:
+    """The pairs of one part of a region, whose members come first, with the points that come to it."""
+    if not batches:
+        return
+    table = pa.Table.from_batches(batches)
+    kind = table.column("kind").to_numpy()
+    n_home = int((kind == 0).sum())
+    if n_home in (0, len(kind)):
+        return
+    piece, point, size = (table.column(c).to_numpy() for c in ("piece", "point", "size"))
+    ra, rb = (table.column(c).slice(n_home).to_numpy().astype(np.int64) for c in ("a", "b"))
+    folds = table.column("fold").to_pylist()
+    n_x, key_x, folds_x = size[:n_home], point[:n_home], folds[:n_home]
+    found, counts, bounds = [], [], []
+    for key, n, fold_y in zip(point[n_home:].tolist(), size[n_home:].tolist(), folds[n_home:], strict=True):
+        diff = differences_to(fold_y, n, folds_x, n_x)
+        ok = np.flatnonzero(within(rule.similar, diff, n, n_x) & (key_x != key))
+        found.append(key_x[ok])
+        counts.append(len(ok))
+        bounds.append(diff[ok] / (n + n_x[ok]))
+    b, d = np.concatenate(found), np.concatenate(bounds)
+    if not len(b):
+        return
+    ra, rb, piece, a = (np.repeat(v, counts) for v in (ra, rb, piece[n_home:], point[n_home:]))
+    order = np.lexsort((b, a, d, piece, rb, ra))
+    ra, rb, piece, a, b = (v[order] for v in (ra, rb, piece, a, b))
+    new = np.concatenate([[True], (ra[1:] != ra[:-1]) | (rb[1:] != rb[:-1]) | (piece[1:] != piece[:-1])])
+    first = np.flatnonzero(new)
+    sizes = np.diff(np.append(first, len(b)))
+    size = np.repeat(sizes, sizes)
+    rank = np.arange(len(b)) - np.repeat(first, sizes)
+    last = len(b) + skip if most is None else skip + most
+    take = (rank >= skip) & (rank < last)
+    if take.any():
+        yield pa.RecordBatch.from_arrays([pa.array(v[take]) for v in (ra, rb, a, b, size > last)], ["ra_", "rb_", "a", "b", "more"])
 
 
 def components(edges: DataFrame) -> DataFrame:

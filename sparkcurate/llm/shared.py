@@ -161,7 +161,7 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 #: Bytes that go to Python at a time, about; texts are long, and both sides hold a whole batch.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
