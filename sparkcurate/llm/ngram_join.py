@@ -17,6 +17,7 @@ bits, and Jaccard's distance grows with the difference, so folds bound all dista
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -433,8 +434,10 @@ def large_cells(rows: DataFrame, rule: Rule, points: DataFrame, parts: int) -> D
     split by pivots of its own, and its parts again, until all are small. Folds of one width are points
     of a metric space, in which near regions are at most a bound apart: a region is at home with its
     nearest pivot and a guest where another one isn't farther by over twice the bound, so that each near
-    pair meets where one of them is at home. Where that doesn't make a group smaller, as with texts
-    that have nothing else in common, it is cut into blocks, and each pair of blocks is a group.
+    pair meets where one of them is at home. A split is taken where it leaves half of the group's comparing
+    (homes times rows) at most, which ends the recursion: a level has half of the comparing of the one above.
+    Other groups, as those of texts that have nothing else in common, are cut into blocks of regions of like
+    size, and each pair of blocks whose sizes allow a link is a group.
     """
     merged = written(rows.select("cell", "region", "r").distinct(), "merged")
     lists = merged.groupBy("region").agg(F.slice(F.array_sort(F.collect_list("cell")), 1, LISTED).alias("cells"))
@@ -442,13 +445,14 @@ def large_cells(rows: DataFrame, rule: Rule, points: DataFrame, parts: int) -> D
     level = level.select(F.col("cell").alias("grp"), "region", "r", "n", "fold", F.lit(HOME).alias("side"), F.lit(False).alias("final"), F.filter("cells", lambda c: c < F.col("cell")).alias("lower"))
     level = written(level, "level")
     found = []
-    while True:
+    for depth in itertools.count():
         sizes = level.where("NOT final").groupBy(F.col("grp").alias("key")).agg(
             F.count(F.lit(1)).alias("n"),
+            F.count_if(F.col("side") == HOME).alias("at_home"),
             F.min(F.octet_length("fold")).alias("width"),
             F.max("r").alias("far"),
             F.max(level["n"]).alias("top"),
-            *(F.min_by("fold", F.xxhash64("region", F.lit(k))).alias(f"p{k}") for k in range(SPLIT)),
+            *(F.min_by("fold", F.xxhash64("region", F.lit(k + SPLIT * depth))).alias(f"p{k}") for k in range(SPLIT)),
         )
         sizes = written(sizes.where(F.col("n") > LEAF), "sizes")
         n_big = sizes.count()
@@ -460,14 +464,18 @@ def large_cells(rows: DataFrame, rule: Rule, points: DataFrame, parts: int) -> D
         both = join_groups(keyed, sizes.select("key", "n"), n_big, hot, by=("region", "side")).withColumn("large", F.col("n").isNotNull() & ~F.col("final"))
         small = both.where("NOT large").select(F.col("key").alias("grp"), "region", "r", F.col("size").alias("n"), "fold", "side", "final", "lower")
         found.append(written(_leaves(small, rule, parts), "leaf-pairs"))
-        large = join_groups(keyed.where("NOT final"), sizes, n_big, hot, "inner", by=("region", "side"), most=BROADCAST_PIVOTS)
-        homes = written(_homes(large, rule), "homes")
-        spread = homes.select("key", "n", F.posexplode(F.concat(F.array("home"), "also")).alias("k", "to")).groupBy("key", "to")
-        spread = spread.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("k") == 0).alias("own"), F.max("n").alias("n"))
-        good = spread.groupBy("key").agg(F.max("n").alias("n"), F.sum(F.col("own") * F.col("rows")).alias("work"), F.sum("rows").alias("sum"))
+        # guests alone need not meet
+        large = join_groups(keyed.where("NOT final"), sizes.where("at_home > 0"), n_big, hot, "inner", by=("region", "side"), most=BROADCAST_PIVOTS)
+        homes = written(_homes(large.withColumn("class", _size_class(rule)), rule), "homes")
+        spread = homes.select("key", "n", "at_home", "side", F.posexplode(F.concat(F.array("home"), "also")).alias("k", "to")).groupBy("key", "to")
+        spread = spread.agg(F.count(F.lit(1)).alias("rows"), F.count_if((F.col("k") == 0) & (F.col("side") == HOME)).alias("own"), F.max("n").alias("n"), F.max("at_home").alias("at_home"))
+        good = spread.groupBy("key").agg(F.max("n").alias("n"), F.max("at_home").alias("at_home"), F.sum(F.col("own") * F.col("rows")).alias("work"), F.sum("rows").alias("sum"))
         # worth it where at least half of the comparing goes, and rows at most triple
-        good = written(good.select("key", "n", ((2 * F.col("work") <= F.col("n") * F.col("n")) & (F.col("sum") <= 3 * F.col("n"))).alias("apart")), "good")
-        after = written(_parts_again(join_groups(homes.drop("n"), good, n_big, hot, "inner", by=("region", "side"))), "level")
+        good = good.select("key", "n", ((2 * F.col("work") <= F.col("at_home") * F.col("n")) & (F.col("sum") <= 3 * F.col("n"))).alias("apart"))
+        classes = homes.groupBy("key", "class").agg(F.ceil(2 * F.count(F.lit(1)) / LEAF).alias("blocks"))
+        classes = classes.groupBy("key").agg(F.collect_list(F.struct("class", "blocks")).alias("classes"))
+        good = written(good.join(classes, "key"), "good")
+        after = written(_parts_again(join_groups(homes.drop("n", "at_home"), good, n_big, hot, "inner", by=("region", "side"))), "level")
         level = after
     out = found[0]
     for f in found[1:]:
@@ -533,15 +541,32 @@ def _narrowed(folds: list[bytes], width: int) -> np.ndarray:
     return out
 
 
+#: Classes of sizes within which the largest set that may be near to another goes; rounding may add one.
+CLASSES = 4
+_CODE = 1 << 32
+
+
+def _size_class(rule: Rule) -> Column:
+    """A number that differs by CLASSES + 1 at most for regions of a group whose sizes let them be near."""
+    eps = (100 - rule.similar) * (1 + 2 * F.col("far"))
+    step = F.when(eps < 100, -F.log((100 - F.least(eps, F.lit(99))) / 100) / CLASSES)
+    return F.coalesce(F.floor(F.log(F.greatest("size", F.lit(1))) / step), F.lit(0).cast("long"))
+
+
 def _parts_again(rows: DataFrame) -> DataFrame:
-    """The next level: groups that pivots took apart (apart) by pivots, others in pairs of blocks, which are final."""
-    blocks = F.ceil(2 * F.col("n") / LEAF).cast("int")
-    own = F.pmod(F.xxhash64("region"), blocks).cast("int")
+    """The next level: groups that pivots took apart (apart) by pivots, others in pairs of blocks, which are final.
+
+    A block has regions of one class of sizes, and meets those of classes that are near enough.
+    """
+    one = F.col("class")
+    blocks = F.filter("classes", lambda x: x["class"] == one)[0]["blocks"]
+    own = one * _CODE + F.pmod(F.xxhash64("region"), blocks)
     group = lambda *x: F.xxhash64("key", *x)
     # a guest stays one: two guests of a group need not meet
     by_pivot = F.transform(F.concat(F.array("home"), "also"), lambda k, i: F.struct(group(F.lit(0), k).alias("grp"), F.when((i == 0) & (F.col("side") == HOME), HOME).otherwise(GUEST).alias("side"), F.lit(False).alias("final")))
-    met = F.sequence(F.lit(0), blocks - 1)
-    by_block = F.transform(met, lambda j: F.struct(group(F.lit(1), F.least(own, j), F.greatest(own, j)).alias("grp"), F.when(own == j, HOME).when(own < j, LEFT).otherwise(RIGHT).alias("side"), F.lit(True).alias("final")))
+    near = F.filter("classes", lambda x: F.abs(x["class"] - one) <= CLASSES + 1)
+    met = F.flatten(F.transform(near, lambda x: F.transform(F.sequence(F.lit(0).cast("long"), x["blocks"] - 1), lambda j: x["class"] * _CODE + j)))
+    by_block = F.transform(met, lambda j: F.struct(group(F.lit(1), F.least(own, j), F.greatest(own, j)).alias("grp"), F.when(own == j, F.col("side")).when(own < j, LEFT).otherwise(RIGHT).alias("side"), F.lit(True).alias("final")))
     each = rows.withColumn("x", F.explode(F.when(F.col("apart"), by_pivot).otherwise(by_block)))
     return each.select("x.grp", "region", "r", F.col("size").alias("n"), "fold", "x.side", "x.final", "lower")
 
@@ -781,8 +806,9 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     groups = _groups(_texts(rows, F.col("row")[id_col], F.col("row")[text_col], ("file", "at")), rule, ("file", "at"))
     place = F.struct(F.col("__id").isNull().alias("none"), "__id", "file", "at")
     groups = written(groups.where("n_shingles > 0").select("file", "at", "component_key", place.alias("place")), "groups")
-    first = groups.groupBy("component_key").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    gone = written(groups.join(first, "component_key").where("place <> first").select("file", "at"), "gone")
+    groups = groups.withColumnRenamed("component_key", "key")
+    first = written(groups.groupBy("key").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "firsts")
+    gone = written(join_groups(groups, first, first.count(), hot_rows(groups.count()), "inner").where("place <> first").select("file", "at"), "gone")
     gone = F.broadcast(gone) if gone.count() <= limit else gone
     return rows.join(gone, ["file", "at"], "left_anti").select("row.*")
 

@@ -167,6 +167,58 @@ def test_homes_and_guests_meet(spark, monkeypatch):
     assert got == expected and len(calls) > 1 and [True] in calls
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_splits_end(spark, monkeypatch, seed):
+    """A few small regions in the middle, that all others are guests of: parts that stay as large as their group become blocks."""
+    monkeypatch.setattr(ngram_join, "LEAF", 32)
+    rng = np.random.default_rng(seed)
+    rule = ngram_join.Rule(5, 85)
+    centre = rng.integers(1, 1 << 62, 80, dtype=np.uint64)
+    sets = [np.unique(centre[rng.choice(80, 76, replace=False)]) for _ in range(40)]
+    for _ in range(3):
+        far = np.concatenate([centre, rng.integers(1, 1 << 62, 15, dtype=np.uint64)])
+        sets += [np.unique(far[rng.choice(95, 93, replace=False)]) for _ in range(40)]
+    points = spark.createDataFrame([(k, len(s), bytearray(ngram_join.fold(s))) for k, s in enumerate(sets)], "key long, n long, fold binary")
+    rows = spark.createDataFrame([(1, k, 0) for k in range(len(sets))], "cell long, region long, r long")
+    levels = []
+    again = ngram_join._parts_again
+
+    def counted(df):
+        levels.append({(r.key, r.n) for r in df.where("apart").select("key", "n").distinct().collect()})
+        assert len(levels) < 12
+        return again(df)
+
+    monkeypatch.setattr(ngram_join, "_parts_again", counted)
+    got = {(r.a, r.b) for r in ngram_join.large_cells(rows, rule, points, 3).collect()}
+    expected = set()
+    for a in range(len(sets)):
+        n = np.array([len(s) for s in sets])
+        diff = ngram_join.differences_to(ngram_join.fold(sets[a]), n[a], [ngram_join.fold(s) for s in sets], n)
+        expected |= {(a, int(b)) for b in np.flatnonzero(ngram_join.within(85, diff, n[a], n)) if a < b}
+    assert got == expected
+
+
+def test_blocks_go_by_size(spark, monkeypatch):
+    """Regions that pivots don't part meet only where their sizes allow a link."""
+    monkeypatch.setattr(ngram_join, "LEAF", 8)
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(1, 1 << 62, int(20 * 1.3**k), dtype=np.uint64)) for k in range(12) for _ in range(10)]
+    sets += [np.append(s[:-1], s[-1] + np.uint64(1)) for s in sets[::7]]
+    points = spark.createDataFrame([(k, len(s), bytearray(ngram_join.fold(s))) for k, s in enumerate(sets)], "key long, n long, fold binary")
+    rows = spark.createDataFrame([(1, k, 0) for k in range(len(sets))], "cell long, region long, r long")
+    dealt = []
+    leaves = ngram_join._leaves
+    monkeypatch.setattr(ngram_join, "_leaves", lambda df, *x: dealt.append(df.count()) or leaves(df, *x))
+    got = {(r.a, r.b) for r in ngram_join.large_cells(rows, ngram_join.Rule(5, 85), points, 3).collect()}
+    n = np.array([len(s) for s in sets])
+    expected = set()
+    for a in range(len(sets)):
+        diff = ngram_join.differences_to(ngram_join.fold(sets[a]), n[a], [ngram_join.fold(s) for s in sets], n)
+        expected |= {(a, int(b)) for b in np.flatnonzero(ngram_join.within(85, diff, n[a], n)) if a < b}
+    assert got == expected
+    assert sum(dealt) < len(sets) * (2 * len(sets) / 8) * 0.9
+
+
 @pytest.mark.parametrize("rule, large", [(ngram_join.Rule(4, 85), 6), (ngram_join.Rule(), 2), (ngram_join.Rule(2, 60), 6)])
 def test_near_groups(spark, monkeypatch, rule, large):
     monkeypatch.setattr(ngram_join, "LARGE", large)
