@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, gif_media, huffman_ids, mixing, ngram_join, quality_crf, sentencepiece_backend, suffix_dedup, toxicity_gru, warc
+from . import exact_dedup, gif_media, huffman_ids, mixing, ngram_join, quality_crf, sentencepiece_backend, suffix_dedup, toxicity_gru, warc, whitening
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_exact_dedup": exact_dedup.op8,
         "op9_sentencepiece": sentencepiece_backend.op9,
         "op10_huffman_ids": huffman_ids.op10,
+        "op11_whitening": whitening.op11,
     }
 
 
