@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, gif_media, huffman_ids, mixing, ngram_join, quality_crf, sentencepiece_backend, suffix_dedup, toxicity_gru, warc, whitening
+from . import exact_dedup, forest_search, gif_media, huffman_ids, mixing, ngram_join, quality_crf, sentencepiece_backend, suffix_dedup, toxicity_gru, warc, whitening
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_sentencepiece": sentencepiece_backend.op9,
         "op10_huffman_ids": huffman_ids.op10,
         "op11_whitening": whitening.op11,
+        "op12_forest_search": forest_search.op12,
     }
 
 

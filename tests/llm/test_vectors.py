@@ -1,9 +1,11 @@
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from sparkcurate.llm import whitening
+from sparkcurate.llm import forest_search, whitening
 
 S = "vec_id long, embedding array<float>, label int, x string, row string, component string"
 
@@ -96,3 +98,75 @@ def test_deviations_are_exact():
         for row, got in zip(x.tolist(), whitening._deviations(x, n, sums), strict=True):
             exact = sum((n * a - int(s)) ** 2 for a, s in zip(row, sums, strict=True))
             assert got == (exact if exact < 1 << 63 else None)
+
+
+def brute_nearest(vectors, ids, asked, k=5):
+    """{(query, vector): [(score, id)...]}, of rows that differ in id or vector."""
+    rows = sorted({(i is None, i or 0, tuple(map(float, np.float32(v)))) for i, v in zip(ids, vectors, strict=True)})
+    out = {}
+    x = np.array([r[2] for r in rows])
+    for n, (none, i, v) in enumerate(rows):
+        if not none and asked(i):
+            s = (x * np.array(v)).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((np.array(v) ** 2).sum()))
+            order = sorted((-s[m], rows[m][0], rows[m][1]) for m in range(len(rows)) if m != n)[:k]
+            out[i, v] = [(-a, None if b else c) for a, b, c in order]
+    return out
+
+
+def by_query(got):
+    out = {}
+    for r in sorted(got, key=lambda r: (r.query_id, r.rank)):
+        out.setdefault(r.query_id, []).append((r.score, r.vec_id))
+        assert r.rank == len(out[r.query_id])
+    return out
+
+
+def test_forest_finds_neighbours(spark, monkeypatch):
+    """Recall against brute force, on noise and on clusters, with groups cut into pieces; what is found has the exact score."""
+    monkeypatch.setattr(forest_search, "POINTS", 70)
+    monkeypatch.setattr(forest_search, "VISITS", 5)
+    monkeypatch.setattr(forest_search, "FIT_ROWS", 400)
+    rng = np.random.default_rng(4)
+    noise = rng.standard_normal((700, 12))
+    near = np.repeat(rng.standard_normal((15, 12)) * 3, 60, axis=0) + rng.standard_normal((900, 12)) * 0.3
+    vectors = np.concatenate([noise, near, np.repeat(noise[:2], 300, axis=0)]).astype(np.float32)
+    ids = list(range(len(vectors)))
+    got = forest_search.nearest(table(spark, vectors, ids).repartition(6), F.col("vec_id") % 10 == 0, leaf=40).collect()
+    truth = {i: x for (i, _), x in brute_nearest(vectors, ids, lambda i: i % 10 == 0).items()}
+    found = by_query(got)
+    assert set(found) == set(truth)
+    hits = sum(len({i for _, i in found[q]} & {i for _, i in truth[q]}) for q in truth)
+    assert hits >= 0.9 * sum(map(len, truth.values())) and got[0].recall >= 0.95
+    for q, rows in found.items():
+        assert len(rows) == 5 and rows == sorted(rows, key=lambda x: (-x[0], x[1])) and q not in {i for _, i in rows}
+        for s, i in rows:
+            a, b = vectors[q].astype(float), vectors[i].astype(float)
+            assert s == pytest.approx(float(a @ b / np.sqrt((a @ a) * (b @ b))), abs=1e-14)
+
+
+def test_forest_odd_rows(spark):
+    nan = float("nan")
+    good = [(0, [1, 0, 0]), (1, [1, 0, 0]), (2, [1, 0, 0]), (3, [0.5, 0.5, 0]), (50, [1, 0, 0]), (100, [0, 0, -2]), (100, [0, 0, 1e30]), (7, [0, 1e-30, 0]), (None, [0, 1, 0]), (None, [1, 0, 0]), (4, [1, 0, 0]), (5, [1, 0, 0]), (6, [2, 0, 0]), (1, [1, 0, 0])]
+    bad = [(150, None), (200, []), (8, [0, 0, 0]), (9, [1, None, 1]), (10, [nan, 1, 1]), (11, [float("inf"), 1, 1]), (12, [1, 2])]
+    ids, vectors = zip(*good, *bad, strict=True)
+    got = forest_search.nearest(table(spark, vectors, ids), F.col("vec_id") % 50 == 0).collect()
+    truth = brute_nearest([v for _, v in good], [i for i, _ in good], lambda i: i % 50 == 0)
+    expected = Counter((i, rank, j, round(s, 12)) for (i, _), rows in truth.items() for rank, (s, j) in enumerate(rows, 1))
+    assert Counter((r.query_id, r.rank, r.vec_id, round(r.score, 12)) for r in got) == expected
+    two = forest_search.nearest(table(spark, [[1, 2], [2, 1]], [50, 3]), F.col("vec_id") % 50 == 0).collect()
+    assert [(r.query_id, r.rank, r.vec_id) for r in two] == [(50, 1, 3)]
+    for few, ids in (([], []), ([None], [50]), ([[1, 2]], [50]), ([[1, 2], [3, 4]], [1, 2])):
+        found = forest_search.nearest(table(spark, few, ids), F.col("vec_id") % 50 == 0)
+        assert found.columns == ["query_id", "rank", "vec_id", "score", "recall"] and found.collect() == []
+
+
+def test_one_queue_opens_all_leaves():
+    rng = np.random.default_rng(8)
+    rows = forest_search.unit(rng.standard_normal((500, 6)))
+    forest = [forest_search.grown(rows, seed, 30) for seed in range(3)]
+    sizes = [np.bincount(forest_search.leaf_of(t, rows), minlength=t.leaves) for t in forest]
+    assert all(s.sum() == 500 and s.max() <= 30 for s in sizes)
+    met = list(forest_search.visited(forest, sizes, rows[3], float("inf"), 0))
+    assert len({(t, leaf) for t, leaf, _ in met}) == sum(t.leaves for t in forest) and met[-1][2] == 1500
+    # the own leaves come first, in order of nothing between
+    assert {(t, leaf) for t, leaf, _ in met[:3]} == {(t, int(forest_search.leaf_of(tree, rows[3:4])[0])) for t, tree in enumerate(forest)}
