@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, forest_search, gif_media, huffman_ids, mixing, ngram_join, quality_crf, sentencepiece_backend, suffix_dedup, toxicity_gru, warc, whitening
+from . import exact_dedup, forest_search, gif_media, huffman_ids, lexical_search, mixing, ngram_join, quality_crf, sentencepiece_backend, suffix_dedup, toxicity_gru, warc, whitening
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op10_huffman_ids": huffman_ids.op10,
         "op11_whitening": whitening.op11,
         "op12_forest_search": forest_search.op12,
+        "op13_lexical_search": lexical_search.op13,
     }
 
 
@@ -27,4 +28,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_warc": warc.OP1_SQL,
         "op3_mixing": mixing.OP3_SQL,
         "op8_exact_dedup": exact_dedup.OP8_SQL,
+        "op13_lexical_search": lexical_search.OP13_SQL,
     }
