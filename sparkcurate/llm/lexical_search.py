@@ -32,7 +32,7 @@ FIT_DOCS, FIT_TERMS = 4_096, 256
 #: Levels that are fitted there, and buckets of terms' hashes.
 LEVELS, HASH_BITS = 6, 15
 #: Documents of a group that a task bisects, as expected from the sample; and what a group is cut at, documents and postings.
-GROUP, MOST_DOCS, MOST_POSTINGS = 4_096, 8_192, 3_000_000
+GROUP, MOST_DOCS, MOST_POSTINGS = 2_048, 4_096, 1_000_000
 #: Documents and postings of a shard, at most; a document is never cut.
 SHARD, SHARD_POSTINGS = 128, 400_000
 #: Times that two halves swap, at most.
@@ -293,7 +293,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         found = all_routes.value
         for batch in batches:
             if batch.num_rows:
-                terms = batch.column("terms").to_pylist()
+                # routed by what routes were fitted on: the terms of the smallest hashes
+                terms = [t[: 8 * FIT_TERMS] for t in batch.column("terms").to_pylist()]
                 sizes = np.fromiter((len(t) // 8 for t in terms), np.int64, len(terms))
                 leaf = found.leaf(sizes, np.frombuffer(b"".join(terms), np.uint64))
                 group = before[leaf] + batch.column("h").to_numpy() % pieces[leaf]
@@ -314,7 +315,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield from _shards((now << 32) + (number << 14), rows, corpus, length, shard)
 
     dealt = placed.mapInArrow(routed, "grp long, h long, id long, n long, terms binary, counts binary")
-    dealt = dealt.repartition(max(1, min(20_000, 2 * int(pieces.sum()))), "grp").sortWithinPartitions("grp", "h", "id")
+    dealt = dealt.repartition(max(1, min(20_000, int(pieces.sum()))), "grp").sortWithinPartitions("grp", "h", "id")
     shards = written(dealt.mapInArrow(cut, _SHARD), "shards")
     forget(profile)
     return Index(shards, corpus, length)
