@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import heapq
+import math
 from collections.abc import Iterator
 from fractions import Fraction
-from itertools import islice
-from math import lcm
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,14 +17,14 @@ from .shared import literal, load, placed, written
 BLOCK_ROWS = 16
 #: Slots of an epoch, which one task schedules by itself.
 EPOCH = 4_096
-#: A source without a weight has one of about so many parts; op3's weights are whole parts.
+#: A source without a weight has one of about so many parts.
 PARTS = 1000
 #: Target weights go with a source's rows to this power where none are given.
 POWER = 0.7
 #: Rows of a source that one task orders at a time.
 BUCKET_ROWS = 2_000
-#: Epochs that go into one plan at a time.
-PLANNED = 4_096
+#: Shares of sources in epochs that go into one plan at a time.
+PLANNED = 20_000
 
 
 def exact_parts(counts: dict[str, int], weights: dict[str, float] | None) -> dict[str, int]:
@@ -31,48 +32,90 @@ def exact_parts(counts: dict[str, int], weights: dict[str, float] | None) -> dic
     shares = {s: Fraction(n**POWER if weights is None else weights.get(s, 0)) for s, n in counts.items()}
     none = sum(x for x in shares.values() if x > 0) / PARTS or Fraction(1)
     shares = {s: x if x > 0 else none for s, x in shares.items()}
-    scale = lcm(*(x.denominator for x in shares.values()))
+    scale = math.lcm(*(x.denominator for x in shares.values()))
     return {s: int(x * scale) for s, x in shares.items()}
 
 
-def whole_parts(counts: dict[str, int], weights: dict[str, float] | None) -> dict[str, int]:
-    """The weights in whole thousandths, one at least."""
-    shares = {s: (n**POWER if weights is None else weights.get(s, 0.0)) for s, n in counts.items()}
-    total = sum(shares.values()) or 1.0
-    return {s: max(1, int(PARTS * x / total + 0.5)) for s, x in shares.items()}
+def bends(units: list[int], parts: list[int]) -> list[Fraction]:
+    """Where on the line of slots each source ends, if all run side by side, each by its parts, until it has no units left."""
+    out = [Fraction(0)] * len(units)
+    gone, rest = 0, sum(parts)
+    for i in sorted(range(len(units)), key=lambda i: (Fraction(units[i], parts[i]), i)):
+        out[i] = gone + Fraction(units[i] * rest, parts[i])
+        gone, rest = gone + units[i], rest - parts[i]
+    return out
 
 
 def epochs(units: dict[str, int], parts: dict[str, int], length: int = EPOCH) -> Iterator[tuple[int, int, list[tuple[str, int, int]]]]:
     """(first slot, slots, [(source, first unit, units)...]) of each epoch.
 
-    A phase has a fixed set of sources, with shares by their parts, and lasts until one of them has no
-    units left; then the others go on in a phase of their own. After t slots of a phase a source has had
-    floor(share t) or ceil(share t) units at each epoch's end: what is due by then, and of the units that
-    may run before but needn't, those with the earliest deadlines.
+    All keep to a line: sources run side by side, each by its parts of what those have that still run, until it
+    has no units left. An epoch ends after length slots and where the line bends, in the slots before and after the bend. At its end a
+    source has had floor or ceil of its place on the line: what is due by then, and of the units that have begun but needn't be done, those
+    with the earliest deadlines. All in whole numbers, so that nothing is rounded.
+
+    Deadlines don't change on a clock that runs as the line does for one part, so a heap has each source's next unit: a short epoch
+    costs as much as it has slots, a long one as much as sources run in it, and all together at most as much as there are units.
     """
-    left = {s: n for s, n in sorted(units.items()) if n}
-    start = 0
-    while left:
-        total = sum(parts[s] for s in left)
-        ender = min(left, key=lambda s: (Fraction(left[s], parts[s]), s))
-        slots = left[ender] * total // parts[ender]
-        had = dict.fromkeys(left, 0)
-        at = 0
-        while at < slots:
-            to = min(at + length, slots)
-            now = {s: max(had[s], parts[s] * to // total) for s in left}
-            if to == slots:
-                now[ender] = left[ender]
-            free = to - sum(now.values())
-            assert free >= 0, "more units are due than there are slots"
-            early = [s for s in left if now[s] * total < parts[s] * to]
-            early.sort(key=lambda s: (-(-(now[s] + 1) * total // parts[s]), s != ender, s))
-            for s in early[:free]:
-                now[s] += 1
-            yield start + at, to - at, [(s, units[s] - left[s] + had[s], now[s] - had[s]) for s in left if now[s] > had[s]]
-            had, at = now, to
-        left = {s: n - had[s] for s, n in left.items() if n > had[s]}
-        start += slots
+    names = sorted(s for s, n in units.items() if n)
+    n, w = [units[s] for s in names], [parts[s] for s in names]
+    shift = max(90, max((x.bit_length() for x in w), default=0) + 20)
+    ends = bends(n, w)
+    marks = sorted({math.floor(x) for x in ends} | {math.ceil(x) for x in ends})
+    order = sorted(range(len(names)), key=lambda i: (ends[i], i), reverse=True)
+    had, live, gone, rest, at = [0] * len(names), set(range(len(names))), 0, sum(w), 0
+    heap: list[tuple[int, int]] | None = None
+
+    def due(i: int) -> tuple[int, int]:
+        return ((had[i] + 1) << shift) // w[i], i
+
+    for mark in marks:
+        while at < mark:
+            to = min(at + length, mark)
+            was: dict[int, int] = {}
+            while order and ends[order[-1]] <= to:
+                i = order.pop()
+                gone, rest = gone + n[i], rest - w[i]
+                live.discard(i)
+                if had[i] < n[i]:
+                    was[i], had[i] = had[i], n[i]
+            goal, taken = to - gone, sum(had[i] - k for i, k in was.items())
+            if to - at < len(live) and heap is not None or to - at < len(live) // 4:
+                if heap is None:
+                    heap = [due(i) for i in live]
+                    heapq.heapify(heap)
+                aside = []
+                # due ones first, then the earliest of those that have begun
+                while heap and (heap[0][1] not in live or (had[heap[0][1]] + 1) * rest <= w[heap[0][1]] * goal or taken < to - at):
+                    entry = heapq.heappop(heap)
+                    i = entry[1]
+                    if i not in live:
+                        continue
+                    if had[i] * rest >= w[i] * goal:
+                        aside.append(entry)
+                        continue
+                    was.setdefault(i, had[i])
+                    had[i] += 1
+                    taken += 1
+                    heapq.heappush(heap, due(i))
+                for entry in aside:
+                    heapq.heappush(heap, entry)
+            else:
+                heap, early = None, []
+                for i in live:
+                    now = max(had[i], w[i] * goal // rest)
+                    if now > had[i]:
+                        was[i], had[i] = had[i], now
+                        taken += now - was[i]
+                    if now * rest < w[i] * goal:
+                        early.append(due(i))
+                for _, i in heapq.nsmallest(to - at - taken, early):
+                    was.setdefault(i, had[i])
+                    had[i] += 1
+                    taken += 1
+            assert taken == to - at, "the units that are due and the slots don't agree"
+            yield at, to - at, [(names[i], k, had[i] - k) for i, k in sorted(was.items())]
+            at = to
 
 
 SHARES = "array<struct<source:string,first:bigint,units:bigint>>"
@@ -80,16 +123,19 @@ _BITS = 20
 
 
 def planned(spark: SparkSession, units: dict[str, int], parts: dict[str, int], length: int = EPOCH) -> DataFrame:
-    """(at, slots, shares) of all epochs; a plan has at most PLANNED of them, and each few have a task of their own."""
-    found, tables, n = epochs(units, parts, length), [], 0
-    while chunk := list(islice(found, PLANNED)):
-        n += len(chunk)
-        values = [(at, slots, [{"source": s, "first": first, "units": k} for s, first, k in shares]) for at, slots, shares in chunk]
-        tables.append(literal(spark, values, f"at bigint, slots bigint, shares {SHARES}"))
-        if len(tables) == 2:
-            tables = [written(tables[0].union(tables[1]), "epochs")]
-    table = tables[0] if tables else literal(spark, [], f"at bigint, slots bigint, shares {SHARES}")
-    return table.repartition(max(1, min(n, 4_000)), "at")
+    """(at, slots, shares) of all epochs; a plan has PLANNED shares at most, or one epoch, and more go into a table. Each few epochs have a task of their own."""
+    tables: list[DataFrame] = []
+    chunk: list[tuple] = []
+    n = size = 0
+    schema = f"at bigint, slots bigint, shares {SHARES}"
+    for at, slots, shares in epochs(units, parts, length):
+        if chunk and size + len(shares) > PLANNED:
+            tables.append(written(literal(spark, chunk, schema), "epochs"))
+            chunk, size = [], 0
+        chunk.append((at, slots, [{"source": s, "first": first, "units": k} for s, first, k in shares]))
+        n, size = n + 1, size + len(shares)
+    tables.append(literal(spark, chunk, schema))
+    return reduce(DataFrame.unionByName, tables).repartition(max(1, min(n, 4_000)), "at")
 
 
 def scheduled(epoch: DataFrame) -> DataFrame:
@@ -125,13 +171,13 @@ def _order(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
 
 
-def _mixed(docs: DataFrame, weights: dict[str, float] | None, id_col: str, source_col: str, seed: int, block_rows: int, rounded: bool, length: int = EPOCH) -> DataFrame:
+def _mixed(docs: DataFrame, weights: dict[str, float] | None, id_col: str, source_col: str, seed: int, block_rows: int, length: int = EPOCH) -> DataFrame:
     """(id, source, source_row, block, slot, file, at) of placed() rows."""
     spark = docs.sparkSession
     half = max(1, block_rows // 2)
     base = docs.select(F.col("row")[id_col].alias("id"), F.coalesce(F.col("row")[source_col], F.lit("")).alias("source"), "file", "at").withColumn("h", _order("id", seed))
     counts = {r["source"]: r["count"] for r in base.groupBy("source").count().collect()}
-    parts = (whole_parts if rounded else exact_parts)(counts, weights)
+    parts = exact_parts(counts, weights)
     sizes = literal(spark, [(s, -(-n // BUCKET_ROWS)) for s, n in counts.items()], "source string, buckets bigint")
     number = F.conv(F.substring("h", 1, 8), 16, 10).cast("long")
     base = base.join(F.broadcast(sizes), "source").withColumn("bucket", F.shiftright(number * F.col("buckets"), 32)).drop("buckets")
@@ -150,31 +196,31 @@ def _mixed(docs: DataFrame, weights: dict[str, float] | None, id_col: str, sourc
     return ranked.join(slots.hint("merge"), ["source", "unit"]).select("id", "source", "source_row", "block", "slot", "file", "at")
 
 
-def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id", source_col: str = "source", seed: int = 17, block_rows: int = BLOCK_ROWS, rounded: bool = False, length: int = EPOCH) -> DataFrame:
+def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id", source_col: str = "source", seed: int = 17, block_rows: int = BLOCK_ROWS, length: int = EPOCH) -> DataFrame:
     """One row per row of docs: id, source, source_row, block, slot; the mix is in order of (slot, source_row).
 
     Rows of a source are ordered by a hash of seed and id and cut into blocks of block_rows. Halves of
     blocks are put into slots: epochs() settles how many of each source run in an epoch, scheduled() in
-    which order. At every slot a source is less than a block from its share by the weights, of its phase's
-    slots: less than one half at an epoch's ends, and less than one more in between.
+    which order. At every slot a source is less than a block from its place on the line that the weights
+    draw: less than one half at an epoch's ends, and less than one more in between.
 
     Each row is used once: when a source ends, its share goes to the others. Where no weights are given, a
-    source's is its number of rows to the power POWER; they are used as they are, or, with rounded, as
-    whole parts of PARTS, at least one. A source without a given weight has a PARTS-th of the others' sum.
+    source's is its number of rows to the power POWER; weights are used as they are. A source without a
+    given weight has a PARTS-th of the others' sum.
     A null source counts as ''; null and repeated ids are rows as any other, next to each other but where
     there are very many; an empty table gives no rows; other columns, of any name, are ignored.
 
     Rows are ranked in buckets of hashes, of about BUCKET_ROWS rows however many a source has. The driver
     has one number for each source, and for each source and epoch as long as it plans.
     """
-    found = _mixed(placed(docs.select(id_col, source_col), "located"), weights, id_col, source_col, seed, block_rows, rounded, length)
+    found = _mixed(placed(docs.select(id_col, source_col), "located"), weights, id_col, source_col, seed, block_rows, length)
     return found.select(F.col("id").alias(id_col), "source", "source_row", "block", "slot")
 
 
 def in_mixed_order(docs: DataFrame, rows_per_part: int = 6_000, weights: dict[str, float] | None = None, id_col: str = "doc_id", source_col: str = "source", seed: int = 17, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """All rows and columns of docs, whatever their names, dealt out and sorted in the mix's order."""
     whole = placed(docs, "located")
-    order = _mixed(whole, weights, id_col, source_col, seed, block_rows, False)
+    order = _mixed(whole, weights, id_col, source_col, seed, block_rows)
     order = written(order.select("file", "at", "slot", "source_row"), "mix")
     n = max(1, order.count() // rows_per_part)
     # merged at every size: a broadcast of the order would be bounded by nothing
@@ -183,44 +229,41 @@ def in_mixed_order(docs: DataFrame, rows_per_part: int = 6_000, weights: dict[st
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # OP3_SQL has the weights in whole parts
-    return mix_sources(load(spark, sf_dir, "documents"), rounded=True)
+    return mix_sources(load(spark, sf_dir, "documents"))
 
 
 _HALF = BLOCK_ROWS // 2
 _EACH = "range(1, len(t) + 1)"
-#: The same schedule from its definition: first the epochs one after another, then all epochs slot by slot. Lists have an
-#: entry for each source; a source that has ended has no weight.
+_ZEROS = "list_transform(t, lambda x: CAST(0 AS BIGINT))"
+#: The same schedule from its definition: weights as whole numbers (a double's times 2 ** 52), where each source ends, what all have at
+#: the ends of epochs, one after another, and then all epochs slot by slot. Lists have an entry for each source.
 OP3_SQL = f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, coalesce(source, '') AS source,
     row_number() OVER (PARTITION BY coalesce(source, '') ORDER BY md5('17|' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) - 1 AS source_row
   FROM documents),
-c AS (SELECT source, count(*) AS n, power(count(*), {POWER}) AS share FROM d GROUP BY source),
-p AS (SELECT list(source ORDER BY source) AS s, list((n + {_HALF - 1}) // {_HALF} ORDER BY source) AS t,
-    list(greatest(1, CAST(floor({PARTS} * share / (SELECT sum(share) FROM c) + 0.5) AS BIGINT)) ORDER BY source) AS q FROM c),
+c AS (SELECT source, CAST((count(*) + {_HALF - 1}) // {_HALF} AS HUGEINT) AS n, CAST(power(count(*), {POWER}) * 4503599627370496 AS HUGEINT) AS w FROM d GROUP BY source),
+o AS (SELECT a.source, a.n, a.w, CAST(sum(CASE WHEN b.n * a.w <= a.n * b.w THEN b.n ELSE 0 END) AS HUGEINT) AS before, CAST(sum(CASE WHEN b.n * a.w <= a.n * b.w THEN 0 ELSE b.w END) AS HUGEINT) AS beside FROM c a, c b GROUP BY ALL),
+p AS (SELECT list(source ORDER BY source) AS s, list(CAST(n AS BIGINT) ORDER BY source) AS t, list(w ORDER BY source) AS q FROM o),
+m AS (SELECT DISTINCT unnest([0, x // w, (x + w - 1) // w]) AS mark FROM (SELECT w, (before - n) * w + n * (beside + w) AS x FROM (
+  SELECT source, n, w, CAST(sum(CASE WHEN earlier THEN bn ELSE 0 END) AS HUGEINT) + n AS before, CAST(sum(CASE WHEN earlier THEN 0 ELSE bw END) AS HUGEINT) - w AS beside
+  FROM (SELECT a.source, a.n, a.w, b.n AS bn, b.w AS bw, b.n * a.w < a.n * b.w OR (b.n * a.w = a.n * b.w AND b.source < a.source) AS earlier FROM c a, c b) GROUP BY source, n, w))),
+g AS (SELECT row_number() OVER (ORDER BY begin) - 1 AS k, begin, least(begin + {EPOCH}, mark2) AS goal, least(begin + {EPOCH}, mark2) - begin AS nslots
+  FROM (SELECT mark2, unnest(range(CAST(mark AS BIGINT), CAST(mark2 AS BIGINT), {EPOCH})) AS begin FROM (SELECT mark, lead(mark) OVER (ORDER BY mark) AS mark2 FROM m) WHERE mark2 IS NOT NULL)),
+e AS (SELECT k, begin, CAST(goal AS HUGEINT) AS goal, CAST(nslots AS BIGINT) AS nslots, CAST(sum(CASE WHEN ended THEN n ELSE 0 END) AS HUGEINT) AS gone, CAST(sum(CASE WHEN ended THEN 0 ELSE w END) AS HUGEINT) AS rest, list(ended ORDER BY source) AS ended
+  FROM (SELECT *, before * w + n * beside <= goal * w AS ended FROM g, o) GROUP BY k, begin, goal, nslots),
 r AS (
-  SELECT CAST(-1 AS BIGINT) AS k, CAST(0 AS BIGINT) AS start, CAST(0 AS BIGINT) AS tp, CAST(0 AS BIGINT) AS nslots, list_transform(t, lambda x: CAST(0 AS BIGINT)) AS had, list_transform(t, lambda x: CAST(0 AS BIGINT)) AS base, q AS w,
-    list_transform(t, lambda x: CAST(0 AS BIGINT)) AS firsts, list_transform(t, lambda x: CAST(0 AS BIGINT)) AS shares, CAST(0 AS BIGINT) AS at_slot
-  FROM p
+  SELECT CAST(-1 AS BIGINT) AS k, CAST(0 AS BIGINT) AS begin, CAST(0 AS BIGINT) AS nslots, {_ZEROS} AS had, {_ZEROS} AS firsts, {_ZEROS} AS shares FROM p
   UNION ALL
-  SELECT k + 1, CASE WHEN ends THEN start + ln ELSE start END, CASE WHEN ends THEN 0 ELSE goal END, goal - tp,
-    CASE WHEN ends THEN list_transform(t, lambda x: CAST(0 AS BIGINT)) ELSE cur END,
-    CASE WHEN ends THEN list_transform({_EACH}, lambda i: base[i] + cur[i]) ELSE base END,
-    CASE WHEN ends THEN list_transform({_EACH}, lambda i: CASE WHEN base[i] + cur[i] < t[i] THEN w[i] ELSE 0 END) ELSE w END,
-    list_transform({_EACH}, lambda i: base[i] + had[i]), list_transform({_EACH}, lambda i: cur[i] - had[i]), start + tp
+  SELECT k, begin, nslots, cur, had, list_transform({_EACH}, lambda i: cur[i] - had[i])
   FROM (
     SELECT *, list_transform({_EACH}, lambda i: low[i] + CASE WHEN list_contains(chosen, i) THEN 1 ELSE 0 END) AS cur FROM (
-      SELECT *, list_transform(list_sort(list_transform(list_filter({_EACH}, lambda i: w[i] > 0 AND low[i] * total < w[i] * goal),
-          lambda i: [CAST(((low[i] + 1) * total + w[i] - 1) // w[i] AS BIGINT), CASE WHEN i = e THEN 0 ELSE 1 END, CAST(i AS BIGINT)]))[1:CAST(goal - list_sum(low) AS BIGINT)], lambda x: x[3]) AS chosen FROM (
-        SELECT *, list_transform({_EACH}, lambda i: CASE WHEN w[i] = 0 THEN CAST(0 AS BIGINT) WHEN ends AND i = e THEN t[i] - base[i] ELSE greatest(had[i], CAST(w[i] * goal // total AS BIGINT)) END) AS low FROM (
-          SELECT *, least(tp + {EPOCH}, ln) AS goal, least(tp + {EPOCH}, ln) = ln AS ends FROM (
-            SELECT *, CAST((t[e] - base[e]) * total // w[e] AS BIGINT) AS ln FROM (
-              SELECT r.k, r.start, r.tp, r.had, r.base, r.w, p.t, CAST(list_sum(r.w) AS BIGINT) AS total,
-                CAST(list_min(list_transform(list_filter({_EACH}, lambda i: r.w[i] > 0), lambda i: [(p.t[i] - r.base[i]) / r.w[i], CAST(i AS DOUBLE)]))[2] AS BIGINT) AS e
-              FROM r, p WHERE list_sum(r.w) > 0))))))),
+      SELECT *, list_transform(list_sort(list_transform(list_filter({_EACH}, lambda i: NOT ended[i] AND low[i] * rest < q[i] * (goal - gone)),
+          lambda i: [(low[i] + 1) * CAST('1237940039285380274899124224' AS HUGEINT) // q[i], CAST(i AS HUGEINT)]))[1:CAST(goal - list_sum(low) AS BIGINT)], lambda x: x[2]) AS chosen FROM (
+        SELECT e.*, r.had, p.t, p.q, list_transform(range(1, len(p.t) + 1), lambda i: CAST(CASE WHEN e.ended[i] THEN p.t[i] ELSE greatest(r.had[i], p.q[i] * (e.goal - e.gone) // e.rest) END AS BIGINT)) AS low
+        FROM r JOIN e ON e.k = r.k + 1, p)))),
 z AS (
-  SELECT at_slot, nslots, firsts, shares, CAST(0 AS BIGINT) AS slot, list_transform(shares, lambda x: CAST(0 AS BIGINT)) AS done, CAST(0 AS BIGINT) AS pick FROM r WHERE k >= 0
+  SELECT begin AS at_slot, nslots, firsts, shares, CAST(0 AS BIGINT) AS slot, list_transform(shares, lambda x: CAST(0 AS BIGINT)) AS done, CAST(0 AS BIGINT) AS pick FROM r WHERE k >= 0
   UNION ALL
   SELECT at_slot, nslots, firsts, shares, slot + 1, list_transform(range(1, len(done) + 1), lambda i: done[i] + CASE WHEN i = cur THEN 1 ELSE 0 END), cur FROM (
     SELECT *, list_min(list_transform(list_filter(range(1, len(done) + 1), lambda i: done[i] < shares[i] AND done[i] * nslots // nullif(shares[i], 0) <= slot),

@@ -1,7 +1,10 @@
 import hashlib
 import os
+import random
 import struct
+import time
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -178,26 +181,47 @@ def test_ranges_are_joined(monkeypatch):
 SOURCES = st.dictionaries(st.sampled_from("abcdefgh"), st.tuples(st.integers(0, 70), st.integers(1, 1000)), min_size=1)
 
 
+def on_the_line(units, parts, slots):
+    """Where each source is after so many slots, exactly: all run by their parts until they have no units left."""
+    place, left, at = dict.fromkeys(units, Fraction(0)), {s: Fraction(n) for s, n in units.items() if n}, Fraction(0)
+    while left and at < slots:
+        total = sum(parts[s] for s in left)
+        run = min(min(left[s] * total / parts[s] for s in left), slots - at)
+        for s in list(left):
+            step = run * parts[s] / total
+            place[s], left[s] = place[s] + step, left[s] - step
+            if not left[s]:
+                del left[s]
+        at += run
+    return place
+
+
 @given(SOURCES, st.integers(1, 40))
 @settings(max_examples=200, deadline=None)
-def test_epochs_keep_to_the_shares(sources, length):
+def test_epochs_keep_to_the_line(sources, length):
     units, parts = {s: n for s, (n, _) in sources.items()}, {s: w for s, (_, w) in sources.items()}
-    done, base, slot, phase = dict.fromkeys(units, 0), dict.fromkeys(units, 0), 0, 0
-    left = {s: n for s, n in units.items() if n}
+    done, slot = dict.fromkeys(units, 0), 0
     for at, n, shares in mixing.epochs(units, parts, length):
         assert at == slot and sum(k for _, _, k in shares) == n <= length
         for s, first, k in shares:
-            assert first == done[s]
+            assert first == done[s] and k > 0
             done[s] += k
         slot += n
-        total = sum(parts[s] for s in left)
-        assert all(abs((done[s] - base[s]) * total - parts[s] * (slot - phase)) < total for s in left)
-        if slot - phase == min(left[s] * total // parts[s] for s in left):  # a source ends
-            left = {s: units[s] - done[s] for s in left if done[s] < units[s]}
-            base, phase = dict(done), slot
+        line = on_the_line(units, parts, slot)
+        assert all(abs(done[s] - line[s]) < 1 for s in units)
     assert done == units
 
 
+def test_many_sources_are_planned_at_once():
+    rng = random.Random(7)
+    counts = {f"s{k}": 1 + int(rng.paretovariate(1)) % 20_000 for k in range(20_000)}
+    parts = mixing.exact_parts(counts, None)
+    began = time.process_time()
+    found = list(mixing.epochs({s: -(-n // 8) for s, n in counts.items()}, parts))
+    assert time.process_time() - began < 10
+    assert sum(n for _, n, _ in found) == sum(-(-n // 8) for n in counts.values())
+
+
 def test_schedules_are_pfair(spark):
     shares = [[("a", 5, 3), ("b", 0, 7), ("c", 2, 1)], [("a", 8, 1)], [("a", 0, 50), ("b", 0, 50), ("c", 9, 1), ("d", 0, 27)]]
     rows_, at = [], 0
@@ -231,8 +255,7 @@ def test_mix_keeps_to_the_weights_given(spark):
     done, total = dict.fromkeys(weights, 0), sum(weights.values())
     for t, s in enumerate(got[:10_000], 1):  # no source has ended by then
         done[s] += 1
-        if t % 4 == 0:
-            assert all(abs(done[x] - t * weights[x] / total) < 8 for x in weights)
+        assert all(abs(done[x] - t * weights[x] / total) < 8 for x in weights)
     assert len(got) == 12_000
 
 
