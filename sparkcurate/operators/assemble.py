@@ -33,9 +33,9 @@ def messages(user: Column, developer: Column, name: Column, args: Column, refusa
     return F.array(message("developer", developer, none), message("user", user, none), last)
 
 
-def positives(examples: DataFrame, skills: DataFrame) -> DataFrame:
-    """(text, name, args) of each example, with its skill's alias."""
-    return examples.join(skills.select(F.col("id").alias("skill_id"), "alias"), "skill_id").select("text", F.col("alias").alias("name"), "args")
+def positives(examples: DataFrame, skills: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(text, name, args, the columns in keep) of each example, with its skill's alias."""
+    return examples.join(skills.select(F.col("id").alias("skill_id"), "alias"), "skill_id").select("text", F.col("alias").alias("name"), "args", *keep)
 
 
 def dataset(pos: DataFrame, negatives: DataFrame, heldout: DataFrame, ratio: float, seed: int, split: float = 0.9) -> DataFrame:

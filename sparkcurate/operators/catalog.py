@@ -19,9 +19,9 @@ def eligible(df: DataFrame, flag: str = "router_eligible") -> DataFrame:
 
 
 def assign_alias(df: DataFrame, id_col: str = "id") -> DataFrame:
-    """alias: the id's last segment where no other id has it, else the whole id."""
+    """alias: the id's last segment where no other id has it, else the whole id; null for a null id."""
     counts = df.groupBy(last_segment(F.col(id_col)).alias("__seg")).agg(F.count(F.lit(1)).alias("__n"))
-    both = df.withColumn("__seg", last_segment(F.col(id_col))).join(counts, "__seg")
+    both = df.withColumn("__seg", last_segment(F.col(id_col))).join(counts, "__seg", "left")
     return both.withColumn("alias", F.when(F.col("__n") == 1, F.col("__seg")).otherwise(F.col(id_col))).drop("__seg", "__n")
 
 
@@ -35,12 +35,14 @@ def infer_params(examples: DataFrame, id_col: str = "skill_id") -> DataFrame:
 
     The list of required names is there only if there are any.
     """
+    from ..functions.jsontext import json_string
+
     keys = examples.select(id_col, "ex_ord", F.posexplode(F.map_keys("args")).alias("pos", "name"))
     first = keys.groupBy(id_col, "name").agg(F.min(F.struct("ex_ord", "pos")).alias("at"))
     listed = first.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "name"))), lambda x: x["name"]).alias("names"))
     every = examples.select(id_col).distinct().join(listed, id_col, "left")
     names = F.coalesce("names", F.array().cast("array<string>"))
-    quoted = F.transform(names, lambda n: F.concat(F.lit('"'), n, F.lit('"')))
+    quoted = F.transform(names, json_string)
     props = F.array_join(F.transform(quoted, lambda n: F.concat(n, F.lit(': {"type": "string"}'))), ", ")
     required = F.when(F.size(names) > 0, F.concat(F.lit(', "required": ['), F.array_join(quoted, ", "), F.lit("]"))).otherwise("")
     return every.select(id_col, names.alias("names"), F.concat(F.lit('{"type": "object", "properties": {'), props, F.lit("}"), required, F.lit("}")).alias("schema"))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import placeholders, substitute
+from .draws import drawn
 from .ordering import hash_order, keep_first, top_k
 
 
@@ -19,22 +22,24 @@ def int_slots(ranges: DataFrame) -> DataFrame:
     return values.select("slot", (F.col("v") - F.col("min")).alias("val_ord"), F.col("v").cast("string").alias("surface"), F.col("v").cast("string").alias("canonical"))
 
 
-def undefined_slots(frames: DataFrame, slots: DataFrame, id_cols: list[str]) -> DataFrame:
-    """(id columns, slot) of the placeholders that no bank defines."""
+def undefined_slots(frames: DataFrame, slots: DataFrame, id_cols: list[str], ranges: DataFrame | None = None) -> DataFrame:
+    """(id columns, slot) of the placeholders that neither a bank nor a range defines."""
     refs = frames.select(*id_cols, F.explode(placeholders(F.col("text"), F.col("args"))).alias("slot"))
-    return refs.join(slots.select("slot").distinct(), "slot", "left_anti").select(*id_cols, "slot")
+    known = slots.select("slot") if ranges is None else slots.select("slot").union(ranges.select("slot"))
+    return refs.join(known.distinct(), "slot", "left_anti").select(*id_cols, "slot")
 
 
-def check_slots(frames: DataFrame, slots: DataFrame, id_cols: list[str]) -> None:
-    missing = undefined_slots(frames, slots, id_cols).limit(20).collect()
+def check_slots(frames: DataFrame, slots: DataFrame, id_cols: list[str], ranges: DataFrame | None = None) -> None:
+    missing = undefined_slots(frames, slots, id_cols, ranges).limit(20).collect()
     if missing:
         raise BankError(f"undefined slots: {sorted({r['slot'] for r in missing})}")
 
 
-def expand_frames(frames: DataFrame, slots: DataFrame, seed: int, id_cols: list[str]) -> DataFrame:
+def expand_frames(frames: DataFrame, slots: DataFrame, seed: int, id_cols: list[str], ranges: DataFrame | None = None) -> DataFrame:
     """(id columns, i, text, args): frames with placeholders filled.
 
-    frames: id columns, text, args (map), cap. slots: slot, surface, canonical. Of each slot up to cap
+    frames: id columns, text, args (map), cap. slots: slot, surface, canonical. ranges: slot, min, max, of slots whose
+    values are whole numbers: up to cap of them are drawn, and the range isn't written out. Of each slot up to cap
     values are taken in hash order; a frame gives as many rows as its longest slot has values, and row
     i takes value i modulo the number of values of each slot, so slots wrap around and aren't crossed.
     Surfaces go into the text, canonical forms into arguments, in one pass. A frame without slots gives
@@ -48,6 +53,10 @@ def expand_frames(frames: DataFrame, slots: DataFrame, seed: int, id_cols: list[
     order = hash_order(seed, *id_cols, "slot", "canonical", "surface")
     w = Window.partitionBy(*id_cols, "slot").orderBy(order, "canonical", "surface")
     picks = picks.withColumn("rk", F.row_number().over(w) - 1).where(F.col("rk") < F.col("cap"))
+    if ranges is not None:
+        numbers = drawn(refs.join(ranges.select("slot", "min", "max"), "slot"), "min", "max", "cap", *id_cols, "slot", seed=seed)
+        text = F.col("drawn").cast("string")
+        picks = picks.unionByName(numbers.select(*id_cols, "cap", "wanted", "slot", F.col("rk").cast("int").alias("rk"), text.alias("surface"), text.alias("canonical")))
     listed = picks.groupBy(*id_cols, "slot", "wanted").agg(F.array_sort(F.collect_list(F.struct("rk", "surface", "canonical"))).alias("vals"))
     per_frame = listed.groupBy(*id_cols, "wanted").agg(F.map_from_entries(F.collect_list(F.struct("slot", "vals"))).alias("banks"), F.max(F.size("vals")).alias("depth"), F.count(F.lit(1)).alias("have"))
     rows = per_frame.where("have = wanted").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("depth") - 1)))
@@ -96,7 +105,8 @@ def heldout_dropped(pool: DataFrame, seen: DataFrame, heldout: DataFrame, group:
     place = F.struct("__o", *ids)
     taken = accept(pool, seen, heldout, group, seed, target, ids).withColumn("__o", order)
     last = taken.withColumn("__target", target).groupBy(group).agg(F.max(place).alias("__last"), F.count(F.lit(1)).alias("__n"), F.first("__target").alias("__target"))
-    both = marked.where("__held AND __seen IS NULL").join(last, group, "left")
+    # a target of 0 is reached before any row is looked at
+    both = marked.where("__held AND __seen IS NULL").where(F.coalesce(target > 0, F.lit(True))).join(last, group, "left")
     open_ = F.coalesce((F.col("__n") < F.col("__target")) | (place <= F.col("__last")), F.lit(True))
     return both.groupBy(group).agg(F.count_if(open_).alias("eval_dropped"))
 
@@ -118,11 +128,27 @@ def template_cross(templates: DataFrame, entities: DataFrame, mark: str = "{}")
         return entities.limit(0).select("*", *(F.lit(None).cast(f.dataType).alias(f.name) for f in templates.schema), F.lit("").alias("text"))
     listed = F.array(*(F.struct(*(F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in templates.schema)) for r in rows))
     each = entities.withColumn("__t", F.explode(listed)).select(*entities.columns, "__t.*")
-    text = F.col("template")
-    for c in entities.columns:
-        value = F.coalesce(F.col(c).cast("string"), F.lit(""))
-        text = F.replace(F.replace(text, F.lit(mark), value) if c == "entity" else text, F.lit(f"{{{c}}}"), value)
-    return each.withColumn("text", text)
+    values = [(f"{{{c}}}", F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in entities.columns]
+    values += [(mark, value) for name, value in values if name == "{entity}"]
+    return each.withColumn("text", filled(F.col("template"), values))
+
+
+def filled(template: Column, values: list[tuple[str, Column]]) -> Column:
+    """template with each mark as its value, in one pass: marks within values stay as they are. Longer marks go before shorter ones at the same place."""
+    if not values:
+        return template
+    cut = "\x00"
+    marks = sorted((m for m, _ in values), key=len, reverse=True)
+    parts = F.split(F.regexp_replace(template, "|".join(map(re.escape, marks)), f"{cut}$0{cut}"), cut)
+
+    def one(part: Column) -> Column:
+        out = part
+        for mark, value in values:
+            out = F.when(part == mark, value).otherwise(out)
+        return out
+
+    # every second part is a mark; others may look like one only where the template has the cut's character
+    return F.array_join(F.transform(parts, lambda p, k: F.when(k % 2 == 1, one(p)).otherwise(p)), "")
 
 
 def locale_pool(pool: DataFrame, locale: str, fallback: str = "en", column: str = "locale") -> DataFrame:

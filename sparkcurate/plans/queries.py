@@ -91,15 +91,21 @@ JUDGED = f"""{DOCS}, c AS (SELECT source, doc_id, {tidy_sql('text')} AS text, {k
     u AS (SELECT * FROM c WHERE text <> '' AND key <> '' QUALIFY row_number() OVER (PARTITION BY source, key ORDER BY doc_id) = 1),
     j AS (SELECT source, doc_id, key, CASE
         WHEN len(list_intersect(list_filter(string_split_regex(regexp_replace(lower(translate(text, '''’', '  ')), '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g'), '{SPACE}'), lambda w: w <> ''), ['is', 'un'])) = 2 THEN 'keyword'
-        WHEN key IN (SELECT key FROM d WHERE doc_id % 7 = 0) THEN 'eval' WHEN key IN (SELECT key FROM d WHERE doc_id % 7 = 1) THEN 'corpus' ELSE 'kept' END AS verdict FROM u),
+        WHEN key IN (SELECT key FROM d WHERE doc_id % 7 = 0) OR nkey IN (SELECT key FROM d WHERE doc_id % 7 = 0) THEN 'eval' WHEN key IN (SELECT key FROM d WHERE doc_id % 7 = 1) OR nkey IN (SELECT key FROM d WHERE doc_id % 7 = 1) THEN 'corpus' ELSE 'kept' END AS verdict
+        FROM (SELECT *, {key_sql("regexp_replace(text, ' [^ ]*$', '')")} AS nkey FROM u)),
     w AS (SELECT *, coalesce(sum(CASE WHEN verdict = 'kept' THEN 1 ELSE 0 END) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM j)"""
 
 
+#: A normal form that differs from the text: without the last word.
+def NORMAL(x: Column) -> Column:  # noqa: N802
+    return F.regexp_replace(x, " [^ ]*$", "")
+
+
 def judged(spark, sf):
     docs = docs_key(spark, sf)
     cands = docs.where("doc_id % 7 > 1").select("source", "doc_id", "text")
     hit = text.keyword_hit(F.col("text"), all_of=[list(HIT_WORDS)])
-    return cands, decontam.judged(cands, docs.where("doc_id % 7 = 0"), docs.where("doc_id % 7 = 1"), hit, F.col("text"), "source", "doc_id")
+    return cands, decontam.judged(cands, docs.where("doc_id % 7 = 0"), docs.where("doc_id % 7 = 1"), hit, NORMAL(F.col("text")), "source", "doc_id")
 
 
 @query("filter_candidates", f"WITH {JUDGED} SELECT source, doc_id, key FROM w WHERE verdict = 'kept' AND before < 20")
@@ -180,9 +186,10 @@ def _(spark, sf):
     return expand.expand_frames(f, slots(spark, sf), 11, ["frame_id"]).select("frame_id", "i", "text", F.col("args")["a"].alias("arg"))
 
 
-@query("int_slot_expand", "SELECT slot, CAST(v - lo AS BIGINT) AS val_ord, CAST(v AS VARCHAR) AS surface FROM (VALUES ('HOUR', 0, 23), ('PCT', 5, 100)) r(slot, lo, hi), range(0, 200) t(v) WHERE v BETWEEN lo AND hi")
+@query("int_slot_expand", "SELECT n_name AS slot, CAST(v - n_regionkey AS BIGINT) AS val_ord, CAST(v AS VARCHAR) AS surface FROM nation, range(0, 200) t(v) WHERE v BETWEEN n_regionkey AND n_regionkey + n_nationkey")
 def _(spark, sf):
-    return expand.int_slots(inline(spark, ["('HOUR', 0L, 23L)", "('PCT', 5L, 100L)"], "slot, min, max")).select("slot", "val_ord", "surface")
+    lo = F.col("n_regionkey").cast("long")
+    return expand.int_slots(table(spark, sf, "nation").select(F.col("n_name").alias("slot"), lo.alias("min"), (lo + F.col("n_nationkey")).alias("max"))).select("slot", "val_ord", "surface")
 
 
 @query(
@@ -210,11 +217,14 @@ def _(spark, sf):
 
 @query(
     "placeholder_refs",
-    f"""WITH {FRAMES_SQL}, r AS (SELECT frame_id, list_concat(regexp_extract_all(text, '{_P}', 1), regexp_extract_all(arg, '{_P}', 1)) AS l FROM frames)
-    SELECT frame_id, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ',') AS refs FROM r""",
+    """WITH f AS (SELECT p_partkey, '{BRAND} of {' || p_type || '} or {' || upper(replace(p_name, ' ', '_')) || '}, {small}, {BRAND}' AS text, '{A' || p_size || '} {BRAND}' AS arg FROM part),
+    r AS (SELECT p_partkey, list_concat(regexp_extract_all(text, 'PATTERN', 1), regexp_extract_all(arg, 'PATTERN', 1)) AS l FROM f)
+    SELECT p_partkey, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), ',') AS refs FROM r""".replace("PATTERN", _P),
 )
 def _(spark, sf):
-    return frames(spark).select("frame_id", F.array_join(text.placeholders(F.col("text"), F.col("args")), ",").alias("refs"))
+    name = F.upper(F.replace("p_name", F.lit(" "), F.lit("_")))
+    texts = table(spark, sf, "part").select("p_partkey", F.concat(F.lit("{BRAND} of {"), "p_type", F.lit("} or {"), name, F.lit("}, {small}, {BRAND}")).alias("text"), F.create_map(F.lit("a"), F.concat(F.lit("{A"), F.col("p_size").cast("string"), F.lit("} {BRAND}"))).alias("args"))
+    return texts.select("p_partkey", F.array_join(text.placeholders(F.col("text"), F.col("args")), ",").alias("refs"))
 
 
 @query("undefined_slots", f"WITH {EXPAND_SQL} SELECT DISTINCT frame_id, slot FROM refs WHERE slot NOT IN (SELECT slot FROM slots WHERE slot <> 'BRAND')")
@@ -367,15 +377,18 @@ def _(spark, sf):
 
 @query(
     "assemble_samples",
-    """SELECT conv_id, CASE WHEN conv_id % 2 = 0 THEN 3 ELSE 3 END AS n_messages, text AS user_text, CASE WHEN conv_id % 2 = 0 THEN 'tool' || (conv_id % 5) END AS call_name,
-      CASE WHEN conv_id % 2 = 1 THEN 'no' END AS refusal FROM conversations WHERE role = 'user' QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) = 1""",
+    """SELECT conv_id, 3 AS n_messages, 'developer,user,assistant' AS roles, 'rules of ' || conv_id AS developer, text AS user_text, CASE WHEN conv_id % 2 = 0 THEN 'tool' || (conv_id % 5) END AS call_name,
+      CASE WHEN conv_id % 2 = 0 THEN '{"a":"' || conv_id || '","b":"x"}' END AS arguments, CASE WHEN conv_id % 2 = 1 THEN 'no' END AS refusal FROM conversations WHERE role = 'user' QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) = 1""",
 )
 def _(spark, sf):
     first = assemble.first_user_turn(table(spark, sf, "conversations"))
+    own = F.col("conv_id").cast("string")
     name = F.when(F.col("conv_id") % 2 == 0, F.concat(F.lit("tool"), (F.col("conv_id") % 5).cast("string")))
-    m = assemble.messages(F.col("text"), F.lit("rules"), name, F.create_map(F.lit("a"), F.lit("b")), F.lit("no"))
+    m = assemble.messages(F.col("text"), F.concat(F.lit("rules of "), own), name, F.create_map(F.lit("a"), own, F.lit("b"), F.lit("x")), F.lit("no"))
     rows = first.select("conv_id", m.alias("m"))
-    return rows.select("conv_id", F.size("m").alias("n_messages"), F.col("m")[1]["content"].alias("user_text"), F.col("m")[2]["tool_calls"][0]["function"]["name"].alias("call_name"), F.col("m")[2]["content"].alias("refusal"))
+    call = F.col("m")[2]["tool_calls"][0]["function"]
+    roles = F.array_join(F.transform("m", lambda x: x["role"]), ",")
+    return rows.select("conv_id", F.size("m").alias("n_messages"), roles.alias("roles"), F.col("m")[0]["content"].alias("developer"), F.col("m")[1]["content"].alias("user_text"), call["name"].alias("call_name"), F.to_json(call["arguments"]).alias("arguments"), F.col("m")[2]["content"].alias("refusal"))
 
 
 CALLS_SQL = """c AS (SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'nothing to do' ELSE 'ok <start_function_call>call:' || event_type || CASE WHEN event_id % 7 = 0 THEN '_x' ELSE '' END || '{a:1}' END AS raw FROM events),

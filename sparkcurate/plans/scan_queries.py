@@ -94,16 +94,15 @@ def _(spark, sf):
 
 @query(
     "eval_file",
-    f"""WITH {CASES}, o AS (SELECT utterance, expect, min(conv_id * 100 + turn) AS ord FROM (SELECT c.*, conv_id, turn FROM c POSITIONAL JOIN conversations) GROUP BY utterance, expect)
-    SELECT CASE WHEN upper(expect) = 'NONE' THEN 1 ELSE 0 END AS part, '{{"utterance":' || to_json(utterance) || ',"expect":' || to_json(expect) || '}}' AS value FROM o UNION ALL SELECT -1, '// made by hand'""",
+    f"""WITH {CASES}, o AS (SELECT utterance, expect, min(conv_id * 100 + turn) AS ord FROM (SELECT c.*, conv_id, turn FROM c POSITIONAL JOIN conversations) GROUP BY utterance, expect),
+    l AS (SELECT CASE WHEN upper(expect) = 'NONE' THEN 1 ELSE 0 END AS part, expect, ord, '{{"utterance":' || to_json(utterance) || ',"expect":' || to_json(expect) || '}}' AS value FROM o UNION ALL SELECT -1, '', k, ['// made by hand', '// keep the order'][k + 1] FROM range(0, 2) t(k))
+    SELECT CAST(row_number() OVER (ORDER BY part, expect, ord, value) AS INTEGER) AS line, value FROM l""",
 )
 def _(spark, sf):
     turns = table(spark, sf, "conversations")
     label = F.when(F.col("role") == "system", F.when(F.col("turn") % 2 == 0, "NONE").otherwise("none")).otherwise(F.col("role"))
     cases = turns.groupBy(F.col("text").alias("utterance"), label.alias("expect")).agg(F.min(F.col("conv_id") * 100 + F.col("turn")).alias("ord"))
-    lines = sinks.eval_lines(cases, ["made by hand"])
-    part = F.when(F.startswith("value", F.lit("// ")), -1).when(F.upper(F.get_json_object("value", "$.expect")) == "NONE", 1).otherwise(0)
-    return lines.select(part.alias("part"), "value")
+    return sinks.numbered_eval_lines(cases, ["made by hand", "keep the order"])
 
 
 # Logs of verdicts: a line for each event, the threshold's stated twice.

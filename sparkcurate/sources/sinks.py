@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,11 +23,16 @@ def write_sample_lines(df: DataFrame, order: list[str], path: str) -> None:
 
 
 def eval_lines(cases: DataFrame, header: list[str]) -> DataFrame:
-    """(value), in order: comments, then each skill's cases in order of its id, NONE last; an evaluation file is small."""
+    """(value), in order: comments, then each skill's cases in order of its id, NONE last."""
+    return numbered_eval_lines(cases, header).orderBy("line").select("value")
+
+
+def numbered_eval_lines(cases: DataFrame, header: list[str]) -> DataFrame:
+    """(line, value): eval_lines() with their numbers, from 1; an evaluation file is small, and one task numbers it."""
     comments = cases.sparkSession.range(1).select(F.posexplode(F.array(*(F.lit(f"// {h}") for h in header))).alias("k", "value"))
     own = cases.select((F.upper("expect") == "NONE").alias("none"), F.col("expect").alias("skill"), F.col("ord").cast("long").alias("k"), F.to_json(F.struct("utterance", "expect")).alias("value"))
     both = comments.select(F.lit(-1).alias("part"), F.lit("").alias("skill"), F.col("k").cast("long").alias("k"), "value").unionByName(own.select(F.col("none").cast("int").alias("part"), "skill", "k", "value"))
-    return both.orderBy("part", "skill", "k").select("value")
+    return both.select(F.row_number().over(Window.orderBy("part", "skill", "k", "value")).alias("line"), "value")
 
 
 def write_eval(cases: DataFrame, header: list[str], path: str) -> None:

@@ -85,7 +85,7 @@ def bank_texts(frame_rows: DataFrame, example_rows: DataFrame) -> DataFrame:
 
 def cases_of(lines: DataFrame) -> DataFrame:
     """(file, utterance, expect) of JSON lines (file, value); blank lines and // comments are passed over, bad ones are errors."""
-    lines = lines.select("file", F.trim("value").alias("line")).where("line <> ''").where(~F.startswith("line", F.lit("//")))
+    lines = lines.select("file", F.regexp_replace("value", r"(?U)^\s+|\s+$", "").alias("line")).where("line <> ''").where(~F.startswith("line", F.lit("//")))
     return lines.select("file", F.from_json("line", "utterance string, expect string", {"mode": "FAILFAST"}).alias("c")).select("file", "c.utterance", "c.expect")
 
 
