@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import ctypes
 import gc
 import json
@@ -39,12 +40,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table._written_at = path
-    if _scopes:
-        _scopes[-1].append(table)
+    made = _made.get()
+    if made is not None:
+        made.append(table)
     return table
 
 
-_scopes: list[list[DataFrame]] = []
+#: The tables of the innermost scratch() of this thread, so that operators that run side by side leave each other's alone.
+_made: contextvars.ContextVar[list[DataFrame] | None] = contextvars.ContextVar("made", default=None)
 
 
 @contextlib.contextmanager
@@ -54,11 +57,11 @@ def scratch():
     Just a result that has been written down itself may outlive them; frames are read later.
     """
     made: list[DataFrame] = []
-    _scopes.append(made)
+    outer = _made.set(made)
     try:
         yield made
     finally:
-        _scopes.pop()
+        _made.reset(outer)
 
 
 def forget(*tables: DataFrame) -> None:

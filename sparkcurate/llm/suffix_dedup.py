@@ -21,8 +21,10 @@ from .ngram_join import _A, _B, _C, _mix, _parts, powers
 from .shared import bounded_batches, forget, hot_rows, join_groups, kept, load, placed, scratch, written
 
 WINDOW, GRAM = 100, 32
-#: An anchor with more different runs than this has its windows compared one by one, spread over all tasks.
-MANY = 2_000
+#: An anchor with more different runs than this is cut into groups by further bytes; such a group of more than PIECES parts, into windows.
+MANY, PIECES = 2_000, 500
+#: Runs that repeat in a piece of text are remembered by a task, so many, for what comes after; more just meet later.
+REMEMBERED = 100_000
 #: Bytes of the texts that suffixes are sorted in; a group of runs isn't split.
 SORTED_BYTES = 1 << 16
 #: Up to so many ids of documents with spans are broadcast; beyond that all texts are shuffled to their spans.
@@ -187,10 +189,14 @@ def _batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
 
 
 def anchor_runs(texts: DataFrame) -> DataFrame:
-    """All runs; of equal ones that a task sees together all but the first are marked as repeats and spread by document."""
+    """All runs; equal ones of a task are combined: those that a smaller one is known of are marked as repeats and spread by document.
+
+    So what many documents share gives about a row a task of its anchor, and not one a document.
+    """
 
     def run(batches):
         kept("suffixes", None)
+        seen: dict[tuple[int, int], tuple[int, int, int]] = {}
         for batch in batches:
             for part in _parts(batch, "__text", CHUNK):
                 owner, s, n, k, context, rel = runs_of(part.column("__text").to_pylist())
@@ -200,6 +206,15 @@ def anchor_runs(texts: DataFrame) -> DataFrame:
                 order = np.lexsort((s, u, doc, what, k))
                 s, k, what, doc, u = (x[order] for x in (s, k, what, doc, u))
                 again = np.concatenate([np.zeros(min(1, len(k)), bool), (k[1:] == k[:-1]) & (what[1:] == what[:-1])])
+                first = np.flatnonzero(~again)
+                many = np.diff(np.append(first, len(k))) > 1
+                places = zip(doc[first].tolist(), u[first].tolist(), s[first].tolist(), strict=True)
+                for at, key, place, several in zip(first.tolist(), zip(k[first].tolist(), what[first].tolist(), strict=True), places, many.tolist(), strict=True):
+                    known = seen.get(key)
+                    if known is not None and known < place:
+                        again[at] = True
+                    elif known is not None or several and len(seen) < REMEMBERED:
+                        seen[key] = place
                 yield _batch(RUNS_SCHEMA, np.where(again, doc * 31 + s, k), np.where(again, what + np.int64(-(1 << 63)), what), doc, u, s)
 
     return texts.mapInArrow(run, RUNS)
@@ -297,23 +312,26 @@ def bodies(texts: DataFrame, spans: DataFrame) -> DataFrame:
 CORE = 12
 
 
-def shared_parts(group: list[tuple]) -> list[tuple]:
-    """Parts (doc, u, s, n, body) of an anchor's runs (doc, u, s, n, rel, body) that may have equals in another one.
+def cores(n: int, rel: int, body: bytes) -> Iterator[tuple[tuple[int, bytes], int, int]]:
+    """((block, bytes), first window, last window) of a run's windows, by blocks of CORE places of their start relative to the anchor.
 
-    All windows that start at certain CORE places relative to the anchor have the bytes in common that
-    lie in the first and the last of them; where no other run has those bytes there, they have no equals.
+    All windows of a block have the bytes in common that lie in the first and the last of them; so equal
+    windows are in blocks with the same bytes.
     """
+    # windows start rel, rel - 1, ... rel - n + 1 places before the anchor
+    for block in range((rel - n + 1) // CORE, rel // CORE + 1):
+        far, near = block * CORE + CORE - 1, block * CORE  # places before the anchor, of the first and the last
+        yield (block, body[rel - near : rel - far + WINDOW]), max(0, rel - far), min(n - 1, rel - near)
+
+
+def shared_parts(group: list[tuple]) -> list[tuple]:
+    """Parts (doc, u, s, n, body) of an anchor's runs (doc, u, s, n, rel, body) that may have equals in another one: those whose cores another run has too."""
     seen: dict[tuple, int] = {}
     pieces = []
     for doc, u, s, n, rel, body in group:
-        # windows start rel, rel - 1, ... rel - n + 1 places before the anchor
-        own = []
-        for block in range((rel - n + 1) // CORE, rel // CORE + 1):
-            far, near = block * CORE + CORE - 1, block * CORE  # places before the anchor, of the first and the last
-            first, last = max(0, rel - far), min(n - 1, rel - near)
-            key = (block, body[rel - near : rel - far + WINDOW])
+        own = list(cores(n, rel, body))
+        for key, _, _ in own:
             seen[key] = seen.get(key, 0) + 1
-            own.append((key, first, last))
         pieces.append((doc, u, s, body, own))
     out = []
     for doc, u, s, body, own in pieces:
@@ -360,8 +378,10 @@ def later_windows(rows: list[tuple]) -> list[tuple[int, int, int]]:
 
 
 def compared(runs: DataFrame, parts: int) -> DataFrame:
-    """(doc, u, s, n): windows of the runs of an anchor that equal an earlier one's."""
-    dealt = runs.repartition(parts, "k").sortWithinPartitions("k", "doc", "u", "s")
+    """(doc, u, s, n): windows of the runs of an anchor that equal an earlier one's. Runs without rel are parts that have a core in common already."""
+    whole = "rel" in runs.columns
+    names = ["k", "doc", "u", "s", "n", *(["rel"] if whole else []), "body"]
+    dealt = runs.select(*names).repartition(parts, "k").sortWithinPartitions("k", "doc", "u", "s")
     schema = pa.schema([("doc", pa.int64()), ("u", pa.int64()), ("s", pa.int64()), ("n", pa.int32())])
 
     def run(batches):
@@ -370,9 +390,9 @@ def compared(runs: DataFrame, parts: int) -> DataFrame:
         size = 0
         last = None
         for batch in batches:
-            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("k", "doc", "u", "s", "n", "rel", "body")), strict=True):
+            for k, *row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
                 if k != last:
-                    group = shared_parts(group)
+                    group = shared_parts(group) if whole else group
                     ready += group
                     size += sum(len(x[4]) for x in group)
                     if size > SORTED_BYTES:
@@ -380,11 +400,48 @@ def compared(runs: DataFrame, parts: int) -> DataFrame:
                         ready, size = [], 0
                     group, last = [], k
                 group.append(row)
-        ready += shared_parts(group)
+        ready += shared_parts(group) if whole else group
         if ready:
             yield _batch(schema, *_joined(later_windows(ready)))
 
-    return dealt.select("k", "doc", "u", "s", "n", "rel", "body").mapInArrow(run, "doc long, u long, s long, n int")
+    return dealt.mapInArrow(run, "doc long, u long, s long, n int")
+
+
+def spread(runs: DataFrame, parts: int) -> DataFrame:
+    """As compared(), for anchors with more than MANY runs.
+
+    Runs are cut into parts by their cores, and parts with the same core are a group, as the runs of a
+    smaller anchor are, which the suffix array sorts. Where more than PIECES parts have one core, their
+    windows differ in a few places at their ends alone, and are compared one by one.
+    """
+    import struct
+
+    schema = pa.schema([("k", pa.int64()), ("doc", pa.int64()), ("u", pa.int64()), ("s", pa.int64()), ("n", pa.int32()), ("body", pa.binary())])
+
+    def cut(batches):
+        import hashlib
+
+        for batch in batches:
+            rows = []
+            for k, doc, u, s, n, rel, body in zip(*(batch.column(c).to_pylist() for c in ("k", "doc", "u", "s", "n", "rel", "body")), strict=True):
+                for (block, core), first, last in cores(n, rel, body):
+                    name = hashlib.blake2b(core, digest_size=8, key=struct.pack("<qi", k, block)).digest()
+                    rows.append((struct.unpack("<q", name)[0], doc, u, s + first, last - first + 1, body[first : last + WINDOW]))
+                if len(rows) > 4_096:
+                    yield _batch(schema, *zip(*rows, strict=True))
+                    rows = []
+            if rows:
+                yield _batch(schema, *zip(*rows, strict=True))
+
+    pieces = written(runs.select("k", "doc", "u", "s", "n", "rel", "body").mapInArrow(cut, "k long, doc long, u long, s long, n int, body binary"), "pieces")
+    counts = written(pieces.groupBy(F.col("k").alias("key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "cores")
+    keyed = pieces.withColumnsRenamed({"k": "key", "n": "windows"})
+    several = join_groups(keyed, counts, counts.count(), hot_rows(pieces.count()), "inner", by=("doc", "u", "s"))
+    several = written(several.select(F.col("key").alias("k"), "doc", "u", "s", F.col("windows").alias("n"), "body", (F.col("n") > PIECES).alias("many")), "several")
+    found = written(compared(several.where("NOT many").drop("many"), parts), "compared")
+    if several.where("many").take(1):
+        found = found.unionByName(spread_windows(several.where("many")))
+    return found
 
 
 def _joined(keys: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -395,7 +452,7 @@ def _joined(keys: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def spread_windows(runs: DataFrame) -> DataFrame:
-    """As compared(), for anchors with more than MANY runs: equal windows meet by their bytes, first ones are found by an aggregate.
+    """As compared(), for groups of any size: equal windows meet by their bytes, first ones are found by an aggregate.
 
     The aggregate combines before the shuffle, and a window's later places are spread over tasks.
     """
@@ -445,7 +502,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         runs = written(bodies(texts, open_runs), "runs")
         found = spans.where(F.col("kind") == REPEAT).select("doc", "u", "s", "n").unionByName(written(compared(runs.where(F.col("kind") == COMPARE), parts), "compared"))
         if runs.where(F.col("kind") == SPREAD).take(1):
-            found = found.unionByName(spread_windows(runs.where(F.col("kind") == SPREAD)))
+            found = found.unionByName(spread(runs.where(F.col("kind") == SPREAD), parts))
         both, lists = with_lists(texts, found, ["s", "n"], rest=True)
     forget(*(t for t in made if t is not lists))
     schema = f"{id_col} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text

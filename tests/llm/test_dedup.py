@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import sys
+import threading
 
 import numpy as np
 import pytest
@@ -351,6 +352,52 @@ def test_repeats_of_a_very_common_passage(spark):
     assert got == brute_repeats(rows)
 
 
+def test_common_runs_are_combined_before_the_shuffle(spark, monkeypatch):
+    """A run in every document gives its anchor's task a row or so of each task, and not of each piece of text or document."""
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 2_000)
+    rng = random.Random(3)
+    passage = "".join(rng.choices("abcdefgh", k=240))
+    rows = [(k, "".join(rng.choices("ijklmnop", k=150)) + passage + "".join(rng.choices("ijklmnop", k=150))) for k in range(400)]
+    texts = docs(spark, rows).repartition(2).selectExpr("doc_id doc", "0L u", "CAST(text AS BINARY) __text")
+    shared_rows = [r["count"] for r in suffix_dedup.anchor_runs(texts).where("what >= 0").groupBy("k", "what").count().where("count > 1").collect()]
+    assert shared_rows and max(shared_rows) < 40
+
+
+@pytest.mark.parametrize("pieces", [100_000, 500])
+def test_large_anchors_are_sorted(spark, monkeypatch, pieces):
+    """Anchors beyond MANY go through the suffix array, by cores, and what has one core too often by its windows."""
+    monkeypatch.setattr(suffix_dedup, "PIECES", pieces)
+    calls = []
+    windows = suffix_dedup.spread_windows
+    monkeypatch.setattr(suffix_dedup, "spread_windows", lambda df: calls.append(df.count()) or windows(df))
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrst"
+    passage = "".join(rng.choices(letters, k=125))
+    rows = [(k, "".join(rng.choices(letters, k=20)) + passage + "".join(rng.choices(letters, k=20))) for k in range(suffix_dedup.MANY + 100)]
+    assert sorted((str(r[0]), *r[1:]) for r in suffix_dedup.remove_repeats(docs(spark, rows)).collect()) == brute_repeats(rows)
+    assert bool(calls) == (pieces == 500)
+
+
+def test_scopes_of_threads(spark):
+    """What another thread writes meanwhile isn't forgotten with the own tables."""
+    made, other = [], []
+
+    def elsewhere():
+        other.append(shared.written(spark.range(3), "other"))
+
+    with shared.scratch() as made:
+        mine = shared.written(spark.range(2), "mine")
+        thread = threading.Thread(target=elsewhere)
+        thread.start()
+        thread.join()
+        with shared.scratch() as inner:
+            deep = shared.written(spark.range(1), "deep")
+        assert inner == [deep]
+    assert made == [mine]
+    shared.forget(*made)
+    assert other[0].count() == 3
+
+
 @pytest.mark.parametrize("groups", [100_000, 0])
 def test_repeated_windows_spread(spark, monkeypatch, groups):
     monkeypatch.setattr(shared, "BROADCAST_GROUPS", groups)
