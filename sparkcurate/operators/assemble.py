@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.jsontext import json_string
 from ..functions.text import loose_key
 from .decontam import drop_keys, heldout_guard
+from .expand import filled
 from .ordering import keep_first_id, sample_n, split_ratio, top_k
 
 #: At fewer positives than this the target of negatives is fixed.
@@ -100,3 +102,23 @@ def bullet_list(texts: DataFrame, group: str, order: str, n: int, text: str = "t
     first = top_k(texts.select(group, order, text), [group], [order], n)
     lines = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t"))))
     return first.groupBy(group).agg(F.array_join(F.transform(lines, lambda x: F.concat(F.lit("- "), x["t"])), "\n").alias("block"))
+
+
+def authoring_prompts(skills: DataFrame, examples: DataFrame, avoid: DataFrame, template: str, want: int, first_examples: int = 20, first_avoid: int = 150) -> DataFrame:
+    """(skill_id, prompt): for each skill a request to write want texts, from a template with the marks <SPEC>, <AVOID> and <N>.
+
+    skills: skill_id, description, parameters (a JSON text). SPEC is a JSON object of these and of the first examples' texts; AVOID lists
+    the first texts that exist already as lines with a dash. examples and avoid: skill_id, ord, text. Only so many texts of a skill
+    are gathered, limited before the shuffle. Marks within values stay as they are.
+    """
+    own = top_k(examples.select("skill_id", "ord", "text"), ["skill_id"], ["ord", "text"], first_examples)
+    listed = own.groupBy("skill_id").agg(F.array_sort(F.collect_list(F.struct("ord", "text"))).alias("l"))
+    known = top_k(avoid.select("skill_id", "ord", "text"), ["skill_id"], ["ord", "text"], first_avoid)
+    known = known.groupBy("skill_id").agg(F.array_sort(F.collect_list(F.struct("ord", "text"))).alias("a"))
+    both = skills.join(listed, "skill_id", "left").join(known, "skill_id", "left")
+    none = F.array().cast("array<string>")
+    texts = F.coalesce(F.transform("l", lambda x: json_string(x["text"])), none)
+    parts = [F.lit('{"id": '), json_string(F.col("skill_id")), F.lit(', "description": '), json_string(F.coalesce("description", F.lit(""))), F.lit(', "parameters": '), F.coalesce("parameters", F.lit("{}"))]
+    spec = F.concat(*parts, F.lit(', "example_requests": ['), F.array_join(texts, ", "), F.lit("]}"))
+    block = F.array_join(F.coalesce(F.transform("a", lambda x: F.concat(F.lit("- "), x["text"])), none), "\n")
+    return both.select("skill_id", filled(F.lit(template), [("<SPEC>", spec), ("<AVOID>", block), ("<N>", F.lit(str(want)))]).alias("prompt"))

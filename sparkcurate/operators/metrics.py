@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import first_call
+from ..functions.text import first_call, percent
 
 
 def fires(floor: Column | float) -> Column:
@@ -158,7 +158,37 @@ def max_width(df: DataFrame, name: str) -> DataFrame:
 
 def report(metrics: DataFrame, label: str) -> DataFrame:
     """A line of text for each row of gate metrics; what fired is told of all positives."""
-    from ..functions.text import percent
-
     line = F.concat(F.lit(f"{label}: precision "), percent(F.col("precision")), F.lit(", abstention "), percent(F.col("abstention")), F.lit(", recall "), percent(F.col("recall")))
     return metrics.select(F.concat(line, F.format_string(", %d of %d fired", "fired", "pos_total")).alias("line"))
+
+
+def share(part: Column, whole: Column) -> Column:
+    """'part/whole', whole numbers."""
+    return F.format_string("%d/%d", part, whole)
+
+
+def floor_report(metrics: DataFrame, label: str, floor: Column) -> DataFrame:
+    """(line): a line of text for each row of gate metrics at a floor, with the counts behind each rate."""
+    abstention = F.concat(F.lit("abstention "), share(F.col("abst_pass"), F.col("abst_total")), F.lit(" ("), percent(F.col("abstention")), F.lit(")"))
+    precision = F.concat(F.lit("precision "), share(F.col("correct"), F.col("fired")), F.lit(" fired ("), percent(F.col("precision")), F.lit(")"))
+    recall = F.concat(F.lit("recall "), share(F.col("correct"), F.col("pos_total")), F.lit(" ("), percent(F.col("recall")), F.lit(")"))
+    return metrics.select(F.concat(F.format_string(f"{label.replace('%', '%%')} @ %.4f: ", floor), F.concat_ws(", ", abstention, precision, recall)).alias("line"))
+
+
+def eval_report(runs: DataFrame, stratum: str, correct: str, elapsed: str, strata: list[str]) -> DataFrame:
+    """(k, line) of a summary: each of the strata in their order, all, and the time a run takes; a stratum without runs has no percentage.
+
+    One aggregate with partial sums of whole microseconds; a line each comes out of it.
+    """
+    counts = [(F.count_if(F.col(stratum) == x).alias(f"n{k}"), F.count_if((F.col(stratum) == x) & F.col(correct)).alias(f"c{k}")) for k, x in enumerate(strata)]
+    micros = F.coalesce(F.sum(F.bround(F.col(elapsed) * 1e6).cast("long")), F.lit(0))
+    row = runs.agg(*(c for pair in counts for c in pair), F.count(F.lit(1)).alias("n"), F.count_if(F.col(correct)).alias("c"), (micros / 1e6).alias("total"))
+
+    def line(name: str, part: str, whole: str) -> Column:
+        told = F.when(F.col(whole) > 0, F.concat(F.lit(" ("), percent(F.col(part) / F.col(whole)), F.lit(")"))).otherwise("")
+        return F.concat(F.lit(f"  {name:5s}: "), share(F.col(part), F.col(whole)), told)
+
+    lines = [line(x, f"c{k}", f"n{k}") for k, x in enumerate(strata)] + [line("total", "c", "n")]
+    mean = F.when(F.col("n") > 0, F.format_string("%.3f", F.col("total") / F.nullif(F.col("n"), F.lit(0)))).otherwise("-")
+    lines += [F.concat(F.lit("  Average inference time: "), mean, F.lit("s per query")), F.concat(F.lit("  Total time: "), F.format_string("%.1fs for %d queries", "total", "n"))]
+    return row.select(F.posexplode(F.array(*lines)).alias("k", "line"))

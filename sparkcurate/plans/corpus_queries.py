@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import build, content, draws, keywords, observed, oracle, quarantine, sessions
+from ..operators import assemble, build, content, draws, keywords, metrics, observed, oracle, quarantine, sessions
 from ..operators.lineage import checkpoint_folder, cut
 from ..streaming import live
-from .queries import SPACE, key_sql, query, table
+from .queries import RATES, SPACE, VERDICTS, key_sql, query, table, verdicts
 
 WORDS_SQL = rf"list_filter(string_split_regex(regexp_replace(lower(translate(text, '''’', '  ')), '[^\p{{L}}\p{{N}}_\s]', ' ', 'g'), '{SPACE}'), lambda w: w <> '')"
 
@@ -261,3 +261,46 @@ def _(spark, sf):
     path = f"{checkpoint_folder(spark).rstrip('/')}/dataset-{uuid.uuid4().hex}"
     observed.write_guarded(state.rows, path, state.guards)
     return spark.read.parquet(path).select("metadata", "text", "name", F.col("args")["who"].alias("who"), F.col("args")["r"].alias("r"))
+
+
+@query(
+    "floor_reports",
+    f"""WITH {VERDICTS}, m AS (SELECT source, count_if(upper(expect) <> 'NONE' AND pick IS NOT NULL AND conf >= -0.1) AS fired, count_if(upper(expect) <> 'NONE' AND pick = expect AND conf >= -0.1) AS correct,
+      count_if(upper(expect) = 'NONE' AND NOT (pick IS NOT NULL AND conf >= -0.1)) AS abst_pass, count_if(upper(expect) = 'NONE') AS abst_total, count_if(upper(expect) <> 'NONE') AS pos_total FROM v GROUP BY source), r AS (SELECT *, {RATES} FROM m)
+    SELECT 'all @ -0.1000: abstention ' || abst_pass || '/' || abst_total || ' (' || CAST(round_even(100.0 * abstention, 0) AS BIGINT) || '%), precision ' || correct || '/' || fired || ' fired (' || CAST(round_even(100.0 * precision, 0) AS BIGINT)
+      || '%), recall ' || correct || '/' || pos_total || ' (' || CAST(round_even(100.0 * recall, 0) AS BIGINT) || '%)' AS line FROM r""",
+)
+def _(spark, sf):
+    return metrics.floor_report(metrics.gate_metrics(verdicts(spark, sf), -0.1, ["source"]), "all", F.lit(-0.1))
+
+
+@query(
+    "eval_report",
+    """WITH r AS (SELECT event_type AS stratum, value < 40 AS correct, CAST(round_even(value / 100 * 1000000, 0) AS BIGINT) AS us FROM events),
+    s AS (SELECT k, name, count(stratum) AS n, count(*) FILTER (WHERE correct) AS c FROM (VALUES (0, 'click'), (1, 'view'), (2, 'never')) t(k, name) LEFT JOIN r ON stratum = name GROUP BY k, name
+      UNION ALL SELECT 3, 'total', count(*), count_if(correct) FROM r),
+    t AS (SELECT count(*) AS n, CAST(sum(us) AS DOUBLE) / 1e6 AS total FROM r)
+    SELECT k, '  ' || rpad(name, 5, ' ') || ': ' || c || '/' || n || CASE WHEN n > 0 THEN ' (' || CAST(round_even(100.0 * c / n, 0) AS BIGINT) || '%)' ELSE '' END AS line FROM s
+    UNION ALL SELECT 4, '  Average inference time: ' || printf('%.3f', total / n) || 's per query' FROM t UNION ALL SELECT 5, '  Total time: ' || printf('%.1f', total) || 's for ' || n || ' queries' FROM t""",
+)
+def _(spark, sf):
+    runs = table(spark, sf, "events").select("event_type", (F.col("value") < 40).alias("correct"), (F.col("value") / 100).alias("elapsed"))
+    return metrics.eval_report(runs, "event_type", "correct", "elapsed", ["click", "view", "never"])
+
+
+_TEMPLATE = "Write <N> texts for\n<SPEC>\n\nNone like these:\n<AVOID>"
+
+
+@query(
+    "authoring_prompts",
+    """WITH x AS (SELECT n_nationkey AS k, n_name FROM nation), e AS (SELECT c_nationkey AS k, c_custkey AS ord, 'find "' || c_name || '"' AS text FROM customer QUALIFY row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) <= 3),
+    a AS (SELECT s_nationkey AS k, s_suppkey AS ord, '<N> ' || s_name AS text FROM supplier QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) <= 4)
+    SELECT 'n' || k AS skill_id, 'Write 9 texts for' || chr(10) || '{"id": "n' || k || '", "description": ' || to_json(n_name) || ', "parameters": {}, "example_requests": [' || coalesce((SELECT string_agg(to_json(text), ', ' ORDER BY ord) FROM e WHERE e.k = x.k), '') || ']}'
+      || chr(10) || chr(10) || 'None like these:' || chr(10) || coalesce((SELECT string_agg('- ' || text, chr(10) ORDER BY ord) FROM a WHERE a.k = x.k), '') AS prompt FROM x""",
+)
+def _(spark, sf):
+    name = lambda c: F.concat(F.lit("n"), F.col(c).cast("string")).alias("skill_id")
+    skills = table(spark, sf, "nation").select(name("n_nationkey"), F.col("n_name").alias("description"), F.lit(None).cast("string").alias("parameters"))
+    examples = table(spark, sf, "customer").select(name("c_nationkey"), F.col("c_custkey").alias("ord"), F.concat(F.lit('find "'), "c_name", F.lit('"')).alias("text"))
+    avoid = table(spark, sf, "supplier").select(name("s_nationkey"), F.col("s_suppkey").alias("ord"), F.concat(F.lit("<N> "), "s_name").alias("text"))
+    return assemble.authoring_prompts(skills, examples, avoid, _TEMPLATE, 9, 3, 4)
