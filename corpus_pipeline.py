@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sparkcurate.llm import exact_dedup, mixing, ngram_join, quality_crf, sentencepiece_backend
-from sparkcurate.llm.shared import load, new_folder
+from sparkcurate.llm.shared import load, new_folder, remove
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +51,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents")
+    """The last stage's rows; each stage's table goes when the next one is written."""
+    docs, before = load(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = new_folder(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
