@@ -93,26 +93,11 @@ def add_stats(rounds: list[DataFrame], group: str) -> DataFrame:
 
 
 def sequential_sessions(df: DataFrame, groups: list[str], quota: int, group: str, order: str, key: str = "key") -> DataFrame:
-    """For each group in turn its first quota keys that no earlier group kept; what a full group passes over stays free for later ones.
+    """For each group in turn its first quota keys that no earlier group kept; what a full group passes over stays free for later ones."""
+    from .sessions import quotas, sessions
 
-    At most quota keys of each earlier group can be in the way of the k-th one, so its first k * quota
-    distinct keys decide; only those keys' digests, quota rows for each pair of groups, go to the driver.
-    """
-    turn = F.array_position(F.array(*map(F.lit, groups)), F.col(group))
-    heads = df.where(F.col(group).isin(groups)).select(group, order, key, digest(key).alias("__d"), turn.alias("__turn"))
-    heads = top_k(keep_first(heads, [group, "__d"], [order]), [group], [order], F.col("__turn") * quota)
-    taken: set = set()
-    places = []
-    last, left = None, 0
-    for row in heads.select("__turn", order, "__d").orderBy("__turn", order).collect():
-        if row["__turn"] != last:
-            last, left = row["__turn"], quota
-        if left and bytes(row["__d"]) not in taken:
-            taken.add(bytes(row["__d"]))
-            places.append((groups[last - 1], row[order]))
-            left -= 1
-    kept = df.sparkSession.createDataFrame(places, heads.select(group, order).schema)
-    return df.join(F.broadcast(kept), [group, order], "left_semi")
+    kept = sessions([df], quotas(df.sparkSession, groups, quota, group), group, order, key)
+    return df.join(kept.select(group, order), [group, order], "left_semi")
 
 
 def banned_elsewhere(df: DataFrame, banned: DataFrame, text: str, owner: str, allowed: str) -> DataFrame:

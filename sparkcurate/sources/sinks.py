@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.catalog import ledger_upsert
+from .text_files import ledger_of
+from .versions import change_version, publish_version
+
 
 def write_samples(df: DataFrame, path: str) -> None:
     """Samples as JSON lines, in a folder for each of train and eval, letters unescaped."""
@@ -39,8 +43,32 @@ def write_eval(cases: DataFrame, header: list[str], path: str) -> None:
     eval_lines(cases, header).coalesce(1).write.mode("overwrite").text(path)
 
 
-def write_ledger(ledger: DataFrame, path: str) -> None:
-    ledger.coalesce(1).write.mode("overwrite").json(path)
+def ledger_lines(ledger: DataFrame) -> DataFrame:
+    """(value): a ledger (skill_id, locale, sha256) as JSON, a map of each skill's locales, in order; each skill has a line."""
+    locales = F.map_from_entries(F.array_sort(F.collect_list(F.struct("locale", "sha256"))))
+    each = ledger.groupBy("skill_id").agg(locales.alias("l"))
+    return each.select("skill_id", F.to_json(F.create_map("skill_id", "l")).alias("value"))
+
+
+def write_ledger(ledger: DataFrame, root: str, began_from: int | None = None) -> int:
+    """The ledger as the next version of root, beside the one that it may be made from; its number."""
+    lines = ledger_lines(ledger).repartitionByRange(1, "skill_id").sortWithinPartitions("skill_id").select("value")
+    return publish_version(lines, root, began_from, "text")
+
+
+def change_ledger(spark: SparkSession, root: str, new: DataFrame, only: list[str] | None = None) -> int:
+    """ledger_upsert() of what is published in root, as its next version; made anew where another writer was first."""
+
+    def change(old: DataFrame | None) -> DataFrame:
+        known = new.limit(0) if old is None else ledger_of(old)
+        return ledger_lines(ledger_upsert(known, new, ["skill_id", "locale"], "sha256", only)).select("value")
+
+    return change_version(spark, root, change, form="text")
+
+
+def write_manifests(manifests: DataFrame, root: str, began_from: int | None = None) -> int:
+    """Manifests (group, version, ...) as the next version of root: a line of JSON each; readers see all of them or those before."""
+    return publish_version(manifests.select(F.to_json(F.struct("*")).alias("value")), root, began_from, "text")
 
 
 def draft_files(drafts: DataFrame, locale: str) -> DataFrame:

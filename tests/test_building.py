@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkcurate.functions.text import loose_key
-from sparkcurate.operators import assemble, build, content, observed, oracle, quarantine
-from sparkcurate.sources import versions, wav_stream
+from sparkcurate.operators import assemble, build, content, observed, oracle, publish, quarantine
+from sparkcurate.sources import sinks, text_files, versions, wav_stream
 
 
 def upper_or_wrong(extra):
@@ -113,6 +113,23 @@ def test_versions_are_whole(spark, tmp_path):
     assert [tuple(r) for r in versions.read_version(spark, root, 1).collect()] == [("a", 1)]
 
 
+def test_ledgers_and_manifests(spark, tmp_path):
+    root = f"{tmp_path}/ledger"
+    table = lambda rows: spark.createDataFrame(rows, "skill_id string, locale string, sha256 string")
+    assert sinks.change_ledger(spark, root, table([("a", "en", "1"), ("a", "it", "2"), ("b", "en", "3")])) == 1
+    assert sinks.change_ledger(spark, root, table([("a", "en", "9"), ("c", "en", "4")])) == 2
+    back = text_files.ledger_of(versions.read_version(spark, root, form="text"))
+    assert sorted(tuple(r) for r in back.collect()) == [("a", "en", "9"), ("a", "it", "2"), ("b", "en", "3"), ("c", "en", "4")]
+    assert sinks.write_ledger(back.where("skill_id <> 'c'"), root) == 3
+    with pytest.raises(versions.PublishConflict):
+        sinks.write_ledger(back, root, 2)
+    files = spark.createDataFrame([("m", "f", "u", "s", 1)], "tag string, name string, url string, sha256 string, size_bytes long")
+    made = publish.manifest(files, "tag", F.lit("2026-01-02 03:04:05").cast("timestamp"))
+    assert sinks.write_manifests(made, f"{tmp_path}/manifests") == 1
+    line = versions.read_version(spark, f"{tmp_path}/manifests", form="text").select(F.lit("m").alias("tag"), "value")
+    assert publish.existing_manifest(line).first().files[0].sha256 == "s"
+
+
 def test_two_writers(spark, tmp_path):
     root = f"{tmp_path}/ledger"
     df = spark.createDataFrame([(1,)], "v int")
