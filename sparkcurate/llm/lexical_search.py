@@ -98,8 +98,9 @@ def _long_counts(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def profiles(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, terms, counts) of each row: all its terms with repeats, the distinct ones' hashes (8 bytes each), how often each occurs (4)."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
+    """(id, h, n, terms, counts) of each row: a hash of id and text, all its terms with repeats, the distinct ones' hashes (8 bytes each), how often each occurs (4)."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).withColumn("h", F.xxhash64("id", "text"))
 
     def run(batches):
         kept("lexical", None)
@@ -111,16 +112,16 @@ def profiles(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     found = term_counts(texts[at : k + 1])
                     yield pa.RecordBatch.from_arrays(
                         [
-                            batch.column("id").slice(at, k + 1 - at),
+                            *(batch.column(c).slice(at, k + 1 - at) for c in ("id", "h")),
                             pa.array([int(c.sum()) for _, c in found], pa.int64()),
                             pa.array([x.tobytes() for x, _ in found], pa.binary()),
                             pa.array([c.astype(np.uint32).tobytes() for _, c in found], pa.binary()),
                         ],
-                        ["id", "n", "terms", "counts"],
+                        ["id", "h", "n", "terms", "counts"],
                     )
                     at, size = k + 1, 0
 
-    return rows.mapInArrow(run, "id long, n long, terms binary, counts binary")
+    return rows.mapInArrow(run, "id long, h long, n long, terms binary, counts binary")
 
 
 def swapped_halves(sizes: np.ndarray, terms: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
@@ -274,20 +275,20 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    profile = written(profiles(docs, id_col, text_col), "terms")
-    totals = profile.agg(F.count_if(F.col("n") > 0).alias("docs"), F.sum("n").alias("length"), F.sum(F.octet_length("terms") / 8).alias("postings")).first()
+    profile = profiles(docs, id_col, text_col)
+    # texts are cut into terms twice, so that these needn't be stored: first for totals and the sample
+    part = min(1.0, FIT_DOCS / max(1, docs.count()))
+    drawn = F.when(F.pmod(F.xxhash64("h", F.lit(3)), F.lit(1 << 30)) < int(part * (1 << 30)), F.substring("terms", 1, 8 * FIT_TERMS))
+    known = written(profile.where("n > 0").select("n", (F.octet_length("terms") / 8).alias("postings"), drawn.alias("drawn")), "sizes")
+    totals = known.agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("length"), F.sum("postings").alias("postings")).first()
     corpus, length, postings = totals["docs"], int(totals["length"] or 0), int(totals["postings"] or 0)
-    full = profile.where("n > 0")
-    part = min(1.0, FIT_DOCS / max(1, corpus))
-    sample = full.where(F.rand(3) < part) if part < 1 else full
-    sample = sample.select(F.substring("terms", 1, 8 * FIT_TERMS).alias("terms")).collect()
+    sample = known.where("drawn IS NOT NULL").select(F.col("drawn").alias("terms")).limit(2 * FIT_DOCS).collect()
     routes = fitted_routes([np.frombuffer(r["terms"], np.uint64) for r in sample])
     groups = max(corpus / GROUP, postings / (MOST_POSTINGS // 2))
     pieces = np.maximum(1, np.ceil(routes.shares * groups)).astype(np.int64)
     before = np.cumsum(pieces) - pieces
     all_routes = spark.sparkContext.broadcast(routes)
-    place = full.metadataColumn("_metadata")
-    placed = full.select("id", "n", "terms", "counts", F.xxhash64(place["file_path"], place["row_index"]).alias("h"))
+    placed = profile.where("n > 0")
 
     def routed(batches):
         found = all_routes.value
@@ -317,7 +318,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     dealt = placed.mapInArrow(routed, "grp long, h long, id long, n long, terms binary, counts binary")
     dealt = dealt.repartition(max(1, min(20_000, int(pieces.sum()))), "grp").sortWithinPartitions("grp", "h", "id")
     shards = written(dealt.mapInArrow(cut, _SHARD), "shards")
-    forget(profile)
+    forget(known)
     return Index(shards, corpus, length)
 
 
