@@ -24,7 +24,7 @@ WINDOW, GRAM = 100, 32
 #: An anchor with more different runs than this is cut into groups by further bytes; such a group of more than PIECES parts, into windows.
 MANY, PIECES = 2_000, 500
 #: Runs that repeat in a piece of text are remembered by a task, so many, for what comes after; more just meet later.
-REMEMBERED = 100_000
+REMEMBERED = 20_000
 #: Bytes of the texts that suffixes are sorted in; a group of runs isn't split.
 SORTED_BYTES = 1 << 16
 #: Up to so many ids of documents with spans are broadcast; beyond that all texts are shuffled to their spans.
