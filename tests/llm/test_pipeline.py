@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sparkcurate.llm import mixing, queries
+from sparkcurate.llm import lexical_search, mixing, queries
 from sparkcurate.llm.shared import load
 
+from .test_media_and_mix import on_the_line
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -63,15 +65,19 @@ def test_mix_keeps_to_its_weights(stages):
     counts = {}
     for r in rows:
         counts[r.source] = counts.get(r.source, 0) + 1
-    parts = mixing.exact_parts(counts, None)
-    total, done, seen = sum(parts.values()), dict.fromkeys(counts, 0), 0
+    half = mixing.BLOCK_ROWS // 2
+    units, parts = {x: -(-n // half) for x, n in counts.items()}, mixing.exact_parts(counts, None)
+    rows_of, done, slot, now = dict.fromkeys(counts, 0), dict.fromkeys(counts, 0), 0, None
     for r in rows:
-        if any(done[s] == counts[s] for s in counts):
-            break  # from here on the line bends
-        seen += 1
-        done[r.source] += 1
-        assert all(abs(done[s] - seen * parts[s] / total) < mixing.BLOCK_ROWS for s in counts)
-    assert seen > 10 * mixing.BLOCK_ROWS
+        unit = (r.source, rows_of[r.source] // half)
+        rows_of[r.source] += 1
+        if unit != now:  # a slot begins, and the one before is over
+            if now:
+                done[now[0]] += 1
+            line = on_the_line(units, parts, slot)
+            assert all(abs(done[x] - line[x]) < 2 for x in counts)  # less than two halves
+            slot, now = slot + 1, unit
+    assert rows_of == counts and slot == sum(units.values())
 
 
 def test_encode_is_lossless(stages):
@@ -103,6 +109,11 @@ def clashing(spark, folder, empty=False):
     docs.write.parquet(f"{folder}/documents.parquet")
     load(spark, SF, "labels").withColumn("order", F.lit(1)).withColumn("text", F.lit("x")).write.parquet(f"{folder}/labels.parquet")
     load(spark, SF, "pages").withColumn("digest", F.lit(1)).withColumn("_metadata", F.lit("m")).withColumn("key", F.lit("k")).write.parquet(f"{folder}/pages.parquet")
+    vectors = load(spark, SF, "embeddings").limit(0 if empty else 500)
+    for c in ("x", "v", "id", "ids", "leaves", "tree", "component", "rank", "query_id", "n", "score"):
+        vectors = vectors.withColumn(c, F.lit("own"))
+    vectors.write.parquet(f"{folder}/embeddings.parquet")
+    load(spark, SF, "benchmark").withColumn("id", F.lit("own")).withColumn("terms", F.lit("own")).withColumn("h", F.lit("own")).write.parquet(f"{folder}/benchmark.parquet")
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
@@ -124,7 +135,15 @@ def test_stages_keep_columns_of_any_name(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(queries.queries()))
 def test_operators_ignore_columns_of_any_name(spark, tmp_path, name):
     clashing(spark, tmp_path)
-    assert queries.queries()[name](spark, str(tmp_path)).count() == load(spark, str(tmp_path), "pages" if name == "op1_warc" else "documents").count()
+    table = lambda t: load(spark, str(tmp_path), t)
+    expected = {
+        "op1_warc": lambda: table("pages").count(),
+        "op11_whitening": lambda: 16 * table("embeddings").count(),
+        "op12_forest_search": lambda: 5 * table("embeddings").where("vec_id % 50 = 0").count(),
+        "op13_lexical_search": lambda: lexical_search.search(lexical_search.build_index(table("documents").select("doc_id", "text")), table("benchmark").select("item_id", "text")).count(),
+    }
+    n = expected.get(name, lambda: table("documents").count())()
+    assert n > 0 and queries.queries()[name](spark, str(tmp_path)).count() == n
 
 
 def test_an_empty_table_goes_through(spark, tmp_path):
