@@ -52,6 +52,24 @@ def test_rule_table(spark, monkeypatch, most):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_rule_totals_and_plain_patterns(spark):
+    """Patterns that are words take no regular expression each, and totals are made where hits are found."""
+    rows = ["C'è w1, e_2 w1!", "xw1 w12", None, "", "E_2 w1\u0301 né", "w1 w7 w12 w3"] * 3
+    rules = [(k, "pattern", None, f"w{k}") for k in range(120)] + [(200, "pattern", None, "e_2"), (201, "pattern", None, "né"), (202, "pattern", None, "w[13]"), (203, "pattern", None, "w1")]
+    rules += [(300, "all", ["w1", "W7"], None), (301, "all", ["w7", "w1", "w1"], None), (302, "all", ["w1", None], None), (303, "anywhere", None, "w1"), (304, "anywhere", None, "w1")]
+    table = spark.createDataFrame(rules, RULES)
+    expected = {}
+    for k, rule in brute_hits(rows, [(r, kind, bag, part) for r, kind, bag, part in rules if r != 302]):
+        if rows[k] and "\u0301" in rows[k] and rule in (1, 202, 203):
+            continue  # Java takes the mark as a part of the word
+        expected.setdefault(k, []).append(rule)
+    found = keywords.rule_hits(texts(spark, rows), table)
+    assert sorted(map(tuple, found.collect())) == sorted((k, r) for k, rs in expected.items() for r in rs)
+    totals = {r.id: (r.hits, r.first_rule, r.rules) for r in keywords.hit_totals(texts(spark, rows).repartition(3), table).collect()}
+    assert totals == {k: (len(rs), min(rs), sum(rs)) for k, rs in expected.items()}
+    assert found._jdf.queryExecution().executedPlan().toString().count("RLIKE") == 1
+
+
 def test_bad_rules(spark):
     for bad in ([(1, "all", [], None)], [(1, "all", None, None)], [(1, "anywhere", None, "")], [(1, "some", ["a"], "a")], [(1, None, ["a"], "a")]):
         with pytest.raises(keywords.RuleError):
