@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -37,9 +37,14 @@ def variant_diff(transcripts: DataFrame, base: str) -> DataFrame:
     return others.where(~F.col("transcript").eqNullSafe(F.col("__base"))).select("model", "clip", "variant", "transcript")
 
 
+def two_places(value: Column) -> Column:
+    """value to two places: 100 times it to a whole number, halves away from 0, as round() of DuckDB; F.round goes by the digits that are printed, so that 44.825 less its last bit becomes 44.82."""
+    return F.round(value * 100, 0) / 100
+
+
 def cpu_cost(samples: DataFrame, group: str) -> DataFrame:
     """(group, label, pct) per window: used seconds of the elapsed ones in percent, to two places; windows in which the process changed have none."""
-    pct = F.round(F.col("ticks") / F.col("clk_tck") / F.nullif(F.col("elapsed"), F.lit(0)) * 100, 2)
+    pct = two_places(F.col("ticks") / F.col("clk_tck") / F.nullif(F.col("elapsed"), F.lit(0)) * 100)
     return samples.select(group, "label", F.when(F.col("pid_before").eqNullSafe(F.col("pid_after")), pct).alias("pct"))
 
 
@@ -47,4 +52,4 @@ def cpu_delta(samples: DataFrame, group: str, first: str, second: str) -> DataFr
     """(group, pct_first, pct_second, delta): what the first window, with the feature on, used more than the second; the difference of the rounded values."""
     cost = cpu_cost(samples, group)
     wide = cost.groupBy(group).agg(F.max(F.when(F.col("label") == first, F.col("pct"))).alias("pct_first"), F.max(F.when(F.col("label") == second, F.col("pct"))).alias("pct_second"))
-    return wide.withColumn("delta", F.round(F.col("pct_first") - F.col("pct_second"), 2))
+    return wide.withColumn("delta", two_places(F.col("pct_first") - F.col("pct_second")))

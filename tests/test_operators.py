@@ -1,3 +1,6 @@
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -226,6 +229,27 @@ def test_ab(spark):
     assert got == {"x": (2.06, 3.33, -1.27), "y": (None, None, None)}
 
 
+def test_cpu_rounds_as_sql_and_adds_in_order(spark, tmp_path):
+    near = spark.createDataFrame([("x", "a", 1, 1, 1793, 40, 100), ("x", "b", 1, 1, 0, 40, 100)], "g string, label string, pid_before long, pid_after long, ticks long, elapsed long, clk_tck long")
+    assert tuple(ab.cpu_delta(near, "g", "a", "b").first()) == ("x", 44.83, 0.0, 44.83)
+    from sparkcurate.plans.queries import QUERIES
+
+    rng, rows = random.Random(3), []
+    for user in range(60):
+        cents = [rng.randrange(1, 20_000) for _ in range(60)]
+        cents[-2:] = [c + 100 - sum(cents[k::2]) % 100 for k, c in enumerate(cents[-2:])]  # both halves add up to whole numbers
+        rows += [(user * 60 + k, user, c / 100) for k, c in enumerate(cents)]
+    expected = {}
+    for event, user, value in rows:
+        total, n = expected.get((user, event % 2), (0.0, 0))
+        expected[user, event % 2] = (total + value, n + 1)
+    expected = {u: tuple(math.floor(math.floor(expected[u, half][0]) / 100 / expected[u, half][1] * 100 * 100 + 0.5) / 100 for half in (0, 1)) for u in range(60)}
+    rng.shuffle(rows)
+    spark.createDataFrame(rows, "event_id long, user_id long, value double").repartition(7).write.parquet(str(tmp_path / "events.parquet"))
+    got = {r.user_id: (r.pct_first, r.pct_second) for r in QUERIES["cpu_cost"](spark, str(tmp_path)).collect()}
+    assert got == expected
+
+
 def test_dataset(spark):
     pos = spark.sql("SELECT concat('text ', id) AS text, 'tool' AS name, map('a', 'b') AS args, id AS ord FROM range(60)")
     neg = spark.sql("SELECT concat('neg ', id % 90) AS text, id AS ord FROM range(200)")
