@@ -27,20 +27,23 @@ def render_schema(text: Column) -> Column:
     and booleans as they are, no white space. Null and malformed texts give null; an object that
     repeats a key counts as malformed.
 
-    Each token is written by itself; a string is a key just where a colon follows.
+    Each token is written by itself; a string is a key just where a colon follows. The tokens are bound to a name once, as
+    they would be cut anew for each token otherwise, and only strings with escapes are parsed.
     """
-    tokens = F.regexp_extract_all(text, F.lit(TOKEN), 1)
 
-    def written(token: Column, k: Column) -> Column:
-        plain = F.get_json_object(F.concat(F.lit("["), token, F.lit("]")), "$[0]")
-        real = token.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$") & token.rlike("[.eE]")
+    def written(tokens: Column, token: Column, k: Column) -> Column:
+        parsed = F.get_json_object(F.concat(F.lit("["), token, F.lit("]")), "$[0]")
+        plain = F.when(F.contains(token, F.lit("\\")), parsed).otherwise(F.substring(token, F.lit(2), F.length(token) - 2))
+        real = token.rlike("[.eE]") & token.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$")
         return (
             F.when(~F.startswith(token, F.lit('"')), F.when(token == "null", f"{QUOTE}NULL{QUOTE}").when(real, token.cast("double").cast("string")).otherwise(token))
             .when(F.coalesce(F.get(tokens, k + 1) == ":", F.lit(False)), plain)
             .otherwise(F.concat(F.lit(QUOTE), F.upper(plain), F.lit(QUOTE)))
         )
 
-    return F.when(F.try_parse_json(text).isNotNull(), F.array_join(F.transform(tokens, written), ""))
+    once = F.array(F.regexp_extract_all(text, F.lit(TOKEN), 1))
+    rendered = F.transform(once, lambda tokens: F.array_join(F.transform(tokens, lambda token, k: written(tokens, token, k)), ""))
+    return F.when(F.try_parse_json(text).isNotNull(), rendered[0])
 
 
 @F.pandas_udf(StringType())
@@ -51,9 +54,11 @@ def canonical_json(text: pd.Series) -> pd.Series:
     Python, by Arrow batches.
     """
 
+    written = json.JSONEncoder(sort_keys=True, ensure_ascii=False).encode
+
     def one(t: str | None) -> str | None:
         try:
-            return None if t is None else json.dumps(json.loads(t), sort_keys=True, ensure_ascii=False)
+            return None if t is None else written(json.loads(t))
         except ValueError:
             return None
 

@@ -107,6 +107,15 @@ def test_rendered_schema(spark, value, expected):
     assert one(spark, jsontext.render_schema, value) == expected
 
 
+def test_render_schema_cuts_tokens_once(spark):
+    """Of a long text the tokens aren't cut anew for each of them; escapes, empty strings and keys with marks come out as before."""
+    df = spark.createDataFrame([(r'{"a\"b": ["", "x\u00e9\n", "\\", 1e5, -0.50, false, null], "é:,": {"": "ß"}}',)], "t string").select(jsontext.render_schema(F.col("t")).alias("r"))
+    assert df.first().r == '{a"b:[<escape><escape>,<escape>XÉ\n<escape>,<escape>\\<escape>,100000.0,-0.5,false,<escape>NULL<escape>],é:,:{:<escape>SS<escape>}}'
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    long = spark.range(1).select(F.to_json(F.struct(F.sequence(F.lit(0), F.lit(20_000)).alias("n"))).alias("t"))
+    assert long.select(jsontext.render_schema(F.col("t")).alias("r")).first().r == "{n:[" + ",".join(map(str, range(20_001))) + "]}"
+
+
 def test_json_texts(spark):
     assert one(spark, jsontext.canonical_json, '{"b":1,"a":{"d":"é","c":2}}') == '{"a": {"c": 2, "d": "é"}, "b": 1}'
     assert one(spark, jsontext.canonical_json, "{") is None
