@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions.jsontext import json_string
 from ..functions.text import loose_key
-from .decontam import drop_keys, heldout_guard
+from .decontam import digest, drop_keys, heldout_collisions, heldout_guard
 from .expand import filled
-from .ordering import keep_first_id, sample_n, split_ratio, top_k
+from .lineage import cut
+from .ordering import before_or_after, first_n, hash_order, keep_first_id, last_of_share, split_ratio, top_k
 
 #: At fewer positives than this the target of negatives is fixed.
 SMALL, SMALL_TARGET = 50, 250
@@ -48,13 +49,26 @@ def dataset(pos: DataFrame, negatives: DataFrame, heldout: DataFrame, ratio: flo
     the same text. Positives aren't made distinct. The split hashes name, ordinal and text, so that it is
     the same on any number of partitions.
     """
-    pos = heldout_guard(pos.withColumn("key", loose_key(F.col("text"))), heldout)
+    def keys(rows: DataFrame, text: Column) -> DataFrame:
+        return rows.withColumn("__key", F.unhex(F.sha2(text, 256)))
+
+    held = keys(heldout, F.col("key")).select("__key").distinct()
+    if heldout_collisions(keys(pos, loose_key(F.col("text"))).select("__key"), held, "__key").limit(1).collect():
+        heldout_guard(pos.withColumn("key", loose_key(F.col("text"))), heldout)
     n = pos.agg(negative_target(F.count(F.lit(1)), ratio)).first()[0]
-    pool = distinct_texts(drop_keys(negatives.withColumn("key", loose_key(F.col("text"))), heldout))
-    picked = sample_n(pool, n, seed, "text")
+    # texts stay behind until rows are chosen; till then their digests go, with the hashes of both orders
+    hashed = negatives.select("text", digest("text").alias("__d"), hash_order(seed, "text").alias("__in"), hash_order(seed, F.lit(-1), "text").alias("__order"))
+    pool = drop_keys(keys(hashed, loose_key(F.col("text"))), held, "__key").select("__d", "__in", "__order").distinct()
+    picked = first_n(cut(pool), n, F.col("__in"), "__d").select("__d", "__order")
+    chosen = negatives.select("text", digest("text").alias("__d")).join(picked, "__d").dropDuplicates(["__d"])
     none = F.lit(None)
-    every = pos.select("text", "name", "args", F.col("ord").cast("long").alias("__id")).unionByName(picked.select("text", none.cast("string").alias("name"), none.cast("map<string,string>").alias("args"), F.lit(-1).cast("long").alias("__id")))
-    return split_ratio(every, split, seed, "name", "__id", "text").drop("__id")
+    own = pos.select("text", "name", "args", F.col("ord").cast("long").alias("__id"))
+    own = own.withColumn("__order", hash_order(seed, "name", "__id", "text"))
+    every = own.unionByName(chosen.select("text", none.cast("string").alias("name"), none.cast("map<string,string>").alias("args"), F.lit(-1).cast("long").alias("__id"), "__order"))
+    last = last_of_share(own.select("__order").unionByName(picked.select("__order")), split)
+    if last is None:  # the bound lies between rows of one hash
+        return split_ratio(every.drop("__order"), split, seed, "name", "__id", "text").drop("__id")
+    return every.select(before_or_after(F.col("__order"), last).alias("metadata"), "text", "name", "args")
 
 
 def distinct_texts(df: DataFrame, text: str = "text", order: str = "ord") -> DataFrame:

@@ -159,7 +159,7 @@ def sample_and_split(s: State) -> State:
     pos = positives(s.examples.withColumn("__id", F.concat_ws("|", "skill_id", "part", "ord")), s.skills, keep=("__id",))
     pos = cut(pos)  # so that the banks are read once
     n = pos.agg(negative_target(F.count(F.lit(1)), s.plan.ratio)).first()[0]
-    pool = distinct_texts(s.negatives.withColumn("__o", F.struct("part", "ord")), "text", "__o")
+    pool = cut(distinct_texts(s.negatives.withColumn("__o", F.struct("part", "ord")), "text", "__o"))  # the sample goes through it up to three times
     picked = sample_n(pool, n, s.plan.seed, "text")
     none = F.lit(None)
     every = pos.select("text", "name", "args", "__id").unionByName(picked.select("text", none.cast("string").alias("name"), none.cast("map<string,string>").alias("args"), F.lit("-").alias("__id")))

@@ -41,15 +41,24 @@ SMALL_SAMPLE = 10_000
 
 
 def sample_n(df: DataFrame, n: int, seed: int, *ids: str, small: int = SMALL_SAMPLE) -> DataFrame:
-    """n rows without replacement, or all where there are fewer: the first in hash order.
+    """n rows without replacement, or all where there are fewer: the first in hash order."""
+    return first_n(df, n, hash_order(seed, *ids), *ids, small=small)
 
-    A large sample takes whole the 65,536 buckets of hashes below the one in which the n-th row lies,
-    and only that bucket's rows are sorted.
+
+def _bucket(order: Column) -> Column:
+    """One of 65,536 by the first digits of a hexadecimal hash."""
+    return F.conv(F.substring(order, 1, 4), 16, 10).cast("int")
+
+
+def first_n(df: DataFrame, n: int, order: Column, *ids: str, small: int = SMALL_SAMPLE) -> DataFrame:
+    """The first n rows by (order, ids), or all where there are fewer; order is a hexadecimal hash.
+
+    A large sample takes whole the buckets of hashes below the one in which the n-th row lies,
+    and only that bucket's rows are sorted. So df is made up to three times.
     """
-    order = hash_order(seed, *ids)
     if n <= small:
         return df.orderBy(order, *ids).limit(n)
-    bucket = F.conv(F.substring(order, 1, 4), 16, 10).cast("int")
+    bucket = _bucket(order)
     before, last = 0, None
     for row in df.groupBy(bucket.alias("b")).count().orderBy("b").toLocalIterator():
         if before + row["count"] > n:
@@ -72,8 +81,35 @@ def global_rank(df: DataFrame, order: Column, ids: list[str], rows: int, per_buc
     return ranked.join(before, "__bucket").withColumn("__rank", F.col("__in") + F.col("__before")).drop("__bucket", "__in", "__before", "__order")
 
 
+def last_of_share(orders: DataFrame, share: float, order: str = "__order") -> str | None:
+    """The hexadecimal hash up to which the first floor(rows * share) rows lie, '' where that is no row; None where rows after them have it, too.
+
+    Rows are counted in buckets of hashes, and of the one in which the last row lies by their hashes.
+    """
+    counts = sorted(map(tuple, orders.groupBy(_bucket(F.col(order)).alias("b")).count().collect()))
+    left = int(sum(n for _, n in counts) * share)
+    if not left:
+        return ""
+    for bucket, n in counts:
+        if left <= n:
+            break
+        left -= n
+    for row in orders.where(_bucket(F.col(order)) == bucket).groupBy(order).count().orderBy(order).toLocalIterator():
+        left -= row["count"]
+        if left <= 0:
+            return row[order] if left == 0 else None
+
+
+def before_or_after(order: Column, last: str) -> Column:
+    return F.when(order <= last, "train").otherwise("eval")
+
+
 def split_ratio(df: DataFrame, ratio: float, seed: int, *ids: str) -> DataFrame:
-    """metadata = train for the first floor(rows * ratio) in hash order, eval for the rest."""
+    """metadata = train for the first floor(rows * ratio) in hash order, eval for the rest. Only hashes are shuffled, unless the bound lies between rows of one hash."""
+    order = hash_order(seed, *ids)
+    last = last_of_share(df.select(order.alias("__order")), ratio)
+    if last is not None:
+        return df.withColumn("metadata", before_or_after(order, last))
     rows = df.count()
-    ranked = global_rank(df, hash_order(seed, *ids), list(ids), rows)
+    ranked = global_rank(df, order, list(ids), rows)
     return ranked.withColumn("metadata", F.when(F.col("__rank") <= int(rows * ratio), "train").otherwise("eval")).drop("__rank")

@@ -1,5 +1,7 @@
+import hashlib
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -264,6 +266,24 @@ def test_dataset(spark):
     assert sum(r.m.content == "sorry" for r in last) == 60 and sum(r.m.tool_calls is not None for r in last) == 60
 
 
+def test_dataset_shuffles_no_texts_to_choose_and_split(spark):
+    """Only the join that fetches chosen texts deals texts out; equal hashes at the split's bound are ranked one by one."""
+    pos = spark.sql("SELECT concat('text ', id) AS text, 'tool' AS name, map('a', 'b') AS args, id AS ord FROM range(60)")
+    neg = spark.sql("SELECT IF(id = 7, NULL, concat('neg ', id % 90)) AS text, id AS ord FROM range(200)")
+    rows = assemble.dataset(pos, neg, spark.createDataFrame([("neg 3",)], "key string"), 5.0, 4)
+    got = rows.collect()
+    assert Counter(r.metadata for r in got) == {"train": 135, "eval": 15} and len({r.text for r in got if r.name is None}) == 90
+    hashes = {(r.name, r.text): hashlib.md5("|".join(["4", *([r.name, r.text.split()[1]] if r.name else ["-1"]), *([r.text] if r.text is not None else [])]).encode()).hexdigest() for r in got}
+    assert {(r.name, r.text) for r in got if r.metadata == "train"} == set(sorted(hashes, key=hashes.get)[:135])
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+    same = spark.sql("SELECT id % 3 AS k FROM range(90)")
+    for ratio, train in ((0.5, 45), (1 / 3, 30), (0.0, 0), (1.0, 90)):
+        split = ordering.split_ratio(same, ratio, 4, "k")
+        assert split.where("metadata = 'train'").count() == train and split.count() == 90
+    assert ordering.split_ratio(same.limit(0), 0.5, 4, "k").count() == 0
+
+
 def test_keyword_drop(spark):
     rows = [("a", "hit"), ("a", "a1"), ("b", "b1"), ("b", "hit"), ("c", "hit")]
     df = spark.createDataFrame(rows, "skill string, text string")
