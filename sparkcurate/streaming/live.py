@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -18,8 +17,9 @@ PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 class SampleWindows(StatefulProcessor):
     """Windows of size samples by their positions, for one key.
 
-    State: samples that wait (position, value), as a list; the first position of the next window and its number.
-    So it holds less than a window of samples in sequence, and those that came before their turn.
+    State: one value with the first position of the next window and its number, the last time, whether a timer runs, and
+    the samples that wait, as bytes: 8 a position, then 8 a value. So it holds less than a window of samples in sequence, and
+    those that came before their turn, and a key takes one read and one write a batch, each of which is a call to the JVM.
     """
 
     def __init__(self, size: int, pad: int, idle_ms: int) -> None:
@@ -27,24 +27,24 @@ class SampleWindows(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rest = handle.getListState("rest", "pos long, value double")
-        self.next = handle.getValueState("next", "pos long, window long, last long")
+        self.state = handle.getValueState("samples", "pos long, window long, last long, timed boolean, held binary")
 
-    def _held(self) -> tuple[np.ndarray, np.ndarray]:
-        rows = list(self.rest.get()) if self.rest.exists() else []
-        return np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.float64)
+    def _read(self) -> tuple[int, int, int, bool, np.ndarray, np.ndarray]:
+        first, window, last, timed, held = self.state.get() or (0, 0, 0, False, b"")
+        half = len(held) // 2
+        return first, window, last, timed, np.frombuffer(held[:half], np.int64), np.frombuffer(held[half:], np.float64)
 
-    def _windows(self, key, first: int, values: np.ndarray) -> pd.DataFrame:
+    def _windows(self, key, first: int, values: np.ndarray) -> Iterator[Row]:
         starts = np.arange(0, len(values), self.size)
         sizes = np.minimum(self.size, len(values) - starts)
-        return pd.DataFrame({"key": key, "window": first + np.arange(len(starts)), "n": sizes, "total": np.add.reduceat(values, starts)})
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first, window, last = self.next.get() if self.next.exists() else (0, 0, 0)
-        pos, value = self._held()
-        for pdf in rows:
-            pos, value = np.append(pos, pdf["pos"].to_numpy(np.int64)), np.append(value, pdf["value"].to_numpy(np.float64))
-            last = max(last, int(pdf["ms"].max()))
+        for k, (n, total) in enumerate(zip(sizes.tolist(), np.add.reduceat(values, starts).tolist(), strict=True)):
+            yield Row(key=key, window=first + k, n=n, total=total)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        first, window, last, timed, pos, value = self._read()
+        came = [(r.pos, r.value, r.ms) for r in rows]
+        pos, value = np.append(pos, np.array([r[0] for r in came], np.int64)), np.append(value, np.array([r[1] for r in came], np.float64))
+        last = max([last, *(r[2] for r in came)])
         order = np.argsort(pos, kind="stable")
         pos, value = pos[order], value[order]
         # a position that was told before, or that a window has, counts once
@@ -53,27 +53,24 @@ class SampleWindows(StatefulProcessor):
         run = int(np.argmin(np.append(pos == first + np.arange(len(pos)), False)))
         whole = run // self.size * self.size
         if whole:
-            yield self._windows(key[0], window, value[:whole])
-        self._keep(first + whole, window + whole // self.size, last, pos[whole:], value[whole:])
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer[0] if isinstance(timer, tuple) else timer)
-        self.handle.registerTimer(last + self.idle_ms)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        first, window, last = self.next.get() if self.next.exists() else (0, 0, 0)
-        pos, value = self._held()
+            yield from self._windows(key[0], window, value[:whole])
+        if not timed:
+            self.handle.registerTimer(last + self.idle_ms)
+        self._keep(first + whole, window + whole // self.size, last, True, pos[whole:], value[whole:])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        first, window, last, _, pos, value = self._read()
+        if last + self.idle_ms > timerValues.getCurrentWatermarkInMs():  # samples came since: the timer is set on only now, not at each batch
+            self.handle.registerTimer(last + self.idle_ms)
+            return
         value = np.append(value, np.zeros(self.pad))
         if len(value):
-            yield self._windows(key[0], window, value)
+            yield from self._windows(key[0], window, value)
         end = int(pos[-1]) + 1 if len(pos) else first
-        self._keep(end, window + -(-len(value) // self.size), last, pos[:0], value[:0])
+        self._keep(end, window + -(-len(value) // self.size), last, False, pos[:0], value[:0])
 
-    def _keep(self, first: int, window: int, last: int, pos: np.ndarray, value: np.ndarray) -> None:
-        self.next.update((int(first), int(window), int(last)))
-        if len(pos):
-            self.rest.put(list(zip(pos.tolist(), value.tolist(), strict=True)))
-        else:
-            self.rest.clear()
+    def _keep(self, first: int, window: int, last: int, timed: bool, pos: np.ndarray, value: np.ndarray) -> None:
+        self.state.update((int(first), int(window), int(last), timed, pos.tobytes() + value.tobytes()))
 
     def close(self) -> None:
         pass
@@ -91,4 +88,4 @@ def live_windows(stream: DataFrame, key: str, pos: str, value: str, ts: str, siz
     rows = stream.select(F.col(key).cast("string").alias("key"), F.col(pos).cast("long").alias("pos"), F.col(value).cast("double").alias("value"), F.col(ts).alias("ts"))
     rows = rows.where("pos IS NOT NULL AND value IS NOT NULL AND ts IS NOT NULL").withWatermark("ts", late)
     rows = rows.withColumn("ms", F.unix_millis("ts"))
-    return rows.groupBy("key").transformWithStateInPandas(SampleWindows(size, pad, idle * 1_000), OUT, "append", "EventTime")
+    return rows.groupBy("key").transformWithState(SampleWindows(size, pad, idle * 1_000), OUT, "append", "EventTime")

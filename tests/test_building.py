@@ -256,3 +256,42 @@ def test_positives_keep_columns(spark):
     skills = spark.createDataFrame([("a.b", "b")], "id string, alias string")
     examples = spark.createDataFrame([("a.b", "t", {"k": "v"}, 4)], "skill_id string, text string, args map<string,string>, ord int")
     assert assemble.positives(examples, skills, ("ord",)).first().asDict() == {"text": "t", "name": "b", "args": {"k": "v"}, "ord": 4}
+
+
+def test_live_windows_call_the_state_once_each_way():
+    """A key's batch is one read and one write of its state, and a timer that runs is left alone; samples that came since put the flush off."""
+    from pyspark.sql import Row
+
+    from sparkcurate.streaming.live import SampleWindows
+
+    class Handle:
+        calls, held, timers = [], None, []
+
+        def getValueState(self, name, schema):
+            return self
+
+        def get(self):
+            self.calls.append("get")
+            return self.held
+
+        def update(self, value):
+            self.calls.append("update")
+            self.held = value
+
+        def registerTimer(self, at):
+            self.calls.append("timer")
+            self.timers.append(at)
+
+    class At:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+
+    h, w = Handle(), SampleWindows(4, 2, 1_000)
+    w.init(h)
+    give = lambda *rows: [tuple(r) for r in w.handleInputRows(("u",), iter([Row(pos=p, value=v, ms=t) for p, v, t in rows]), At(0))]
+    assert give((5, 6.0, 10), (1, 2.0, 20), (0, 1.0, 5)) == [] and h.calls == ["get", "timer", "update"]
+    h.calls.clear()
+    assert give((3, 4.0, 900), (2, 3.0, 30), (1, 9.0, 7)) == [("u", 0, 4, 10.0)] and h.calls == ["get", "update"]
+    assert list(w.handleExpiredTimer(("u",), At(1_500), None)) == [] and h.timers == [1_020, 1_900]
+    assert [tuple(r) for r in w.handleExpiredTimer(("u",), At(1_900), None)] == [("u", 1, 3, 6.0)]
+    assert give((6, 7.0, 5_000), (7, 1.0, 5_000), (8, 1.0, 5_000), (9, 1.0, 5_000)) == [("u", 2, 4, 10.0)] and h.timers[-1] == 6_000
