@@ -172,3 +172,17 @@ def test_shared_folder_must_be_named(monkeypatch):
 
     with pytest.raises(ValueError, match="checkpoint"):
         shared.shared_root(Session())
+
+
+def test_a_task_that_keeps_nothing_gives_memory_back(monkeypatch):
+    """Also where no other operator's cache is let go: what the worker's last task has freed goes back first."""
+    from sparkcurate.llm import shared
+
+    trims = []
+    monkeypatch.setattr(shared.ctypes, "CDLL", lambda name: type("C", (), {"malloc_trim": staticmethod(trims.append)}))
+    monkeypatch.setattr(shared, "_kept", {})
+    shared.kept("ngrams", None)
+    assert trims == [0]
+    assert shared.kept("codec", "a", lambda: 1) == 1 and shared.kept("codec", "a", lambda: 2) == 1 and trims == [0]
+    shared.kept("ngrams", None)
+    assert trims == [0, 0] and shared._kept == {}
