@@ -4,16 +4,19 @@ Each window of WINDOW bytes has an anchor, its GRAM bytes with the smallest hash
 equal anchors at the same place in them; so windows are compared only with those of equal anchors,
 and neighbouring windows with the same anchor stay together as a run. Runs that are equal as a whole
 need only their first occurrence; the different runs of an anchor are set in one text and sorted as
-suffixes, by a grouping construction in linear time, and neighbours in that order that share WINDOW
-bytes are equal windows.
+suffixes, by a grouping construction in linear time, and neighbours in that order that share a window
+are equal windows. In that text the bytes that the neighbouring windows of a block all have stand as one
+symbol, the same for the same bytes.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +28,8 @@ WINDOW, GRAM = 100, 32
 MANY, PIECES = 2_000, 500
 #: Runs that repeat in a piece of text are remembered by a task, so many, for what comes after; more just meet later.
 REMEMBERED = 20_000
-#: Bytes of the texts that suffixes are sorted in; a group of runs isn't split.
-SORTED_BYTES = 1 << 16
+#: Symbols of the texts that suffixes are sorted in; a group of runs isn't split.
+SORTED = 1 << 16
 #: Up to so many ids of documents with spans are broadcast; beyond that all texts are shuffled to their spans.
 BROADCAST_IDS = 1_000_000
 #: Bytes of text that a task handles at a time, many times over in arrays.
@@ -197,6 +200,7 @@ def anchor_runs(texts: DataFrame) -> DataFrame:
     def run(batches):
         kept("suffixes", None)
         seen: dict[tuple[int, int], tuple[int, int, int]] = {}
+        may = np.zeros(1 << 20, bool)  # low bits of the keys in seen, so that few others are looked up
         for batch in batches:
             for part in _parts(batch, "__text", CHUNK):
                 owner, s, n, k, context, rel = runs_of(part.column("__text").to_pylist())
@@ -208,6 +212,8 @@ def anchor_runs(texts: DataFrame) -> DataFrame:
                 again = np.concatenate([np.zeros(min(1, len(k)), bool), (k[1:] == k[:-1]) & (what[1:] == what[:-1])])
                 first = np.flatnonzero(~again)
                 many = np.diff(np.append(first, len(k))) > 1
+                asked = many | may[k[first] & (len(may) - 1)]
+                first, many = first[asked], many[asked]
                 places = zip(doc[first].tolist(), u[first].tolist(), s[first].tolist(), strict=True)
                 for at, key, place, several in zip(first.tolist(), zip(k[first].tolist(), what[first].tolist(), strict=True), places, many.tolist(), strict=True):
                     known = seen.get(key)
@@ -215,6 +221,7 @@ def anchor_runs(texts: DataFrame) -> DataFrame:
                         again[at] = True
                     elif known is not None or several and len(seen) < REMEMBERED:
                         seen[key] = place
+                        may[key[0] & (len(may) - 1)] = True
                 yield _batch(RUNS_SCHEMA, np.where(again, doc * 31 + s, k), np.where(again, what + np.int64(-(1 << 63)), what), doc, u, s)
 
     return texts.mapInArrow(run, RUNS)
@@ -310,10 +317,12 @@ def bodies(texts: DataFrame, spans: DataFrame) -> DataFrame:
 
 #: Windows of a run are taken by this many places of their start relative to the anchor.
 CORE = 12
+#: Bytes that all windows of such a block have in common.
+COMMON = WINDOW - CORE + 1
 
 
-def cores(n: int, rel: int, body: bytes) -> Iterator[tuple[tuple[int, bytes], int, int]]:
-    """((block, bytes), first window, last window) of a run's windows, by blocks of CORE places of their start relative to the anchor.
+def cores(n: int, rel: int, body: bytes) -> Iterator[tuple[tuple[int, bytes], int, int, int]]:
+    """((block, bytes), first window, last window, place of the bytes) of a run's windows, by blocks of CORE places of their start relative to the anchor.
 
     All windows of a block have the bytes in common that lie in the first and the last of them; so equal
     windows are in blocks with the same bytes.
@@ -321,51 +330,46 @@ def cores(n: int, rel: int, body: bytes) -> Iterator[tuple[tuple[int, bytes], in
     # windows start rel, rel - 1, ... rel - n + 1 places before the anchor
     for block in range((rel - n + 1) // CORE, rel // CORE + 1):
         far, near = block * CORE + CORE - 1, block * CORE  # places before the anchor, of the first and the last
-        yield (block, body[rel - near : rel - far + WINDOW]), max(0, rel - far), min(n - 1, rel - near)
+        yield (block, body[rel - near : rel - far + WINDOW]), max(0, rel - far), min(n - 1, rel - near), rel - near
 
 
 def shared_parts(group: list[tuple]) -> list[tuple]:
-    """Parts (doc, u, s, n, body) of an anchor's runs (doc, u, s, n, rel, body) that may have equals in another one: those whose cores another run has too."""
+    """Parts (doc, u, s, n, at, body) of an anchor's runs (doc, u, s, n, rel, body) that may have equals in another one: blocks whose core, at at, another run has too."""
     seen: dict[tuple, int] = {}
     pieces = []
-    for doc, u, s, n, rel, body in group:
-        own = list(cores(n, rel, body))
-        for key, _, _ in own:
+    for run in group:
+        own = list(cores(*run[3:]))
+        for key, _, _, _ in own:
             seen[key] = seen.get(key, 0) + 1
-        pieces.append((doc, u, s, body, own))
-    out = []
-    for doc, u, s, body, own in pieces:
-        begin = end = None
-        for key, first, last in sorted(own, key=lambda x: x[1]):
-            if seen[key] < 2:
-                continue
-            if end is not None and first == end + 1:
-                end = last
-                continue
-            if end is not None:
-                out.append((doc, u, s + begin, end - begin + 1, body[begin : end + WINDOW]))
-            begin, end = first, last
-        if end is not None:
-            out.append((doc, u, s + begin, end - begin + 1, body[begin : end + WINDOW]))
-    return out
+        pieces.append(own)
+    return [
+        (doc, u, s + first, last - first + 1, at - first, body[first : last + WINDOW])
+        for (doc, u, s, _, _, body), own in zip(group, pieces, strict=True)
+        for key, first, last, at in own
+        if seen[key] > 1
+    ]
+
 
+def later_windows(rows: list[tuple]) -> np.ndarray:
+    """(doc, u, start) of the windows of rows (doc, u, s, n, at, body) that equal an earlier one of them, by a suffix array.
 
-def later_windows(rows: list[tuple]) -> list[tuple[int, int, int]]:
-    """(doc, u, start) of the windows of rows (doc, u, s, n, body) that equal an earlier one of them, by a suffix array."""
+    The COMMON bytes at at are in all windows of a row, and become one symbol; so each window has CORE symbols.
+    """
     text: list[int] = []
-    key = []
-    at = []
-    for doc, u, s, n, body in rows:
-        at.append(np.arange(n) + len(text))
-        key.append(np.stack([np.full(n, doc), np.full(n, u), s + np.arange(n)], 1))
-        text += body
-        text.append(256)
-    where, keys = np.concatenate(at), np.concatenate(key)
+    names: dict[bytes, int] = {}
+    for _, _, _, _, at, body in rows:
+        text += body[:at]
+        text.append(names.setdefault(body[at : at + COMMON], 256 + len(names)))
+        text += body[at + COMMON :]
+    doc, u, s, n = np.array([row[:4] for row in rows], np.int64).reshape(-1, 4).T
+    step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    where = np.repeat(np.cumsum(n + CORE - 1) - (n + CORE - 1), n) + step
+    keys = np.stack([np.repeat(doc, n), np.repeat(u, n), np.repeat(s, n) + step], 1)
     number = np.full(len(text), -1)
     number[where] = np.arange(len(where))
-    order = number[np.array(suffix_array(text))]
+    order = number[np.array(suffix_array(text), np.int64)]
     order = order[order >= 0]
-    views = np.lib.stride_tricks.sliding_window_view(np.array(text, np.int16), WINDOW)
+    views = np.lib.stride_tricks.sliding_window_view(np.array(text, np.int32), CORE)
     new = np.ones(len(order), bool)
     for k in range(1, len(order), 1 << 14):
         part = order[k - 1 : k + (1 << 14)]
@@ -378,9 +382,9 @@ def later_windows(rows: list[tuple]) -> list[tuple[int, int, int]]:
 
 
 def compared(runs: DataFrame, parts: int) -> DataFrame:
-    """(doc, u, s, n): windows of the runs of an anchor that equal an earlier one's. Runs without rel are parts that have a core in common already."""
+    """(doc, u, s, n): windows of the runs of an anchor that equal an earlier one's. Runs with at are parts that have a core in common already."""
     whole = "rel" in runs.columns
-    names = ["k", "doc", "u", "s", "n", *(["rel"] if whole else []), "body"]
+    names = ["k", "doc", "u", "s", "n", "rel" if whole else "at", "body"]
     dealt = runs.select(*names).repartition(parts, "k").sortWithinPartitions("k", "doc", "u", "s")
     schema = pa.schema([("doc", pa.int64()), ("u", pa.int64()), ("s", pa.int64()), ("n", pa.int32())])
 
@@ -394,8 +398,8 @@ def compared(runs: DataFrame, parts: int) -> DataFrame:
                 if k != last:
                     group = shared_parts(group) if whole else group
                     ready += group
-                    size += sum(len(x[4]) for x in group)
-                    if size > SORTED_BYTES:
+                    size += sum(x[3] + CORE - 1 for x in group)
+                    if size > SORTED:
                         yield _batch(schema, *_joined(later_windows(ready)))
                         ready, size = [], 0
                     group, last = [], k
@@ -416,7 +420,7 @@ def spread(runs: DataFrame, parts: int) -> DataFrame:
     """
     import struct
 
-    schema = pa.schema([("k", pa.int64()), ("doc", pa.int64()), ("u", pa.int64()), ("s", pa.int64()), ("n", pa.int32()), ("body", pa.binary())])
+    schema = pa.schema([("k", pa.int64()), ("doc", pa.int64()), ("u", pa.int64()), ("s", pa.int64()), ("n", pa.int32()), ("at", pa.int32()), ("body", pa.binary())])
 
     def cut(batches):
         import hashlib
@@ -424,20 +428,20 @@ def spread(runs: DataFrame, parts: int) -> DataFrame:
         for batch in batches:
             rows = []
             for k, doc, u, s, n, rel, body in zip(*(batch.column(c).to_pylist() for c in ("k", "doc", "u", "s", "n", "rel", "body")), strict=True):
-                for (block, core), first, last in cores(n, rel, body):
+                for (block, core), first, last, at in cores(n, rel, body):
                     name = hashlib.blake2b(core, digest_size=8, key=struct.pack("<qi", k, block)).digest()
-                    rows.append((struct.unpack("<q", name)[0], doc, u, s + first, last - first + 1, body[first : last + WINDOW]))
+                    rows.append((struct.unpack("<q", name)[0], doc, u, s + first, last - first + 1, at - first, body[first : last + WINDOW]))
                 if len(rows) > 4_096:
                     yield _batch(schema, *zip(*rows, strict=True))
                     rows = []
             if rows:
                 yield _batch(schema, *zip(*rows, strict=True))
 
-    pieces = written(runs.select("k", "doc", "u", "s", "n", "rel", "body").mapInArrow(cut, "k long, doc long, u long, s long, n int, body binary"), "pieces")
+    pieces = written(runs.select("k", "doc", "u", "s", "n", "rel", "body").mapInArrow(cut, "k long, doc long, u long, s long, n int, at int, body binary"), "pieces")
     counts = written(pieces.groupBy(F.col("k").alias("key")).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "cores")
     keyed = pieces.withColumnsRenamed({"k": "key", "n": "windows"})
     several = join_groups(keyed, counts, counts.count(), hot_rows(pieces.count()), "inner", by=("doc", "u", "s"))
-    several = written(several.select(F.col("key").alias("k"), "doc", "u", "s", F.col("windows").alias("n"), "body", (F.col("n") > PIECES).alias("many")), "several")
+    several = written(several.select(F.col("key").alias("k"), "doc", "u", "s", F.col("windows").alias("n"), "at", "body", (F.col("n") > PIECES).alias("many")), "several")
     found = written(compared(several.where("NOT many").drop("many"), parts), "compared")
     if several.where("many").take(1):
         found = found.unionByName(spread_windows(several.where("many")))
@@ -476,6 +480,20 @@ def spread_windows(runs: DataFrame) -> DataFrame:
     return both.where(place != F.col("first")).select("doc", "u", "s", F.lit(1).alias("n"))
 
 
+def merged_spans(sizes: np.ndarray, lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts of so many bytes, with lists of (s, n) of their windows: how many maximal spans each has, and the begins and ends of all of them, text by text."""
+    counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    s, n = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in lists.flatten().flatten())
+    owner = np.repeat(np.arange(len(sizes)), counts)
+    base = np.cumsum(sizes + 1) - sizes - 1  # with a gap, so that spans of two texts don't touch
+    s += base[owner]
+    order = np.argsort(s, kind="stable")
+    s, owner, reach = s[order], owner[order], np.maximum.accumulate((s + n + WINDOW - 1)[order])
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(s)), bool), s[1:] > reach[:-1]]))
+    last = np.append(first[1:] - 1, len(s) - 1)[: len(first)]
+    return np.bincount(owner[first], minlength=len(sizes)), s[first] - base[owner[first]], reach[last] - base[owner[first]]
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """One row per row of docs: id, n_bytes, n_removed, n_spans, kept_sha256, and the kept bytes if asked for.
 
@@ -512,23 +530,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
         for batch in batches:
             for part in _parts(batch, "__text", CHUNK):
+                texts, docs = part.column("__text").to_pylist(), part.column("doc").to_pylist()
+                n_spans, begin, end = merged_spans(np.fromiter(map(len, texts), np.int64, len(texts)), part.column("list"))
+                spans = zip(begin.tolist(), end.tolist(), strict=True)
                 out = []
-                for doc, text, spans in zip(*(part.column(c).to_pylist() for c in ("doc", "__text", "list")), strict=True):
-                    kept, at, removed, n_spans = [], 0, 0, 0
-                    end = None
-                    for s, n in sorted((x["s"], x["n"]) for x in spans or ()):
-                        stop = s + n + WINDOW - 1
-                        if end is None or s > end:
-                            n_spans += 1
+                for doc, text, n in zip(docs, texts, n_spans.tolist(), strict=True):
+                    rest = text
+                    if n:
+                        kept, at = [], 0
+                        for s, stop in itertools.islice(spans, n):
                             kept.append(text[at:s])
-                            removed += stop - s
-                            end = at = stop
-                        elif stop > end:
-                            removed += stop - end
-                            end = at = stop
-                    kept.append(text[at:])
-                    rest = b"".join(kept)
-                    out.append([None if doc == NO_ID else doc, len(text), removed, n_spans, hashlib.sha256(rest).hexdigest(), *([rest] if keep_text else [])])
+                            at = stop
+                        rest = b"".join([*kept, text[at:]])
+                    out.append([None if doc == NO_ID else doc, len(text), len(text) - len(rest), n, hashlib.sha256(rest).hexdigest(), *([rest] if keep_text else [])])
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
                 names = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
                 if out:

@@ -423,3 +423,38 @@ def test_repeats_by_shuffle(spark, monkeypatch):
     assert sorted((str(r[0]), *r[1:]) for r in suffix_dedup.remove_repeats(docs(spark, rows)).collect()) == brute_repeats(rows)
     monkeypatch.setattr(suffix_dedup, "BROADCAST_IDS", 0)
     assert sorted((str(r[0]), *r[1:]) for r in suffix_dedup.remove_repeats(docs(spark, rows)).collect()) == brute_repeats(rows)
+
+
+def test_windows_are_sorted_with_their_common_bytes_as_one_symbol(monkeypatch):
+    """A part of n windows gives the array n + CORE - 1 symbols, and the same windows as a plain comparison."""
+    rng = random.Random(5)
+    texts = []
+    base = bytes(rng.choices(b"abcd", k=168))
+    for doc in range(40):
+        begin, end = rng.randrange(0, 30), rng.randrange(140, 169)
+        text = bytearray(base[begin:end])
+        if doc % 3:
+            text[rng.choice((0, 3, -2, -1))] = 101
+        texts.append((doc, 0, 7 * doc, len(text) - suffix_dedup.WINDOW + 1, 68 - begin, bytes(text)))
+    lengths, array = [], suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda text: lengths.append(len(text)) or array(text))
+    parts = suffix_dedup.shared_parts(texts)
+    got = sorted(map(tuple, suffix_dedup.later_windows(parts).tolist()))
+    seen, later = set(), []
+    for doc, u, s, n, _, body in texts:
+        for k in range(n):
+            window = body[k : k + suffix_dedup.WINDOW]
+            later += [(doc, u, s + k)] * (window in seen)
+            seen.add(window)
+    assert got == sorted(later) and len(got) > 500
+    assert lengths == [sum(part[3] + suffix_dedup.CORE - 1 for part in parts)]
+
+
+def test_merged_spans_stay_within_their_texts():
+    pa = suffix_dedup.pa
+    kind = pa.list_(pa.struct([("s", pa.int64()), ("n", pa.int32())]))
+    lists = pa.array([None, [{"s": 150, "n": 1}, {"s": 0, "n": 51}, {"s": 20, "n": 3}], [], [{"s": 0, "n": 1}, {"s": 101, "n": 2}]], kind)
+    n, begin, end = suffix_dedup.merged_spans(np.array([0, 250, 7, 202]), lists)
+    assert (n.tolist(), begin.tolist(), end.tolist()) == ([0, 1, 0, 2], [0, 0, 101], [250, 100, 202])
+    n, begin, end = suffix_dedup.merged_spans(np.array([3]), pa.array([None], kind))
+    assert n.tolist() == [0] and not len(begin) and not len(end)
