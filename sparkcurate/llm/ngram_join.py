@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import bounded_batches, forget, hot_rows, join_groups, kept, load, placed, scratch, written
+from .shared import bounded_batches, forget, hot_rows, join_groups, kept, lean, load, placed, scratch, written
 
 #: Minimum hashes: bands and rows of each.
 BANDS, ROWS = 4, 3
@@ -218,7 +218,7 @@ def frequency_classes(texts: DataFrame, rule: Rule) -> bytes:
         often = np.flatnonzero(total >= LEAST_COUNT)
         yield pa.RecordBatch.from_arrays([pa.array(often, pa.int64()), pa.array(total[often], pa.int64())], ["bucket", "n"])
 
-    rows = texts.select("__text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    rows = texts.select("__text").mapInArrow(lean(count), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     table = np.zeros(1 << ORDER_BITS, np.uint8)
     for r in rows.select("bucket", F.floor(F.log2("n")).cast("int").alias("n")).toLocalIterator():
         table[r["bucket"]] = r["n"]
@@ -255,7 +255,7 @@ def profiles(texts: DataFrame, rule: Rule, classes, keep: tuple[str, ...]) -> Da
                 out += [pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(folds, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(cells, pa.binary())]
                 yield pa.RecordBatch.from_arrays(out, schema.names)
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(lean(run), schema)
 
 
 def bounded(pairs: DataFrame, rule: Rule, points: DataFrame, radii: bool = False) -> DataFrame:
@@ -273,7 +273,7 @@ def bounded(pairs: DataFrame, rule: Rule, points: DataFrame, radii: bool = False
                 r = batch.column("ra").to_numpy() + batch.column("rb").to_numpy() if radii else 0
                 yield batch.select(names).filter(pa.array(within(rule.similar, diff, na, nb, r)))
 
-    return both.select(*names, "na", "nb", "fa", "fb").mapInArrow(run, schema)
+    return both.select(*names, "na", "nb", "fa", "fb").mapInArrow(lean(run), schema)
 
 
 def verified(pairs: DataFrame, rule: Rule, texts: DataFrame, points: DataFrame) -> DataFrame:
@@ -293,7 +293,7 @@ def verified(pairs: DataFrame, rule: Rule, texts: DataFrame, points: DataFrame)
                 made = [s for s in shingle_sets(part.column("__text").to_pylist(), rule.words) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in made], pa.int64()), pa.array([s.tobytes() for s in made], pa.binary())], ["key", "set"])
 
-    table = written(some.mapInArrow(sets, "key long, set binary").dropDuplicates(["key"]), "sets")
+    table = written(some.mapInArrow(lean(sets), "key long, set binary").dropDuplicates(["key"]), "sets")
     both = pairs.select("a", "b").join(table.toDF("a", "sa"), "a").join(table.toDF("b", "sb"), "b")
 
     def run(batches):
@@ -311,7 +311,7 @@ def verified(pairs: DataFrame, rule: Rule, texts: DataFrame, points: DataFrame)
                     diff.append(every - common)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, union, diff)], ["a", "b", "union", "diff"])
 
-    return written(both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, union long, diff long"), "links")
+    return written(both.select("a", "b", "sa", "sb").mapInArrow(lean(run), "a long, b long, union long, diff long"), "links")
 
 
 def band_pairs(points: DataFrame) -> DataFrame:
@@ -363,10 +363,10 @@ def region_pairs(points: DataFrame, rule: Rule, regions: DataFrame) -> DataFrame
         if held is not None and held.num_rows:
             yield from _met(rule, held, large)
 
-    rows = assigned.mapInArrow(spread, "cell long, region long, r long, least long, most long, place long")
+    rows = assigned.mapInArrow(lean(spread), "cell long, region long, r long, least long, most long, place long")
     parts = min(max(1, points.count() // 4_000), 20_000)
     dealt = rows.repartition(parts, "cell").sortWithinPartitions("cell", "region")
-    met = written(dealt.mapInArrow(meet, "cell long, a long, b long, ra long, rb long, least long, most long, place long"), "meetings")
+    met = written(dealt.mapInArrow(lean(meet), "cell long, a long, b long, ra long, rb long, least long, most long, place long"), "meetings")
     small = met.where("cell IS NULL").select("a", "b", "ra", "rb").distinct()
     large = met.where("cell IS NOT NULL").select("cell", F.col("a").alias("region"), F.col("ra").alias("r"), "least", "most", "place")
     return bounded(small, rule, points, radii=True).unionByName(large_cells(large, rule, points, parts))
@@ -516,7 +516,7 @@ def _homes(rows: DataFrame, rule: Rule) -> DataFrame:
             also = [np.flatnonzero(x).tolist() for x in near]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in schema.names[:-2]), pa.array(home, pa.int32()), pa.array(also, pa.list_(pa.int32()))], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
 
 
 #: A distance that stands for a pivot that is left out.
@@ -585,7 +585,7 @@ def _leaves(rows: DataFrame, rule: Rule, parts: int) -> DataFrame:
                 held.append(row)
         yield from _compared(rule, held)
 
-    return dealt.mapInArrow(run, "a long, b long, ra long, rb long").distinct()
+    return dealt.mapInArrow(lean(run), "a long, b long, ra long, rb long").distinct()
 
 
 def _compared(rule: Rule, rows: list[dict]) -> Iterator[pa.RecordBatch]:
@@ -687,7 +687,7 @@ def window_pairs(pairs: DataFrame, rule: Rule, points: DataFrame, regions: DataF
                 held.append(batch.slice(at, end - at))
         yield from _windows(rule, held, skip, most)
 
-    return dealt.mapInArrow(run, "ra_ long, rb_ long, a long, b long, more boolean")
+    return dealt.mapInArrow(lean(run), "ra_ long, rb_ long, a long, b long, more boolean")
 
 
 def _windows(rule: Rule, batches: list[pa.RecordBatch], skip: int, most: int | None) -> Iterator[pa.RecordBatch]:

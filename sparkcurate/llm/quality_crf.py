@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import bounded_batches, kept, load, placed
+from .shared import bounded_batches, kept, lean, load, placed
 
 #: Labelled documents that the field is fitted on, at most; those with the smallest hashes.
 FIT_DOCS = 3_000
@@ -333,6 +333,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     sample = labelled(docs, labels, id_col, text_col, "quality", remainder("id", 5) != 0, {None: FIT_DOCS}, lines, FIT_LINES)
 
     def features(batches):
+        kept("quality", None)
         for batch in batches:
             ids, good = batch.column("id").to_pylist(), batch.column("label").to_pylist()
             for i, g, text in zip(ids, good, batch.column("text").to_pylist(), strict=True):
@@ -340,7 +341,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
                 packed = zlib.compress(x.astype("<f4").tobytes(), 1)
                 yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([g], pa.int32()), pa.array([packed]), pa.array([length.astype("<i8").tobytes()])], ["id", "good", "x", "length"])
 
-    made = sample.select(F.col("id").cast("long").alias("id"), "label", F.col("text").cast("binary").alias("text")).mapInArrow(features, "id long, good int, x binary, length binary")
+    made = sample.select(F.col("id").cast("long").alias("id"), "label", F.col("text").cast("binary").alias("text")).mapInArrow(lean(features), "id long, good int, x binary, length binary")
     xs, lengths, counts, good = [], [], [], []
     for r in sorted(made.toLocalIterator(), key=lambda r: (zlib.crc32(str(r["id"]).encode()), r["id"], r["length"])):
         length = np.frombuffer(r["length"], "<i8")
@@ -373,7 +374,7 @@ def _scored(rows: DataFrame, field: Field, schema) -> DataFrame:
     out = T.StructType(list(fields)).add("score", "double").add("predicted", "integer")
     names = out.names
     bounded_batches(rows.sparkSession)
-    return rows.mapInArrow(run, out)
+    return rows.mapInArrow(lean(run), out)
 
 
 def score_quality(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .piece_cache import PieceCache, joined_encode
-from .shared import bounded_batches, fresh, kept, load
+from .shared import bounded_batches, fresh, kept, lean, load
 
 META = "▁"
 #: Pieces of text whose ids a worker remembers.
@@ -300,7 +300,7 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
                 yield pa.RecordBatch.from_arrays(out, schema.names)
 
     bounded_batches(docs.sparkSession)
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def slices(batch: pa.RecordBatch, text_col: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:

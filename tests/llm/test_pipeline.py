@@ -1,13 +1,14 @@
 """The stages against brute force on a small table, and the entry module."""
 
 import re
+import time
 
 import pytest
 
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sparkcurate.llm import lexical_search, mixing, queries
+from sparkcurate.llm import lexical_search, mixing, queries, shared
 from sparkcurate.llm.shared import load
 
 from .test_media_and_mix import on_the_line
@@ -186,3 +187,25 @@ def test_a_task_that_keeps_nothing_gives_memory_back(monkeypatch):
     assert shared.kept("codec", "a", lambda: 1) == 1 and shared.kept("codec", "a", lambda: 2) == 1 and trims == [0]
     shared.kept("ngrams", None)
     assert trims == [0, 0] and shared._kept == {}
+
+
+def test_idle_workers_let_go_what_they_keep(monkeypatch):
+    """After an operator's last task its cache goes; tasks that follow one another share it."""
+    monkeypatch.setattr(shared, "_kept", {})
+    monkeypatch.setattr(shared, "IDLE", 0.2)
+    made = []
+
+    def run(batches):
+        for x in batches:
+            yield shared.kept("test", "cache", lambda: made.append(1) or [x])[0] + x
+
+    task = shared.lean(run)
+    assert list(task(iter([1, 2]))) == [2, 3] and list(task(iter([5]))) == [6] and len(made) == 1
+    slow = task(iter([7, 8]))
+    assert next(slow) == 8
+    time.sleep(0.4)  # a task that runs for longer keeps it
+    assert shared._kept and next(slow) == 9 and len(made) == 1
+    slow.close()
+    time.sleep(0.6)
+    assert not shared._kept
+    assert list(task(iter([3]))) == [6] and len(made) == 2
