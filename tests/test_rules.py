@@ -70,6 +70,44 @@ def test_rule_totals_and_plain_patterns(spark):
     assert found._jdf.queryExecution().executedPlan().toString().count("RLIKE") == 1
 
 
+def test_short_and_long_strings(spark, monkeypatch):
+    """Strings of all lengths, at the ends of texts, over pieces of a long one, and none over two texts."""
+    monkeypatch.setattr(keywords, "PIECE", 32)
+    rng = random.Random(5)
+    rows = ["".join(rng.choice("abé \U0001f600") for _ in range(n)) for n in [*range(0, 40), 200, 900]] + ["ab", "c", None, ""]
+    parts = {t[k : k + n] for t in rows if t for n in (1, 2, 3, 5, 8, 9, 20) for k in rng.sample(range(len(t)), min(4, len(t)))} | {"abc", "bc", "zzzzz"}
+    rules = [(k, "anywhere", None, p) for k, p in enumerate(sorted(parts) * 2)]
+    got = [tuple(r) for r in keywords.rule_hits(texts(spark, rows).coalesce(2), spark.createDataFrame(rules, RULES)).collect()]
+    expected = {(k, r) for k, t in enumerate(rows) if t for r, _, _, p in rules if p in t}
+    assert set(got) == expected and len(got) == len(expected)
+
+
+def test_rules_in_blocks(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [" ".join(f"w{rng.randrange(30)}" for _ in range(rng.randrange(1, 12))) + rng.choice(["", " é", "."]) for _ in range(80)]
+    rules = [(k, "all", [f"w{rng.randrange(30)}" for _ in range(rng.randrange(1, 4))], None) for k in range(60)] + [(100 + k, "pattern", None, f"w{k}") for k in range(30)]
+    monkeypatch.setattr(keywords, "BAGS", 40)
+    got = [tuple(r) for r in keywords.rule_hits(texts(spark, rows), spark.createDataFrame(rules, RULES)).collect()]
+    expected = brute_hits(rows, rules)
+    assert set(got) == expected and len(got) == len(expected)
+
+
+def test_a_text_is_cut_once_for_its_rules(spark, tmp_path, monkeypatch):
+    """Rules are made, and bags and plain patterns looked up, without cutting texts for filters, for counts or for each block again."""
+    from sparkcurate.plans import corpus_queries
+
+    rng = random.Random(7)
+    docs = [(k, " ".join(f"w{rng.randrange(60)}" for _ in range(rng.randrange(1, 20))), "en", "s", 1) for k in range(50)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.range(400).select(F.col("id").alias("p_partkey")).write.parquet(str(tmp_path / "part.parquet"))
+    rules = corpus_queries.part_rules(spark, str(tmp_path))
+    assert rules._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    cuts, numbered = [], keywords._numbered
+    monkeypatch.setattr(keywords, "_numbered", lambda *a: cuts.append(numbered(*a)) or cuts[-1])
+    keywords.hit_totals(spark.read.parquet(str(tmp_path / "documents.parquet")).select("doc_id", "text"), rules, "doc_id").collect()
+    assert len(cuts) == 1 and cuts[0]._jdf.queryExecution().optimizedPlan().toString().count("split(") == 2
+
+
 def test_bad_rules(spark):
     for bad in ([(1, "all", [], None)], [(1, "all", None, None)], [(1, "anywhere", None, "")], [(1, "some", ["a"], "a")], [(1, None, ["a"], "a")]):
         with pytest.raises(keywords.RuleError):
