@@ -108,6 +108,22 @@ def test_a_text_is_cut_once_for_its_rules(spark, tmp_path, monkeypatch):
     assert len(cuts) == 1 and cuts[0]._jdf.queryExecution().optimizedPlan().toString().count("split(") == 2
 
 
+def test_rules_point_to_places_by_ranges(spark, tmp_path, monkeypatch):
+    from sparkcurate.plans import corpus_queries
+
+    monkeypatch.setattr(corpus_queries, "RANGE", 7)
+    ids = sorted({k * k * k - 500 for k in range(60)} | {2**62})
+    spark.createDataFrame([(i, f"a{k} b{k} c{k}") for k, i in enumerate(ids)], "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.range(200).select(F.col("id").alias("p_partkey")).write.parquet(str(tmp_path / "part.parquet"))
+    rules = corpus_queries.part_rules(spark, str(tmp_path))
+    got = {r.rule_id: r["words"] or [r.part] for r in rules.collect()}
+    own = lambda p: f"a{p * 7 % len(ids)} b{p * 7 % len(ids)} c{p * 7 % len(ids)}"
+    assert got.keys() == {p for p in range(200) if p % 4 < 2 or p % 40 == 3 or own(p)[p % 50 :]}
+    assert all(set(got[p]) <= set(own(p).split()) for p in got if p % 4 < 2 or p % 40 == 3)
+    ranked = [w for w in rules._jdf.queryExecution().optimizedPlan().toString().splitlines() if "row_number()" in w and "Window" in w]
+    assert ranked and all("range" in w.split("],", 1)[1] for w in ranked)
+
+
 def test_bad_rules(spark):
     for bad in ([(1, "all", [], None)], [(1, "all", None, None)], [(1, "anywhere", None, "")], [(1, "some", ["a"], "a")], [(1, None, ["a"], "a")]):
         with pytest.raises(keywords.RuleError):
